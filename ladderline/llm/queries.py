@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, token_output
+from . import bpe, langid, lm_score, near_dedup, packing, quality, token_output, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,8 +46,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 win AS (
   SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
@@ -76,13 +76,76 @@ FROM f
 """
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_score.score(_table(spark, sf_dir, "documents"), F.expr("crc32(CAST(doc_id AS STRING)) % 5 <> 1"))
+    return out.withColumn("held_out", ~F.col("train")).drop("train")
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, window=2048)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: the lang column is what they declare, the source stands for the host."""
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs), declared="lang", host="source")
+
+
+def op8_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages: declared markup, address suffix and host are evidence."""
+    pages = _table(spark, sf_dir, "pages").select(
+        "page_id", langid.visible_of(F.col("html")).alias("text"), langid.declared_of(F.col("html")).alias("declared"), langid.host_of(F.col("url")).alias("host")
+    )
+    model = langid.fit(_table(spark, sf_dir, "documents"))
+    return langid.identify(pages, model, key="page_id", declared="declared", host="host")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = F.expr("crc32(CAST(doc_id AS STRING)) % 5 = 0")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(~held))
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op3_lm_score": op3_lm_score,
         "op4_token_ids": op4_token_ids,
         "op5_quality_rules": op5_quality_rules,
+        "op6_near_dedup": op6_near_dedup,
+        "op7_packing": op7_packing,
+        "op8_language_id": op8_language_id,
+        "op8_language_id_pages": op8_language_id_pages,
+        "op9_toxicity": op9_toxicity,
+        "op10_top_k": op10_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op10_top_k": OP10_SQL}
