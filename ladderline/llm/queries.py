@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lm_score, near_dedup, packing, quality, token_output, topk, toxicity
+from . import bpe, langid, license_scan, lm_score, near_dedup, packing, quality, token_output, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,10 @@ FROM f
 """
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lm_score.score(_table(spark, sf_dir, "documents"), F.expr("crc32(CAST(doc_id AS STRING)) % 5 <> 1"))
     return out.withColumn("held_out", ~F.col("train")).drop("train")
@@ -135,6 +139,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_license_scan": op2_license_scan,
         "op3_lm_score": op3_lm_score,
         "op4_token_ids": op4_token_ids,
         "op5_quality_rules": op5_quality_rules,

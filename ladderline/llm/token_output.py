@@ -32,7 +32,7 @@ class JsonTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.chunks = ChunkEncoder(self._batch, lambda t: self._batch([t])[0])
+        self.chunks = ChunkEncoder(self._batch, lambda t: self._batch([t])[0], most=500_000)
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
