@@ -101,43 +101,47 @@ class Template:
 
 
 class Matcher:
-    """Templates by class: (shingle length, number of shingles)."""
+    """Templates by shingle length and number of shingles."""
 
     def __init__(self, templates: dict[str, tuple[str, ...]], percent: int = 80):
-        self.percent, self.classes = percent, {}
+        self.percent = percent
+        self.classes: dict[int, dict[int, list[Template]]] = {}
         for name, texts in templates.items():
             for text in texts:
                 h = word_hashes(text.encode())
                 if len(h):
                     k, s = min(SHINGLE, len(h)), np.unique(shingle_hashes(h, SHINGLE))
-                    self.classes.setdefault((k, len(s)), []).append(Template(name, k, s, _bands(_mixed(s).min(axis=1)[:, None])[:, 0]))
+                    self.classes.setdefault(k, {}).setdefault(len(s), []).append(Template(name, k, s, _bands(_mixed(s).min(axis=1)[:, None])[:, 0]))
 
     def find(self, text: bytes | None) -> list[tuple[str, int, int, int]]:
         """(name, first word, words, percent of the template held), one for each name: the best, then first, match."""
         h = word_hashes(text)
         best: dict[str, tuple[int, int, int]] = {}
-        by_k: dict[int, tuple[np.ndarray, int, int]] = {}
-        for (k, m), group in self.classes.items():
+        for k, classes in self.classes.items():
             if len(h) < k:
                 continue
-            s = by_k.setdefault(k, shingle_hashes(h, k)) if k not in by_k else by_k[k]
-            w = -(-5 * m // 4)
-            step = w - m + 1
-            for at in range(0, len(s), 1 << 13):  # slices overlap by a window
-                part = s[at : at + (1 << 13) + w]
-                keys = _bands(_window_mins(_mixed(part), w, step))
-                for t in group:
-                    for j in np.nonzero((keys == t.bands[:, None]).any(axis=0))[0]:
-                        lo = max(0, at + int(j) * step)
-                        near = s[max(0, lo - (w - m)) : lo + w + (w - m)]
-                        hit = np.nonzero(np.isin(near, t.shingles))[0]
-                        got = len(np.unique(near[hit]))
-                        if 100 * got >= self.percent * m:
-                            first = max(0, lo - (w - m)) + int(hit[0])
-                            one = (-(100 * got // m), first, int(hit[-1] - hit[0]) + k)
-                            best[t.name] = min(one, best.get(t.name, one))
+            s = shingle_hashes(h, k)
+            for at in range(0, len(s), 1 << 13):  # slices overlap by the longest window
+                mixed = _mixed(s[at : at + (1 << 13) + -(-5 * max(classes) // 4)])
+                for m, group in classes.items():
+                    w = -(-5 * m // 4)
+                    keys = _bands(_window_mins(mixed, w, w - m + 1))
+                    for t in group:
+                        for j in np.nonzero((keys == t.bands[:, None]).any(axis=0))[0]:
+                            self._confirm(t, s, at + int(j) * (w - m + 1), w, best)
         return [(n, first, words, -p) for n, (p, first, words) in sorted(best.items())]
 
+    def _confirm(self, t: Template, s: np.ndarray, lo: int, w: int, best: dict[str, tuple[int, int, int]]) -> None:
+        """Count the template's shingles in the window at lo and the overhang of its neighbours."""
+        m = len(t.shingles)
+        start = max(0, lo - (w - m))
+        near = s[start : lo + w + (w - m)]
+        hit = np.nonzero(np.isin(near, t.shingles))[0]
+        got = len(np.unique(near[hit]))
+        if 100 * got >= self.percent * m:
+            one = (-(100 * got // m), start + int(hit[0]), int(hit[-1] - hit[0]) + t.k)
+            best[t.name] = min(one, best.get(t.name, one))
+
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """One row per document and license found: key, license, first_word, n_words, percent.
