@@ -132,6 +132,9 @@ def as_bytes(col: pa.Array) -> list[bytes | None]:
     return col.cast(pa.binary()).to_pylist()
 
 
+_MARKS = ".,;:!?"
+
+
 class _Irregular(Exception):
     pass
 
@@ -150,19 +153,34 @@ class ChunkEncoder:
         self.encode, self.whole, self.most = encode, whole, most
         self.new: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _learn(self, chunks: set[str]) -> None:
-        missing = []
+        """Make every chunk known. Letters with one mark at the end are two pre-tokens: their ids
+        are those of the letters, which are often known already, and of the mark."""
+        missing, marked = [], []
         for c in chunks:
             if (got := self.old.get(c, 0)) != 0:
                 self.new[c] = got
             elif not c or c[0].isspace() or c[-1].isspace():
                 self.new[c] = None
+            elif c[-1] in _MARKS and c[:-1].isalpha():
+                marked.append(c)
+                if (core := c[:-1]) not in self.new and core not in chunks:
+                    if (got := self.old.get(core)) is not None:
+                        self.new[core] = got
+                    else:
+                        missing.append(core)
+                        self.new[core] = b""
             else:
                 missing.append(c)
         for i in range(0, len(missing), 4096):
             part = missing[i : i + 4096]
             self.new.update(zip(part, self.encode([" " + c for c in part]), strict=True))
+        if marked and not self.marks:
+            self.marks = dict(zip(_MARKS, self.encode(list(_MARKS)), strict=True))
+        for c in marked:
+            self.new[c] = self.new[c[:-1]] + self.marks[c[-1]]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
