@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import naming, units
 from ..operators import asof, book, catalog, coverage, merge, sequence, trades, verify
 from ..sources import adapter
+from ..sources.scratch import saved
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,7 +137,8 @@ def events_book_join(spark, d):
 
 
 def _outcomes(spark, d):
-    states = book.book_states(_book(spark, d))
+    # Read four times by the check: as a state, as an observation, before and after it.
+    states = saved(book.book_states(_book(spark, d)), "states")
     return verify.verify_outcomes(states, adapter.verify_rows(spark, d, states), _gaps(spark, d))
 
 
