@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .text import MIX_B, MIX_C, WordHash, as_bytes, lower_words, saved, scramble, ship
 
 END = np.uint64(0x51ED270B9F0DA3A7)
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 #: EM sees log2 probabilities in steps of a quarter: a bounded grid, whatever the corpus.
 STEP, LOWEST, BUCKETS = 0.25, 64.0, 40
 
