@@ -163,7 +163,8 @@ def _blocks(live: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
         if (labels == labels[0]).all():
             return []
         bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        words = np.frombuffer(b"".join(t.column("fine").to_pylist()), np.int64).reshape(len(ids), -1)
+        # Unsigned: numpy counts the bits of absolute values.
+        words = np.frombuffer(b"".join(t.column("fine").to_pylist()), np.uint64).reshape(len(ids), -1)
         lone = not side.any()
         i = np.nonzero(side == 0)[0]
         j = i if lone else np.nonzero(side == 1)[0]
