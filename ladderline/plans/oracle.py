@@ -331,6 +331,18 @@ ORACLE: dict[str, str] = {
         CASE WHEN k % 3 = 0 THEN 'EV' WHEN text LIKE '%-%' THEN regexp_extract(text, '^(.*)-[^-]*$', 1) ELSE concat('id', k) END AS session FROM t""",
     "capture_report": f"WITH {MSG} SELECT ticker, CASE WHEN kind = 'trade' THEN 'trade' ELSE 'orderbook' END AS channel, count(*) FILTER (kind = 'snapshot') AS n_snapshot, count(*) FILTER (kind = 'delta') AS n_delta, count(*) FILTER (kind = 'trade') AS n_trade, count(*) FILTER (kind = 'gap') AS n_gap FROM msg GROUP BY ALL",
     "time_windows": f"WITH {MSG} SELECT ticker, (recv_ts_us - 1704067200000000) // 300000000 * 300000000 + 1704067200000000 AS lo_us, count(*) AS n FROM msg GROUP BY ALL",
+    "json_decode_outcomes": f"""WITH {MSG},
+      c AS (SELECT kind AS kind0, qty_centi, price_micro, CASE WHEN event_id % 31 = 5 THEN 'json parse' WHEN event_id % 31 = 6 THEN 'schema' WHEN kind = 'delta' AND event_id % 31 IN (1, 2) THEN 'json parse'
+        WHEN kind = 'trade' AND (event_id % 31 = 3 OR qty_centi < 0) THEN 'json parse' WHEN kind = 'gap' AND event_id % 31 = 4 THEN 'json parse' END AS error_class, event_id % 31 AS e FROM msg WHERE kind <> 'snapshot')
+      SELECT kind0, error_class, count(*) AS n, CAST(sum(CASE WHEN kind0 = 'delta' AND e <> 5 THEN qty_centi END) AS BIGINT) AS delta_sum,
+        CAST(sum(CASE WHEN kind0 = 'trade' AND e <> 5 THEN CASE WHEN e = 3 THEN -1 ELSE price_micro END END) AS BIGINT) AS price_sum FROM c GROUP BY ALL""",
+    "frame_decode_outcomes": f"""WITH {MSG},
+      c AS (SELECT *, CASE WHEN event_id % 29 = 3 THEN 'raw' WHEN kind = 'snapshot' THEN 'snapshot' WHEN kind = 'gap' THEN CASE WHEN event_id % 2 = 0 THEN 'control' ELSE 'raw' END
+        WHEN kind = 'trade' THEN CASE WHEN event_id % 29 = 1 OR qty_centi < 0 THEN 'raw' ELSE 'trade' END WHEN event_id % 29 = 2 THEN 'raw' ELSE 'delta' END AS outcome,
+        CASE WHEN event_id % 29 = 3 OR kind = 'gap' THEN NULL WHEN kind = 'trade' THEN 'trade' ELSE 'orderbook' END AS channel FROM msg)
+      SELECT outcome, channel, count(*) AS n, CAST(sum(CASE WHEN outcome = 'delta' THEN qty_centi END) AS BIGINT) AS delta_sum, CAST(sum(CASE WHEN outcome IN ('delta', 'trade') THEN price_micro END) AS BIGINT) AS price_sum,
+        CAST(sum(CASE WHEN outcome = 'snapshot' THEN CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END END) AS BIGINT) AS n_yes,
+        CAST(sum(CASE WHEN outcome = 'delta' THEN recv_ts_us // 1000 * 1000 - recv_ts_us WHEN outcome IN ('snapshot', 'trade') THEN 0 END) AS BIGINT) AS lag_us FROM c GROUP BY ALL""",
 }
 
 

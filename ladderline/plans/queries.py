@@ -185,7 +185,7 @@ def category_rollup(spark, d):
 
 
 def rank_series(spark, d):
-    return catalog.rank_series(adapter.series(spark, d)).where("position <= 1000000")
+    return catalog.rank_series(adapter.series(spark, d))
 
 
 def top_24h(spark, d):
@@ -297,14 +297,50 @@ def pending_gaps(spark, d):
     return merge.pending_gaps(s, T1).select("ticker", "ts", "seq", "reason")
 
 
+def json_decode_outcomes(spark, d):
+    """Envelopes rendered from messages, some of them spoiled, and what decoding makes of them."""
+    m = adapter.messages(spark, d).where("kind IN ('delta', 'trade', 'gap')")
+    ts = "date_format(timestamp_micros(recv_ts_us), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+    data = f"""CASE kind
+      WHEN 'delta' THEN concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","side":"', CASE WHEN event_id % 31 = 1 THEN 'up' ELSE side END, '","price":', price_micro, ',"delta":', qty_centi, CASE WHEN event_id % 31 = 2 THEN ',"x":1' ELSE '' END, '}}')
+      WHEN 'trade' THEN concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","price":', CASE WHEN event_id % 31 = 3 THEN '-1' ELSE price_micro END, ',"count":', qty_centi, ',"taker_side":"', side, '","taker_book_side":null}}')
+      ELSE concat('{{"reason":"', CASE WHEN event_id % 31 = 4 THEN 'why' ELSE 'seq_jump' END, '","ticker":"', ticker, '","channel":"orderbook","detail":"d"}}') END"""
+    text = f"""CASE WHEN event_id % 31 = 5 THEN 'not json' ELSE
+      concat('{{"v":', CASE WHEN event_id % 31 = 6 THEN 3 ELSE 2 END, ',"recv_ts":"', {ts}, '","seq":', line_no, ',"kind":"', kind, '","extra":0,"data":', {data}, '}}') END"""
+    lines = m.selectExpr("ticker", "'orderbook' AS channel", "'f' AS file", "line_no", f"{text} AS text", "kind AS kind0")
+    from ..sources import capture
+
+    out = capture.decode(lines)
+    return out.groupBy("kind0", F.substring_index("error", ":", 1).alias("error_class")).agg(F.count(F.lit(1)).alias("n"), F.sum("delta.delta").alias("delta_sum"), F.sum("trade.price").alias("price_sum"))
+
+
+def frame_decode_outcomes(spark, d):
+    """Feed frames rendered from messages, some of them spoiled, and their outcomes."""
+    m = adapter.messages(spark, d)
+    dollars = "concat(price_micro div 1000000, '.', lpad(CAST(price_micro % 1000000 AS STRING), 6, '0'))"
+    qty = "concat(CASE WHEN qty_centi < 0 THEN '-' ELSE '' END, abs(qty_centi) div 100, '.', lpad(CAST(abs(qty_centi) % 100 AS STRING), 2, '0'))"
+    body = f"""CASE kind
+      WHEN 'snapshot' THEN concat('{{"market_ticker":"', ticker, '"', CASE WHEN event_id % 3 = 0 THEN '' ELSE concat(',"yes_dollars_fp":[["', {dollars}, '","1.00"]]') END, '}}')
+      WHEN 'trade' THEN concat('{{"market_ticker":"', ticker, '","yes_price_dollars":"', {dollars}, '","count_fp":"', {qty}, '","taker_outcome_side":"', side, '","taker_book_side":', CASE WHEN event_id % 29 = 1 THEN '"left"' ELSE 'null' END, '}}')
+      ELSE concat('{{"market_ticker":"', ticker, '","price_dollars":', CASE WHEN event_id % 29 = 2 THEN '0.5' ELSE concat('"', {dollars}, '"') END, ',"delta_fp":"', {qty}, '","side":"', side, '","ts_ms":', recv_ts_us div 1000, '}}') END"""
+    kind = "CASE kind WHEN 'snapshot' THEN 'orderbook_snapshot' WHEN 'trade' THEN 'trade' WHEN 'gap' THEN CASE WHEN event_id % 2 = 0 THEN 'ok' ELSE 'mystery' END ELSE 'orderbook_delta' END"
+    text = f"CASE WHEN event_id % 29 = 3 THEN '{{broken' ELSE concat('{{\"type\":\"', {kind}, '\",\"seq\":', line_no, ',\"msg\":', {body}, '}}') END"
+    from ..sources import wire
+
+    out = wire.decode_frames(m.selectExpr("recv_ts_us", f"{text} AS text"))
+    return out.groupBy("outcome", "channel").agg(F.count(F.lit(1)).alias("n"), F.sum("delta_centi").alias("delta_sum"), F.sum("price_micro").alias("price_sum"), F.sum(F.size("yes")).alias("n_yes"), F.sum(F.col("event_ts_us") - F.col("recv_ts_us")).alias("lag_us"))
+
+
 _QUERIES = (
     book_events_flatten, book_level_replay, book_underflows, book_top, book_top_dollars, two_sided_by_ticker, trades_tape, trades_dedup, trades_top10,
     taker_pressure, gap_markers, seq_gap_detect, gap_holes, coverage_by_ticker, coverage_rollup_by_date, merged_stream, order_violations, range_replay,
     book_at_instant, pending_gaps, event_kind_counts, trade_book_asof, events_book_join, verify_outcomes, verify_level_diff, manifest_summary, digest,
     mid_summary, hourly_completeness, category_rollup, rank_series, top_24h, cadence_classes, cohorts, arm_plan, largest_ladder, ladder_band,
     parse_fixed_point, ticker_dates, event_start, diagonal_union, settled_units, first_seen_markets, market_search, name_functions, capture_report, time_windows,
+    json_decode_outcomes, frame_decode_outcomes,
 )
 
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in _QUERIES}
+
