@@ -55,7 +55,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 class _CoreHash(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word.strip(_OUTER))
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
         self[word] = h
         return h

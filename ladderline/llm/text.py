@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: White space of the word pattern, as a Java and DuckDB character class.
 SPACE = r"[\x20\x09-\x0D]"
 
+#: Rows of an Arrow batch at most.
+ARROW_ROWS = 1000
+
 _own_dir: str | None = None
 _shipped: set[str] = set()
 
@@ -51,7 +54,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, so that workers can import it."""
+    """Send this package's sources to the executors, so that workers can import it.
+
+    Also bounds Arrow batches: rows hold whole texts, and each task has a batch in the JVM and
+    one or two in its worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -72,7 +80,7 @@ def ship(spark: SparkSession) -> None:
 class WordHash(dict):
     """64-bit hashes of words, kept for the words met lately (bounded memory)."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

@@ -45,7 +45,7 @@ class _TermHash(dict):
     def __missing__(self, word: bytes) -> int:
         core = word.strip(_OUTER)
         h = xxhash.xxh64_intdigest(core) if core else 0
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
         self[word] = h
         return h
