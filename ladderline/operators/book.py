@@ -3,8 +3,10 @@
 Between two snapshots (an epoch) the quantity of a price level is a walk reflected at zero:
 q_n = max(0, q_{n-1} + d_n). With S the running sum of its changes and M the running minimum
 of S, q = S - least(0, M). So a replay needs no loop: the epoch of each row is one running
-maximum per ticker, and all further work is split by (ticker, epoch), which divides the
-events of a busy ticker over many tasks.
+maximum per ticker, and everything after it is windows and aggregates by (ticker, epoch, ...),
+which the exchange by ticker that numbering needs already satisfies. ``split_epochs`` deals
+rows out by (ticker, epoch) instead, one exchange more, for captures where few tickers hold
+most events.
 """
 
 from __future__ import annotations
@@ -28,11 +30,10 @@ def flatten(numbered: DataFrame) -> DataFrame:
     """book_events: a row per snapshot level (yes, then no) or delta; an empty snapshot leaves a
     row without side, price and quantity. ``file_row`` keeps the order inside a ticker."""
     side = lambda s: f"transform(coalesce({s}, array()), l -> named_struct('side', '{s}', 'price_micro', l.price, 'qty_centi', l.quantity))"
-    snap = numbered.where("kind = 'snapshot'").select(*_EVENT, F.posexplode_outer(F.expr(f"concat({side('yes')}, {side('no')})")).alias("pos", "level"))
-    snap = snap.select(*_EVENT, F.lit(True).alias("is_snapshot"), "level.side", "level.price_micro", "level.qty_centi", F.coalesce("pos", F.lit(0)).alias("pos"))
-    delta = numbered.where("kind = 'delta'").select(*_EVENT, F.lit(False).alias("is_snapshot"), "side", "price_micro", F.col("delta_centi").alias("qty_centi"), F.lit(0).alias("pos"))
+    levels = F.expr(f"CASE WHEN kind = 'snapshot' THEN concat({side('yes')}, {side('no')}) ELSE array(named_struct('side', side, 'price_micro', price_micro, 'qty_centi', delta_centi)) END")
+    rows = numbered.select(*_EVENT, (F.col("kind") == "snapshot").alias("is_snapshot"), F.posexplode_outer(levels).alias("pos", "level"))
     w = Window.partitionBy("ticker").orderBy("event_idx", "pos")
-    return snap.unionByName(delta).withColumn("file_row", (F.row_number().over(w) - 1).cast("bigint")).drop("pos")
+    return rows.select(*_EVENT, "is_snapshot", "level.side", "level.price_micro", "level.qty_centi", (F.row_number().over(w) - 1).cast("bigint").alias("file_row"))
 
 
 def with_epoch(book_events: DataFrame) -> DataFrame:
@@ -41,14 +42,19 @@ def with_epoch(book_events: DataFrame) -> DataFrame:
     return book_events.withColumn("epoch", F.coalesce(F.max(F.when(F.col("is_snapshot"), F.col("event_idx"))).over(w), F.lit(-1)))
 
 
-def replay_levels(book_events: DataFrame) -> DataFrame:
+def replay_levels(book_events: DataFrame, split_epochs: bool = False) -> DataFrame:
     """One row per change of a level: its quantity after it (``qty_after``), before it, and the
-    event_idx at which the level next changes in the epoch (null: it doesn't).
+    event_idx at which the level next changes in the epoch (null: it doesn't). ``last_idx`` is
+    the last message of the epoch.
 
     Of a price that repeats inside a snapshot the last row counts. A row is live while
     qty_after > 0, or from a snapshot, until the next change.
     """
-    e = with_epoch(book_events).where("side IS NOT NULL")
+    e = with_epoch(book_events)
+    if split_epochs:
+        e = e.repartition("ticker", "epoch")
+    # Before rows without side go: an empty message still belongs to its epoch.
+    e = e.withColumn("last_idx", F.max("event_idx").over(Window.partitionBy("ticker", "epoch"))).where("side IS NOT NULL")
     level = Window.partitionBy("ticker", "epoch", "side", "price_micro")
     rows = level.orderBy("event_idx", "file_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.lead("event_idx").over(level.orderBy("event_idx", "file_row"))
@@ -60,7 +66,7 @@ def replay_levels(book_events: DataFrame) -> DataFrame:
         "ticker", "epoch", "event_idx", "recv_ts_us", "is_snapshot", "side", "price_micro", "qty_centi",
         F.coalesce(F.lag("qty_after").over(w), F.lit(0)).cast("bigint").alias("qty_before"),
         "qty_after",
-        F.lead("event_idx").over(w).alias("next_idx"),
+        F.lead("event_idx").over(w).alias("next_idx"), "last_idx",
     )
 
 
@@ -85,20 +91,17 @@ def live_levels(levels: DataFrame) -> DataFrame:
     Validity intervals are expanded rather than joined: the output is events times depth,
     where a range join inside an epoch would be events squared.
     """
-    last = F.max("event_idx").over(Window.partitionBy("ticker", "epoch"))
     return (
-        levels.withColumn("_end", F.coalesce(F.col("next_idx"), F.col("_last") + 1) if "_last" in levels.columns else F.coalesce(F.col("next_idx"), last + 1))
+        levels.withColumn("_end", F.coalesce(F.col("next_idx"), F.col("last_idx") + 1))
         .where("qty_after > 0 OR is_snapshot")
         .select("ticker", "epoch", F.explode(F.expr("sequence(event_idx, _end - 1)")).alias("event_idx"), "side", "price_micro", F.col("qty_after").alias("qty"))
     )
 
 
-def book_top(book_events: DataFrame) -> DataFrame:
+def book_top(book_events: DataFrame, split_epochs: bool = False) -> DataFrame:
     """Best prices, sizes, totals and level counts after every message; sizes are 0 on an empty side."""
     events = _events(book_events)
-    # A side without price still ends its epoch at the last message of either side.
-    ends = events.groupBy("ticker", "epoch").agg(F.max("event_idx").alias("_last"))
-    live = live_levels(replay_levels(book_events).join(ends, ["ticker", "epoch"]))
+    live = live_levels(replay_levels(book_events, split_epochs))
     yes, no = F.col("side") == "yes", F.col("side") == "no"
     p, q = F.col("price_micro"), F.col("qty")
     best = live.groupBy("ticker", "epoch", "event_idx").agg(
@@ -136,8 +139,7 @@ def book_states(book_events: DataFrame, only: DataFrame | None = None) -> DataFr
     """Full ladders (arrays of price and quantity, ascending) after each message, or after those
     (ticker, event_idx) in ``only``."""
     events = _events(book_events)
-    ends = events.groupBy("ticker", "epoch").agg(F.max("event_idx").alias("_last"))
-    live = live_levels(replay_levels(book_events).join(ends, ["ticker", "epoch"]))
+    live = live_levels(replay_levels(book_events))
     if only is not None:
         live, events = (x.join(only.select("ticker", "event_idx").distinct(), ["ticker", "event_idx"], "left_semi") for x in (live, events))
     pair = F.struct(F.col("price_micro").alias("price"), F.col("qty").alias("quantity"))

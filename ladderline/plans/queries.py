@@ -35,7 +35,7 @@ def book_events_flatten(spark, d):
 
 
 def book_level_replay(spark, d):
-    return book.replay_levels(_book(spark, d)).drop("qty_before")
+    return book.replay_levels(_book(spark, d)).drop("qty_before", "last_idx")
 
 
 def book_underflows(spark, d):
