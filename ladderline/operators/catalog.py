@@ -162,3 +162,45 @@ def time_chunks(spark, lo_us: int, hi_us: int, step_us: int) -> DataFrame:
     if lo_us >= hi_us or step_us <= 0:
         return spark.createDataFrame([], "lo_us bigint, hi_us bigint")
     return spark.range(lo_us, hi_us, step_us).select(F.col("id").alias("lo_us"), F.least(F.col("id") + step_us, F.lit(hi_us)).alias("hi_us"))
+
+
+def session_quality(manifest: DataFrame) -> DataFrame:
+    """Gaps and incomplete tickers of a set of sessions, in one row."""
+    return manifest.agg(F.coalesce(F.sum("gaps"), F.lit(0)).alias("gaps"), F.count_if(~F.col("complete")).alias("incomplete"))
+
+
+def backfill_report(pages: DataFrame, trades_: DataFrame) -> DataFrame:
+    """One row: fetched trades, distinct ones written, raw ones, duplicates and pages.
+
+    ``pages``: one row per fetched page; ``trades_``: trade_id and error (null: decoded).
+    """
+    ok = F.col("error").isNull()
+    t = trades_.agg(F.count(F.lit(1)).alias("fetched"), F.countDistinct(F.when(ok, F.col("trade_id"))).alias("written"), F.count_if(~ok).alias("raw"), F.count_if(ok).alias("_ok"))
+    t = t.withColumn("duplicates", F.col("_ok") - F.col("written")).drop("_ok")
+    return t.crossJoin(pages.agg(F.count(F.lit(1)).alias("pages")))  # one row each
+
+
+def earliest_close(markets: DataFrame) -> DataFrame:
+    return markets.agg(F.min("close_us").alias("close_us"))
+
+
+def coverage_by_date(cover: DataFrame, date: str = "date") -> DataFrame:
+    return cover.groupBy(date).agg(F.avg("uptime").alias("uptime"), F.sum("hole_us").alias("hole_us"))
+
+
+def next_boundary(us: Column) -> Column:
+    """The next full hour after an instant, in microseconds."""
+    return (us - F.pmod(us, F.lit(3_600_000_000)) + 3_600_000_000).cast("bigint")
+
+
+def seconds_to_midnight(us: Column) -> Column:
+    """Seconds from an instant to the next UTC midnight."""
+    day = F.lit(86_400_000_000)
+    return ((day - F.pmod(us, day)) / 1_000_000).cast("bigint")
+
+
+def discovery_window(start_us: Column, max_hours: Column) -> Column:
+    """Close times among which a scheduled event's markets are looked for: from two hours before
+    the start to four days after the longest play."""
+    hour = 3_600_000_000
+    return F.struct((start_us - 2 * hour).alias("lo_us"), (start_us + max_hours * hour + 96 * hour).alias("hi_us"))

@@ -69,3 +69,21 @@ def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: lis
 def pretty(manifest_row) -> str:
     """A manifest row as indented JSON."""
     return json.dumps(manifest_row.asDict(recursive=True), indent=2, default=str)
+
+
+def curated(manifest: DataFrame) -> DataFrame:
+    """Sessions worth archiving: all but those known to be one-sided; an unknown one is kept."""
+    return manifest.where("two_sided IS DISTINCT FROM false")
+
+
+def write_feather(df: DataFrame, path: str) -> None:
+    """One Arrow IPC file on the driver, for tables small enough to hand around."""
+    import pyarrow.feather
+
+    pyarrow.feather.write_feather(df.toArrow(), path)
+
+
+def verify_records(books: DataFrame, recv_ts_us: int) -> DataFrame:
+    """Observations out of REST books: decoded ones with levels, others as raw records."""
+    kind = F.when(F.col("error").isNull(), "verify").otherwise("raw")
+    return books.select("ticker", F.lit(recv_ts_us).cast("bigint").alias("recv_ts_us"), kind.alias("kind"), "yes", "no", "error", "payload_json")
