@@ -56,17 +56,16 @@ class Block:
         prev = np.roll(tok, 1)
         prev[first] = END
         weight = np.repeat(training, lens)
-        uni, self.word = np.unique(tok, return_inverse=True)
-        self.before = np.searchsorted(uni, prev)  # END is a token of every block
+        uni, word = np.unique(tok, return_inverse=True)
         bi, pair = np.unique(scramble(prev * MIX_B + tok * MIX_C + np.uint64(1)), return_inverse=True)
         keys = np.concatenate([scramble(uni + np.uint64(2)), bi])
         order = np.argsort(keys, kind="stable")
         where = np.empty(len(keys), np.int64)
         where[order] = np.arange(len(keys))
-        counts = np.concatenate([np.bincount(self.word, weight, minlength=len(uni)), np.bincount(pair, weight, minlength=len(bi))])
+        counts = np.concatenate([np.bincount(word, weight, minlength=len(uni)), np.bincount(pair, weight, minlength=len(bi))])
         self.keys, self.counts = keys[order], counts[order].astype(np.uint64)
         self.is_word = order < len(uni)
-        self.word_at, self.before_at, self.pair_at = where[self.word], where[self.before], where[len(uni) + pair]
+        self.word_at, self.pair_at = where[word], where[len(uni) + pair]
 
     def ranges(self, n: int) -> Iterator[tuple[int, slice]]:
         """Slices of the sorted keys by owner; n is a power of two."""
@@ -79,9 +78,9 @@ class Block:
 
 
 def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFrame:
-    """Rows of key, training, and per token (arrays) the counts pair, before, word.
+    """Rows of key, training, and per token (arrays) the counts pair and word.
 
-    One row without key holds the training tokens N and distinct training words V of each
+    The count of the token before is that of the neighbour, so it isn't stored. One row without key holds the training tokens N and distinct training words V of each
     owner of a range of hashes.
     """
     spark = docs.sparkSession
@@ -124,22 +123,22 @@ def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFr
 
     def annotate(t: pa.Table, answers: pa.Table) -> pa.Table:
         longs = pa.list_(pa.int32())
-        schema = pa.schema([("id", t.schema.field("id").type), ("train", pa.bool_()), ("pair", longs), ("before", longs), ("word", longs), ("n", pa.int64()), ("v", pa.int64())])
+        schema = pa.schema([("id", t.schema.field("id").type), ("train", pa.bool_()), ("pair", longs), ("word", longs), ("n", pa.int64()), ("v", pa.int64())])
         if not t.num_rows:
             s = np.sum([np.frombuffer(x, "<i8") for x in answers.column("totals").to_pylist()], axis=0) if answers.num_rows else [0, 0]
-            return pa.table([[None], [None], [None], [None], [None], [int(s[0])], [int(s[1])]], schema=schema)
+            return pa.table([[None], [None], [None], [None], [int(s[0])], [int(s[1])]], schema=schema)
         b = block_of(t)
         a = sorted(zip(answers.column("owner").to_pylist(), answers.column("totals").to_pylist(), strict=True))
         total = np.concatenate([unplanes(x, "<u4") for _, x in a]).astype(np.int32)
         ends = pa.array(np.concatenate([[0], np.cumsum(b.lens)]).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(ends, pa.array(total[x])) for x in (b.pair_at, b.before_at, b.word_at)]
+        lists = [pa.ListArray.from_arrays(ends, pa.array(total[x])) for x in (b.pair_at, b.word_at)]
         none = pa.nulls(t.num_rows, pa.int64())
         return pa.table([t.column("id").combine_chunks(), t.column("train").combine_chunks(), *lists, none, none], schema=schema)
 
     by_block = dealt.groupBy("block")
     asked = by_block.applyInArrow(ask, "owner int, block int, keys binary, counts binary, words binary")
     answers = asked.groupBy("owner").applyInArrow(answer, "block int, owner int, totals binary")
-    out = f"id {kind}, train boolean, pair array<int>, before array<int>, word array<int>, n bigint, v bigint"
+    out = f"id {kind}, train boolean, pair array<int>, word array<int>, n bigint, v bigint"
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(annotate, out)
 
 
@@ -147,6 +146,15 @@ def _flat(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _before(word: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Count of the token before each: its neighbour's; of a first token, that of the end, which
+    is the last of its document."""
+    out = np.roll(word, 1)
+    first = np.cumsum(lens) - lens
+    out[first] = word[first + lens - 1]
+    return out
+
+
 def _bucket(before: np.ndarray) -> np.ndarray:
     return np.where(before > 0, np.floor(np.log2(np.maximum(before, 1))) + 1, 0).astype(np.int64).clip(0, BUCKETS - 1)
 
@@ -170,8 +178,8 @@ def _held_out_counts(ann: DataFrame, n: int) -> np.ndarray:
             b = b.filter(b.column(0))
             if not b.num_rows:
                 continue
-            pair, before, word = (_flat(b.column(i)) for i in (1, 2, 3))
-            ctx = before - 1
+            pair, word = (_flat(b.column(i)) for i in (1, 2))
+            ctx = _before(word, b.column(2).value_lengths().to_numpy()) - 1
             p2 = np.where(ctx > 0, (pair - 1) / np.maximum(ctx, 1), 0)
             p1 = (word - 1) / max(1, n - 1)
             code = (_bucket(ctx) * _SIDE + _grid(p2)) * _SIDE + _grid(p1)
@@ -179,7 +187,7 @@ def _held_out_counts(ann: DataFrame, n: int) -> np.ndarray:
                 acc[int(c)] = acc.get(int(c), 0) + int(m)
         yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.int64()), pa.array(list(acc.values()), pa.int64())], names=["code", "m"])
 
-    got = ann.where("id IS NOT NULL OR pair IS NOT NULL").select("train", "pair", "before", "word").mapInArrow(run, "code bigint, m bigint")
+    got = ann.where("id IS NOT NULL OR pair IS NOT NULL").select("train", "pair", "word").mapInArrow(run, "code bigint, m bigint")
     t = got.groupBy("code").agg(F.sum("m").alias("m")).toArrow()
     code, m = t.column("code").to_numpy(), t.column("m").to_numpy()
     return np.stack([code // _SIDE**2, code // _SIDE % _SIDE, code % _SIDE, m], 1)
@@ -219,8 +227,9 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lens = np.diff(b.column(2).offsets.to_numpy())
-            pair, before, word = (_flat(b.column(i)) for i in (2, 3, 4))
+            lens = b.column(2).value_lengths().to_numpy()
+            pair, word = (_flat(b.column(i)) for i in (2, 3))
+            before = _before(word, lens)
             base = np.log10((word + 0.5) / (n + 0.5 * (v + 1)))
             lam = w[_bucket(before)]
             p = lam[:, 0] * pair / np.maximum(before, 1) + lam[:, 1] * word / max(1, n) + lam[:, 2] / (v + 1)
@@ -232,4 +241,4 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
             )
 
     out = f"`{key}` {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return ann.where("pair IS NOT NULL").select("id", "train", "pair", "before", "word").mapInArrow(run, out)
+    return ann.where("pair IS NOT NULL").select("id", "train", "pair", "word").mapInArrow(run, out)

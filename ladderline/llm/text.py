@@ -49,7 +49,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: the lineage ends there."""
     spark = df.sparkSession
     out = shared_dir(spark, label)
-    df.write.parquet(out)
+    df.write.option("compression", "zstd").parquet(out)
     return spark.read.schema(df.schema).parquet(out)
 
 
