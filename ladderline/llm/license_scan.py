@@ -2,11 +2,13 @@
 
 Texts and templates are words (A-Z lower-cased, outer punctuation dropped) and their 5-word
 shingles (the whole template where it is shorter). A template of m shingles is looked for in
-windows of w = ceil(1.25 m) shingles, which start every w - m + 1, so that some window holds
-every shingle of an occurrence. A window whose MinHash agrees with the template's in one of
-32 bands of 2 is a candidate; a window that holds 80 % of the template has similarity 0.55 at
-least and is missed with probability (1 - 0.55^2)^32 < 1e-5, an unchanged occurrence (0.8 or
-more) with less than 1e-14. Candidates then count the template's shingles exactly.
+windows of w = floor(1.25 m) shingles, which start every w - m + 1, so that some window holds
+every run of m shingles. A window whose MinHash agrees with the template's in one of 32 bands
+of 2 is a candidate; a window that holds 80 % of the template has similarity 0.55 at least and
+is missed with probability (1 - 0.55^2)^32 < 1e-5, an unchanged occurrence (0.8 or more) with
+less than 1e-14. A template of one shingle is compared as it is, one of two or three has
+w = m, so that an unchanged occurrence is a window of similarity 1: none of them are missed.
+Candidates then count the template's shingles exactly.
 """
 
 from __future__ import annotations
@@ -121,21 +123,28 @@ class Matcher:
             if len(h) < k:
                 continue
             s = shingle_hashes(h, k)
+            for t in classes.get(1, ()):
+                for j in np.nonzero(s == t.shingles[0])[0][:1]:
+                    self._confirm(t, s, int(j), best)
+            longer = {m: group for m, group in classes.items() if m > 1}
+            if not longer:
+                continue
             for at in range(0, len(s), 1 << 13):  # slices overlap by the longest window
-                mixed = _mixed(s[at : at + (1 << 13) + -(-5 * max(classes) // 4)])
-                for m, group in classes.items():
-                    w = -(-5 * m // 4)
+                mixed = _mixed(s[at : at + (1 << 13) + 5 * max(longer) // 4])
+                for m, group in longer.items():
+                    w = 5 * m // 4
                     keys = _bands(_window_mins(mixed, w, w - m + 1))
                     for t in group:
                         for j in np.nonzero((keys == t.bands[:, None]).any(axis=0))[0]:
-                            self._confirm(t, s, at + int(j) * (w - m + 1), w, best)
+                            self._confirm(t, s, at + int(j) * (w - m + 1), best)
         return [(n, first, words, -p) for n, (p, first, words) in sorted(best.items())]
 
-    def _confirm(self, t: Template, s: np.ndarray, lo: int, w: int, best: dict[str, tuple[int, int, int]]) -> None:
+    def _confirm(self, t: Template, s: np.ndarray, lo: int, best: dict[str, tuple[int, int, int]]) -> None:
         """Count the template's shingles in the window at lo and the overhang of its neighbours."""
         m = len(t.shingles)
-        start = max(0, lo - (w - m))
-        near = s[start : lo + w + (w - m)]
+        spare = -(-m // 4) if m > 1 else 0
+        start = max(0, lo - spare)
+        near = s[start : lo + m + 2 * spare]
         hit = np.nonzero(np.isin(near, t.shingles))[0]
         got = len(np.unique(near[hit]))
         if 100 * got >= self.percent * m:

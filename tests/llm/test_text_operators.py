@@ -112,6 +112,21 @@ def test_licenses(spark):
     assert 80 <= got[5]["MIT"].percent < 100
 
 
+def test_short_notices_are_found_among_any_neighbours():
+    """Templates of one shingle; one in some hundred neighbours used to hide the second."""
+    m = license_scan.Matcher({"a": ("All rights reserved.",), "b": ("Licensed under CC BY-NC 4.0.",), "c": ("uno dos tres quatro cinco seis",), "d": ("one two three four five six seven eight nine",)})
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(1 << 40)}"
+    for _ in range(8000):
+        at = rng.randrange(3)
+        text = [word() for _ in range(at)] + ["Licensed", "under", "CC", "BY-NC", "4.0."] + [word() for _ in range(8)]
+        assert m.find(" ".join(text).encode()) == [("b", at, 5, 100)]
+    for text, name, n in (("All rights reserved.", "a", 3), ("uno dos tres quatro cinco seis", "c", 6), ("one two three four five six seven eight nine", "d", 9)):
+        for _ in range(500):
+            at = rng.randrange(6)
+            assert m.find(" ".join([*(word() for _ in range(at)), text, *(word() for _ in range(6))]).encode()) == [(name, at, n, 100)]
+
+
 def test_licenses_match_an_exhaustive_count(spark, sf_dir):
     m = license_scan.Matcher(license_scan.TEMPLATES)
     every = [t for classes in m.classes.values() for g in classes.values() for t in g]
