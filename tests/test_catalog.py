@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from ladderline.operators import catalog
+from ladderline.plans import queries
 from ladderline.sources import process
 
 
@@ -33,3 +34,21 @@ def test_arm_plan(spark):
     got = {r.event: (r.decision, r.no_start) for r in catalog.arm_plan(c, now_us=h, lead_us=600_000_000, max_units=3).collect()}
     want = {"a": "arm", "b": "arm", "c": "deferred", "d": "skipped", "e": "deferred", "f": "skipped", "g": "capped", "h": "deferred", "i": "excluded", "j": "excluded"}
     assert {k: v[0] for k, v in got.items()} == want and got["g"][1] and not got["a"][1]
+
+
+def test_hourly_completeness_of_every_series(spark, sf_dir):
+    hours = {}
+    for r in spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate").collect():
+        day = f"{r.o_orderdate:%y}{r.o_orderdate.timetuple().tm_yday // 35:02d}"
+        hours.setdefault((f"KXO{r.o_custkey % 20}", day), set()).add(r.o_orderkey % 24)
+    days = {}
+    for s, day in hours:
+        days.setdefault(s, []).append(day)
+    want = {}
+    for (s, day), h in hours.items():
+        edge = day in (min(days[s]), max(days[s]))
+        want[s, day] = (len(h), "full" if len(h) == 24 else "edge" if edge else "maint" if len(h) >= 22 else "incomplete")
+    got = {(r.series, r.day): (r.n_hours, r["class"]) for r in queries.queries()["hourly_completeness_all"](spark, sf_dir).collect()}
+    assert got == want and len(days) == 20
+    three = {(r.series, r.day): (r.n_hours, r["class"]) for r in queries.hourly_completeness(spark, sf_dir).collect()}
+    assert three == {k: v for k, v in want.items() if k[0] in ("KXO1", "KXO2", "KXO3")}
