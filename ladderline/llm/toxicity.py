@@ -64,12 +64,14 @@ def term_set(text: bytes | None) -> np.ndarray:
 
 @dataclass
 class Fm:
-    """terms: sorted hashes; w0, w, v: bias, weights and factors, the last row of which is zero."""
+    """terms: sorted hashes; w0, w, v: bias, weights and factors, the last row of which is zero.
+    informed: whether it has seen rows of both labels; if not, it rejects nothing."""
 
     terms: np.ndarray
     w0: float
     w: np.ndarray
     v: np.ndarray
+    informed: bool = True
 
     def at(self, h: np.ndarray) -> np.ndarray:
         """Row numbers of those of the hashes that the model knows."""
@@ -83,7 +85,7 @@ class Fm:
         return float(self.w0 + self.w[rows].sum() + 0.5 * ((s * s).sum() - (self.v[rows] ** 2).sum()))
 
     def score(self, text: bytes | None) -> float:
-        z = self.raw(self.at(term_set(text)))
+        z = self.raw(self.at(term_set(text))) if self.informed else -40.0
         return 1.0 / (1.0 + float(np.exp(-np.clip(z, -40, 40))))
 
 
@@ -109,7 +111,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, p: FmParams = FmParams()) -> Fm
     """Fit by mini-batch AdaGrad on logistic loss; deterministic for given rows in a given order."""
     rng = np.random.default_rng(p.seed)
     terms = choose_terms(rows, y, p)
-    m = Fm(terms, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), p.factors)))
+    m = Fm(terms, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), p.factors)), bool(0 < y.sum() < len(y)))
     if not len(terms):
         return m
     at = [m.at(r) for r in rows]
@@ -141,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: FmParams = FmParams(), key: str =
     """Train on at most ``p.sample`` rows of each label, the first in hash order of the key.
 
     Rows without key or label, or whose document is missing, are not used. Without any row of
-    a label the model is its bias.
+    a label the model knows no difference and scores every text as clean (0).
     """
     ship(docs.sparkSession)
     known = labels.where(f"`{key}` IS NOT NULL AND `{label}` IN (0, 1)").select(key, F.col(label).cast("int").alias("y"))

@@ -166,6 +166,17 @@ def test_toxicity_held_out(spark):
     assert toxicity.fit(docs, labels.limit(0)).w0 == 0.0
 
 
+@pytest.mark.parametrize("labels", [[], [(77, 1)], [(1, 1), (2, 1)], [(1, None)]])
+def test_toxicity_without_both_labels_rejects_nothing(spark, tmp_path, labels):
+    import corpus_pipeline as cp
+
+    docs = spark.createDataFrame([(1, "a text"), (2, "another"), (3, None), (None, "")], "doc_id bigint, text string")
+    given = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    given.write.parquet(f"{tmp_path}/labels.parquet")
+    assert sorted(r.text or "" for r in cp.toxicity_stage(spark, docs, str(tmp_path)).collect()) == ["", "", "a text", "another"]
+    assert all(r.score < 0.01 for r in toxicity.score(docs, toxicity.fit(docs, given)).collect())
+
+
 def test_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     m = langid.fit(docs)
