@@ -142,6 +142,8 @@ def train(rows: list[np.ndarray], y: np.ndarray, p: FmParams = FmParams()) -> Fm
 def fit(docs: DataFrame, labels: DataFrame, p: FmParams = FmParams(), key: str = "doc_id", text: str = "text", label: str = "toxic") -> Fm:
     """Train on at most ``p.sample`` rows of each label, the first in hash order of the key.
 
+    Where that leaves out rows of a label, the bias is corrected by the rates at which the two
+    labels were sampled, so that a score means the same at every size of the input.
     Rows without key or label, or whose document is missing, are not used. Without any row of
     a label the model knows no difference and scores every text as clean (0).
     """
@@ -159,7 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame, p: FmParams = FmParams(), key: str =
     kind = docs.schema[key].dataType.simpleString()
     got = sample.select(key, "_text", "y").mapInArrow(run, f"`{key}` {kind}, y int, terms binary").toArrow().to_pylist()
     got.sort(key=lambda r: (r[key], r["y"], r["terms"]))
-    return train([np.frombuffer(r["terms"], np.uint64) for r in got], np.array([r["y"] for r in got], float), p)
+    m = train([np.frombuffer(r["terms"], np.uint64) for r in got], np.array([r["y"] for r in got], float), p)
+    if m.informed:
+        n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        m.w0 += float(np.log(n[1] / min(n[1], p.sample)) - np.log(n[0] / min(n[0], p.sample)))
+    return m
 
 
 def score(docs: DataFrame, model: Fm, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

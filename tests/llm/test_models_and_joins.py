@@ -166,6 +166,16 @@ def test_toxicity_held_out(spark):
     assert toxicity.fit(docs, labels.limit(0)).w0 == 0.0
 
 
+def test_toxicity_bias_does_not_depend_on_the_sample(spark):
+    docs = spark.range(1000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    labels = spark.range(1000).selectExpr("id AS doc_id", "int(id % 10 = 0) AS toxic")
+    all_rows = toxicity.fit(docs, labels)
+    for most in (50, 100, 300):
+        m = toxicity.fit(docs, labels, toxicity.FmParams(sample=most))
+        assert not len(m.terms) and abs(m.score(b"unseen") - all_rows.score(b"unseen")) < 0.005
+    assert abs(all_rows.score(b"unseen") - 0.1) < 0.005
+
+
 @pytest.mark.parametrize("labels", [[], [(77, 1)], [(1, 1), (2, 1)], [(1, None)]])
 def test_toxicity_without_both_labels_rejects_nothing(spark, tmp_path, labels):
     import corpus_pipeline as cp
