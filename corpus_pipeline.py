@@ -1,7 +1,8 @@
 """The corpus pipeline: language ID, toxicity, near-dedup, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last keep the columns
-of documents. A row without doc_id can't be named by a decision about ids and stays.
+of documents. Stages decide about rows, not about ids: rows that share a doc_id, or have none,
+stay or go each by its own text.
 """
 
 from __future__ import annotations
@@ -13,15 +14,21 @@ from ladderline.llm import langid, near_dedup, packing, toxicity
 from ladderline.llm.text import saved
 
 
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """docs without those ids, which are written first: their size decides how they are joined."""
-    return docs.join(saved(ids, label), "doc_id", "left_anti").select(docs.columns)
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """docs with a number for each row, ``_row``; written, so that it doesn't change between reads."""
+    return saved(docs.withColumn("_row", F.monotonically_increasing_id()), label)
+
+
+def _without(rows: DataFrame, gone: DataFrame, label: str) -> DataFrame:
+    """The documents without those rows, which are written first: their size decides how they are joined."""
+    return rows.join(saved(gone, label), "_row", "left_anti").drop("_row")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are in none of the corpus's languages or hold no letters."""
-    found = langid.identify(docs, langid.fit(docs), declared="lang", host="source")
-    return _without(docs, found.where(~F.col("kept")).select("doc_id").distinct(), "foreign")
+    rows = _numbered(docs, "numbered")
+    found = langid.identify(rows, langid.fit(rows), key="_row", declared="lang", host="source")
+    return _without(rows, found.where(~F.col("kept")).select("_row"), "foreign")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +42,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each component of near-duplicates (five-word shingles, 0.8)."""
-    groups = near_dedup.near_components(docs, k=5, percent=80)
-    return _without(docs, groups.where(~F.col("kept")).select("doc_id").distinct(), "copies")
+    """Keep one row of each component of near-duplicates (five-word shingles, 0.8): the one of the
+    smallest doc_id, or of none if no row has one."""
+    rows = _numbered(docs, "numbered")
+    groups = saved(near_dedup.near_components(rows, k=5, percent=80, key="_row").select("_row", "component_id"), "groups")
+    # Aggregated, not joined by component: one component can hold a large part of the rows.
+    named = groups.join(rows.select("_row", "doc_id"), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row"))
+    return _without(rows, groups.select("_row").join(first.select("_row"), "_row", "left_anti"), "copies")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -254,3 +254,18 @@ def test_pipeline(spark, sf_dir):
     assert one.columns == docs.columns and {r.doc_id for r in one.select("doc_id").collect()} == {c for _, c in want.values()}
     packed = cp.packing_stage(spark, one, sf_dir)
     assert packed.select("doc_id").distinct().count() == one.count()
+
+
+def test_stages_decide_by_row(spark):
+    """Equal ids and no ids: one row of each group stays, and no unique text goes with another."""
+    import corpus_pipeline as cp
+
+    a, b = "one two three four five six seven", "other words stand in this text here"
+    rows = [(5, a), (5, a), (9, a), (9, b), (None, a), (None, "no id but twice a b c"), (None, "no id but twice a b c"), (7, None), (7, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = Counter((r.doc_id, r.text) for r in cp.near_dedup_stage(spark, docs, "").collect())
+    assert got == Counter([(5, a), (9, b), (None, "no id but twice a b c"), (7, None), (7, ""), (None, None)])
+    # A text without letters goes alone.
+    docs = spark.createDataFrame([(1, a, "en", "s", 1), (1, "1 2 3", "en", "s", 1), (None, "4 5", "en", "s", 1), (None, b, "en", "s", 1)], docs.schema)
+    assert sorted(r.text for r in cp.language_stage(spark, docs, "").collect()) == [a, b]
+    assert cp.near_dedup_stage(spark, docs.limit(0), "").count() == 0
