@@ -7,18 +7,24 @@ flips one bit. The population count of two sketches' XOR estimates how many samp
 most precisely where few do, so it rejects most candidates before sets are compared.
 
 Every link found is confirmed on full sets, and links only matter through the components
-they make. So pairs are tried in an order that finds components early: in a few star rounds
+they make. So pairs are tried in an order that finds components early: in two star rounds
 each representative meets one member of each of its buckets (another one each round), of
-which it verifies the most similar by sketch; pairs inside a component are skipped from then on. What
-is left (buckets that still touch several components) is compared exhaustively, in blocks of
-bounded size, sketch against sketch. With 40 bands of 5, a pair at similarity 0.8 shares no band
-with probability (1 - 0.8^5)^40 < 2e-7; the sketch bound loses it with less.
+which it verifies the most similar by sketch; pairs inside a component are skipped from then on.
+What is left (buckets that still touch several components) is compared exhaustively in blocks
+of bounded size, in two steps. Finer sketches are compared inside the buckets, and each block
+returns a forest over its close rows. Each row's set then travels to the group that these
+forests connect, where close pairs are compared exactly; each block returns a forest of
+confirmed links. So no step returns more edges than it got rows, however many pairs a group has.
+
+With 40 bands of 5, a pair at similarity 0.8 shares no band with probability
+(1 - 0.8^5)^40 < 2e-7; the sketch bounds lose it with less. Classes and shingles are 64-bit
+digests.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +39,9 @@ BANDS, ROWS, SKETCH_WORDS = 40, 5, 8
 #: differ at similarity 0.8: 40 of 200 (80 flips, 69 bits expected); 6 standard deviations
 #: more are 74 (148 flips, 112 bits expected, standard deviation 9).
 MOST_BITS = 128
-STAR_ROUNDS, BLOCK = 3, 2048
+STAR_ROUNDS, BLOCK, BLOCK_BYTES = 2, 2048, 16 << 20
+#: 64-bit words of the bitmap that keeps other texts out of a shuffle (4 MB).
+FILTER_WORDS = 1 << 19
 
 #: Fine sketches, for what star rounds leave: 2048 samples in 4096 bits. At similarity 0.8,
 #: 410 samples differ (819 flips, 675 bits expected, standard deviation 34); 6 of those more
@@ -82,108 +90,122 @@ def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(_hashes.of(lower_words(text)), k))
 
 
+def node_of(s: np.ndarray) -> int:
+    """Signed 64-bit digest of a set."""
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def signatures(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """Key as ``id``, n_shingles, digest (null for an empty set), bands, sketch."""
+    """Key as ``id``, n_shingles, node (digest of the set, null for an empty one), bands, sketch."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
-            n, digest, bands, sketch = [], [], [], []
+            n, node, bands, sketch = [], [], [], []
             for t in as_bytes(b.column(1)):
                 s = shingle_set(t, k)
                 n.append(len(s))
-                if not len(s):
-                    digest.append(None)
-                    bands.append(None)
-                    sketch.append(None)
-                    continue
-                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                mins = min_samples(s)
-                bands.append(band_keys(mins))
-                sketch.append(odd_sketch(mins))
+                mins = min_samples(s) if len(s) else None
+                node.append(node_of(s) if len(s) else None)
+                bands.append(band_keys(mins) if len(s) else None)
+                sketch.append(odd_sketch(mins) if len(s) else None)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, longs), pa.array(sketch, longs)],
-                names=["id", "n_shingles", "digest", "bands", "sketch"],
-            )
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, longs), pa.array(sketch, longs)], names=["id", "n_shingles", "node", "bands", "sketch"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("id"), docs[text].alias("_text")).mapInArrow(run, f"id {kind}, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>")
+    return docs.select(docs[key].alias("id"), docs[text].alias("_text")).mapInArrow(run, f"id {kind}, n_shingles bigint, node bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """id, packed shingle set and fine sketch of the documents in ``ids``."""
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of (id, _text) whose id is in ``ids``.
+
+    A bitmap of the ids' hashes, of ``FILTER_WORDS`` words whatever the corpus, drops most other
+    texts before they are shuffled; once a very large corpus has filled it, all texts are.
+    """
+    slot = lambda: F.pmod(F.xxhash64("id"), F.lit(64 * FILTER_WORDS))
+    words = ids.groupBy(F.shiftright(slot(), 6).alias("_word")).agg(F.expr(f"bit_or(shiftleft(1L, CAST(pmod(xxhash64(id), {64 * FILTER_WORDS}) & 63 AS INT)))").alias("_mask"))
+    hashed = docs.withColumn("_slot", slot())
+    # One row for each word of the bitmap: a proven bound.
+    likely = hashed.join(F.broadcast(words), F.shiftright("_slot", 6) == F.col("_word")).where("bit_get(_mask, CAST(_slot & 63 AS INT)) = 1")
+    return likely.select("id", "_text").join(ids, "id", "left_semi")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame, k: int, key: str, text: str) -> DataFrame:
+    """node and packed shingle set, once for each of ``nodes``, from documents with those ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
-            sets = [shingle_set(t, k) for t in as_bytes(b.column(1))]
-            fine = [odd_sketch(min_samples(s, _FINE_XOR, _FINE_MUL), _FINE_PERM, FINE_BITS).tobytes() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(fine, pa.binary())], names=["id", "set", "fine"])
+            sets = [s for s in (shingle_set(t, k) for t in as_bytes(b.column(1))) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "set"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("id"), docs[text].alias("_text")).join(ids, "id", "left_semi").mapInArrow(run, f"id {kind}, set binary, fine binary")
+    texts = _among(docs.select(docs[key].alias("id"), docs[text].alias("_text")), ids)
+    return texts.mapInArrow(run, "node bigint, set binary").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def _fine(sets: DataFrame) -> DataFrame:
+    """node and fine sketch of (node, set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fine = [odd_sketch(min_samples(np.frombuffer(s.as_buffer(), np.uint64), _FINE_XOR, _FINE_MUL), _FINE_PERM, FINE_BITS).tobytes() for s in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fine, pa.binary())], names=["node", "fine"])
+
+    return sets.select("node", "set").mapInArrow(run, "node bigint, fine binary")
 
 
 def _differing_bits() -> str:
     return " + ".join(f"bit_count(sa[{i}] ^ sb[{i}])" for i in range(SKETCH_WORDS))
 
 
+def linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, of two sorted sets."""
+    if len(s) > len(t):
+        s, t = t, s
+    if not len(s) or 100 * len(s) < percent * len(t):
+        return False
+    both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of (a, b), those with 100 * intersection >= percent * union."""
-    kind = pairs.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.searchsorted(t, s)
-                both = int((t[np.minimum(at, len(t) - 1)] == s).sum())
-                keep.append(100 * both >= percent * (len(s) + len(t) - both))
+            keep = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("tb")), "b")
-    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("set").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}")
-
-
-def _blocks(live: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different labels in one bucket whose sizes and fine sketches allow a link.
-
-    live: key, id, label; sig: id, n, bands, fine. Buckets are cut into blocks by hash, and
-    pairs of blocks are compared; no task holds more than two blocks of about ``BLOCK`` rows.
-    Only close pairs leave it, and each only from the first of the buckets that it shares.
+    with_b = pairs.join(sets.toDF("b", "tb"), "b")
+    both = with_b.join(sets.toDF("a", "ta"), "a")
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
+
+
+def unite(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Merge the classes of u[i] and v[i]: the new class numbers, and the i that merged two classes."""
+    used: list[int] = []
+    at = np.arange(len(u))
+    while True:
+        at = at[root[u[at]] != root[v[at]]]
+        if not len(at):
+            return root, used
+        x, y = root[u[at]], root[v[at]]
+        high, first = np.unique(np.maximum(x, y), return_index=True)
+        to = np.arange(len(root))
+        to[high] = np.minimum(x, y)[first]
+        while (to[to] != to).any():
+            to = to[to]
+        root = to[root]
+        used += at[first].tolist()
+
+
+def _in_blocks(rows: DataFrame, group: str, compare: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """What ``compare`` returns, as (a, b), for all pairs of blocks of each group's rows.
+
+    rows: group, node, label, bytes and more. Groups are cut into blocks by hash, of about
+    ``BLOCK`` rows and ``BLOCK_BYTES`` bytes at most, so that no task holds more than two of
+    them. The column side of a table is 1 for the second block of two.
     """
-    kind = live.schema["id"].dataType.simpleString()
-
-    def close(key: int, t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-        ids, labels, sizes, side = (t.column(c).to_numpy() for c in ("id", "label", "n", "side"))
-        if (labels == labels[0]).all():
-            return []
-        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        # Unsigned: numpy counts the bits of absolute values.
-        words = np.frombuffer(b"".join(t.column("fine").to_pylist()), np.uint64).reshape(len(ids), -1)
-        lone = not side.any()
-        i = np.nonzero(side == 0)[0]
-        j = i if lone else np.nonzero(side == 1)[0]
-        out = []
-        for at in range(0, len(i), 256):
-            r = i[at : at + 256]
-            ok = (labels[r][:, None] != labels[j][None, :]) & (100 * np.minimum(sizes[r][:, None], sizes[j][None, :]) >= percent * np.maximum(sizes[r][:, None], sizes[j][None, :]))
-            if lone:
-                ok &= ids[r][:, None] < ids[j][None, :]
-            p, q = np.nonzero(ok)
-            p, q = r[p], j[q]
-            for x in range(0, len(p), 1 << 14):
-                u, v = p[x : x + (1 << 14)], q[x : x + (1 << 14)]
-                near = np.bitwise_count(words[u] ^ words[v]).sum(axis=1) <= MOST_FINE
-                u, v = u[near], v[near]
-                own = bands[u, (bands[u] == bands[v]).argmax(axis=1)] == key
-                u, v = ids[u[own]], ids[v[own]]
-                out.append((np.minimum(u, v), np.maximum(u, v)))
-        return out
+    more = [c for c in rows.columns if c != group]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -191,7 +213,8 @@ def _blocks(live: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if held and sum(b.num_rows for b in held) > 1:
-                for a, b in close(name[0], pa.Table.from_batches(held).combine_chunks()):
+                a, b = compare(pa.Table.from_batches(held).combine_chunks())
+                if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for b in batches:
@@ -208,15 +231,78 @@ def _blocks(live: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
                 held.append(b.slice(x, y - x))
         yield from done()
 
-    size = live.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("nb"))
-    own = live.join(size, "key").withColumn("o", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    dealt = own.withColumn("p", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-        "key", "id", "label", F.least("o", "p").alias("i"), F.greatest("o", "p").alias("j"), (F.col("o") > F.col("p")).cast("int").alias("side")
-    )
-    rows = dealt.join(sig.select("id", "n", "bands", "fine"), "id")
-    parts = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("key", "i", "j", "side", "id", "label", "n", "bands", "fine").repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(run, f"a {kind}, b {kind}")
+    size = rows.groupBy(group).agg(F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("nb"))
+    own = rows.join(size, group).withColumn("o", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    dealt = own.withColumn("p", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    dealt = dealt.select(group, F.least("o", "p").alias("i"), F.greatest("o", "p").alias("j"), (F.col("o") > F.col("p")).cast("int").alias("side"), *more)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, group, "i", "j").sortWithinPartitions(group, "i", "j").mapInArrow(run, "a bigint, b bigint")
+
+
+def _close(t: pa.Table, labels: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers u, v of different labels whose sizes and fine sketches allow a link, and the bits
+    in which these differ; some hundred thousand pairs at a time at most."""
+    sizes, side = t.column("n").to_numpy(), t.column("side").to_numpy()
+    # Unsigned: numpy counts the bits of absolute values.
+    words = np.frombuffer(b"".join(t.column("fine").to_pylist()), np.uint64).reshape(len(sizes), -1)
+    lone = not side.any()
+    i = np.nonzero(side == 0)[0]
+    j = i if lone else np.nonzero(side == 1)[0]
+    for at in range(0, len(i), 128):
+        r = i[at : at + 128]
+        ok = (labels[r][:, None] != labels[j][None, :]) & (100 * np.minimum(sizes[r][:, None], sizes[j][None, :]) >= percent * np.maximum(sizes[r][:, None], sizes[j][None, :]))
+        if lone:
+            ok &= r[:, None] < j[None, :]
+        p, q = np.nonzero(ok)
+        p, q = r[p], j[q]
+        found = []
+        for x in range(0, len(p), 1 << 14):
+            u, v = p[x : x + (1 << 14)], q[x : x + (1 << 14)]
+            bits = np.bitwise_count(words[u] ^ words[v]).sum(axis=1)
+            near = bits <= MOST_FINE
+            found.append((u[near], v[near], bits[near]))
+        if found:
+            yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _close_forest(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b), at most one a row and block, that connect all rows of one key with close sketches.
+
+    rows: key, node, label, n, fine.
+    """
+
+    def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        nodes, out = t.column("node").to_numpy(), []
+        labels = np.unique(t.column("label").to_numpy(), return_inverse=True)[1]
+        root = np.arange(len(nodes))
+        for u, v, _ in _close(t, labels, percent) if labels.any() else ():
+            root, used = unite(root, u, v)
+            out += [(nodes[u[x]], nodes[v[x]]) for x in used]
+        return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+    return _in_blocks(rows.withColumn("bytes", F.lit(8)), "key", compare)
+
+
+def _linked_forest(rows: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b), at most one a row and block, that connect all linked rows of a group.
+
+    rows: key (of the group), node, label, n, fine, set. Pairs whose labels meet through links found
+    before aren't compared, which is why near-equal ones come first.
+    """
+
+    def compare(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        nodes, out = t.column("node").to_numpy(), []
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("set").combine_chunks()]
+        root = np.unique(t.column("label").to_numpy(), return_inverse=True)[1]
+        for u, v, bits in _close(t, root, percent) if root.any() else ():
+            order = np.argsort(bits, kind="stable")
+            for x, y in zip(u[order].tolist(), v[order].tolist(), strict=True):
+                if root[x] != root[y] and linked(sets[x], sets[y], percent):
+                    root[root == root[y]] = root[x]
+                    out.append((nodes[x], nodes[y]))
+        return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+    return _in_blocks(rows.withColumn("bytes", F.octet_length("set")), "key", compare)
 
 
 def near_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,45 +314,53 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     its component_id is null and it is kept. Keys are whole numbers; other columns are left out.
     """
     sig = saved(signatures(docs, k, key, text), "signatures")
-    own = sig.where("digest IS NOT NULL AND id IS NOT NULL")
-    classes = own.groupBy("digest").agg(F.min("id").alias("rep"))
-    member = saved(own.select("id", "digest").join(classes, "digest").select("id", "rep"), "members")
-    reps = saved(own.join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]), "representatives")
-    banded = reps.select(F.explode("bands").alias("key"), "id")
-    ends = banded.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    own = sig.where("node IS NOT NULL AND id IS NOT NULL")
+    classes = saved(own.groupBy("node").agg(F.min("id").alias("rep")), "classes")
+    reps = own.join(classes.select("node", F.col("rep").alias("id")), ["node", "id"], "left_semi").dropDuplicates(["node"])
+    reps = saved(reps.select("node", F.col("n_shingles").alias("n"), "bands", "sketch"), "representatives")
+    banded = reps.select(F.explode("bands").alias("key"), "node")
+    ends = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     live = saved(banded.join(ends, "key", "left_semi").distinct(), "buckets")
-    sketches = saved(reps.select("id", "n_shingles", "sketch").join(live.select("id").distinct(), "id", "left_semi"), "sketches")
-    sets = saved(_sets(docs, sketches.select("id").distinct(), k, key, text), "sets")
+    nodes = live.select("node").distinct()
+    sketches = saved(reps.drop("bands").join(nodes, "node", "left_semi"), "sketches")
+    sizes = sketches.select("node", "n")
+    sets = saved(_sets(docs, classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("id")).distinct(), nodes, k, key, text), "sets")
 
-    links = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).limit(0)
-    roots = links.select(F.col("a").alias("id"), F.col("b").alias("label"))
-    tested = links
+    links = tested = classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    roots = links.toDF("node", "label")
     allowed = f"100 * least(na, nb) >= {percent} * greatest(na, nb) AND {_differing_bits()} <= {MOST_BITS}"
     for step in range(STAR_ROUNDS + 1):
-        lab = live.join(roots, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-        mixed = lab.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(step))).alias("c")).where("lo < hi")
+        lab = live.join(roots, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        mixed = lab.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(step))).alias("c")).where("lo < hi")
         if step < STAR_ROUNDS:
-            star = lab.join(mixed.select("key", "c"), "key").where("label <> c.label").select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"), "id")
+            star = lab.join(mixed.select("key", "c"), "key").where("label <> c.label").select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"), "node")
             star = star.distinct().join(tested, ["a", "b"], "left_anti")
-            s = sketches.select("id", "n_shingles", "sketch")
-            star = star.join(s.toDF("a", "na", "sa"), "a").join(s.toDF("b", "nb", "sb"), "b").where(allowed)
-            best = star.groupBy("id").agg(F.min_by(F.struct("a", "b"), F.expr(_differing_bits())).alias("p"))
+            star = star.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b").where(allowed)
+            best = star.groupBy("node").agg(F.min_by(F.struct("a", "b"), F.expr(_differing_bits())).alias("p"))
             pairs = saved(best.select("p.a", "p.b").distinct(), "pairs")
+            if pairs.isEmpty():
+                continue
+            found = saved(_verify(pairs, sets, percent), "links")
+            tested = tested.unionAll(pairs)
         else:
-            live = saved(lab.join(mixed.select("key"), "key", "left_semi"), "buckets")
-            pairs = saved(_blocks(live, reps.select("id", F.col("n_shingles").alias("n"), "bands").join(sets.select("id", "fine"), "id"), percent).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            found = saved(_verify(pairs, sets, percent).distinct(), "links")
-            links, tested = links.unionAll(found), tested.unionAll(pairs)
-            roots = saved(components(links).select(F.col("node").alias("id"), F.col("root").alias("label")), "roots")
-
-    # Rows of one key share a node: classes meet through keys they share.
-    shared = member.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
+            left = saved(lab.join(mixed.select("key"), "key", "left_semi"), "left")
+            wanted = left.select("node", "label").distinct()
+            fine = saved(_fine(sets.join(wanted.select("node"), "node", "left_semi")).join(sizes, "node"), "fine")
+            edges = saved(_close_forest(left.join(fine, "node"), percent), "close")
+            group = components(edges).toDF("node", "key")
+            found = saved(_linked_forest(group.join(wanted, "node").join(fine, "node").join(sets, "node"), percent), "links")
+        links = links.unionAll(found)
+        roots = saved(components(links).toDF("node", "label"), "roots")
+
+    # Classes meet through keys they share.
+    member = own.select("id", "node")
+    shared = member.groupBy("id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("id", F.col("lo").alias("a"))
     if not shared.isEmpty():
-        more = member.join(shared.select("a", "b"), (F.col("rep") == F.col("b"))).select(F.col("id").alias("a"), F.col("rep").alias("b"))
-        cross = member.groupBy("id").agg(F.min("rep").alias("b")).join(member, "id").select(F.col("rep").alias("a"), "b")
-        roots = saved(components(links.unionAll(cross).unionAll(more)).select(F.col("node").alias("id"), F.col("root").alias("label")), "roots")
-    rep = member.groupBy("id").agg(F.min("rep").alias("rep"))
-    comp = rep.join(roots.select(F.col("id").alias("rep"), "label"), "rep", "left").select("id", F.coalesce("label", "rep").alias("component_id"))
-    out = sig.select("id", "n_shingles").join(comp, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+        meet = member.join(shared, "id").select("a", F.col("node").alias("b")).distinct()
+        roots = saved(components(links.unionAll(meet)).toDF("node", "label"), "roots")
+    labelled = classes.join(roots, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+    least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    of_node = labelled.where("label <> node").join(least, "label").select("node", "component_id").unionAll(least.toDF("node", "component_id"))
+    of_id = member.join(of_node, "node").groupBy("id").agg(F.min("component_id").alias("component_id"))
+    out = sig.select("id", "n_shingles").join(of_id, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(key), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
