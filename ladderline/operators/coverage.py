@@ -34,7 +34,8 @@ def holes(gaps: DataFrame, book_events: DataFrame, span: DataFrame) -> DataFrame
     snap = book_events.where("is_snapshot").select("ticker", F.col("recv_ts_us").alias("ts"), F.col("recv_ts_us").alias("_snap")).distinct()
     cols = [c for c in gaps.columns if c != "ticker"]
     g = gaps.select("ticker", F.col("recv_ts_us").alias("ts"), F.lit(None).cast("bigint").alias("_snap"), F.struct(*cols).alias("g"))
-    ahead = Window.partitionBy("ticker").orderBy("ts").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # Reversed, with ties: a frame that ends at the last row would be computed anew for every row.
+    ahead = Window.partitionBy("ticker").orderBy(F.desc("ts")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     both = g.unionByName(snap, allowMissingColumns=True).withColumn("_next", F.min("_snap").over(ahead)).where("g IS NOT NULL")
     end = F.when(F.col("_next").isNotNull(), F.col("_next")).when(F.col("span_end_us") >= F.col("ts"), F.col("span_end_us"))
     return (

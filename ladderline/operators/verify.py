@@ -35,9 +35,11 @@ def verify_outcomes(states: DataFrame, observed: DataFrame, gaps: DataFrame, win
     v = v.join(snap_t, ["ticker", "epoch"], "left")
     marks = v.select("ticker", F.col("ts").alias("m"), F.lit(1).alias("lane"), "i").unionByName(gaps.select("ticker", F.col("recv_ts_us").alias("m"), F.lit(0).alias("lane"), F.lit(None).cast("bigint").alias("i")))
     g = F.when(F.col("lane") == 0, F.col("m"))
-    wide = Window.partitionBy("ticker").orderBy("m", "lane")
-    marks = marks.withColumn("gap_before", F.max(g).over(wide.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    marks = marks.withColumn("gap_after", F.min(g).over(wide.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    # Looking ahead is looking back in reversed order: frames that end at the last row are
+    # computed anew for every row.
+    forward, backward = Window.partitionBy("ticker").orderBy("m", "lane"), Window.partitionBy("ticker").orderBy(F.desc("m"), F.desc("lane"))
+    marks = marks.withColumn("gap_before", F.max(g).over(forward.rowsBetween(*so_far))).withColumn("gap_after", F.min(g).over(backward.rowsBetween(*so_far)))
     v = v.join(marks.where("lane = 1").select("ticker", "i", "gap_before", "gap_after"), ["ticker", "i"])
 
     bucket = lambda c: F.floor(F.col(c) / window_us)
@@ -57,9 +59,8 @@ def verify_outcomes(states: DataFrame, observed: DataFrame, gaps: DataFrame, win
         .groupBy("ticker", "i").agg(F.min("t").alias("ahead_t"))
     )
     # The first book event beyond the window settles a mismatch.
-    beyond = Window.partitionBy("ticker").orderBy("m", "lane").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     edge = v.select("ticker", (F.col("ts") + window_us).alias("m"), F.lit(1).alias("lane"), "i").unionByName(s.select("ticker", F.col("t").alias("m"), F.lit(0).alias("lane"), F.lit(None).cast("bigint").alias("i")))
-    edge = edge.withColumn("late_t", F.min(F.when(F.col("lane") == 0, F.col("m"))).over(beyond)).where("lane = 1").select("ticker", "i", "late_t")
+    edge = edge.withColumn("late_t", F.min(F.when(F.col("lane") == 0, F.col("m"))).over(backward.rowsBetween(*so_far))).where("lane = 1").select("ticker", "i", "late_t")
 
     r = v.join(eq_back, ["ticker", "i"], "left").join(eq_ahead, ["ticker", "i"], "left").join(edge, ["ticker", "i"], "left")
     suspect = F.col("gap_before").isNotNull() & (F.col("snap_t").isNull() | (F.col("gap_before") > F.col("snap_t")))
