@@ -12,24 +12,42 @@ from .book import book_at
 from .trades import dedup
 
 KEY = ("ts", "seq_class", "seq", "lane", "event_idx", "file_row")
-_COLS = ("ticker", *KEY, "kind", "source", "side", "price_micro", "qty_centi", "n_levels", "trade_id", "reason")
+LEVELS = "array<struct<side:string,price_micro:bigint,qty_centi:bigint>>"
+_NULL = {
+    "kind": "string", "source": "string", "side": "string", "price_micro": "bigint", "qty_centi": "bigint",
+    "n_levels": "bigint", "levels": LEVELS, "trade_id": "string", "reason": "string", "event_idx": "bigint",
+}
+_COLS = ("ticker", *KEY, "kind", "source", "side", "price_micro", "qty_centi", "n_levels", "levels", "trade_id", "reason")
 
 
 def _lane(df: DataFrame, lane: int, **cols: Column) -> DataFrame:
-    null = {"kind": "string", "source": "string", "side": "string", "price_micro": "bigint", "qty_centi": "bigint", "n_levels": "bigint", "trade_id": "string", "reason": "string", "event_idx": "bigint"}
     df = df.withColumns({**cols, "lane": F.lit(lane), "seq_class": F.when(F.col("seq").isNull(), 1).otherwise(0)})
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(null[c]).alias(c) for c in _COLS])
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(_NULL[c]).alias(c) for c in _COLS])
+
+
+def _ladder(*order: Column) -> Column:
+    """The levels of a group of rows, as an array in that order; rows without side count for none."""
+    row = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], "side", "price_micro", "qty_centi")
+    rows = F.array_sort(F.collect_list(F.when(F.col("side").isNotNull(), row)))
+    return F.transform(rows, lambda x: F.struct(x["side"].alias("side"), x["price_micro"].alias("price_micro"), x["qty_centi"].alias("qty_centi")))
+
+
+def levels_text(levels: Column) -> Column:
+    """side:price:quantity of each level, separated by commas."""
+    return F.array_join(F.transform(levels, lambda x: F.concat_ws(":", x["side"], x["price_micro"].cast("string"), x["qty_centi"].cast("string"))), ",")
 
 
 def book_lane(book_events: DataFrame) -> DataFrame:
-    """One row per message; a snapshot's key is that of its first row."""
-    g = book_events.groupBy("ticker", "event_idx").agg(
-        F.min_by(F.struct(F.col("recv_ts_us").alias("ts"), "seq", "file_row", "is_snapshot", "side", "price_micro", "qty_centi"), "file_row").alias("f"),
-        F.count("side").alias("_n"),
-    )
+    """One row per message; a snapshot's key is that of its first row, and it carries its levels."""
+    head = F.struct(F.col("recv_ts_us").alias("ts"), "seq", "file_row", "is_snapshot", "side", "price_micro", "qty_centi")
+    g = book_events.groupBy("ticker", "event_idx").agg(F.min_by(head, "file_row").alias("f"), _ladder(F.col("file_row")).alias("_all"))
     snap = F.col("f.is_snapshot")
-    pick = lambda c: F.when(~snap, F.col(f"f.{c}"))
-    g = g.select("ticker", "event_idx", "f.ts", "f.seq", "f.file_row", F.when(snap, "snapshot").otherwise("delta").alias("kind"), pick("side").alias("side"), pick("price_micro").alias("price_micro"), pick("qty_centi").alias("qty_centi"), F.when(snap, F.col("_n")).alias("n_levels"))
+    pick = lambda c: F.when(~snap, F.col(f"f.{c}")).alias(c)
+    g = g.select(
+        "ticker", "event_idx", "f.ts", "f.seq", "f.file_row", F.when(snap, "snapshot").otherwise("delta").alias("kind"),
+        pick("side"), pick("price_micro"), pick("qty_centi"),
+        F.when(snap, F.size("_all").cast("bigint")).alias("n_levels"), F.when(snap, F.col("_all")).alias("levels"),
+    )
     return _lane(g, 1)
 
 
@@ -79,7 +97,13 @@ def between(book_events: DataFrame, trades: DataFrame, gaps: DataFrame, t0_us: i
     soon = F.col("recv_ts_us") < t1_us
     stream = merged(book_events.where(soon), trades, gaps.where(soon)).where(F.col("ts") < t1_us)
     tickers = stream.select("ticker").distinct()
-    open_ = book_at(book_events, t0_us).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_levels"))
-    snap = tickers.join(open_, "ticker", "left").select("ticker", F.lit(1).alias("lead"), F.lit(-1).cast("bigint").alias("pos"), F.lit(t0_us).cast("bigint").alias("ts"), F.lit("snapshot").alias("kind"), F.lit(-1).cast("bigint").alias("event_idx"), F.coalesce("n_levels", F.lit(0)).alias("n_levels"))
+    # yes before no, each by price
+    open_ = book_at(book_events, t0_us).groupBy("ticker").agg(_ladder(F.col("side") == "no", F.col("price_micro")).alias("levels"))
+    snap = tickers.join(open_, "ticker", "left").select(
+        "ticker", F.lit(1).alias("lead"), F.lit(-1).cast("bigint").alias("pos"), F.lit(t0_us).cast("bigint").alias("ts"),
+        F.lit("snapshot").alias("kind"), F.lit(-1).cast("bigint").alias("event_idx"), F.coalesce("levels", F.array().cast(LEVELS)).alias("levels"),
+    ).withColumn("n_levels", F.size("levels").cast("bigint"))
     rows = pending_gaps(stream, t0_us).withColumn("lead", F.lit(0)).unionByName(stream.where(F.col("ts") >= t0_us).withColumn("lead", F.lit(2)))
-    return rows.unionByName(snap, allowMissingColumns=True).select("ticker", "lead", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", "trade_id")
+    return rows.unionByName(snap, allowMissingColumns=True).select(
+        "ticker", "lead", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", "levels", "trade_id"
+    )

@@ -105,7 +105,8 @@ def coverage_rollup_by_date(spark, d):
 
 
 def merged_stream(spark, d):
-    return merge.merged(_book(spark, d), _trades(spark, d), _gaps(spark, d)).select("ticker", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", "trade_id")
+    s = merge.merged(_book(spark, d), _trades(spark, d), _gaps(spark, d))
+    return s.select("ticker", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", merge.levels_text(F.col("levels")).alias("levels"), "trade_id")
 
 
 def order_violations(spark, d):
@@ -115,7 +116,7 @@ def order_violations(spark, d):
 
 
 def range_replay(spark, d):
-    return merge.between(_book(spark, d), _trades(spark, d), _gaps(spark, d), T0, T1).drop("pos")
+    return merge.between(_book(spark, d), _trades(spark, d), _gaps(spark, d), T0, T1).drop("pos").withColumn("levels", merge.levels_text(F.col("levels")))
 
 
 def book_at_instant(spark, d):
