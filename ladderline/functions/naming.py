@@ -97,3 +97,21 @@ def price_proxy(bid: Column, ask: Column, last: Column) -> Column:
 
 def atm_distance(price: Column) -> Column:
     return F.abs(price - 0.5)
+
+
+def is_hourly(minutes: Column) -> Column:
+    return F.coalesce(cadence(minutes) == "Hourly", F.lit(False))
+
+
+def instant_s(text: Column) -> Column:
+    """Unix seconds of a number, an RFC 3339 time or a date (its midnight, UTC); null for others."""
+    t = F.trim(text)
+    number = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("bigint"))
+    date = F.unix_date(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t.try_cast("date"))).cast("bigint") * 86_400
+    time = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"), F.floor(F.unix_micros(F.try_to_timestamp(F.upper(t))) / 1_000_000))
+    return F.coalesce(number, date, time)
+
+
+def until_s(text: Column) -> Column:
+    """The end, exclusive, of a range until a date, which includes that day, or until an instant."""
+    return instant_s(text) + F.when(F.trim(text).rlike(r"^\d{4}-\d{2}-\d{2}$"), 86_400).otherwise(0)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.naming import atm_distance, is_hourly, number_or_zero
+from ..sources.scratch import saved
+
 
 def category_rollup(series: DataFrame) -> DataFrame:
     """Series and volume of each category, largest volume first, then by name."""
@@ -12,9 +15,17 @@ def category_rollup(series: DataFrame) -> DataFrame:
 
 
 def rank_series(series: DataFrame) -> DataFrame:
-    """Position by volume (largest first; NaN counts as the largest), then ticker."""
-    w = Window.orderBy(F.desc("volume"), "ticker")
-    return series.withColumn("position", F.row_number().over(w).cast("bigint"))
+    """Position by volume (largest first; NaN counts as the largest), then ticker.
+
+    Rows are dealt by ranges of that order and numbered inside a range; the numbers before each
+    range come from a table with a row a range. So no task sorts the whole table.
+    """
+    order = (F.desc("volume"), F.col("ticker"))
+    dealt = saved(series.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("_i", inside).join(F.broadcast(sizes), "_part").withColumn("position", F.col("_i") + F.col("_base")).drop("_part", "_i", "_base")
 
 
 def top_by(rows: DataFrame, volume: str, n: int, *ties: str) -> DataFrame:
@@ -153,8 +164,28 @@ def team_match(markets: DataFrame, predicted: str | None, codes: list[str]) -> D
     hay = F.upper(F.concat_ws(" ", "event", "ticker"))
     by_code = F.forall(F.array(*[F.lit(c.upper()) for c in sorted(set(codes))]), lambda c: F.contains(hay, c)) if codes else F.lit(False)
     exact = F.coalesce(F.col("event") == F.lit(predicted), F.lit(False))
-    any_exact = F.coalesce(F.max(exact).over(Window.partitionBy()), F.lit(False))
-    return markets.withColumn("_any", any_exact).where(F.when(F.col("_any"), exact).otherwise(by_code)).drop("_any")
+    found = markets.agg(F.coalesce(F.bool_or(exact), F.lit(False)).alias("_any"))  # one row
+    return markets.crossJoin(F.broadcast(found)).where(F.when(F.col("_any"), exact).otherwise(by_code)).drop("_any")
+
+
+def min_volume(markets: DataFrame, least: float) -> DataFrame:
+    """Markets whose volume (text; what is no number counts as 0) reaches ``least``; all if that is 0."""
+    return markets.where(number_or_zero(F.col("volume")) >= least) if least > 0 else markets
+
+
+def spot_anchor(markets: DataFrame, by: str = "series") -> DataFrame:
+    """Per series the strike of the open hourly market whose price is nearest to even, the first of equals.
+
+    ``markets``: by, pos, strike, price (null: unknown), minutes. Series without such a market are left out.
+    """
+    known = markets.where(is_hourly(F.col("minutes")) & F.col("strike").isNotNull() & F.col("price").isNotNull())
+    return known.groupBy(by).agg(F.min_by("strike", F.struct(atm_distance(F.col("price")), "pos")).alias("strike"))
+
+
+def series_sums(markets: DataFrame, by: str = "series") -> DataFrame:
+    """Per series: markets given, and the sums of their volumes (text; what is no number counts as 0)."""
+    total = lambda c: F.sum(number_or_zero(F.col(c))).alias(c)
+    return markets.groupBy(by).agg(F.count(F.lit(1)).alias("n_open"), total("volume"), total("volume_24h"))
 
 
 def time_chunks(spark, lo_us: int, hi_us: int, step_us: int) -> DataFrame:

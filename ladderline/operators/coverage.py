@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.naming import ticker_date
+
 
 def with_mismatch_gaps(gaps: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Stream gaps and one `verify_mismatch` gap for each mismatch; ``gap_no`` orders them by
@@ -76,3 +78,28 @@ def coverage(tickers: DataFrame, book_events: DataFrame, trades: DataFrame, gaps
     hole_us = F.when(F.col("has_book"), F.coalesce("_hole", F.lit(0)))
     uptime = F.when(length > 0, 1 - F.coalesce("_hole", F.lit(0)).cast("double") / length.cast("double")).when((length == 0) & (F.coalesce("n_gaps", F.lit(0)) == 0), F.lit(1.0))
     return out.select("ticker", "has_book", "span_start_us", "span_end_us", length.alias("span_us"), n("n_events"), n("n_snapshots"), n("n_trades"), n("n_gaps"), n("n_unresolved"), hole_us.alias("hole_us"), F.when(F.col("has_book"), uptime).alias("uptime"))
+
+
+def reasons() -> Column:
+    """Why a session is incomplete, from its manifest row; empty if it is complete."""
+    n = lambda c, what: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(what)))
+    return F.array_compact(F.array(n("read_errors", " unreadable lines"), n("raw", " undecoded messages")))
+
+
+def accounting(cover: DataFrame, manifest: DataFrame, source_path: str) -> DataFrame:
+    """One row per session: what it holds, how far it can be trusted, and why not.
+
+    ``cover``: of ``coverage``; ``manifest``: of ``manifest_rows``. The last two columns are the
+    span's ends as instants.
+    """
+    m = manifest.select(
+        "ticker", "complete", reasons().alias("reasons"), (F.col("verify_matched") + F.col("verify_mismatch") + F.col("verify_skipped")).alias("verify_checks"),
+        F.col("verify_mismatch").alias("verify_mismatches"), "underflows", F.col("book_events").alias("n_book_events"),
+    )
+    c = cover.withColumnRenamed("n_unresolved", "n_unresolved_gaps").drop("n_events", "n_snapshots").join(m, "ticker")
+    return c.select(
+        "ticker", F.lit(source_path).alias("source_path"), ticker_date(F.col("ticker")).alias("date"), "complete", "reasons", "has_book",
+        "span_start_us", "span_end_us", "span_us", "n_gaps", "n_unresolved_gaps", "hole_us", "uptime",
+        "verify_checks", "verify_mismatches", "underflows", "n_book_events", "n_trades",
+        F.timestamp_micros("span_start_us").alias("span_start"), F.timestamp_micros("span_end_us").alias("span_end"),
+    )

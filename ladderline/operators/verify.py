@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.units import PRICE_SCALE, QTY_SCALE, format_scaled
+
 WINDOW_US = 5_000_000
 
 
@@ -93,3 +95,15 @@ def level_diff(outcomes: DataFrame) -> DataFrame:
         return first.select(*key, F.lit(name).alias("side"), "n_differing", F.col("f.price").alias("first_price_micro"), F.col("f.ours").alias("our_qty_centi"), F.col("f.rest").alias("rest_qty_centi"))
 
     return side("our_yes", "rest_yes", "yes").unionByName(side("our_no", "rest_no", "no"))
+
+
+def with_detail(outcomes: DataFrame) -> DataFrame:
+    """Outcomes with ``detail``: for a mismatch, per side, how many levels differ and the lowest
+    of them with both quantities; null for others."""
+    qty = lambda c: F.coalesce(format_scaled(F.col(c), QTY_SCALE), F.lit("absent"))
+    first = F.concat(F.lit(" (first at "), format_scaled(F.col("first_price_micro"), PRICE_SCALE), F.lit(": ours "), qty("our_qty_centi"), F.lit(" vs rest "), qty("rest_qty_centi"), F.lit(")"))
+    of = lambda s: F.max(F.when(F.col("side") == s, F.concat(F.col("n_differing").cast("string"), F.lit(" level(s) differ"), first)))
+    none = F.lit("0 level(s) differ")
+    sides = level_diff(outcomes).groupBy("ticker", "event_idx").agg(of("yes").alias("_yes"), of("no").alias("_no"))
+    text = F.concat(F.lit("yes: "), F.coalesce("_yes", none), F.lit("; no: "), F.coalesce("_no", none))
+    return outcomes.join(sides, ["ticker", "event_idx"], "left").withColumn("detail", F.when(F.col("outcome") == "mismatch", text)).drop("_yes", "_no")

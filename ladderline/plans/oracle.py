@@ -164,7 +164,7 @@ oc AS (
     WHEN f = 9223372036854775807 THEN 'truncated' WHEN ahead = f THEN 'matched' WHEN g1 = f THEN 'skipped_gap' ELSE 'mismatch' END AS outcome
   FROM outc)"""
 
-_VERIFY = TOP + _GAP_BODY + _VERIFY_BODY
+VERIFY = TOP + _GAP_BODY + _VERIFY_BODY
 
 MARKETS = """
 mk0 AS (
@@ -271,9 +271,9 @@ ORACLE: dict[str, str] = {
     "event_kind_counts": f"WITH {STREAM} SELECT kind, source, count(*) AS n FROM stream GROUP BY ALL",
     "trade_book_asof": f"WITH {TOP}{_TRADE_BODY} SELECT tr.ticker, file_row, eff_ts_us, price_micro, count_centi, top.event_idx, yes_bid_micro, yes_ask_micro FROM tr ASOF LEFT JOIN top ON tr.ticker = top.ticker AND tr.eff_ts_us >= top.recv_ts_us",
     "events_book_join": f"WITH {TOP} SELECT be.ticker, file_row, be.event_idx, side, price_micro, yes_bid_micro, yes_ask_micro, mid_micro FROM be JOIN top ON be.ticker = top.ticker AND be.event_idx = top.event_idx",
-    "verify_outcomes": f"""WITH {_VERIFY} SELECT ticker, i AS event_idx, ts AS recv_ts_us, outcome,
+    "verify_outcomes": f"""WITH {VERIFY} SELECT ticker, i AS event_idx, ts AS recv_ts_us, outcome,
       CASE WHEN outcome <> 'matched' THEN NULL WHEN cy = ry AND cn = rn THEN 0 WHEN bt IS NOT NULL THEN greatest(bt, ts - 5000000) - ts ELSE ahead - ts END AS match_lag_us FROM oc""",
-    "verify_level_diff": f"""WITH {_VERIFY},
+    "verify_level_diff": f"""WITH {VERIFY},
       sd AS (SELECT ticker, i, 'yes' AS side, cy AS a, ry AS b FROM oc WHERE outcome = 'mismatch' UNION ALL SELECT ticker, i, 'no', cn, rn FROM oc WHERE outcome = 'mismatch'),
       xa AS (SELECT ticker, i, side, l.price AS p, l.quantity AS q FROM (SELECT ticker, i, side, unnest(a) AS l FROM sd)),
       xb AS (SELECT ticker, i, side, l.price AS p, l.quantity AS q FROM (SELECT ticker, i, side, unnest(b) AS l FROM sd)),
@@ -292,7 +292,7 @@ ORACLE: dict[str, str] = {
       FROM cov LEFT JOIN uf ON cov.ticker = uf.ticker""",
     "mid_summary": f"WITH {TOP} SELECT ticker, count(*) AS n, min(mid_micro) AS min_mid, max(mid_micro) AS max_mid FROM top WHERE mid_micro IS NOT NULL GROUP BY ticker",
     "hourly_completeness": f"""WITH {MARKETS},
-      lb AS (SELECT series, regexp_extract(ticker, '-(\\d{{2}}[A-Z]{{3}}\\d{{2}})(\\d{{2}})-', 1) AS dd, regexp_extract(ticker, '-(\\d{{2}}[A-Z]{{3}}\\d{{2}})(\\d{{2}})-', 2) AS hour FROM mk WHERE series IN ('KXO1', 'KXO2', 'KXO3')),
+      lb AS (SELECT series, regexp_extract(ticker, '-(\\d{{2}}[A-Z]{{3}}\\d{{2}})(\\d{{2}})-', 1) AS dd, regexp_extract(ticker, '-(\\d{{2}}[A-Z]{{3}}\\d{{2}})(\\d{{2}})-', 2) AS hour FROM mk),
       wd AS (SELECT series, concat(dd[1:2], lpad(CAST(dayofyear({_date("concat('-', dd)")}) // 35 AS VARCHAR), 2, '0')) AS day, hour FROM lb),
       h AS (SELECT series, day, count(DISTINCT hour) AS n_hours FROM wd GROUP BY ALL)
       SELECT series, day, n_hours, CASE WHEN n_hours = 24 THEN 'full' WHEN day = min(day) OVER (PARTITION BY series) OR day = max(day) OVER (PARTITION BY series) THEN 'edge' WHEN n_hours >= 22 THEN 'maint' ELSE 'incomplete' END AS class FROM h""",

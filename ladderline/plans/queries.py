@@ -173,24 +173,14 @@ def mid_summary(spark, d):
     return book_top(spark, d).where("mid_micro IS NOT NULL").groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.min("mid_micro").alias("min_mid"), F.max("mid_micro").alias("max_mid"))
 
 
-def _hourly(markets: DataFrame) -> DataFrame:
-    m = markets.withColumn("label", naming.hour_label(F.col("ticker"))).where("label IS NOT NULL")
+def hourly_completeness(spark, d):
+    m = adapter.markets(spark, d).withColumn("label", naming.hour_label(F.col("ticker"))).where("label IS NOT NULL")
     parts = m.select("series", F.expr("substring(label, -9, 7)").alias("day"), F.expr("substring(label, -2, 2)").alias("hour"))
     # Days of five weeks each share a row, so that full, partial and edge days all occur.
     wide = parts.withColumn("day", F.concat(F.substring("day", 1, 2), F.lpad((F.dayofyear(naming.ticker_date(F.concat(F.lit("-"), "day"))) / 35).cast("int").cast("string"), 2, "0")))
     return catalog.hourly_completeness(wide)
 
 
-def hourly_completeness(spark, d):
-    """Three series only, as its SQL has it."""
-    return _hourly(adapter.markets(spark, d).where("series IN ('KXO1', 'KXO2', 'KXO3')"))
-
-
-def hourly_completeness_all(spark, d):
-    """Every series."""
-    return _hourly(adapter.markets(spark, d))
-
-
 def category_rollup(spark, d):
     return catalog.category_rollup(adapter.series(spark, d))
 
@@ -346,7 +336,7 @@ _QUERIES = (
     book_events_flatten, book_level_replay, book_underflows, book_top, book_top_dollars, two_sided_by_ticker, trades_tape, trades_dedup, trades_top10,
     taker_pressure, gap_markers, seq_gap_detect, gap_holes, coverage_by_ticker, coverage_rollup_by_date, merged_stream, order_violations, range_replay,
     book_at_instant, pending_gaps, event_kind_counts, trade_book_asof, events_book_join, verify_outcomes, verify_level_diff, manifest_summary, digest,
-    mid_summary, hourly_completeness, hourly_completeness_all, category_rollup, rank_series, top_24h, cadence_classes, cohorts, arm_plan, largest_ladder, ladder_band,
+    mid_summary, hourly_completeness, category_rollup, rank_series, top_24h, cadence_classes, cohorts, arm_plan, largest_ladder, ladder_band,
     parse_fixed_point, ticker_dates, event_start, diagonal_union, settled_units, first_seen_markets, market_search, name_functions, capture_report, time_windows,
     json_decode_outcomes, frame_decode_outcomes,
 )

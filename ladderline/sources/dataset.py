@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import ticker_date
-from ..operators import book, coverage, merge
+from ..operators import book, coverage, merge, validate
 from .process import SCHEMA_VERSION
 
 
@@ -43,6 +43,10 @@ class OrderViolation(DatasetError):
     """Rows of a table step back in the order they were written."""
 
 
+class MalformedRow(DatasetError):
+    """A row can't be what its table says."""
+
+
 class MarketDataset:
     """A folder written by ``process_capture``.
 
@@ -71,8 +75,7 @@ class MarketDataset:
 
         Dates are inclusive; a ticker without date is left out as soon as a bound is given.
         """
-        reasons = F.array_compact(F.array(F.when(F.col("read_errors") > 0, F.concat("read_errors", F.lit(" unreadable lines"))), F.when(F.col("raw") > 0, F.concat("raw", F.lit(" undecoded messages")))))
-        c = self._manifest.withColumn("date", ticker_date(F.col("ticker"))).withColumn("reasons", reasons)
+        c = self._manifest.withColumn("date", ticker_date(F.col("ticker"))).withColumn("reasons", coverage.reasons())
         if tickers is not None:
             c = c.where(F.col("ticker").isin(*tickers))
         if complete is not None:
@@ -93,9 +96,11 @@ class MarketDataset:
         return self._read(name)
 
     def events(self, strict: bool = True) -> DataFrame:
-        """The merged stream; with ``strict`` an order violation in a table is an error."""
+        """The merged stream; with ``strict`` a malformed row or an order violation is an error."""
         self._gate()
         b, t, g = self._read("book_events"), self._trades(), self._gaps()
+        if strict and (bad := validate.malformed(b, t, g).orderBy("table", "ticker", "file_row").limit(1).collect()):
+            raise MalformedRow("{table}, {ticker}, row {file_row}: {detail}".format(**bad[0].asDict()))
         if strict and (bad := merge.order_violations(b, g).limit(1).collect()):
             raise OrderViolation(f"{bad[0]['ticker']}: row {bad[0]['file_row']} steps back")
         return merge.merged(b, t, g)
@@ -119,7 +124,8 @@ class MarketDataset:
     def coverage(self) -> DataFrame:
         """Works for incomplete sessions too: it is there to judge them."""
         b = self._read("book_events")
-        return coverage.coverage(self._manifest.select("ticker"), b, self._trades(), self._gaps())
+        cover = coverage.coverage(self._manifest.select("ticker"), b, self._trades(), self._gaps())
+        return coverage.accounting(cover, self._manifest, self.root)
 
     def holes(self) -> DataFrame:
         b = self._read("book_events")

@@ -21,7 +21,7 @@ def write_table(df: DataFrame, path: str, level: int = 3) -> None:
     df.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).partitionBy("ticker").parquet(path)
 
 
-def manifest_rows(t: dict[str, DataFrame], top: DataFrame, outcomes: DataFrame, cover: DataFrame) -> DataFrame:
+def manifest_rows(t: dict[str, DataFrame], events: DataFrame, top: DataFrame, outcomes: DataFrame, cover: DataFrame) -> DataFrame:
     """One row per ticker: counts, extent, completeness, trust figures.
 
     complete means: no unreadable line and no undecoded message, and nothing else.
@@ -33,8 +33,10 @@ def manifest_rows(t: dict[str, DataFrame], top: DataFrame, outcomes: DataFrame,
         m = m.join(count(t[name], name), "ticker", "left")
     m = m.join(book.two_sided(top).select("ticker", F.col("n_events").alias("book_top"), "two_sided"), "ticker", "left")
     v = outcomes.groupBy("ticker").agg(*[F.count_if(F.col("outcome") == o).alias(f"verify_{o}") for o in ("matched", "mismatch")], F.count_if(F.col("outcome").isin("skipped_gap", "truncated")).alias("verify_skipped"))
+    under = book.underflows(book.replay_levels(events)).groupBy("ticker").agg(F.count(F.lit(1)).alias("underflows"))
+    m = m.join(count(events, "book_events"), "ticker", "left").join(under, "ticker", "left")
     m = m.join(v, "ticker", "left").join(cover.select("ticker", "span_us", "hole_us", "uptime"), "ticker", "left")
-    m = m.fillna(0, ["records", "read_errors", "trades", "gaps", "raw", "book_top"])
+    m = m.fillna(0, ["records", "read_errors", "trades", "gaps", "raw", "book_top", "book_events", "underflows", "verify_matched", "verify_mismatch", "verify_skipped"])
     return m.withColumn("complete", (F.col("read_errors") == 0) & (F.col("raw") == 0)).withColumn("schema_version", F.lit(SCHEMA_VERSION))
 
 
@@ -52,7 +54,8 @@ def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: lis
     numbered = book.number_events(t["messages"]).select("ticker", "line_no", "event_idx")
     observed = asof_backward(t["verify"], numbered, "ticker", "line_no", "line_no", "event_idx", ["event_idx"])
     outcomes = saved(verify.verify_outcomes(states, observed, t["gaps"].where("channel = 'orderbook'")), "outcomes")
-    gaps = coverage.with_mismatch_gaps(t["gaps"], outcomes.withColumn("detail", F.lit("book differs from observation")))
+    outcomes = saved(verify.with_detail(outcomes), "details")
+    gaps = coverage.with_mismatch_gaps(t["gaps"], outcomes)
     cover = coverage.coverage(t["records"].select("ticker").distinct(), events, t["trades"], gaps)
     write_table(events, f"{out_dir}/book_events")
     write_table(book.with_dollars(top), f"{out_dir}/book_top")
@@ -61,7 +64,7 @@ def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: lis
     for name, df in (("raw", t["raw"]), ("verify", outcomes), ("read_errors", t["read_errors"])):
         if not df.isEmpty():
             write_table(df, f"{out_dir}/{name}")
-    rows = saved(manifest_rows(t, top, outcomes, cover), "manifest")
+    rows = saved(manifest_rows(t, events, top, outcomes, cover), "manifest")
     rows.write.mode("overwrite").json(f"{out_dir}/manifest")
     return rows
 

@@ -1,8 +1,10 @@
 """A capture tree from JSON lines to processed tables, and streams over the same files."""
 
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ladderline.sources import capture, dataset
 from ladderline.sources.process import process_capture
@@ -63,6 +65,21 @@ def test_process_and_load(spark, tmp_path):
         ds.table("raw")
 
 
+def test_accounting_and_malformed_rows(spark, tmp_path):
+    process_capture(spark, _tree(tmp_path / "in", BAD[:2]), str(tmp_path / "out"))
+    ds = dataset.MarketDataset(spark, str(tmp_path / "out"), allow_incomplete=True)
+    c = ds.coverage().first()
+    assert len(c) == 20 and (c.complete, c.reasons, str(c.date)) == (False, ["2 unreadable lines"], "2026-07-03")
+    assert (c.n_book_events, c.n_trades, c.underflows, c.verify_checks, c.verify_mismatches, c.source_path) == (4, 1, 0, 0, 0, str(tmp_path / "out"))
+    bad = ds.table("trades").selectExpr("*").withColumn("taker_side", F.lit("up"))
+    bad.write.partitionBy("ticker").parquet(str(tmp_path / "bad"))
+    os.rename(tmp_path / "out" / "trades", tmp_path / "trades")
+    os.rename(tmp_path / "bad", tmp_path / "out" / "trades")
+    with pytest.raises(dataset.MalformedRow, match="trades, KX-26JUL03-T1, row 0: taker_side is up"):
+        ds.events()
+    assert ds.events(strict=False).count() == 4
+
+
 def test_incomplete_is_refused(spark, tmp_path):
     assert not process_capture(spark, _tree(tmp_path / "in", BAD[:1]), str(tmp_path / "out")).first().complete
     with pytest.raises(dataset.IncompleteData):

@@ -48,7 +48,21 @@ def test_hourly_completeness_of_every_series(spark, sf_dir):
     for (s, day), h in hours.items():
         edge = day in (min(days[s]), max(days[s]))
         want[s, day] = (len(h), "full" if len(h) == 24 else "edge" if edge else "maint" if len(h) >= 22 else "incomplete")
-    got = {(r.series, r.day): (r.n_hours, r["class"]) for r in queries.queries()["hourly_completeness_all"](spark, sf_dir).collect()}
+    got = {(r.series, r.day): (r.n_hours, r["class"]) for r in queries.hourly_completeness(spark, sf_dir).collect()}
     assert got == want and len(days) == 20
-    three = {(r.series, r.day): (r.n_hours, r["class"]) for r in queries.hourly_completeness(spark, sf_dir).collect()}
-    assert three == {k: v for k, v in want.items() if k[0] in ("KXO1", "KXO2", "KXO3")}
+
+
+def test_ranks_do_not_depend_on_partitions(spark):
+    rows = [(f"t{i:03d}", float(i * 7 % 40)) for i in range(200)] + [("nan", float("nan")), ("none", None)]
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] if r[1] == r[1] else 1e9) if r[1] is not None else 0, r[0]))
+    got = {r.ticker: r.position for r in catalog.rank_series(spark.createDataFrame(rows, "ticker string, volume double").repartition(7)).collect()}
+    assert got == {t: i + 1 for i, (t, _) in enumerate(want)}
+
+
+def test_instants(spark):
+    from ladderline.functions import naming
+
+    text = {"86400": (86400, 86400), " 1970-01-02 ": (86400, 172800), "1970-01-01T01:00:00+01:00": (0, 0), "1970-01-01T00:00:01.9Z": (1, 1), "-5": (-5, -5), "soon": (None, None), "2024-02-30": (None, None), "": (None, None)}
+    df = spark.createDataFrame([(t,) for t in [*text, None]], "t string")
+    got = {r.t: (r.a, r.u) for r in df.select("t", naming.instant_s(df.t).alias("a"), naming.until_s(df.t).alias("u")).collect()}
+    assert got == text | {None: (None, None)}

@@ -45,6 +45,37 @@ def test_between_opens_with_the_gap_and_the_book(session):
         merge.between(*session, 5, 5)
 
 
+def _fold(rows):
+    """Top of book after each book message of a stream, by its ticker and event_idx."""
+    books, out = {}, {}
+    for r in rows:
+        b = books.setdefault(r.ticker, {})
+        if r.kind == "snapshot":
+            b.clear()
+            b.update({(x.side, x.price_micro): x.qty_centi for x in r.levels})
+        elif r.kind == "delta":
+            key = (r.side, r.price_micro)
+            b[key] = max(0, b.get(key, 0) + r.qty_centi)
+            if not b[key]:
+                del b[key]
+        else:
+            continue
+        best = {s: max((p for side, p in b if side == s), default=None) for s in ("yes", "no")}
+        out[r.ticker, r.event_idx] = (best["yes"], None if best["no"] is None else 1_000_000 - best["no"], sum(q for (s, _), q in b.items() if s == "yes"), len(b))
+    return out
+
+
+def test_the_stream_rebuilds_the_book(spark, sf_dir):
+    from ladderline.plans import queries
+
+    b, t, g = queries._book(spark, sf_dir), queries._trades(spark, sf_dir), queries._gaps(spark, sf_dir)
+    want = {(r.ticker, r.event_idx): (r.yes_bid_micro, r.yes_ask_micro, r.yes_total_centi, r.yes_levels + r.no_levels) for r in book.book_top(b).collect()}
+    assert _fold(merge.merged(b, t, g).orderBy("ticker", "pos").collect()) == want
+    part = _fold(merge.between(b, t, g, queries.T0, queries.T1).orderBy("ticker", "lead", "pos").collect())
+    inside = {k: v for k, v in part.items() if k[1] >= 0}
+    assert inside and all(want[k] == v for k, v in inside.items())
+
+
 def test_book_at_is_strict(session):
     at = lambda t: {(r.side, r.price_micro): r.qty_centi for r in book.book_at(session[0], t).collect()}
     assert at(1100000) == {("yes", 450000): 1000, ("no", 540000): 800}
