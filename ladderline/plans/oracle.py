@@ -249,7 +249,7 @@ ORACLE: dict[str, str] = {
       ch AS (SELECT sid, kind, recv_ts_us, unnest(CASE WHEN kind = 'reconnect' THEN ['orderbook', 'trade'] ELSE ['orderbook'] END) AS channel FROM mk)
       SELECT ticker, channel, kind, count(*) AS n, min(recv_ts_us) AS first_us, max(recv_ts_us) AS last_us FROM ch JOIN tk USING (sid) GROUP BY ALL""",
     "seq_gap_detect": f"""WITH {MSG},
-      fr AS (SELECT ticker AS sid, line_no, kind, CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN line_no - 1 ELSE line_no END AS seq FROM msg WHERE kind <> 'gap' AND event_id % 17 <> 3),
+      fr AS (SELECT ticker AS sid, line_no, kind, CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN line_no - 1 WHEN event_id % 17 = 3 THEN line_no + 2 ELSE line_no END AS seq FROM msg WHERE kind <> 'gap'),
       er AS (SELECT *, sum(CASE WHEN kind = 'snapshot' THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY line_no) AS era FROM fr),
       la AS (SELECT *, last_value(seq IGNORE NULLS) OVER (PARTITION BY sid, era ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_seq FROM er)
       SELECT sid, line_no, kind, seq, last_seq, CASE WHEN kind = 'snapshot' OR seq IS NULL OR last_seq IS NULL OR seq = last_seq + 1 THEN 'accept' WHEN seq = last_seq THEN 'duplicate' ELSE 'gap' END AS verdict FROM la""",
@@ -323,7 +323,7 @@ ORACLE: dict[str, str] = {
     "ticker_dates": f"WITH {MARKETS} SELECT DISTINCT ticker, CAST({_date('ticker')} AS VARCHAR) AS date, regexp_extract(ticker, '^([^-]+-\\d{{2}}[A-Z]{{3}}\\d{{4}})', 1) AS label FROM mk",
     "event_start": _EVENT_START,
     "diagonal_union": f"WITH {TRADES}{_GAP_BODY} SELECT ticker, 'trades' AS source_path, count(*) AS n, count(price_micro) AS n_price, CAST(0 AS BIGINT) AS n_reason FROM tr GROUP BY ticker UNION ALL SELECT ticker, 'gaps', count(*), 0, count(reason) FROM gp GROUP BY ticker",
-    "settled_units": f"""WITH {MARKETS}, tg AS (SELECT DISTINCT concat('u', pos % 500) AS unit, ticker FROM mk), la AS (SELECT ticker, arg_max(status, pos) AS status FROM mk WHERE pos % 9 <> 4 GROUP BY ticker)
+    "settled_units": f"""WITH {MARKETS}, tg AS (SELECT DISTINCT concat('u', pos % 500) AS unit, CASE WHEN pos % 9 = 4 THEN concat(ticker, '-X') ELSE ticker END AS ticker FROM mk), la AS (SELECT ticker, arg_max(status, pos) AS status FROM mk GROUP BY ticker)
       SELECT unit, bool_and({_TERMINAL.format(s='status')}) AS all_settled, count(*) AS n_targets, count(*) FILTER ({_TERMINAL.format(s='status')}) AS n_terminal FROM tg LEFT JOIN la USING (ticker) GROUP BY unit""",
     "first_seen_markets": f"WITH {MARKETS} SELECT ticker, min(pos) AS pos, arg_min(status, pos) AS status FROM mk GROUP BY ticker",
     "market_search": f"WITH {MARKETS} SELECT ticker, pos, close_us FROM mk WHERE (contains(lower(ticker), 'kxo1-') OR contains(lower(coalesce(event, '')), 'kxo1-')) AND close_us >= {ARM_NOW} AND close_us < {ARM_NOW + 200 * 86_400_000_000}",
@@ -333,10 +333,13 @@ ORACLE: dict[str, str] = {
     "capture_report": f"WITH {MSG} SELECT ticker, CASE WHEN kind = 'trade' THEN 'trade' ELSE 'orderbook' END AS channel, count(*) FILTER (kind = 'snapshot') AS n_snapshot, count(*) FILTER (kind = 'delta') AS n_delta, count(*) FILTER (kind = 'trade') AS n_trade, count(*) FILTER (kind = 'gap') AS n_gap FROM msg GROUP BY ALL",
     "time_windows": f"WITH {MSG} SELECT ticker, (recv_ts_us - 1704067200000000) // 300000000 * 300000000 + 1704067200000000 AS lo_us, count(*) AS n FROM msg GROUP BY ALL",
     "json_decode_outcomes": f"""WITH {MSG},
-      c AS (SELECT kind AS kind0, qty_centi, price_micro, CASE WHEN event_id % 31 = 5 THEN 'json parse' WHEN event_id % 31 = 6 THEN 'schema' WHEN kind = 'delta' AND event_id % 31 IN (1, 2) THEN 'json parse'
-        WHEN kind = 'trade' AND (event_id % 31 = 3 OR qty_centi < 0) THEN 'json parse' WHEN kind = 'gap' AND event_id % 31 = 4 THEN 'json parse' END AS error_class, event_id % 31 AS e FROM msg WHERE kind <> 'snapshot')
+      k AS (SELECT *, CASE WHEN kind = 'snapshot' AND event_id % 3 = 0 THEN 'verify' ELSE kind END AS kind0, event_id % 31 AS e FROM msg),
+      c AS (SELECT kind0, qty_centi, price_micro, event_id, e, CASE WHEN e = 5 THEN 'json parse' WHEN e = 6 THEN 'schema' WHEN kind IN ('delta', 'snapshot') AND e IN (1, 2) THEN 'json parse'
+        WHEN kind = 'trade' AND (e = 3 OR qty_centi < 0) THEN 'json parse' WHEN kind = 'gap' AND e = 4 THEN 'json parse' END AS error_class FROM k)
       SELECT kind0, error_class, count(*) AS n, CAST(sum(CASE WHEN kind0 = 'delta' AND e <> 5 THEN qty_centi END) AS BIGINT) AS delta_sum,
-        CAST(sum(CASE WHEN kind0 = 'trade' AND e <> 5 THEN CASE WHEN e = 3 THEN -1 ELSE price_micro END END) AS BIGINT) AS price_sum FROM c GROUP BY ALL""",
+        CAST(sum(CASE WHEN kind0 = 'trade' AND e <> 5 THEN CASE WHEN e = 3 THEN -1 ELSE price_micro END END) AS BIGINT) AS price_sum,
+        CAST(sum(CASE WHEN kind0 IN ('snapshot', 'verify') AND error_class IS NULL THEN CASE WHEN event_id % 2 = 0 THEN 3 ELSE 6 END END) AS BIGINT) AS n_levels,
+        CAST(sum(CASE WHEN kind0 IN ('snapshot', 'verify') AND error_class IS NULL THEN 3 * (1000 + event_id % 50 * 100) + 30 END) AS BIGINT) AS yes_quantity FROM c GROUP BY ALL""",
     "frame_decode_outcomes": f"""WITH {MSG},
       c AS (SELECT *, CASE WHEN event_id % 29 = 3 THEN 'raw' WHEN kind = 'snapshot' THEN 'snapshot' WHEN kind = 'gap' THEN CASE WHEN event_id % 2 = 0 THEN 'control' ELSE 'raw' END
         WHEN kind = 'trade' THEN CASE WHEN event_id % 29 = 1 OR qty_centi < 0 THEN 'raw' ELSE 'trade' END WHEN event_id % 29 = 2 THEN 'raw' ELSE 'delta' END AS outcome,

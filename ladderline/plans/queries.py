@@ -78,9 +78,9 @@ def gap_markers(spark, d):
 
 
 def _frames(spark, d):
-    """Frames of a connection per ticker, some of them lost, repeated or without seq."""
-    m = adapter.messages(spark, d).where("kind <> 'gap' AND event_id % 17 <> 3")
-    return m.selectExpr("ticker AS sid", "line_no", "kind", "CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN line_no - 1 ELSE line_no END AS seq")
+    """Frames of a connection per ticker; some seqs jump, repeat or are absent."""
+    m = adapter.messages(spark, d).where("kind <> 'gap'")
+    return m.selectExpr("ticker AS sid", "line_no", "kind", "CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN line_no - 1 WHEN event_id % 17 = 3 THEN line_no + 2 ELSE line_no END AS seq")
 
 
 def seq_gap_detect(spark, d):
@@ -263,8 +263,9 @@ def diagonal_union(spark, d):
 
 def settled_units(spark, d):
     m = adapter.markets(spark, d)
-    targets = m.select(F.concat(F.lit("u"), F.col("pos") % 500).alias("unit"), "ticker").distinct()
-    return catalog.settled(targets, m.select("ticker", "status", F.col("pos").alias("seen_us")).where("seen_us % 9 <> 4"))
+    # Some targets are on no list.
+    targets = m.select(F.concat(F.lit("u"), F.col("pos") % 500).alias("unit"), F.expr("IF(pos % 9 = 4, concat(ticker, '-X'), ticker)").alias("ticker")).distinct()
+    return catalog.settled(targets, m.select("ticker", "status", F.col("pos").alias("seen_us")))
 
 
 def first_seen_markets(spark, d):
@@ -299,20 +300,30 @@ def pending_gaps(spark, d):
 
 
 def json_decode_outcomes(spark, d):
-    """Envelopes rendered from messages, some of them spoiled, and what decoding makes of them."""
-    m = adapter.messages(spark, d).where("kind IN ('delta', 'trade', 'gap')")
+    """Envelopes rendered from messages, some of them spoiled, and what decoding makes of them.
+    Every third snapshot is rendered as an observation of the book."""
+    m = adapter.messages(spark, d).withColumn("kind", F.expr("IF(kind = 'snapshot' AND event_id % 3 = 0, 'verify', kind)"))
     ts = "date_format(timestamp_micros(recv_ts_us), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+    level = """concat('{"price":', (1 + (event_id * 7 + k * 2) % 9) * 50000, ',"quantity":', CASE WHEN event_id % 31 = 1 THEN -1 ELSE 1000 + (event_id % 50) * 100 + k * 10 END, '}')"""
+    levels = f"concat('[', array_join(transform(array(0, 1, 2), k -> {level}), ','), ']')"
     data = f"""CASE kind
       WHEN 'delta' THEN concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","side":"', CASE WHEN event_id % 31 = 1 THEN 'up' ELSE side END, '","price":', price_micro, ',"delta":', qty_centi, CASE WHEN event_id % 31 = 2 THEN ',"x":1' ELSE '' END, '}}')
       WHEN 'trade' THEN concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","price":', CASE WHEN event_id % 31 = 3 THEN '-1' ELSE price_micro END, ',"count":', qty_centi, ',"taker_side":"', side, '","taker_book_side":null}}')
-      ELSE concat('{{"reason":"', CASE WHEN event_id % 31 = 4 THEN 'why' ELSE 'seq_jump' END, '","ticker":"', ticker, '","channel":"orderbook","detail":"d"}}') END"""
+      WHEN 'gap' THEN concat('{{"reason":"', CASE WHEN event_id % 31 = 4 THEN 'why' ELSE 'seq_jump' END, '","ticker":"', ticker, '","channel":"orderbook","detail":"d"}}')
+      ELSE concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","yes":', {levels}, ',"no":', CASE WHEN event_id % 31 = 2 THEN '7' WHEN event_id % 2 = 0 THEN '[]' ELSE {levels} END, '}}') END"""
     text = f"""CASE WHEN event_id % 31 = 5 THEN 'not json' ELSE
       concat('{{"v":', CASE WHEN event_id % 31 = 6 THEN 3 ELSE 2 END, ',"recv_ts":"', {ts}, '","seq":', line_no, ',"kind":"', kind, '","extra":0,"data":', {data}, '}}') END"""
     lines = m.selectExpr("ticker", "'orderbook' AS channel", "'f' AS file", "line_no", f"{text} AS text", "kind AS kind0")
     from ..sources import capture
 
     out = capture.decode(lines)
-    return out.groupBy("kind0", F.substring_index("error", ":", 1).alias("error_class")).agg(F.count(F.lit(1)).alias("n"), F.sum("delta.delta").alias("delta_sum"), F.sum("trade.price").alias("price_sum"))
+    size = lambda k: F.coalesce(F.size(f"{k}.yes"), F.lit(0)) + F.coalesce(F.size(f"{k}.no"), F.lit(0))
+    good = F.col("error").isNull()
+    n_levels = F.sum(F.when(good & F.col("kind0").isin("snapshot", "verify"), size("snapshot") + size("verify")))
+    quantity = F.sum(F.when(good, F.aggregate(F.coalesce("snapshot.yes", "verify.yes"), F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"].cast("bigint"))))
+    return out.groupBy("kind0", F.substring_index("error", ":", 1).alias("error_class")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("delta.delta").alias("delta_sum"), F.sum("trade.price").alias("price_sum"), n_levels.alias("n_levels"), quantity.alias("yes_quantity")
+    )
 
 
 def frame_decode_outcomes(spark, d):
