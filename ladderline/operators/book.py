@@ -111,22 +111,27 @@ def book_top(book_events: DataFrame, split_epochs: bool = False) -> DataFrame:
         F.count(F.when(yes, p)).alias("yl"), F.count(F.when(no, p)).alias("nl"),
     )
     t = events.join(best, ["ticker", "epoch", "event_idx"], "left")
+    return top_rows(t.withColumn("event", F.when(F.col("is_snapshot"), "snapshot").otherwise("delta")))
+
+
+def top_rows(t: DataFrame, *more: str) -> DataFrame:
+    """The columns of book_top from those of the best levels: yb, ybs, nb, nbs (best prices and
+    their sizes), yt, nt (totals), yl, nl (numbers of levels); null on an empty side. ``more``
+    names columns to keep."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     t = t.select(
-        "ticker", "event_idx", "recv_ts_us", "event_ts_us", "seq",
-        F.when(F.col("is_snapshot"), "snapshot").otherwise("delta").alias("event"),
+        "ticker", "event_idx", "recv_ts_us", "event_ts_us", "seq", "event",
         F.col("yb").alias("yes_bid_micro"), zero("ybs").alias("yes_bid_sz_centi"),
-        complement(F.col("nb")).alias("yes_ask_micro"), F.col("nb").alias("_nb"), zero("nbs").alias("yes_ask_sz_centi"),
-        zero("yt").alias("yes_total_centi"), zero("nt").alias("no_total_centi"), zero("yl").alias("yes_levels"), zero("nl").alias("no_levels"),
+        F.when(F.col("nb").isNotNull(), complement(F.col("nb"))).alias("yes_ask_micro"), zero("nbs").alias("yes_ask_sz_centi"),
+        zero("yt").alias("yes_total_centi"), zero("nt").alias("no_total_centi"), zero("yl").alias("yes_levels"), zero("nl").alias("no_levels"), *more,
     )
-    ask = F.when(F.col("_nb").isNotNull(), F.col("yes_ask_micro"))
-    return t.withColumn("yes_ask_micro", ask).select(
+    return t.select(
         "ticker", "event_idx", "recv_ts_us", "event_ts_us", "seq", "event",
         "yes_bid_micro", "yes_bid_sz_centi", "yes_ask_micro", "yes_ask_sz_centi",
         mid(F.col("yes_bid_micro"), F.col("yes_ask_micro")).alias("mid_micro"),
         spread(F.col("yes_bid_micro"), F.col("yes_ask_micro")).alias("spread_micro"),
         "yes_total_centi", "no_total_centi", "yes_levels", "no_levels",
-        imbalance(F.col("yes_total_centi"), F.col("no_total_centi")).alias("imbalance"),
+        imbalance(F.col("yes_total_centi"), F.col("no_total_centi")).alias("imbalance"), *more,
     )
 
 
@@ -151,12 +156,14 @@ def book_states(book_events: DataFrame, only: DataFrame | None = None) -> DataFr
 def book_at(book_events: DataFrame, t_us: int) -> DataFrame:
     """The ladder that holds just before an instant: levels with quantity, by price.
 
-    Only messages with a receive time before t count; the filter reaches the scan.
+    Only messages with a receive time before t count; the filter reaches the scan. Of each
+    ticker only those since its last snapshot are replayed.
     """
     before = book_events.where(F.col("recv_ts_us") < F.lit(t_us))
-    levels = replay_levels(before)
-    now = with_epoch(before).groupBy("ticker").agg(F.max("epoch").alias("epoch"))
-    return levels.join(now, ["ticker", "epoch"]).where("next_idx IS NULL AND qty_after > 0").select("ticker", "side", "price_micro", F.col("qty_after").alias("qty_centi"))
+    last = before.where("is_snapshot").groupBy("ticker").agg(F.max("event_idx").alias("_last"))
+    since = before.join(last, "ticker", "left").where("_last IS NULL OR event_idx >= _last").drop("_last")
+    levels = replay_levels(since)
+    return levels.where("next_idx IS NULL AND qty_after > 0").select("ticker", "side", "price_micro", F.col("qty_after").alias("qty_centi"))
 
 
 def two_sided(top: DataFrame) -> DataFrame:

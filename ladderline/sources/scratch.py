@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,13 +16,16 @@ _own: str | None = None
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write a frame below ``spark.checkpoint.dir`` and read it back, which ends its lineage.
 
-    Without that setting (one machine, tests) a temporary folder of this process is used.
+    Without that setting a temporary folder of this process is used on a local master; on a
+    cluster, where executors would each write to a disk of their own, it is an error.
     Folders go when the JVM ends.
     """
     global _own
     spark = df.sparkSession
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _own is None:
             _own = tempfile.mkdtemp(prefix="ladderline-scratch-")
             atexit.register(shutil.rmtree, _own, ignore_errors=True)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import book
 from ..sources import capture
 
 
@@ -33,8 +34,8 @@ def capture_stream(spark: SparkSession, base: str, files_per_trigger: int = 100)
     return capture.decode(lines)
 
 
-_TOP = "ticker string, line_no bigint, recv_ts_us bigint, yes_bid_micro bigint, yes_ask_micro bigint, yes_levels bigint, no_levels bigint, underflows bigint"
-_BOOK = "side array<int>, price array<bigint>, qty array<bigint>, underflows bigint"
+_TOP = "ticker string, event_idx bigint, line_no bigint, recv_ts_us bigint, event_ts_us bigint, seq bigint, event string, yb bigint, ybs bigint, nb bigint, nbs bigint, yt bigint, nt bigint, yl bigint, nl bigint, underflows bigint"
+_BOOK = "event_idx bigint, side array<int>, price array<bigint>, qty array<bigint>, underflows bigint"
 
 
 class BookState:
@@ -55,35 +56,43 @@ class BookState:
         else:
             self.levels.pop(key, None)
 
-    def top(self) -> tuple[int | None, int | None, int, int]:
-        yes = [p for s, p in self.levels if s == 0]
-        no = [p for s, p in self.levels if s == 1]
-        return max(yes, default=None), max(0, 1_000_000 - max(no)) if no else None, len(yes), len(no)
+    def side(self, which: int) -> tuple[int | None, int | None, int, int]:
+        """Best price, its quantity, total quantity and number of levels of a side."""
+        own = {p: q for (s, p), q in self.levels.items() if s == which}
+        best = max(own, default=None)
+        return best, own.get(best), sum(own.values()), len(own)
 
 
 def book_top_stream(messages: DataFrame) -> DataFrame:
-    """Top of book after each message; state per ticker is its ladder. Messages of a ticker are
-    taken in line order inside a micro-batch; files must land in capture order."""
+    """The rows of ``book_top``, with line_no and underflows so far, as messages arrive.
+
+    Messages of a ticker are taken in line order inside a micro-batch; files must land in capture
+    order. State per ticker: its ladder, the number of messages and of underflows so far.
+    """
+    names = [f.split()[0] for f in _TOP.split(", ")]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
-            sides, prices, qtys, under = state.get
+            at, sides, prices, qtys, under = state.get
             b = BookState({(s, p): q for s, p, q in zip(sides, prices, qtys, strict=True)}, under)
         else:
-            b = BookState()
+            at, b = 0, BookState()
         rows = []
         for r in pd.concat(list(batches)).sort_values(["file", "line_no"]).itertuples():
             if r.kind == "snapshot":
                 b.snapshot(r.yes, r.no)
             else:
                 b.delta(r.side, int(r.price_micro), int(r.delta_centi))
-            rows.append((key[0], r.line_no, r.recv_ts_us, *b.top(), b.underflows))
+            (yb, ybs, yt, yl), (nb, nbs, nt, nl) = b.side(0), b.side(1)
+            rows.append((key[0], at, r.line_no, r.recv_ts_us, r.event_ts_us, r.seq, r.kind, yb, ybs, nb, nbs, yt, nt, yl, nl, b.underflows))
+            at += 1
         sides, prices = [s for s, _ in b.levels], [p for _, p in b.levels]
-        state.update((sides, prices, list(b.levels.values()), b.underflows))
-        out = pd.DataFrame(rows, columns=["ticker", "line_no", "recv_ts_us", "yes_bid_micro", "yes_ask_micro", "yes_levels", "no_levels", "underflows"])
-        yield out.astype({"yes_bid_micro": "Int64", "yes_ask_micro": "Int64"})
+        state.update((at, sides, prices, list(b.levels.values()), b.underflows))
+        out = pd.DataFrame(rows, columns=names)
+        yield out.astype({c: "Int64" for c in names if c not in ("ticker", "event")})
 
-    return messages.groupBy("ticker").applyInPandasWithState(step, _TOP, _BOOK, "append", GroupStateTimeout.NoTimeout)
+    got = messages.groupBy("ticker").applyInPandasWithState(step, _TOP, _BOOK, "append", GroupStateTimeout.NoTimeout)
+    return book.top_rows(got, "line_no", "underflows")
 
 
 _VERDICT = "sid string, line_no bigint, kind string, seq bigint, last_seq bigint, verdict string"
