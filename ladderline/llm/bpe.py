@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import ChunkEncoder, pieces_of, ship
+from .text import ChunkEncoder, begin, cached_by, pieces_of, ship
 
 SHIFT = 0x100
 
@@ -118,10 +118,12 @@ class ByteBpe:
 
 
 _models: dict[tuple[str, str], ByteBpe] = {}
+cached_by("bpe", _models.clear)
 
 
 def model_of(ranks_path: str, pattern: str) -> ByteBpe:
     """One model for each worker process, with the chunks it has met."""
+    begin("bpe")
     key = (ranks_path, pattern)
     if key not in _models:
         _models[key] = ByteBpe(*key)

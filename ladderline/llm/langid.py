@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import as_bytes, pieces_of, saved, ship
+from .text import as_bytes, begin, pieces_of, quoted, saved, ship
 
 BUCKETS = 1 << 16
 OTHER = "und"
@@ -52,6 +52,7 @@ SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "e
 
 def trigram_counts(text: bytes | None) -> np.ndarray:
     """Counts of hashed byte trigrams of the letters and blanks of a text; others become a blank."""
+    begin("langid")
     b = np.frombuffer(b" " + (text or b"").lower() + b" ", np.uint8)
     letter = (b >= 128) | ((b >= 97) & (b <= 122))
     b = np.where(letter, b, 32).astype(np.uint32)
@@ -128,11 +129,13 @@ def identify(rows: DataFrame, model: LangModel, p: LangParams = LangParams(), ke
     name); either may be absent or null in rows, and is then no evidence. A host's last label
     is its suffix. A text without letters has no text evidence. kept: the background ("und")
     has less than ``p.reject`` of the posterior, and there is a letter. Null texts are empty
-    ones (not kept); null keys and repeated rows are treated as other rows.
+    ones (not kept); null keys and repeated rows are treated as other rows. A model without
+    languages (no label to learn from) finds "und" everywhere and keeps every row with a letter.
     """
     ship(rows.sparkSession)
-    n = len(model.langs)
-    cols = list(dict.fromkeys([key, *keep]))
+    n, found = len(model.langs), ("lang_pred", "lang_prob", "kept")
+    kept = list(dict.fromkeys([key, *keep]))
+    cols = [f"_c{i}" for i in range(len(kept))]
     temper, other, trust_d, trust_s = p.temper, p.other_prior, p.trust_markup, p.trust_suffix
     index = {lang: i for i, lang in enumerate(model.langs)}
 
@@ -161,10 +164,13 @@ def identify(rows: DataFrame, model: LangModel, p: LangParams = LangParams(), ke
     dec = F.lower(F.col(declared).cast("string")) if declared else F.lit(None).cast("string")
     hst = F.coalesce(F.col(host).cast("string"), F.lit("")) if host else F.lit("")
     suffix = F.when(hst.contains("."), F.substring_index(hst, ".", -1)).otherwise(F.lit(""))
-    src = rows.select(F.col(text).cast("string").alias("_text"), dec.alias("_declared"), hst.alias("_host"), suffix.alias("_suffix"), *cols)
-    schema = "_ll array<double>, _letters boolean, _host string, _suffix string, " + ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in cols)
+    src = rows.select(F.col(text).cast("string").alias("_text"), dec.alias("_declared"), hst.alias("_host"), suffix.alias("_suffix"), *[quoted(k).alias(c) for c, k in zip(cols, kept, strict=True)])
+    schema = "_ll array<double>, _letters boolean, _host string, _suffix string, " + ", ".join(f"{c} {rows.schema[k].dataType.simpleString()}" for c, k in zip(cols, kept, strict=True))
     ev = saved(src.mapInArrow(run, schema), "evidence")
 
+    if not n:
+        return ev.select(*cols, F.lit(OTHER), F.lit(1.0), "_letters").toDF(*kept, *found)
+
     # Expected counts by host, from evidence alone; a text without letters adds nothing.
     e = [f"exp(_ll[{i}])" for i in range(n)]
     total = " + ".join([*e, f"{other} * exp(_ll[{n}])"])
@@ -174,7 +180,7 @@ def identify(rows: DataFrame, model: LangModel, p: LangParams = LangParams(), ke
     by_group = by_host.groupBy("_suffix").agg(*add)
     overall = by_group.agg(*add).first()
     g = np.array([(overall[i] or 0.0) + 1 for i in range(n)])
-    g = g / g.sum() if n else g
+    g = g / g.sum()
     arr = lambda mass, counts, base: F.array(*[(F.col(c) + mass * b) / (sum((F.col(x) for x in counts), F.lit(0.0)) + mass) for c, b in zip(counts, base, strict=True)])
     cs = [f"c{i}" for i in range(n)]
     group = by_group.select("_suffix", arr(p.group_mass, cs, [F.lit(float(x)) for x in g]).alias("_gp"))
@@ -186,7 +192,7 @@ def identify(rows: DataFrame, model: LangModel, p: LangParams = LangParams(), ke
     best = F.array_position("_w", F.col("_top"))
     return fused.select(
         *cols,
-        F.when(F.col("_letters"), F.get(names, (best - 1).cast("int"))).otherwise(F.lit(OTHER)).alias("lang_pred"),
-        (F.col("_top") / F.col("_sum")).alias("lang_prob"),
-        (F.col("_letters") & (F.col("_w")[n] < F.lit(p.reject) * F.col("_sum"))).alias("kept"),
-    )
+        F.when(F.col("_letters"), F.get(names, (best - 1).cast("int"))).otherwise(F.lit(OTHER)),
+        F.col("_top") / F.col("_sum"),
+        F.col("_letters") & (F.col("_w")[n] < F.lit(p.reject) * F.col("_sum")),
+    ).toDF(*kept, *found)

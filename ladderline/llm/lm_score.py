@@ -21,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import MIX_B, MIX_C, WordHash, as_bytes, lower_words, saved, scramble, ship
+from .text import MIX_B, MIX_C, WordHash, as_bytes, begin, cached_by, lower_words, saved, scramble, ship
 
 END = np.uint64(0x51ED270B9F0DA3A7)
 BLOCK_BYTES = 4 << 20
+OWNER_BLOCKS = 4
 #: EM sees log2 probabilities in steps of a quarter: a bounded grid, whatever the corpus.
 STEP, LOWEST, BUCKETS = 0.25, 64.0, 40
 
 _hashes = WordHash()
+cached_by("lm_score", _hashes.clear)
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -45,6 +47,7 @@ class Block:
     """Tokens of some documents and their distinct keys (words, bigrams) with training counts."""
 
     def __init__(self, texts: list[bytes | None], training: np.ndarray):
+        begin("lm_score")
         parts, lens = [], np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
             h = _hashes.of(lower_words(t))
@@ -68,27 +71,29 @@ class Block:
         self.word_at, self.pair_at = where[word], where[len(uni) + pair]
 
     def ranges(self, n: int) -> Iterator[tuple[int, slice]]:
-        """Slices of the sorted keys by owner; n is a power of two."""
+        """Slices of the sorted keys by owner, for owners that have any; n is a power of two."""
         shift = np.uint64(64 - (n.bit_length() - 1))
         owner = (self.keys >> shift).astype(np.int64) if n > 1 else np.zeros(len(self.keys), np.int64)
-        cut = np.searchsorted(owner, np.arange(n + 1))
-        for o in range(n):
-            if cut[o] < cut[o + 1]:
-                yield o, slice(int(cut[o]), int(cut[o + 1]))
+        own, first = np.unique(owner, return_index=True)
+        for o, x, y in zip(own.tolist(), first.tolist(), [*first[1:].tolist(), len(owner)], strict=True):
+            yield o, slice(x, y)
 
 
 def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFrame:
     """Rows of key, training, and per token (arrays) the counts pair and word.
 
-    The count of the token before is that of the neighbour, so it isn't stored. One row without key holds the training tokens N and distinct training words V of each
-    owner of a range of hashes.
+    The count of the token before is that of the neighbour, so it isn't stored. One row without
+    key holds the training tokens N and distinct training words V of each owner of a range of
+    hashes. An owner gets as many keys as some ``OWNER_BLOCKS`` blocks have, whatever the corpus,
+    so a block's messages get smaller as the corpus grows: from 50 kB at 0.5 GB and 1 kB at 30 GB
+    down to single keys. There are never more of them than keys; totals are 64-bit numbers.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(docs[key].alias("id"), F.coalesce(F.col(text), F.lit("")).cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-int(size) // BLOCK_BYTES))
-    owners = 1 << max(0, (blocks - 1).bit_length())
+    owners = 1 << max(0, (-(-blocks // OWNER_BLOCKS) - 1).bit_length())
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", F.length("text")), F.lit(blocks)).cast("int"))
     kind = docs.schema[key].dataType.simpleString()
 
@@ -114,7 +119,7 @@ def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFr
         is_word = word[order][head].astype(bool)
         at, cut = 0, []
         for k in keys:
-            cut.append(planes(total[at : at + len(k)].astype("<u4")))
+            cut.append(planes(total[at : at + len(k)]))
             at += len(k)
         own = t.column("owner")[0].as_py()
         more = np.array([int(sums[is_word].sum()), int((sums[is_word] > 0).sum())], "<i8").tobytes()
@@ -122,14 +127,14 @@ def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFr
         return pa.table({"block": pa.array(blocks_, pa.int32()), "owner": pa.array([own] * len(blocks_), pa.int32()), "totals": pa.array([*cut, more], pa.binary())})
 
     def annotate(t: pa.Table, answers: pa.Table) -> pa.Table:
-        longs = pa.list_(pa.int32())
+        longs = pa.list_(pa.int64())
         schema = pa.schema([("id", t.schema.field("id").type), ("train", pa.bool_()), ("pair", longs), ("word", longs), ("n", pa.int64()), ("v", pa.int64())])
         if not t.num_rows:
             s = np.sum([np.frombuffer(x, "<i8") for x in answers.column("totals").to_pylist()], axis=0) if answers.num_rows else [0, 0]
             return pa.table([[None], [None], [None], [None], [int(s[0])], [int(s[1])]], schema=schema)
         b = block_of(t)
         a = sorted(zip(answers.column("owner").to_pylist(), answers.column("totals").to_pylist(), strict=True))
-        total = np.concatenate([unplanes(x, "<u4") for _, x in a]).astype(np.int32)
+        total = np.concatenate([unplanes(x, "<i8") for _, x in a])
         ends = pa.array(np.concatenate([[0], np.cumsum(b.lens)]).astype(np.int32))
         lists = [pa.ListArray.from_arrays(ends, pa.array(total[x])) for x in (b.pair_at, b.word_at)]
         none = pa.nulls(t.num_rows, pa.int64())
@@ -138,7 +143,7 @@ def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFr
     by_block = dealt.groupBy("block")
     asked = by_block.applyInArrow(ask, "owner int, block int, keys binary, counts binary, words binary")
     answers = asked.groupBy("owner").applyInArrow(answer, "block int, owner int, totals binary")
-    out = f"id {kind}, train boolean, pair array<int>, word array<int>, n bigint, v bigint"
+    out = f"id {kind}, train boolean, pair array<bigint>, word array<bigint>, n bigint, v bigint"
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(annotate, out)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import MIX_C, WordHash, as_bytes, lower_words, pieces_of, saved, scramble, ship, shingle_hashes
+from .text import MIX_C, WordHash, as_bytes, begin, cached_by, lower_words, pieces_of, saved, scramble, ship, shingle_hashes
 
 BANDS, ROWS, SKETCH_WORDS = 40, 5, 8
 #: Sketches of 512 bits that differ in more than this are not compared further. Samples that
@@ -83,10 +83,12 @@ def odd_sketch(mins: np.ndarray, perm: np.ndarray = _PERM, bits: int = 64 * SKET
 
 
 _hashes = WordHash()
+cached_by("near_dedup", _hashes.clear)
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of k-word shingles; of the whole sequence if it is shorter."""
+    begin("near_dedup")
     return np.unique(shingle_hashes(_hashes.of(lower_words(text)), k))
 
 
@@ -127,7 +129,8 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     hashed = docs.withColumn("_slot", slot())
     # One row for each word of the bitmap: a proven bound.
     likely = hashed.join(F.broadcast(words), F.shiftright("_slot", 6) == F.col("_word")).where("bit_get(_mask, CAST(_slot & 63 AS INT)) = 1")
-    return likely.select("id", "_text").join(ids, "id", "left_semi")
+    # Not a semi-join, which would be moved before the filter.
+    return likely.select("id", "_text").join(ids.distinct(), "id")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame, k: int, key: str, text: str) -> DataFrame:
@@ -324,7 +327,7 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     nodes = live.select("node").distinct()
     sketches = saved(reps.drop("bands").join(nodes, "node", "left_semi"), "sketches")
     sizes = sketches.select("node", "n")
-    sets = saved(_sets(docs, classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("id")).distinct(), nodes, k, key, text), "sets")
+    sets = saved(_sets(docs, classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("id")), nodes, k, key, text), "sets")
 
     links = tested = classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     roots = links.toDF("node", "label")

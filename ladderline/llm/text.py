@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: White space of the word pattern, as a Java and DuckDB character class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -28,12 +32,15 @@ _shipped: set[str] = set()
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors see.
 
-    Where that setting is absent (tests, a single machine) a temporary folder of this
-    process stands in. Folders go when the JVM ends.
+    Where that setting is absent a temporary folder of this process stands in on a local master;
+    on a cluster, whose executors would each write to a disk of their own, it is an error.
+    Folders go when the JVM ends.
     """
     global _own_dir
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _own_dir is None:
             _own_dir = tempfile.mkdtemp(prefix="ladderline-")
             atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
@@ -77,6 +84,45 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def free(name: str, taken: Collection[str]) -> str:
+    """``name``, with as many underscores before it as it takes to clash with none, in any case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+_caches: dict[str, Callable[[], None]] = {}
+_user = ""
+
+
+def cached_by(user: str, clear: Callable[[], None]) -> None:
+    """Names the operator for which a worker keeps something between tasks, and how to drop it."""
+    _caches[user] = clear
+
+
+def begin(user: str) -> None:
+    """Called where a task of an operator starts. A worker outlives its tasks: what it kept for
+    another operator goes, and freed memory goes back to the system."""
+    global _user
+    if user == _user:
+        return
+    _user = user
+    for name, clear in _caches.items():
+        if name != user:
+            clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class WordHash(dict):
     """64-bit hashes of words, kept for the words met lately (bounded memory)."""
 
@@ -140,55 +186,86 @@ def as_bytes(col: pa.Array) -> list[bytes | None]:
     return col.cast(pa.binary()).to_pylist()
 
 
-_MARKS = ".,;:!?"
-
-
+_MARKS = ".,;:!?#$%&*"
 class _Irregular(Exception):
     pass
 
 
+class Recent:
+    """Ids of strings met lately, in two generations of about half of ``most`` bytes each."""
+
+    def __init__(self, most: int):
+        self.most, self.size = most, 0
+        self.new: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def turn(self) -> None:
+        if 2 * self.size > self.most:
+            self.old, self.new, self.size = self.new, {}, 0
+
+    def unknown(self, strings: set[str]) -> set[str]:
+        """Those that are new; known ones are in ``self.new`` from now on."""
+        strings = strings.difference(self.new)
+        first = strings.difference(self.old)
+        again = strings.difference(first)
+        self.put(again, map(self.old.__getitem__, again))
+        return first
+
+    def put(self, strings: Collection[str], ids: Iterable[bytes | None]) -> None:
+        self.new.update(zip(strings, ids, strict=True))
+        # What Python takes for a string, a bytes object and their place in the table.
+        self.size += sum(map(len, strings)) + 220 * len(strings)
+
+
 class ChunkEncoder:
     """Token ids of whole texts from ids of their space-separated chunks.
 
     A byte-level BPE pre-token never spans a single space that has other characters on both
     sides; it can only begin with it. So a text is the sequence of its chunks (each a space
     and what follows up to the next space), and ids of a chunk depend on it alone. Ids of
-    chunks met lately are kept; memory is bounded by dropping the older half. Texts where a
-    space touches other white space go through ``whole`` instead.
+    chunks met lately are kept, within ``most`` bytes. Texts where a space touches other white
+    space, or that hold one of ``apart`` (added tokens), go through ``whole`` instead.
+
+    Where the pattern makes letters, a run of marks and a line feed pre-tokens of their own,
+    which is tried out once, a new chunk is put together from those, mostly known, parts.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], most: int = 200_000):
-        self.encode, self.whole, self.most = encode, whole, most
-        self.new: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-        self.marks: dict[str, bytes] = {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], most: int = 128 << 20, apart: tuple[str, ...] = ()):
+        self.encode, self.whole, self.apart = encode, whole, apart
+        #: Chunks, without their space; and strings that no space precedes.
+        self.chunks, self.bare = Recent(most * 7 // 8), Recent(most // 8)
+        cut = encode([" ab.?\nCd$$,", " ab", ".?", "\n", "Cd", "$$,"])
+        self.line = cut[3]
+        self.in_parts = cut[0] == b"".join(cut[1:])
 
     def _learn(self, chunks: set[str]) -> None:
-        """Make every chunk known. Letters with one mark at the end are two pre-tokens: their ids
-        are those of the letters, which are often known already, and of the mark."""
-        missing, marked = [], []
-        for c in chunks:
-            if (got := self.old.get(c, 0)) != 0:
-                self.new[c] = got
-            elif not c or c[0].isspace() or c[-1].isspace():
-                self.new[c] = None
-            elif c[-1] in _MARKS and c[:-1].isalpha():
-                marked.append(c)
-                if (core := c[:-1]) not in self.new and core not in chunks:
-                    if (got := self.old.get(core)) is not None:
-                        self.new[core] = got
-                    else:
-                        missing.append(core)
-                        self.new[core] = b""
+        chunks = self.chunks.unknown(chunks)
+        words = set(filter(str.isalpha, chunks))
+        made, blank = [], []
+        for c in chunks - words:
+            a = c.rstrip(_MARKS)
+            if a.isalpha() and self.in_parts:
+                made.append((c, a, c[len(a) :], "", ""))
+                continue
+            if not c or c[0].isspace() or c[-1].isspace():
+                blank.append(c)
+                continue
+            x, _, y = c.partition("\n")
+            a, b = x.rstrip(_MARKS), y.rstrip(_MARKS)
+            if a.isalpha() and b.isalpha() and self.in_parts:
+                made.append((c, a, x[len(a) :], b, y[len(b) :]))
             else:
-                missing.append(c)
+                words.add(c)
+        missing = [*words, *self.chunks.unknown({x[1] for x in made} - words)]
         for i in range(0, len(missing), 4096):
             part = missing[i : i + 4096]
-            self.new.update(zip(part, self.encode([" " + c for c in part]), strict=True))
-        if marked and not self.marks:
-            self.marks = dict(zip(_MARKS, self.encode(list(_MARKS)), strict=True))
-        for c in marked:
-            self.new[c] = self.new[c[:-1]] + self.marks[c[-1]]
+            self.chunks.put(part, self.encode([" " + c for c in part]))
+        if made:
+            bare = [*self.bare.unknown({p for x in made for p in x[2:] if p})]
+            self.bare.put(bare, self.encode(bare))
+            of, at = self.chunks.new, self.bare.new
+            self.chunks.put([x[0] for x in made], [of[a] + (at[m] if m else b"") + (self.line + at[b] + (at[n] if n else b"") if b else b"") for _, a, m, b, n in made])
+        self.chunks.put(blank, [None] * len(blank))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
@@ -196,12 +273,12 @@ class ChunkEncoder:
         need: set[str] = set()
         for c in cut:
             need.update(c[1:])
-        if len(self.new) + len(need) > self.most:
-            self.old, self.new = self.new, {}
-        self._learn(need.difference(self.new))
-        heads = [i for i, c in enumerate(cut) if c[0] and not c[0][-1].isspace()]
+        self.chunks.turn()
+        self.bare.turn()
+        self._learn(need)
+        heads = [i for i, c in enumerate(cut) if c[0] and not c[0][-1].isspace() and not any(x in texts[i] for x in self.apart)]
         first = dict(zip(heads, self.encode([cut[i][0] for i in heads]), strict=True)) if heads else {}
-        get, out = self.new.__getitem__, []
+        get, out = self.chunks.new.__getitem__, []
         for i, (t, c) in enumerate(zip(texts, cut, strict=True)):
             if not t:
                 out.append(b"")

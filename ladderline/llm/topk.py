@@ -10,8 +10,9 @@ A search expands rings nearest first. Its first step visits, in order of their b
 rings that surely hold k candidates, which gives a k-th best score. The second visits only
 the rings whose bound admits a score at least that good, and is exact: a ring left out can't
 hold a better vector or an equal one. Rings are stored in blocks of bounded size, queries
-are dealt in blocks too, and only (query block, ring block) pairs are multiplied; each
-returns k rows for each query at most.
+are taken in blocks too, and only (query block, ring block) pairs are multiplied, each with
+the queries of the block that visit the ring, in the narrowest integer type that holds them;
+a pair returns k rows for each query at most.
 
 Pivots are k-means centres of a bounded sample; every vector is indexed. Scores are inner
 products of integer vectors in 64-bit arithmetic.
@@ -80,23 +81,31 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, d2))
 
 
+def narrowest(square: float) -> str:
+    """The integer type for components of vectors of at most that squared norm."""
+    return "<i2" if square < 2**30 else "<i4" if square < 2**62 else "<i8"
+
+
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", scale: int = 1024, p: IndexParams = IndexParams()) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k largest scores of each query.
 
     Candidates are all rows but those with the query's own id; ties go to the smaller id.
-    Fewer than k candidates give fewer rows. Repeated rows count each. All usable vectors must
-    have one length, else an error is raised. Empty tables give no rows.
+    Fewer than k candidates give fewer rows. Repeated rows count each; rows that repeat a
+    query's id compete for the same k ranks. The commonest length among usable vectors of ``rows`` (the shortest of several)
+    is the index's; vectors of any other length take no part. Empty tables give no rows.
     """
     spark = rows.sparkSession
     ship(spark)
-    base = quantise(rows, key, vector, scale)
+    base = quantise(rows, key, vector, scale).where(F.size("vec") > 0)
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    stats = base.agg(F.count(F.lit(1)), F.max(F.aggregate("vec", F.lit(0).cast("bigint"), lambda a, v: a + v * v)), F.min(F.size("vec")), F.max(F.size("vec"))).first()
-    if not stats[0]:
+    norm = F.aggregate("vec", F.lit(0).cast("bigint"), lambda a, v: a + v * v)
+    stats = base.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m2")).orderBy(F.desc("n"), "dim").first()
+    if not stats:
         return spark.createDataFrame([], schema)
-    if stats[2] != stats[3]:
-        raise ValueError("vectors differ in length")
-    m2 = float(stats[1])
+    dim, m2 = int(stats["dim"]), float(stats["m2"])
+    base = base.where(F.size("vec") == dim)
+    # The narrowest type that holds every component: what travels most are vectors.
+    kind = narrowest(m2)
     picked = base.orderBy(F.xxhash64("id"), "id").limit(p.sample).select("vec").toArrow()  # p.sample rows at most
     pivots = fit_pivots(_lift(_matrix(picked.column(0).combine_chunks()).astype(float), m2), p.pivots)
 
@@ -131,15 +140,14 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
             for x, y in zip([0, *cut.tolist()], [*cut.tolist(), len(c)], strict=True):
                 for i in range(x, y, p.block):
                     s = b.slice(i, min(p.block, y - i))
-                    m = _matrix(s.column(3)).astype("<i8")
+                    m = _matrix(s.column(3)).astype(kind)
                     yield pa.RecordBatch.from_arrays([s.column(0)[:1], s.column(1)[:1], pa.array([s.column(2).to_numpy().astype("<i8").tobytes()]), pa.array([m.tobytes()])], names=["cell", "blk", "ids", "m"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = "cell int, blk int, ids binary, m binary"
     index = saved(cells.repartition(parts, "cell", "blk").sortWithinPartitions("cell", "blk").mapInArrow(pack, packed), "index")
 
-    q = quantise(queries, key, vector, scale)
-    dim, cell_ids = int(stats[2]), np.arange(len(ring), dtype=np.int32)
+    q = quantise(queries, key, vector, scale).where(F.size("vec") == dim)
 
     def bounds(x: np.ndarray) -> np.ndarray:
         """Largest score that each query can have in each ring, rounded up generously."""
@@ -149,14 +157,15 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
         return (m2 + (x * x).sum(1)[:, None] - low * low) / 2 * (1 + 1e-9) + 1
 
     def visits(floor: bool):
-        """(query, ring, block) rows: rings that hold k candidates, or all that may beat the floor."""
+        """A row for each block of a ring and block of queries that visit it: the rings that hold k
+        candidates, or all that may beat the floor."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for at in range(0, b.num_rows, p.query_block):
                     s = b.slice(at, p.query_block)
-                    x = _matrix(s.column(1)).astype(float)
-                    up = bounds(x)
+                    x = _matrix(s.column(1))
+                    up = bounds(x.astype(float))
                     if floor:
                         least = np.array([-np.inf if v is None else v for v in s.column(2).to_pylist()])
                         use = up >= least[:, None]
@@ -166,35 +175,20 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
                         use = np.zeros(up.shape, bool)
                         # k + 1: the query itself may be among them
                         np.put_along_axis(use, order, got < k + 1, axis=1)
-                    i, j = np.nonzero(use)
-                    n = blocks_of[j]
-                    rep = np.repeat(np.arange(len(i)), n)
-                    blk = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-                    i, j = i[rep], j[rep]
-                    for u in range(0, len(i), 1 << 14):
-                        w = slice(u, u + (1 << 14))
-                        yield pa.RecordBatch.from_arrays([s.column(0).take(pa.array(i[w])), s.column(1).take(pa.array(i[w])), pa.array(cell_ids[j[w]]), pa.array(blk[w].astype(np.int32))], names=["qid", "vec", "cell", "blk"])
+                    ids, x = s.column(0).to_numpy().astype("<i8"), x.astype(q_kind)
+                    for j in np.nonzero(use.any(axis=0))[0].tolist():
+                        who, n = use[:, j], int(blocks_of[j])
+                        same = [pa.array([v] * n, pa.binary()) for v in (ids[who].tobytes(), x[who].tobytes())]
+                        yield pa.RecordBatch.from_arrays([pa.array([j] * n, pa.int32()), pa.array(range(n), pa.int32()), *same], names=["cell", "blk", "qids", "qm"])
 
         return run
 
-    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (cell, blk) to rows of up to p.query_block queries."""
-        for b in batches:
-            if not b.num_rows:
-                continue
-            c, k2 = b.column(2).to_numpy(), b.column(3).to_numpy()
-            cut = np.nonzero((np.diff(c) != 0) | (np.diff(k2) != 0))[0] + 1
-            for x, y in zip([0, *cut.tolist()], [*cut.tolist(), len(c)], strict=True):
-                for i in range(x, y, p.query_block):
-                    s = b.slice(i, min(p.query_block, y - i))
-                    yield pa.RecordBatch.from_arrays([s.column(2)[:1], s.column(3)[:1], pa.array([s.column(0).to_numpy().astype("<i8").tobytes()]), pa.array([_matrix(s.column(1)).astype("<i8").tobytes()])], names=["cell", "blk", "qids", "qm"])
-
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The k best of a block for each query of a block."""
         for b in batches:
             for r in b.to_pylist():
                 ids, qids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["qids"], "<i8")
-                x, y = np.frombuffer(r["m"], "<i8").reshape(-1, dim), np.frombuffer(r["qm"], "<i8").reshape(-1, dim)
+                x, y = (np.frombuffer(r[m], t).reshape(-1, dim).astype(np.int64) for m, t in (("m", kind), ("qm", q_kind)))
                 # Products of components below 2^26 are exact in doubles for up to 2 dimensions
                 # only; sums below 2^53 are exact in any order, which the norms decide.
                 exact = float(np.sqrt(m2)) * float(np.sqrt((y.astype(float) ** 2).sum(1).max())) < 2**52 and np.abs(x).max(initial=0) < 2**26 and np.abs(y).max(initial=0) < 2**26
@@ -210,11 +204,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def search(src: DataFrame, floor: bool) -> DataFrame:
-        v = src.mapInArrow(visits(floor), "qid bigint, vec array<bigint>, cell int, blk int")
-        v = v.repartition(parts, "cell", "blk").sortWithinPartitions("cell", "blk").mapInArrow(group, "cell int, blk int, qids binary, qm binary")
+        v = src.mapInArrow(visits(floor), "cell int, blk int, qids binary, qm binary")
         hits = v.join(index, ["cell", "blk"]).select("ids", "m", "qids", "qm").mapInArrow(multiply, "query_id bigint, vec_id bigint, score bigint")
         return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
+    q2 = q.agg(F.coalesce(F.max(norm), F.lit(0))).first()[0]
+    q_kind = narrowest(q2)
     first = search(q, False).groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("least"))
     second = q.join(first.select(F.col("query_id").alias("id"), "least"), "id", "left")
     return search(second.select("id", "vec", "least"), True).select("query_id", "rank", "vec_id", "score")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import as_bytes, lower_words, pieces_of, ship
+from .text import as_bytes, begin, cached_by, lower_words, pieces_of, quoted, saved, ship
 
 _OUTER = b".,;:!?\"'()[]{}<>*%&$#|-_"
 
@@ -52,10 +52,12 @@ class _TermHash(dict):
 
 
 _terms = _TermHash()
+cached_by("toxicity", _terms.clear)
 
 
 def term_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct 64-bit term hashes of a text."""
+    begin("toxicity")
     words = set(lower_words(text))
     h = np.fromiter(map(_terms.__getitem__, words), np.uint64, len(words))
     h = np.unique(h)
@@ -89,6 +91,17 @@ class Fm:
         return 1.0 / (1.0 + float(np.exp(-np.clip(z, -40, 40))))
 
 
+def chi_square(df, pos, n: int, n1: float):
+    """Of a term in ``df`` of n rows, ``pos`` of them among the n1 that are toxic (arrays or columns)."""
+    share = n1 / max(1, n)
+    expect = df * share
+    return (pos - expect) ** 2 / (expect * (1 - share) * (1 - df / max(1, n)) + 1e-9)
+
+
+#: One term in a thousand gets there without any relation to the label.
+LEAST_CHI = 10.8
+
+
 def choose_terms(rows: list[np.ndarray], y: np.ndarray, p: FmParams) -> np.ndarray:
     """The terms with the largest chi-square against the label, sorted by hash."""
     if not rows or not sum(map(len, rows)):
@@ -98,19 +111,15 @@ def choose_terms(rows: list[np.ndarray], y: np.ndarray, p: FmParams) -> np.ndarr
     terms, inv = np.unique(flat, return_inverse=True)
     df = np.bincount(inv, minlength=len(terms)).astype(float)
     pos = np.bincount(inv, label, minlength=len(terms))
-    n, n1 = len(y), float(y.sum())
-    expect = df * n1 / max(1, n)
-    spread = expect * (1 - n1 / max(1, n)) * (1 - df / max(1, n)) + 1e-9
-    chi = np.where(df >= p.min_docs, (pos - expect) ** 2 / spread, 0)
-    # 10.8: one term in a thousand gets there without any relation to the label.
+    chi = np.where(df >= p.min_docs, chi_square(df, pos, len(y), float(y.sum())), 0)
     keep = np.argsort(-chi, kind="stable")[: p.terms]
-    return np.sort(terms[keep[chi[keep] > 10.8]])
+    return np.sort(terms[keep[chi[keep] > LEAST_CHI]])
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, p: FmParams = FmParams()) -> Fm:
+def train(rows: list[np.ndarray], y: np.ndarray, p: FmParams = FmParams(), terms: np.ndarray | None = None) -> Fm:
     """Fit by mini-batch AdaGrad on logistic loss; deterministic for given rows in a given order."""
     rng = np.random.default_rng(p.seed)
-    terms = choose_terms(rows, y, p)
+    terms = choose_terms(rows, y, p) if terms is None else terms
     m = Fm(terms, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), p.factors)), bool(0 < y.sum() < len(y)))
     if not len(terms):
         return m
@@ -146,6 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, p: FmParams = FmParams(), key: str =
     labels were sampled, so that a score means the same at every size of the input.
     Rows without key or label, or whose document is missing, are not used. Without any row of
     a label the model knows no difference and scores every text as clean (0).
+
+    Terms are counted and chosen by grouped aggregation. The driver gets ``p.terms`` terms, and of
+    each sampled row a bitmap of those: some kB, however long its text.
     """
     ship(docs.sparkSession)
     known = labels.where(f"`{key}` IS NOT NULL AND `{label}` IN (0, 1)").select(key, F.col(label).cast("int").alias("y"))
@@ -153,33 +165,50 @@ def fit(docs: DataFrame, labels: DataFrame, p: FmParams = FmParams(), key: str =
     # At most 2 * p.sample rows: a proven bound.
     sample = docs.select(key, docs[text].alias("_text")).join(F.broadcast(picks[0].unionAll(picks[1])), key)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
-            sets = [term_set(t).tobytes() for t in as_bytes(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, pa.binary())], names=[key, "y", "terms"])
+            sets = [term_set(t).view(np.int64) for t in as_bytes(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, pa.list_(pa.int64()))], names=[key, "y", "terms"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = sample.select(key, "_text", "y").mapInArrow(run, f"`{key}` {kind}, y int, terms binary").toArrow().to_pylist()
-    got.sort(key=lambda r: (r[key], r["y"], r["terms"]))
-    m = train([np.frombuffer(r["terms"], np.uint64) for r in got], np.array([r["y"] for r in got], float), p)
+    sets = saved(sample.select(key, "_text", "y").mapInArrow(sets_of, f"`{key}` {kind}, y int, terms array<bigint>"), "terms")
+    size = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    counts = sets.select(F.explode("terms").alias("term"), "y").groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"), F.sum("y").cast("double").alias("pos"))
+    chi = counts.where(F.col("df") >= p.min_docs).select("term", chi_square(F.col("df"), F.col("pos"), size[0], float(size[1])).alias("chi")).where(F.col("chi") > LEAST_CHI)
+    best = chi.orderBy(F.desc("chi"), "term").limit(p.terms).toArrow()
+    terms = np.sort(best.column("term").to_numpy().astype(np.int64).view(np.uint64))
+
+    def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(2)
+            bits = [np.packbits(np.isin(terms, x.values.to_numpy().view(np.uint64))).tobytes() for x in own]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(bits, pa.binary())], names=[key, "y", "bits"])
+
+    got = sets.mapInArrow(bits_of, f"`{key}` {kind}, y int, bits binary").toArrow().to_pylist()
+    got.sort(key=lambda r: (r[key], r["y"], r["bits"]))
+    rows = [terms[np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=len(terms)).astype(bool)] for r in got]
+    m = train(rows, np.array([r["y"] for r in got], float), p, terms)
     if m.informed:
         n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
         m.w0 += float(np.log(n[1] / min(n[1], p.sample)) - np.log(n[0] / min(n[0], p.sample)))
     return m
 
 
-def score(docs: DataFrame, model: Fm, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``score`` (0 to 1) to key and the ``keep`` columns: one row per input row, no shuffle.
+def score(docs: DataFrame, model: Fm, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), out: str = "score") -> DataFrame:
+    """Add ``out`` (0 to 1) to key and the ``keep`` columns: one row per input row, no shuffle.
 
-    A null or empty text scores as no terms (the bias). The model is a few hundred kB at most.
+    A null or empty text scores as no terms (the bias). Columns that are kept may have any other
+    name than ``out``. The model is a few hundred kB at most.
     """
     ship(docs.sparkSession)
+    cols = list(dict.fromkeys([key, *keep]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
             s = pa.array([model.score(t) for t in as_bytes(b.column(0))], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], s], schema=pa.schema([*list(b.schema)[1:], pa.field("score", pa.float64())]))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], s], schema=pa.schema([*list(b.schema)[1:], pa.field("_score", pa.float64())]))
 
-    cols = list(dict.fromkeys([key, *keep]))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols) + ", score double"
-    return docs.select(docs[text].alias("_text"), *cols).mapInArrow(run, schema)
+    names = [f"_c{i}" for i in range(len(cols))]
+    schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, cols, strict=True)) + ", _score double"
+    rows = docs.select(docs[text].alias("_text"), *[quoted(c).alias(n) for n, c in zip(names, cols, strict=True)])
+    return rows.mapInArrow(run, schema).toDF(*cols, out)

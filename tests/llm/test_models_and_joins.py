@@ -78,6 +78,19 @@ def test_near_components_of_repeated_and_no_rows(spark):
     df = spark.createDataFrame([(5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (9, "other text here")], "doc_id bigint, text string")
     assert {(r.doc_id, r.component_id) for r in near_dedup.near_components(df, k=2).collect()} == {(5, 5), (9, 5)}
     assert near_dedup.near_components(df.limit(0), k=2).count() == 0
+    # One key on many different texts: its texts meet, and no join multiplies its rows.
+    many = spark.createDataFrame([(3, f"x{i} y{i} z{i}") for i in range(200)] + [(8, "x7 y7 z7")], df.schema)
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_components(many, k=2).collect()) == {(3, 3, True): 200, (8, 3, False): 1}
+
+
+def test_unite_returns_a_forest():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        n, e = 40, rng.integers(0, 60)
+        u, v = rng.integers(0, n, e), rng.integers(0, n, e)
+        root, used = near_dedup.unite(np.arange(n), u, v)
+        again, _ = near_dedup.unite(np.arange(n), u[used], v[used])
+        assert (root == again).all() and len(used) == n - len(np.unique(root)) and (root[u] == root[v]).all()
 
 
 def test_components_of_a_path(spark):
@@ -139,6 +152,68 @@ def test_weights_rise_with_what_explains_the_counts():
     assert good[0] > 0.9 and none[1] > 0.9 and np.allclose(good.sum(), 1)
 
 
+def test_languages_of_nothing(spark, sf_dir):
+    """No rows, or no labels, to learn from: nothing is told apart and every text with a letter stays."""
+    docs = spark.createDataFrame([(1, "some text", None, "a.de"), (2, "12", None, None), (None, None, None, "h")], "doc_id bigint, text string, lang string, source string")
+    for m in (langid.fit(docs), langid.fit(docs.limit(0))):
+        got = langid.identify(docs, m, declared="lang", host="source").collect()
+        assert {(r.doc_id, r.lang_pred, r.lang_prob, r.kept) for r in got} == {(1, "und", 1.0, True), (2, "und", 1.0, False), (None, "und", 1.0, False)}
+        assert langid.identify(docs.limit(0), m).count() == 0
+    m = langid.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    clash = docs.selectExpr("doc_id AS _row", "text", "lang AS _ll", "source AS kept_")
+    assert langid.identify(clash, m, key="_row", keep=("_ll",)).columns == ["_row", "_ll", "lang_pred", "lang_prob", "kept"]
+
+
+def test_posteriors_by_hand(spark):
+    """Text, declaration, suffix and host priors multiplied in Python."""
+    p = langid.LangParams()
+    rng = np.random.default_rng(3)
+    logp = np.log(rng.dirichlet(np.ones(langid.BUCKETS), 4).T)
+    m = langid.LangModel(["de", "en", "fr"], logp)
+    rows = [(i, " ".join(rng.choice(["ab", "cde", "xyz", "q"], rng.integers(0, 6))), [None, "de", "FR", "xx"][i % 4], [None, "h.de", "k.de", "m.example.com", "plain"][i % 5]) for i in range(60)]
+    lls = []
+    for _, t, d, h in rows:
+        ll = p.temper * logp[langid.trigram_counts(t.encode())].sum(0)
+        for lang, trust in (((d or "").lower(), p.trust_markup), (langid.SUFFIXES.get((h or "").rpartition(".")[2]) if h and "." in h else None, p.trust_suffix)):
+            if lang in m.langs:
+                ll = ll + np.log([*[(1 - trust) / 3 + trust * (x == lang) for x in m.langs], 1 / 3])
+        lls.append(ll - ll.max())
+    letters = [any(c.isalpha() for c in t) for _, t, _, _ in rows]
+    own = [np.exp(x[:3]) / (np.exp(x[:3]).sum() + p.other_prior * np.exp(x[3])) * y for x, y in zip(lls, letters)]
+    suffix = lambda h: h.rpartition(".")[2] if h and "." in h else ""
+    total = sum(own) + 1
+    prior = {}
+    for h in {r[3] for r in rows}:
+        group = sum(x for x, r in zip(own, rows) if suffix(r[3]) == suffix(h))
+        group = (group + p.group_mass * total / total.sum()) / (group.sum() + p.group_mass)
+        host = sum(x for x, r in zip(own, rows) if (r[3] or "") == (h or ""))
+        prior[h] = (host + p.host_mass * group) / (host.sum() + p.host_mass)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, d string, h string")
+    got = {r.doc_id: r for r in langid.identify(df, m, p, declared="d", host="h").collect()}
+    for (i, _, _, h), ll, some in zip(rows, lls, letters):
+        w = np.exp(ll) * [*prior[h], p.other_prior]
+        r = got[i]
+        assert r.lang_prob == pytest.approx(w.max() / w.sum(), rel=1e-6) and r.kept == (some and w[3] < p.reject * w.sum())
+        assert r.lang_pred == ([*m.langs, "und"][w.argmax()] if some else "und")
+
+
+def test_toxicity_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(0)
+    terms = np.unique(toxicity.term_set(b"alpha beta gamma delta insult group"))
+    m = toxicity.Fm(terms, 0.3, rng.normal(size=len(terms)), rng.normal(size=(len(terms), 8)))
+    at = m.at(toxicity.term_set(b"Alpha, gamma insult unknown"))
+    z = 0.3 + sum(m.w[i] for i in at) + sum(m.v[i] @ m.v[j] for i, j in itertools.combinations(at, 2))
+    assert len(at) == 3 and m.score(b"Alpha, gamma insult unknown") == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_toxicity_terms_are_those_of_a_local_count(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    m = toxicity.fit(docs, labels)
+    got = docs.join(labels, "doc_id").where("toxic IS NOT NULL").orderBy("doc_id").collect()
+    rows, y = [toxicity.term_set((r.text or "").encode()) for r in got], np.array([r.toxic for r in got], float)
+    assert np.array_equal(m.terms, toxicity.choose_terms(rows, y, toxicity.FmParams()))
+
+
 def test_toxicity_learns_an_interaction():
     """Two terms that are harmless alone and toxic together."""
     rnd, rows, y = random.Random(0), [], []
@@ -225,7 +300,9 @@ def test_top_k(spark, kind):
     if kind == "equal":
         x[:200] = x[0]
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(10**6, None), (10**6 + 1, [1.0] * 7 + [None]), (10**6 + 2, [float("nan")] * 8), (None, [1.0] * 8)]
-    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<float>, score string")
+    rows.append(rows[3])  # a repeated candidate
+    other = [(10**6 + 10, [9.0] * 7), (10**6 + 20, []), (10**6 + 30, [9.0] * 9)]  # of other lengths: no part
+    df = spark.createDataFrame([(*r, "x") for r in rows + other], "vec_id bigint, embedding array<float>, score string")
     got = {}
     p = topk.IndexParams(pivots=8, rings=4, block=32, query_block=16)
     for r in topk.top_k(df, df.where("vec_id % 10 = 0"), 10, p=p).orderBy("query_id", "rank").collect():
@@ -269,3 +346,23 @@ def test_stages_decide_by_row(spark):
     docs = spark.createDataFrame([(1, a, "en", "s", 1), (1, "1 2 3", "en", "s", 1), (None, "4 5", "en", "s", 1), (None, b, "en", "s", 1)], docs.schema)
     assert sorted(r.text for r in cp.language_stage(spark, docs, "").collect()) == [a, b]
     assert cp.near_dedup_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_pipeline_of_awkward_tables(spark, tmp_path):
+    """No rows, no labels, nulls everywhere, and extra columns named like the stages' own."""
+    import corpus_pipeline as cp
+
+    own = "doc_id bigint, text string, lang string, source string, n_chars bigint, _row string, _text string, Score string, _own_score string, component_id string, _id string"
+    text = "some words that say very little but are not few at all"
+    rows = [(1, text, None, None, None), (1, text, None, None, None), (None, None, None, None, None), (2, "", None, "s", 0)]
+    docs = spark.createDataFrame([(*r, *["x"] * 6) for r in rows], own)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    at = docs
+    for (_, stage), n in zip(cp.STAGES[:3], (2, 2, 1), strict=True):
+        at = cp.saved(stage(spark, at, str(tmp_path)), "test")
+        assert at.columns == docs.columns and at.count() == n
+    got = cp.run(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.start, r.offset) for r in got] == [(1, 0, 0)]
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0

@@ -32,6 +32,13 @@ def _encode():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+def _library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    return lambda x: t.encode(x, add_special_tokens=False).ids
+
+
 def _u32(ids):
     return np.array(ids, "<u4").tobytes()
 
@@ -47,34 +54,40 @@ def test_chunk_encoders_equal_the_libraries():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     enc, rnd = _encode(), random.Random(1)
-    parts = [" ", "  ", "\n", " \n", "\t", "\x1c", "\x85", "\xa0", "　", "'s", "don't", "Hello", "é", "日本", "½", "12", ".", ",", "!!", "-", "😀", "́", "A", "﻿"]
+    parts = [" ", "  ", "\n", " \n", "\t", "\x1c", "\x85", "\xa0", "　", "'s", "don't", "Hello", "é", "日本", "½", "12", ".", ",", "!!", "-", "😀", "́", "A", "﻿", "$$", "###", "word", ".\n", "Ab.\nCd,", "<|endoftext|>"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
-    assert token_output.JsonTokenizer(P.path("byte_bpe_50k.json")).encode(texts) == [_u32(t.encode(x, add_special_tokens=False).ids) for x in texts]
+    want = [_u32(t.encode(x, add_special_tokens=False).ids) for x in texts]
+    for most in (128 << 20, 1 << 16):  # chunks that come back after they were dropped
+        own = token_output.JsonTokenizer(P.path("byte_bpe_50k.json"))
+        own.chunks.chunks.most = own.chunks.bare.most = most
+        assert [x for i in range(0, len(texts), 100) for x in own.encode(texts[i : i + 100])] == want
     assert bpe.ByteBpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN).encode(texts) == [_u32(enc(x)) for x in texts]
 
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files(docs, spark, tmp_path, encoding):
-    enc = _encode()
-    clean = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    """Null ids first, equal ids in the order of their texts; starts follow the order in the files."""
     out = str(tmp_path / "tokens")
-    got = token_output.token_index(clean, P.path("byte_bpe_50k.json"), 2, out=out, encoding=encoding).orderBy("doc_id").collect()
+    rows = docs.union(spark.createDataFrame([(6, t, "again") for t in ("hello", "a b c d e f g h", None, "zz")], docs.schema))
+    got = token_output.token_index(rows, P.path("byte_bpe_50k.json"), 2, out=out, encoding=encoding).orderBy("start").collect()
     start = 0
-    for r, d in zip(got, clean.orderBy("doc_id").collect(), strict=True):
-        ids = enc(d.text or "") + [2]
+    order = sorted(rows.collect(), key=lambda d: (d.doc_id is not None, d.doc_id or 0, d.text is not None, (d.text or "").encode()))
+    for r, d in zip(got, order, strict=True):
+        ids = _library()(d.text or "") + [2]
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d.doc_id, start, len(ids), zlib.crc32(_u32(ids)))
         start += len(ids)
     import glob
 
     import pyarrow.parquet as pq
 
-    kinds = {e for f in glob.glob(f"{out}/*.parquet") for g in [pq.ParquetFile(f).metadata] if g.num_row_groups for e in g.row_group(0).column(3).encodings}
+    kinds = {e for f in glob.glob(f"{out}/*.parquet") for g in [pq.ParquetFile(f).metadata] if g.num_row_groups for e in g.row_group(0).column(4).encodings}
     assert ("RLE_DICTIONARY" in kinds or "PLAIN_DICTIONARY" in kinds) if encoding == "dictionary" else "DELTA_BINARY_PACKED" in kinds
     f = pq.ParquetFile(sorted(glob.glob(f"{out}/*.parquet"))[0]).metadata
-    assert f.num_row_groups == 0 or f.row_group(0).column(3).has_offset_index
-    assert token_output.token_index(clean.limit(0), P.path("byte_bpe_50k.json"), 2).count() == 0
+    assert f.num_row_groups == 0 or f.row_group(0).column(4).has_offset_index
+    by_file = [r.ids for r in sorted(token_output.read_tokens(spark, out).collect(), key=lambda r: (r.part, r.row))]
+    assert [zlib.crc32(_u32(x)) for x in by_file] == [r.ids_crc32 for r in got]
+    assert token_output.token_index(rows.limit(0), P.path("byte_bpe_50k.json"), 2).count() == 0
 
 
 def test_quality_measures(docs):
@@ -138,11 +151,11 @@ def test_licenses_match_an_exhaustive_count(spark, sf_dir):
             n, w = len(t.shingles), -(-5 * len(t.shingles) // 4)
             if any(100 * len(np.intersect1d(s[i : i + w], t.shingles)) >= 80 * n for i in np.nonzero(np.isin(s, t.shingles))[0]):
                 want.add(t.name)
-        assert {x[0] for x in m.find(r.text.encode())} >= want
+        assert {x[0] for x in m.find(r.text.encode())} == want
 
 
 def _check_pieces(rows, docs, window=2048):
-    enc, seqs = _encode(), {}
+    enc, seqs = _library(), {}
     ids = {d.doc_id: enc(d.text or "") + [1] for d in docs}
     at = Counter()
     for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
@@ -164,6 +177,14 @@ def _check_pieces(rows, docs, window=2048):
 def test_packing(docs, spark, sf_dir):
     clean = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     _check_pieces(packing.pack(clean, P.path("byte_bpe_50k.json"), 1).collect(), clean.collect())
+    # With null and repeated ids: every id of every row once, sequences gapless.
+    enc, got, seqs = _library(), packing.pack(docs, P.path("byte_bpe_50k.json"), 1).collect(), {}
+    whole = [enc(d.text or "") + [1] for d in docs.collect()]
+    want = Counter((d.doc_id, at, len(x), zlib.crc32(_u32(x[at : at + 2048]))) for d, x in zip(docs.collect(), whole) for at in range(0, len(x), 2048))
+    assert Counter((r.doc_id, r.start, r.doc_tokens, r.ids_crc32) for r in got) == want
+    for r in got:
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(o == sum(n for _, n in s[:i]) for s in map(sorted, seqs.values()) for i, (o, _) in enumerate(s))
     real = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert _check_pieces(packing.pack(real, P.path("byte_bpe_50k.json"), 1).collect(), real.collect()) < 0.05
     assert packing.pack(real.limit(0), P.path("byte_bpe_50k.json"), 1).count() == 0
