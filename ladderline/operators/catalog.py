@@ -14,20 +14,30 @@ def category_rollup(series: DataFrame) -> DataFrame:
     return series.groupBy("category").agg(F.count(F.lit(1)).alias("n_series"), F.sum("volume").alias("volume")).orderBy(F.desc("volume"), "category")
 
 
-def rank_series(series: DataFrame) -> DataFrame:
-    """Position by volume (largest first; NaN counts as the largest), then ticker.
+def ranked(rows: DataFrame, *order: Column) -> DataFrame:
+    """``position`` (from 1) of every row in that order, which must not leave ties.
 
-    Rows are dealt by ranges of that order and numbered inside a range; the numbers before each
+    Rows are dealt by ranges of the order and numbered inside a range; the numbers before each
     range come from a table with a row a range. So no task sorts the whole table.
     """
-    order = (F.desc("volume"), F.col("ticker"))
-    dealt = saved(series.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
+    dealt = saved(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return dealt.withColumn("_i", inside).join(F.broadcast(sizes), "_part").withColumn("position", F.col("_i") + F.col("_base")).drop("_part", "_i", "_base")
 
 
+def rank_series(series: DataFrame) -> DataFrame:
+    """Position by volume (largest first; NaN counts as the largest), then ticker."""
+    return ranked(series, F.desc("volume"), F.col("ticker"))
+
+
+def discover(markets: DataFrame) -> DataFrame:
+    """Position of listed markets by volume (text; what is no number counts as 0), largest first;
+    equal ones stay in the order of their ``page`` and of ``pos`` in it."""
+    return ranked(markets.withColumn("_v", number_or_zero(F.col("volume"))), F.desc("_v"), F.col("page"), F.col("pos")).drop("_v")
+
+
 def top_by(rows: DataFrame, volume: str, n: int, *ties: str) -> DataFrame:
     return rows.orderBy(F.desc(volume), *ties).limit(n)
 

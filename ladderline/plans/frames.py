@@ -34,7 +34,8 @@ def malformed_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def _accounted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Coverage and manifest of the adapter's session; some messages count as unreadable or undecoded."""
-    b, t, g, m = q._book(spark, d), q._trades(spark, d), q._gaps(spark, d), adapter.messages(spark, d)
+    b, t, g = q._book(spark, d), q._trades(spark, d), q._gaps(spark, d)
+    m = adapter.messages(spark, d).withColumns({"channel": F.when(F.col("kind") == "trade", "trade").otherwise("orderbook"), "file": F.concat(F.expr("line_no div 500"), F.lit(".jsonl"))})
     tables = {"records": m, "read_errors": m.where("event_id % 1009 = 1 AND ticker < 'KXSIM-24JAN05'"), "raw": m.where("event_id % 1013 = 2 AND ticker < 'KXSIM-24JAN03'"), "trades": t, "gaps": g}
     cover = coverage.coverage(b.select("ticker").distinct(), b, t, g)
     return cover, process.manifest_rows(tables, b, q.book_top(spark, d), q._outcomes(spark, d), cover)
@@ -46,6 +47,18 @@ def coverage_accounting(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*[c for c in out.columns if c not in ("date", "reasons", "span_start", "span_end")], F.col("date").cast("string").alias("date"), F.array_join("reasons", "; ").alias("reasons"), us("span_start"), us("span_end"))
 
 
+def manifest_sink(spark: SparkSession, d: str) -> DataFrame:
+    """Notes and lines per file of each session's manifest."""
+    m = _accounted(spark, d)[1]
+    files = F.array_join(F.transform("files", lambda f: F.concat_ws(" ", f["channel"], f["file"], f["records"].cast("string"))), ",")
+    return m.select("ticker", "records", "read_errors", "raw", "trades", "gaps", "book_top", "book_events", "underflows", F.array_join("notes", "; ").alias("notes"), files.alias("files"))
+
+
+def discover_order(spark: SparkSession, d: str) -> DataFrame:
+    m = _quotes(spark, d).withColumn("page", F.expr("pos div 100"))
+    return catalog.discover(m).select("pos", "position")
+
+
 def mismatch_gaps(spark: SparkSession, d: str) -> DataFrame:
     """Gaps of the stream and those that mismatches make, with their text."""
     return coverage.with_mismatch_gaps(q._gaps(spark, d), verify.with_detail(q._outcomes(spark, d)))
@@ -199,6 +212,20 @@ SQL: dict[str, str] = {
         (SELECT count(*) FROM lvb WHERE lvb.ticker = c.ticker AND NOT is_snapshot AND qty_before + qty_centi < 0) AS underflows, (SELECT count(*) FROM be WHERE be.ticker = c.ticker) AS n_book_events, n_trades,
         span_start_us AS span_start, span_end_us AS span_end
       FROM cov c JOIN ma ON ma.ticker = c.ticker""",
+    "manifest_sink": f"""WITH {oracle.TOP}{oracle._TRADE_BODY}{oracle._GAP_BODY}{oracle._VERIFY_BODY}{_MANIFEST},
+      ln AS (SELECT ticker, CASE WHEN kind = 'trade' THEN 'trade' ELSE 'orderbook' END AS channel, concat(line_no // 500, '.jsonl') AS file FROM msg
+        UNION ALL SELECT ticker, CASE WHEN kind = 'trade' THEN 'trade' ELSE 'orderbook' END, concat(line_no // 500, '.jsonl') FROM msg WHERE event_id % 1009 = 1 AND ticker < 'KXSIM-24JAN05'),
+      fl AS (SELECT ticker, string_agg(concat(channel, ' ', file, ' ', n), ',' ORDER BY channel, file) AS files FROM (SELECT ticker, channel, file, count(*) AS n FROM ln GROUP BY ALL) GROUP BY ticker),
+      nu AS (SELECT ma.ticker, re, raw, (SELECT count(*) FROM gp WHERE gp.ticker = ma.ticker) AS gaps, (SELECT count(*) FROM oc WHERE oc.ticker = ma.ticker AND outcome = 'mismatch') AS mi,
+        (SELECT count(*) FROM lvb WHERE lvb.ticker = ma.ticker AND NOT is_snapshot AND qty_before + qty_centi < 0) AS un FROM ma)
+      SELECT nu.ticker, (SELECT count(*) FROM msg WHERE msg.ticker = nu.ticker) AS records, re AS read_errors, raw, (SELECT count(*) FROM tr WHERE tr.ticker = nu.ticker) AS trades, gaps,
+        (SELECT count(*) FROM top WHERE top.ticker = nu.ticker) AS book_top, (SELECT count(*) FROM be WHERE be.ticker = nu.ticker) AS book_events, un AS underflows,
+        concat_ws('; ', CASE WHEN gaps > 0 THEN concat(gaps, ' gaps are recorded: holes are expected there') END, CASE WHEN raw > 0 THEN concat(raw, ' undecoded messages are kept in raw') END,
+          CASE WHEN re > 0 THEN concat(re, ' unreadable lines are kept in read_errors') END, CASE WHEN mi > 0 THEN concat(mi, ' observations differ from the replayed book: see verify, and the verify_mismatch gaps') END,
+          CASE WHEN un > 0 THEN concat(un, ' changes took a level below zero in replay') END,
+          CASE WHEN re = 0 AND raw = 0 THEN 'every record is in the tables: the capture can go once they are verified' ELSE 'the tables are INCOMPLETE: keep the capture until the above is settled' END) AS notes, files
+      FROM nu JOIN fl ON fl.ticker = nu.ticker""",
+    "discover_order": f"WITH {_QUOTES} SELECT pos, row_number() OVER (ORDER BY volume DESC, pos // 100, pos) AS position FROM pr",
     "mismatch_gaps": f"""WITH {_V}{_SIDES},
       al AS (SELECT ticker, recv_ts_us, seq, reason, channel, detail, 0 AS s, file_row FROM gp UNION ALL SELECT ticker, ts, NULL, 'verify_mismatch', 'orderbook', detail, 1, i FROM mm)
       SELECT ticker, recv_ts_us, seq, reason, channel, detail, row_number() OVER (PARTITION BY ticker ORDER BY recv_ts_us, s, file_row) - 1 AS gap_no FROM al""",
@@ -230,7 +257,7 @@ SQL: dict[str, str] = {
 }
 
 _QUERIES = (
-    malformed_rows, coverage_accounting, mismatch_gaps, market_numbers, min_volume, spot_anchor, series_sums, rest_trade_outcomes, unfinished_tickers, discovery_windows,
+    malformed_rows, coverage_accounting, manifest_sink, mismatch_gaps, discover_order, market_numbers, min_volume, spot_anchor, series_sums, rest_trade_outcomes, unfinished_tickers, discovery_windows,
     boundary_times, chunk_counts, session_quality, backfill_report, earliest_close, team_match, instants,
 )
 

@@ -80,11 +80,7 @@ class MarketDataset:
             c = c.where(F.col("ticker").isin(*tickers))
         if complete is not None:
             c = c.where(F.col("complete") == complete)
-        if since is not None:
-            c = c.where(F.col("date") >= F.lit(since).cast("date"))
-        if until is not None:
-            c = c.where(F.col("date") <= F.lit(until).cast("date"))
-        return c
+        return _dated(c, since, until)
 
     def _gate(self) -> None:
         if not self.allow_incomplete and (bad := [r[0] for r in self._manifest.where("NOT complete").select("ticker").limit(5).collect()]):
@@ -144,7 +140,67 @@ def load(datasets: list[MarketDataset], table: str) -> DataFrame:
     return out
 
 
+#: Names of a day's archives. Fixed pattern of those that are handed around.
+DAY_TAR = r"/(\d{4}-\d{2}-\d{2})(?:\.(?:archive|live))?\.tar\.gz$"
+
+
+class DatasetIndex:
+    """Every dataset and day archive below a folder, from listings and manifests alone.
+
+    Archives are rows that nobody has opened: their path and date. An unreadable manifest is an
+    error, as is one that is newer than this reader.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        reader = spark.read.option("recursiveFileLookup", True)
+        path = F.regexp_extract("_metadata.file_path", r"^(.*)/manifest/[^/]*$", 1)
+        lines = reader.option("pathGlobFilter", "*.json").text(root).withColumn("path", path).where("path <> ''")
+        m = lines.select("path", F.from_json("value", _MANIFEST, {"mode": "FAILFAST"}).alias("m")).select("path", "m.*")
+        newest = m.agg(F.max("schema_version")).first()[0]
+        if newest is not None and newest > SCHEMA_VERSION:
+            raise UnsupportedSchema(f"schema version {newest} is newer than {SCHEMA_VERSION}")
+        self._entries = m.withColumn("date", ticker_date(F.col("ticker"))).withColumn("reasons", coverage.reasons())
+        tars = reader.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(root).select("path")
+        self._tars = tars.withColumn("date", F.regexp_extract("path", DAY_TAR, 1).try_cast("date")).where("date IS NOT NULL")
+
+    def entries(self, ticker: str | None = None, complete: bool | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
+        """One row per session, by ticker and path. Dates are inclusive; a session without date is
+        left out as soon as a bound is given."""
+        e = self._entries
+        if ticker is not None:
+            e = e.where(F.col("ticker") == ticker)
+        if complete is not None:
+            e = e.where(F.col("complete") == complete)
+        return _dated(e, since, until).orderBy("ticker", "path")
+
+    def tickers(self) -> DataFrame:
+        return self._entries.select("ticker").distinct().orderBy("ticker")
+
+    def tar_entries(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        return _dated(self._tars, since, until).orderBy("date", "path")
+
+
+_MANIFEST = (
+    "ticker string, schema_version int, complete boolean, records bigint, read_errors bigint, raw bigint, trades bigint, book_events bigint, book_top bigint, gaps bigint,"
+    " verify_matched bigint, verify_mismatch bigint, verify_skipped bigint, underflows bigint, two_sided boolean"
+)
+
+
+def _dated(rows: DataFrame, since: str | None, until: str | None) -> DataFrame:
+    if since is not None:
+        rows = rows.where(F.col("date") >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.where(F.col("date") <= F.lit(until).cast("date"))
+    return rows
+
+
 def peek(spark: SparkSession, path: str, rows: int = 5) -> tuple[str, int, list[str]]:
-    """Schema, row count and the first rows as JSON of a Parquet path."""
-    df = spark.read.parquet(path)
+    """Schema, row count and the first rows as JSON of a Parquet path or a Feather file."""
+    if path.endswith((".feather", ".arrow")):
+        import pyarrow.feather
+
+        df = spark.createDataFrame(pyarrow.feather.read_table(path))
+    else:
+        df = spark.read.parquet(path)
     return df.schema.simpleString(), df.count(), [r["j"] for r in df.limit(rows).select(F.to_json(F.struct("*")).alias("j")).collect()]

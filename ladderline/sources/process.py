@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import book, coverage, verify
@@ -21,10 +21,23 @@ def write_table(df: DataFrame, path: str, level: int = 3) -> None:
     df.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).partitionBy("ticker").parquet(path)
 
 
+def _notes() -> Column:
+    """What to know about a session's tables, as sentences."""
+    n = lambda c, text: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(f" {text}")))
+    whole = F.when(F.col("complete"), F.lit("every record is in the tables: the capture can go once they are verified")).otherwise(
+        F.lit("the tables are INCOMPLETE: keep the capture until the above is settled")
+    )
+    return F.array_compact(F.array(
+        n("gaps", "gaps are recorded: holes are expected there"), n("raw", "undecoded messages are kept in raw"), n("read_errors", "unreadable lines are kept in read_errors"),
+        n("verify_mismatch", "observations differ from the replayed book: see verify, and the verify_mismatch gaps"), n("underflows", "changes took a level below zero in replay"), whole,
+    ))
+
+
 def manifest_rows(t: dict[str, DataFrame], events: DataFrame, top: DataFrame, outcomes: DataFrame, cover: DataFrame) -> DataFrame:
     """One row per ticker: counts, extent, completeness, trust figures.
 
-    complete means: no unreadable line and no undecoded message, and nothing else.
+    complete means: no unreadable line and no undecoded message, and nothing else. files has
+    the lines of each file, unreadable ones too; notes what a reader should know.
     """
     count = lambda df, name: df.groupBy("ticker").agg(F.count(F.lit(1)).alias(name))
     m = t["records"].groupBy("ticker").agg(F.count(F.lit(1)).alias("records"), F.min("recv_ts_us").alias("first_recv_ts_us"), F.max("recv_ts_us").alias("last_recv_ts_us"))
@@ -37,7 +50,11 @@ def manifest_rows(t: dict[str, DataFrame], events: DataFrame, top: DataFrame, ou
     m = m.join(count(events, "book_events"), "ticker", "left").join(under, "ticker", "left")
     m = m.join(v, "ticker", "left").join(cover.select("ticker", "span_us", "hole_us", "uptime"), "ticker", "left")
     m = m.fillna(0, ["records", "read_errors", "trades", "gaps", "raw", "book_top", "book_events", "underflows", "verify_matched", "verify_mismatch", "verify_skipped"])
-    return m.withColumn("complete", (F.col("read_errors") == 0) & (F.col("raw") == 0)).withColumn("schema_version", F.lit(SCHEMA_VERSION))
+    lines = t["records"].select("ticker", "channel", "file").unionByName(t["read_errors"].select("ticker", "channel", "file"))
+    per_file = lines.groupBy("ticker", "channel", "file").agg(F.count(F.lit(1)).alias("records"))
+    files = per_file.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct("channel", "file", "records"))).alias("files"))
+    m = m.withColumn("complete", (F.col("read_errors") == 0) & (F.col("raw") == 0)).withColumn("schema_version", F.lit(SCHEMA_VERSION))
+    return m.withColumn("notes", _notes()).join(files, "ticker", "left")
 
 
 def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: list[str] | None = None) -> DataFrame:
@@ -61,9 +78,11 @@ def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: lis
     write_table(book.with_dollars(top), f"{out_dir}/book_top")
     write_table(tape(t["trades"]), f"{out_dir}/trades")
     write_table(gaps, f"{out_dir}/gaps")
-    for name, df in (("raw", t["raw"]), ("verify", outcomes), ("read_errors", t["read_errors"])):
+    for name, df in (("raw", t["raw"]), ("verify", outcomes)):
         if not df.isEmpty():
             write_table(df, f"{out_dir}/{name}")
+    if not t["read_errors"].isEmpty():
+        t["read_errors"].write.mode("overwrite").partitionBy("ticker").json(f"{out_dir}/read_errors")
     rows = saved(manifest_rows(t, events, top, outcomes, cover), "manifest")
     rows.write.mode("overwrite").json(f"{out_dir}/manifest")
     return rows
@@ -90,3 +109,8 @@ def verify_records(books: DataFrame, recv_ts_us: int) -> DataFrame:
     """Observations out of REST books: decoded ones with levels, others as raw records."""
     kind = F.when(F.col("error").isNull(), "verify").otherwise("raw")
     return books.select("ticker", F.lit(recv_ts_us).cast("bigint").alias("recv_ts_us"), kind.alias("kind"), "yes", "no", "error", "payload_json")
+
+
+def write_markets(markets: DataFrame, path: str) -> None:
+    """Resolved markets as JSON lines, which ``lists`` reads back."""
+    markets.write.mode("overwrite").json(path)

@@ -80,6 +80,35 @@ def test_accounting_and_malformed_rows(spark, tmp_path):
     assert ds.events(strict=False).count() == 4
 
 
+def test_index_of_many_datasets(spark, tmp_path):
+    for name, bad in (("a", []), ("b", BAD[:1])):
+        process_capture(spark, _tree(tmp_path / "in" / name, bad), str(tmp_path / "all" / name))
+    for name in ("2026-07-03.tar.gz", "2026-07-05.live.tar.gz", "other.tar.gz", "2026-07-06.tar", "2026-99-99.tar.gz"):
+        (tmp_path / "all" / name).write_bytes(b"x")
+    ix = dataset.DatasetIndex(spark, str(tmp_path / "all"))
+    got = [(r.path.rsplit("/", 1)[1], r.complete, r.reasons, r.book_events, str(r.date)) for r in ix.entries().collect()]
+    assert got == [("a", True, [], 4, "2026-07-03"), ("b", False, ["1 unreadable lines"], 4, "2026-07-03")]
+    assert ix.entries(complete=False).count() == 1 and ix.entries(since="2026-07-04").count() == 0 and ix.entries(ticker="x").count() == 0
+    assert [r.ticker for r in ix.tickers().collect()] == ["KX-26JUL03-T1"]
+    assert [str(r.date) for r in ix.tar_entries().collect()] == ["2026-07-03", "2026-07-05"] and ix.tar_entries(until="2026-07-04").count() == 1
+    m = spark.read.json(str(tmp_path / "all" / "b" / "manifest")).first()
+    assert [(f.channel, f.file, f.records) for f in m.files] == [("orderbook", "2026-07-03.jsonl", 3), ("orderbook", "2026-07-04.jsonl", 1), ("trade", "2026-07-03.jsonl", 1)]
+    assert m.notes[0].startswith("1 unreadable") and "INCOMPLETE" in m.notes[-1]
+    assert spark.read.json(str(tmp_path / "all" / "b" / "read_errors")).first().raw == "not json"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from ladderline.__main__ import main
+
+    source = _tree(tmp_path / "cap")
+    assert main(["--in", source, "--tickers", "KX-26JUL03-T1", "--format", "feather"]) == 0
+    assert json.loads(capsys.readouterr().out)["records"] == 4
+    assert main(["--head", f"{source}_processed/trades.feather", "--rows", "1"]) == 0
+    schema, n, row = capsys.readouterr().out.strip().split("\n")
+    assert "price_micro:bigint" in schema and n == "1 rows" and json.loads(row)["trade_id"] == "x"
+    assert main(["--head", f"{source}_processed/book_events"]) == 0 and "4 rows" in capsys.readouterr().out
+
+
 def test_incomplete_is_refused(spark, tmp_path):
     assert not process_capture(spark, _tree(tmp_path / "in", BAD[:1]), str(tmp_path / "out")).first().complete
     with pytest.raises(dataset.IncompleteData):
