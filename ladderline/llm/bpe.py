@@ -16,6 +16,7 @@ import struct
 import tempfile
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,7 @@ class ByteBpe:
             os.unlink(f.name)
         self.find = regex.compile(pattern).findall
         self.inverse = [to_bytes(self.model.id_to_piece(i)) for i in range(len(self.tokens))]
+        self.sizes = np.array([len(x) for x in self.inverse], np.int64)
         self.chunks = ChunkEncoder(self._chunks, self._whole)
 
     def _pre_tokens(self, pre: list[str]) -> list[list[int]]:
@@ -116,6 +118,12 @@ class ByteBpe:
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.inverse.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The bytes of all ids, and where those of each row begin and the last's end."""
+        plain = b"".join(map(self.inverse.__getitem__, flat.tolist()))
+        at = np.concatenate([[0], np.cumsum(self.sizes[flat])])
+        return memoryview(plain), at[ends]
+
 
 _models: dict[tuple[str, str], ByteBpe] = {}
 cached_by("bpe", _models.clear)
@@ -143,26 +151,20 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model_of(ranks_path, pattern)
         for b in pieces_of(batches, "_text"):
-            got = bpe.encode(b.column(1).to_pylist())
-            plain = [bpe.decode(x) for x in got]
+            flat, ends = bpe.chunks.column(b.column(1))
+            raw, cut = memoryview(flat.astype("<u4").tobytes()), list(pairwise(ends.tolist()))
+            plain, at = bpe.decode_all(flat, ends)
             out = {
                 key: b.column(0),
-                "n_tokens": pa.array([len(x) // 4 for x in got], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in got]),
-                "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in plain]),
-                "n_bytes": pa.array([len(x) for x in plain], pa.int64()),
+                "n_tokens": pa.array(np.diff(ends)),
+                "ids_sha256": pa.array([hashlib.sha256(raw[4 * x : 4 * y]).hexdigest() for x, y in cut]),
+                "decoded_sha256": pa.array([hashlib.sha256(plain[x:y]).hexdigest() for x, y in pairwise(at.tolist())]),
+                "n_bytes": pa.array(np.diff(at)),
             }
             if ids:
-                out["ids"] = id_lists(got)
+                out["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.view(np.int32)))
             yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint" + ", ids array<int>" * ids
     return docs.select(key, docs[text].alias("_text")).mapInArrow(run, schema)
-
-
-def id_lists(got: list[bytes]) -> pa.Array:
-    """A list column of 32-bit ids from little-endian buffers."""
-    ends = np.zeros(len(got) + 1, np.int32)
-    np.cumsum([len(x) // 4 for x in got], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), "<i4")))

@@ -142,24 +142,20 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: int
     A null or empty text is its end token alone.
     """
     ship(docs.sparkSession)
-    ends = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer_of(tokenizer_path)
         for b in pieces_of(batches, "_text"):
-            row, start, length, crc, total = [], [], [], [], []
-            for i, ids in enumerate(tok.encode(b.column(1).to_pylist())):
-                ids = memoryview(ids + ends)
-                n = len(ids) // 4
-                for at in range(0, n, window):
-                    to = min(n, at + window)
-                    row.append(i)
-                    start.append(at)
-                    length.append(to - at)
-                    crc.append(zlib.crc32(ids[4 * at : 4 * to]))
-                    total.append(n)
-            cols = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), *cols], names=[key, "start", "length", "ids_crc32", "doc_tokens"])
+            flat, ends = tok.column(b.column(1), end_id)
+            raw, total = memoryview(flat.astype("<u4").tobytes()), np.diff(ends)
+            n = -(-total // window)
+            row = np.repeat(np.arange(len(n)), n)
+            start = window * (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
+            length = np.minimum(window, total[row] - start)
+            at = ends[row] + start
+            crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(at.tolist(), (at + length).tolist(), strict=True)]
+            cols = [pa.array(x, pa.int64()) for x in (start, length, crc, total[row])]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), *cols], names=[key, "start", "length", "ids_crc32", "doc_tokens"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, docs[text].alias("_text")).mapInArrow(run, f"`{key}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")

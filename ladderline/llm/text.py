@@ -11,7 +11,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Collection, Iterable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -187,34 +187,142 @@ def as_bytes(col: pa.Array) -> list[bytes | None]:
 
 
 _MARKS = ".,;:!?#$%&*"
-class _Irregular(Exception):
-    pass
+#: Bytes that are encoded together, longest chunk whose ids are kept.
+_STEP, _LONGEST = 2 << 20, 256
 
 
-class Recent:
-    """Ids of strings met lately, in two generations of about half of ``most`` bytes each."""
+class _ByteHash:
+    """64-bit hashes of substrings of a buffer, all from one running sum.
 
-    def __init__(self, most: int):
-        self.most, self.size = most, 0
-        self.new: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+    sum of t[byte] * b^i over a substring, divided by b^start: b is odd, so it has an inverse.
+    """
 
-    def turn(self) -> None:
-        if 2 * self.size > self.most:
-            self.old, self.new, self.size = self.new, {}, 0
+    _t = scramble(np.arange(1, 257, dtype=np.uint64) * MIX_A)
+    _b = np.uint64(0x2545F4914F6CDD1D)
+    _power = _inverse = np.ones(1, np.uint64)
+
+    @classmethod
+    def _grow(cls, n: int) -> None:
+        if len(cls._power) < n:
+            # b * x = 1 modulo 2^64, each step doubles the right bits.
+            x = int(cls._b)
+            for _ in range(6):
+                x = x * (2 - int(cls._b) * x) % (1 << 64)
+            factors = np.ones((2, n), np.uint64)
+            factors[0, 1:], factors[1, 1:] = cls._b, x
+            cls._power, cls._inverse = np.multiply.accumulate(factors, axis=1)
+
+    def __init__(self, data: np.ndarray):
+        self._grow(len(data) + 1)
+        self._sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self._t[data] * self._power[: len(data)], out=self._sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return scramble((self._sums[end] - self._sums[start]) * self._inverse[start] + (end - start).astype(np.uint64) * MIX_C)
+
+
+def _runs(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (length[0] of them), first[1], ..."""
+    ends = np.cumsum(length)
+    return np.repeat(first - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
+
+def _words_in(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of rows, and where each row's begin and the last's end."""
+    full = ~_BLANK[data]
+    begins, stops = full.copy(), full.copy()
+    begins[1:] &= ~full[:-1]
+    stops[:-1] &= ~full[1:]
+    # A row's first byte begins a word whatever stands before it, and its last byte ends one.
+    head, tail = offs[:-1][np.diff(offs) > 0], offs[1:][np.diff(offs) > 0] - 1
+    begins[head], stops[tail] = full[head], full[tail]
+    start, end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    return _ByteHash(_LOWER[data]).of(start, end), np.searchsorted(start, offs)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts with A-Z lower-cased, row after
+    row, and where each row's begin and the last's end. Null counts as empty."""
+    data, offs = _buffers(texts)
+    parts, ends, total, r = [], [np.zeros(1, np.int64)], 0, 0
+    while r < len(offs) - 1:
+        to = max(r + 1, int(np.searchsorted(offs, offs[r] + _STEP, side="right")) - 1)
+        x, y = int(offs[r]), int(offs[to])
+        if y - x <= 2 * _STEP:
+            h, at = _words_in(data[x:y], offs[r : to + 1] - x)
+            end = at[1:]
+        else:  # one long text, cut at blanks
+            each = []
+            while x < y:
+                blank = np.flatnonzero(_BLANK[data[min(y, x + _STEP) : min(y, x + 2 * _STEP)]])
+                cut = min(y, x + _STEP) + int(blank[0]) if len(blank) else y
+                each.append(_words_in(data[x:cut], np.array([0, cut - x]))[0])
+                x = cut
+            h = np.concatenate(each)
+            end = np.array([len(h)])
+        parts.append(h)
+        ends.append(end + total)
+        total, r = total + len(h), to
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.concatenate(ends)
+
+
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text or binary column, and where each row's begin and the last's end."""
+    col = texts.cast(pa.large_binary()).fill_null(b"")
+    n = len(col)
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
+    return data, np.frombuffer(col.buffers()[1], np.int64, col.offset + n + 1)[col.offset :] if n else np.zeros(1, np.int64)
+
+
+class _Kept:
+    """Ids by hash: sorted hashes, and where in a pool their ids are. A length of -1 says that
+    the chunk can't stand by itself. Beyond ``most`` entries the half met longest ago goes."""
 
-    def unknown(self, strings: set[str]) -> set[str]:
-        """Those that are new; known ones are in ``self.new`` from now on."""
-        strings = strings.difference(self.new)
-        first = strings.difference(self.old)
-        again = strings.difference(first)
-        self.put(again, map(self.old.__getitem__, again))
-        return first
+    def __init__(self, most: int):
+        self.most, self.now = most, 0
+        self.key, self.at, self.len, self.seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes, and which of them are there."""
+        if not len(self.key):
+            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        i = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        hit = self.key[i] == key
+        self.seen[i[hit]] = self.now
+        return i, hit
+
+    def append(self, ids: np.ndarray) -> int:
+        """Put ids at the end of the pool; where they are."""
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + len(ids), np.uint32)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
+    def add(self, key: np.ndarray, ids: list[bytes | None]) -> None:
+        """New hashes, each once, in any order."""
+        n = np.array([-1 if x is None else len(x) // 4 for x in ids], np.int32)
+        at = self.append(np.frombuffer(b"".join([x for x in ids if x]), "<u4")) + np.cumsum(n.clip(0)) - n.clip(0)
+        order = np.argsort(key)
+        where = np.searchsorted(self.key, key[order])
+        self.key, self.at, self.len = (np.insert(x, where, y[order]) for x, y in ((self.key, key), (self.at, at), (self.len, n)))
+        self.seen = np.insert(self.seen, where, self.now)
 
-    def put(self, strings: Collection[str], ids: Iterable[bytes | None]) -> None:
-        self.new.update(zip(strings, ids, strict=True))
-        # What Python takes for a string, a bytes object and their place in the table.
-        self.size += sum(map(len, strings)) + 220 * len(strings)
+    def turn(self) -> None:
+        self.now += 1
+        if len(self.key) > self.most:
+            stay = np.sort(np.argsort(-self.seen, kind="stable")[: self.most // 2])
+            self.key, self.at, self.len, self.seen = (x[stay] for x in (self.key, self.at, self.len, self.seen))
+            n = self.len.clip(0).astype(np.int64)
+            self.pool = self.pool[_runs(self.at, n)]
+            self.used, self.at = len(self.pool), np.cumsum(n) - n
 
 
 class ChunkEncoder:
@@ -222,71 +330,161 @@ class ChunkEncoder:
 
     A byte-level BPE pre-token never spans a single space that has other characters on both
     sides; it can only begin with it. So a text is the sequence of its chunks (each a space
-    and what follows up to the next space), and ids of a chunk depend on it alone. Ids of
-    chunks met lately are kept, within ``most`` bytes. Texts where a space touches other white
-    space, or that hold one of ``apart`` (added tokens), go through ``whole`` instead.
+    and what follows up to the next space), and ids of a chunk depend on it alone. Distinct
+    chunks of a few MB of text are found by 64-bit hashes, and ids of those met lately are kept
+    (``most`` of them, some 40 bytes each). Texts where a space touches other white space, or
+    that hold one of ``apart`` (added tokens), go through ``whole`` instead.
 
     Where the pattern makes letters, a run of marks and a line feed pre-tokens of their own,
     which is tried out once, a new chunk is put together from those, mostly known, parts.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], most: int = 128 << 20, apart: tuple[str, ...] = ()):
-        self.encode, self.whole, self.apart = encode, whole, apart
-        #: Chunks, without their space; and strings that no space precedes.
-        self.chunks, self.bare = Recent(most * 7 // 8), Recent(most // 8)
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], most: int = 1 << 20, apart: tuple[str, ...] = ()):
+        self.encode, self.whole, self.apart = encode, whole, [x.encode() for x in apart]
+        self.kept = _Kept(most)
+        #: Strings that no space precedes.
+        self.bare: dict[str, bytes] = {}
         cut = encode([" ab.?\nCd$$,", " ab", ".?", "\n", "Cd", "$$,"])
         self.line = cut[3]
         self.in_parts = cut[0] == b"".join(cut[1:])
 
-    def _learn(self, chunks: set[str]) -> None:
-        chunks = self.chunks.unknown(chunks)
-        words = set(filter(str.isalpha, chunks))
-        made, blank = [], []
-        for c in chunks - words:
+    def _bare(self, strings: set[str]) -> dict[str, bytes]:
+        if len(self.bare) > 100_000:
+            self.bare = {}
+        if new := [*strings.difference(self.bare)]:
+            self.bare.update(zip(new, self.encode(new), strict=True))
+        return self.bare
+
+    def _learn(self, key: np.ndarray, start: np.ndarray, end: np.ndarray, data: np.ndarray, hashes: _ByteHash) -> None:
+        """Add new chunks, given by their hashes and places."""
+        raw, plain, other, blank, made = data.tobytes(), [], [], [], []
+        text = [raw[x:y].decode() for x, y in zip(start.tolist(), end.tolist(), strict=True)]
+        for i, c in enumerate(text):
+            if c.isalpha():
+                plain.append(i)
+                continue
             a = c.rstrip(_MARKS)
             if a.isalpha() and self.in_parts:
-                made.append((c, a, c[len(a) :], "", ""))
+                made.append((i, a, c[len(a) :], "", ""))
                 continue
             if not c or c[0].isspace() or c[-1].isspace():
-                blank.append(c)
+                blank.append(i)
                 continue
             x, _, y = c.partition("\n")
             a, b = x.rstrip(_MARKS), y.rstrip(_MARKS)
             if a.isalpha() and b.isalpha() and self.in_parts:
-                made.append((c, a, x[len(a) :], b, y[len(b) :]))
+                made.append((i, a, x[len(a) :], b, y[len(b) :]))
             else:
-                words.add(c)
-        missing = [*words, *self.chunks.unknown({x[1] for x in made} - words)]
-        for i in range(0, len(missing), 4096):
-            part = missing[i : i + 4096]
-            self.chunks.put(part, self.encode([" " + c for c in part]))
+                other.append(i)
+        todo = plain + other
+        strings, keys = [" " + text[i] for i in todo], key[todo]
+        if made:
+            first = start[[x[0] for x in made]]
+            core = hashes.of(first, first + np.array([len(x[1]) if x[1].isascii() else len(x[1].encode()) for x in made]))
+            distinct, one = np.unique(core, return_index=True)
+            new = ~self.kept.find(distinct)[1] & ~np.isin(distinct, keys)
+            strings += [" " + made[i][1] for i in one[new].tolist()]
+            keys = np.concatenate([keys, distinct[new]])
+        ids: list[bytes | None] = []
+        for i in range(0, len(strings), 4096):
+            ids += self.encode(strings[i : i + 4096])
+        self.kept.add(np.concatenate([keys, key[blank]]), ids + [None] * len(blank))
         if made:
-            bare = [*self.bare.unknown({p for x in made for p in x[2:] if p})]
-            self.bare.put(bare, self.encode(bare))
-            of, at = self.chunks.new, self.bare.new
-            self.chunks.put([x[0] for x in made], [of[a] + (at[m] if m else b"") + (self.line + at[b] + (at[n] if n else b"") if b else b"") for _, a, m, b, n in made])
-        self.chunks.put(blank, [None] * len(blank))
+            bare = self._bare({p for x in made for p in x[2:] if p}) | {"": b""}
+            i, _ = self.kept.find(core)
+            at, n = self.kept.at[i], self.kept.len[i]
+            cores = [self.kept.pool[x:y].tobytes() for x, y in zip(at.tolist(), (at + n).tolist(), strict=True)]
+            self.kept.add(key[[x[0] for x in made]], [c + bare[m] + (self.line + bare[b] + bare[n] if b else b"") for c, (_, _, m, b, n) in zip(cores, made, strict=True)])
+
+    def _flat(self, data: np.ndarray, offs: np.ndarray, head: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of rows, one after the other, and where each row's end. Without ``head`` the first
+        row goes on after a space."""
+        n, kept = len(offs) - 1, self.kept
+        space = np.flatnonzero(data == 32)
+        of = np.searchsorted(offs[1:], space, side="right")
+        first = np.arange(n) + np.searchsorted(space, offs[:-1])
+        start = np.empty(n + len(space), np.int64)
+        start[first], start[np.arange(len(space)) + of + 1] = offs[:-1], space + 1
+        end = np.append(start[1:] - 1, 0)
+        end[np.append(first[1:], len(end)) - 1] = offs[1:]
+        row = np.zeros(len(start), np.int64)
+        row[first[1:]] = 1
+        row = np.cumsum(row)
+        alone = np.zeros(len(start), bool)  # chunks that are encoded by themselves
+        alone[first if head else first[1:]] = True
+        long = ~alone & (end - start > _LONGEST)
+        alone |= long
+        common = np.flatnonzero(~alone)
+        kept.turn()
+        hashes = _ByteHash(data)
+        key, one, inverse = np.unique(hashes.of(start[common], end[common]), return_index=True, return_inverse=True)
+        _, hit = kept.find(key)
+        if not hit.all():
+            new = common[one[~hit]]
+            self._learn(key[~hit], start[new], end[new], data, hashes)
+        i, _ = kept.find(key)
+        at, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        at[common], size[common] = kept.at[i][inverse], kept.len[i][inverse]
+        raw = data.tobytes()
+        text = lambda x, y: raw[x:y].decode()
+        single = np.flatnonzero(alone)
+        strings = [(" " if far else "") + text(x, y) for far, x, y in zip(long[single].tolist(), start[single].tolist(), end[single].tolist(), strict=True)]
+        size[single[[k for k, c in enumerate(strings) if c and c[-1].isspace() or c[:1] == " " and c[1:2].isspace()]]] = -1
+        bad = np.zeros(n, bool)
+        bad[row[size < 0]] = True
+        for x in self.apart:
+            p = raw.find(x)
+            while p >= 0:
+                bad[np.searchsorted(offs[1:], p, side="right")] = True
+                p = raw.find(x, p + 1)
+        size[bad[row]] = 0
+        good = np.flatnonzero(~bad[row[single]] & (end[single] > start[single]))
+        odd = np.flatnonzero(bad)
+        more = self.encode([strings[k] for k in good.tolist()]) + [self.whole(("" if head or r else " ") + text(offs[r], offs[r + 1])) for r in odd.tolist()]
+        # These ids stand behind those that are kept, for this call only.
+        mark, lens = kept.used, np.array([len(x) // 4 for x in more], np.int64)
+        where = np.concatenate([single[good], first[odd]])
+        at[where], size[where] = kept.append(np.frombuffer(b"".join(more), "<u4")) + np.cumsum(lens) - lens, lens
+        flat = kept.pool[_runs(at, size)]
+        kept.used = mark
+        return flat, np.cumsum(np.bincount(row, size, minlength=n).astype(np.int64))
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Unsigned 32-bit ids of all rows, one after the other, and where each row's begin and the
+        last's end. Null counts as empty."""
+        data, offs = _buffers(texts)
+        n, parts, ends, total, r = len(offs) - 1, [], [np.zeros(1, np.int64)], 0, 0
+        while r < n:
+            to = max(r + 1, int(np.searchsorted(offs, offs[r] + _STEP, side="right")) - 1)
+            if offs[to] - offs[r] <= 2 * _STEP:
+                flat, end = self._flat(data[offs[r] : offs[to]], offs[r : to + 1] - offs[r])
+            else:  # one long text
+                flat = self._long(data[offs[r] : offs[to]])
+                end = np.array([len(flat)])
+            parts.append(flat)
+            ends.append(end + total)
+            total, r = total + len(flat), to
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.concatenate(ends)
+
+    def _long(self, data: np.ndarray) -> np.ndarray:
+        """Ids of a text that is cut at spaces with no white space beside them, or taken whole."""
+        at, parts, raw = 0, [], data.tobytes()
+        if any(x in raw for x in self.apart):
+            return np.frombuffer(self.whole(raw.decode()), "<u4")
+        while at < len(data):
+            cut = raw.find(b" ", at + _STEP)
+            while 0 <= cut < len(raw) - 1 and (raw[cut - 1] >= 128 or raw[cut + 1] >= 128 or raw[cut - 1 : cut].isspace() or raw[cut + 1 : cut + 2].isspace()):
+                cut = raw.find(b" ", cut + 1)
+            to = len(raw) if cut < 0 or cut >= len(raw) - 1 else cut
+            piece = data[at:to]
+            # A space that leads a piece leads its first chunk.
+            flat = self._flat(piece[1:], np.array([0, len(piece) - 1]), head=False)[0] if at else self._flat(piece, np.array([0, len(piece)]))[0]
+            parts.append(flat)
+            at = to
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
-        cut = [(t or "").split(" ") for t in texts]
-        need: set[str] = set()
-        for c in cut:
-            need.update(c[1:])
-        self.chunks.turn()
-        self.bare.turn()
-        self._learn(need)
-        heads = [i for i, c in enumerate(cut) if c[0] and not c[0][-1].isspace() and not any(x in texts[i] for x in self.apart)]
-        first = dict(zip(heads, self.encode([cut[i][0] for i in heads]), strict=True)) if heads else {}
-        get, out = self.chunks.new.__getitem__, []
-        for i, (t, c) in enumerate(zip(texts, cut, strict=True)):
-            if not t:
-                out.append(b"")
-                continue
-            try:
-                if i not in first:
-                    raise _Irregular
-                out.append(first[i] + b"".join(map(get, c[1:])))
-            except (_Irregular, TypeError):
-                out.append(self.whole(t))
-        return out
+        flat, ends = self.column(pa.array(texts, pa.large_string()))
+        raw = flat.astype("<u4").tobytes()
+        return [raw[4 * x : 4 * y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]

@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import id_lists
 from .text import ChunkEncoder, begin, cached_by, pieces_of, saved, shared_dir, ship
 
 
@@ -69,6 +68,16 @@ class JsonTokenizer:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return self.chunks.ids(texts)
 
+    def column(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, each followed by ``end_id``, and where each row's begin and the last's end."""
+        flat, ends = self.chunks.column(texts)
+        out = np.full(len(flat) + len(ends) - 1, end_id, np.uint32)
+        own = np.ones(len(out), bool)
+        ends = ends + np.arange(len(ends))
+        own[ends[1:] - 1] = False
+        out[own] = flat
+        return out, ends
+
 
 _tokenizers: dict[str, JsonTokenizer] = {}
 cached_by("tokens", _tokenizers.clear)
@@ -93,15 +102,15 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, ke
     if encoding not in ("dictionary", "delta"):
         raise ValueError("encoding is 'dictionary' or 'delta'")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ends = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, row = tokenizer_of(tokenizer_path), 0
         for b in pieces_of(batches, "_text"):
-            got = [x + ends for x in tok.encode(b.column(2).to_pylist())]
-            at = pa.array(np.arange(row, row + len(got)))
-            row += len(got)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), at, pa.array([len(x) // 4 for x in got], pa.int64()), id_lists(got)], names=[key, "part", "row", "n_tokens", "ids"])
+            flat, ends = tok.column(b.column(2), end_id)
+            at = pa.array(np.arange(row, row + b.num_rows))
+            row += b.num_rows
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), at, pa.array(np.diff(ends)), ids], names=[key, "part", "row", "n_tokens", "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
     dealt = docs.select(key, docs[text].alias("_text")).repartitionByRange(parts, key).sortWithinPartitions(key, "_text")

@@ -58,13 +58,55 @@ def test_chunk_encoders_equal_the_libraries():
     parts = [" ", "  ", "\n", " \n", "\t", "\x1c", "\x85", "\xa0", "　", "'s", "don't", "Hello", "é", "日本", "½", "12", ".", ",", "!!", "-", "😀", "́", "A", "﻿", "$$", "###", "word", ".\n", "Ab.\nCd,", "<|endoftext|>"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
     want = [_u32(t.encode(x, add_special_tokens=False).ids) for x in texts]
-    for most in (128 << 20, 1 << 16):  # chunks that come back after they were dropped
+    for most in (1 << 20, 200):  # chunks that come back after they were dropped
         own = token_output.JsonTokenizer(P.path("byte_bpe_50k.json"))
-        own.chunks.chunks.most = own.chunks.bare.most = most
+        own.chunks.kept.most = most
         assert [x for i in range(0, len(texts), 100) for x in own.encode(texts[i : i + 100])] == want
     assert bpe.ByteBpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN).encode(texts) == [_u32(enc(x)) for x in texts]
 
 
+def test_long_texts_are_cut_where_it_does_not_matter(monkeypatch):
+    from ladderline.llm import text
+
+    monkeypatch.setattr(text, "_STEP", 64)
+    lib, own, rnd = _library(), token_output.JsonTokenizer(P.path("byte_bpe_50k.json")), random.Random(2)
+    parts = [" ", "  ", "\n", "word", " and", " x.\nY", "é", "\t", "!", "z" * 300, " <|endoftext|>", "\xa0"]
+    texts = ["".join(rnd.choices(parts, [30, 2, 2, 20, 30, 5, 4, 1, 5, 1, 0.2, 1], k=rnd.randint(0, 200))) for _ in range(300)]
+    assert own.encode([*texts, None, ""]) == [*(_u32(lib(x)) for x in texts), b"", b""]
+
+
+def test_word_hashes(monkeypatch):
+    import pyarrow as pa
+
+    from ladderline.llm import text
+
+    rnd = random.Random(0)
+    parts = ["a", "B", "b", "Zz", "é", "É", " ", "\n", "\t", "\x0b", "\x1c", "\xa0", " ", "word"]
+    texts = [None, "", "   "] + ["".join(rnd.choices(parts, k=rnd.randint(0, 30))) for _ in range(2000)]
+    for step in (text._STEP, 16):  # texts longer than two steps are cut at blanks
+        monkeypatch.setattr(text, "_STEP", step)
+        h, ends = text.word_hashes(pa.array(texts))
+        of, back = {}, {}
+        for t, x, y in zip(texts, ends[:-1], ends[1:]):
+            words = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+            assert len(words) == y - x
+            assert all(of.setdefault(w, v) == v and back.setdefault(v, w) == w for w, v in zip(words, h[x:y].tolist()))
+
+
+def test_byte_hashes_tell_substrings_apart():
+    from ladderline.llm import text
+
+    rng = np.random.default_rng(0)
+    data = rng.integers(97, 100, 20000, dtype=np.uint8)
+    start = rng.integers(0, 19000, 50000)
+    end = start + rng.integers(0, 40, 50000)
+    raw, h = data.tobytes(), text._ByteHash(data).of(start, end)
+    same = {}
+    for x, y, k in zip(start.tolist(), end.tolist(), h.tolist()):
+        same.setdefault(raw[x:y], set()).add(k)
+    assert all(len(v) == 1 for v in same.values()) and len({v for s in same.values() for v in s}) == len(same)
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files(docs, spark, tmp_path, encoding):
     """Null ids first, equal ids in the order of their texts; starts follow the order in the files."""
