@@ -66,7 +66,10 @@ def _order() -> list[Column]:
 
 def merged(book_events: DataFrame, trades: DataFrame, gaps: DataFrame) -> DataFrame:
     """All events with their position in the ticker's stream (``pos``, from 0)."""
-    lanes = gap_lane(gaps).unionByName(book_lane(book_events)).unionByName(trade_lane(trades))
+    return _placed(gap_lane(gaps).unionByName(book_lane(book_events)).unionByName(trade_lane(trades)))
+
+
+def _placed(lanes: DataFrame) -> DataFrame:
     w = Window.partitionBy("ticker").orderBy(*_order())
     return lanes.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
 
@@ -89,14 +92,22 @@ def pending_gaps(stream: DataFrame, t0_us: int) -> DataFrame:
 
 def between(book_events: DataFrame, trades: DataFrame, gaps: DataFrame, t0_us: int, t1_us: int) -> DataFrame:
     """Replay of [t0, t1): pending gaps (lead 0), the book at t0 as a snapshot with event_idx -1
-    (lead 1), then the events (lead 2), in the order (lead, pos)."""
+    (lead 1), then the events (lead 2), in the order (lead, pos).
+
+    Of the time before t0 only what follows a ticker's last snapshot is put in order, and pos
+    counts from there.
+    """
     if t0_us >= t1_us:
         raise ValueError("a range needs t0 < t1")
     # Trades count by effective time, which for fetched ones is their event time: the bound
     # on receive times holds for the other tables only.
     soon = F.col("recv_ts_us") < t1_us
-    stream = merged(book_events.where(soon), trades, gaps.where(soon)).where(F.col("ts") < t1_us)
-    tickers = stream.select("ticker").distinct()
+    books, holes, deals = book_events.where(soon), gaps.where(soon), trade_lane(trades).where(F.col("ts") < t1_us)
+    tickers = books.select("ticker").unionByName(holes.select("ticker")).unionByName(deals.select("ticker")).distinct()
+    last = books.where((F.col("recv_ts_us") < t0_us) & F.col("is_snapshot")).groupBy("ticker").agg(F.max("event_idx").alias("_idx"), F.max_by("recv_ts_us", "event_idx").alias("_ts"))
+    books = books.join(last, "ticker", "left").where("_idx IS NULL OR event_idx >= _idx").drop("_idx", "_ts")
+    holes = holes.join(last, "ticker", "left").where("_ts IS NULL OR recv_ts_us >= _ts").drop("_idx", "_ts")
+    stream = _placed(gap_lane(holes).unionByName(book_lane(books)).unionByName(deals.where(F.col("ts") >= t0_us)))
     # yes before no, each by price
     open_ = book_at(book_events, t0_us).groupBy("ticker").agg(_ladder(F.col("side") == "no", F.col("price_micro")).alias("levels"))
     snap = tickers.join(open_, "ticker", "left").select(
