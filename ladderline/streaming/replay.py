@@ -1,4 +1,4 @@
-"""Structured Streaming forms: capture source, book replay, sequence gaps, landing sink.
+"""Structured Streaming forms: capture source, book replay, checks, sequence gaps, landing sink.
 
 The batch operators are the reference for these; what only the end of input decides (a hole
 that no snapshot closes, an observation without later state) is left to the batch form.
@@ -6,6 +6,7 @@ that no snapshot closes, an observation without later state) is left to the batc
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import book
+from ..operators import book, sequence
+from ..operators.verify import WINDOW_US
 from ..sources import capture
 
 
@@ -95,31 +97,133 @@ def book_top_stream(messages: DataFrame) -> DataFrame:
     return book.top_rows(got, "line_no", "underflows")
 
 
-_VERDICT = "sid string, line_no bigint, kind string, seq bigint, last_seq bigint, verdict string"
+_VERDICT = "sid string, line_no bigint, kind string, channel string, recv_ts_us bigint, seq bigint, last_seq bigint, verdict string"
 
 
 def seq_verdict_stream(frames: DataFrame) -> DataFrame:
-    """Sequence verdicts of frames (sid, line_no, kind, seq); state is the last seq of a connection."""
+    """Sequence verdicts of frames (sid, line_no, kind, seq, and where there are any channel and
+    recv_ts_us, which are passed on); state is the last seq of a connection."""
+    absent = {"channel": "string", "recv_ts_us": "bigint"}
+    frames = frames.withColumns({c: F.lit(None).cast(t) for c, t in absent.items() if c not in frames.columns})
+    names = [f.split()[0] for f in _VERDICT.split(", ")]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
         rows = []
         for r in pd.concat(list(batches)).sort_values("line_no").itertuples():
             seq = None if pd.isna(r.seq) else int(r.seq)
+            one = (key[0], r.line_no, r.kind, r.channel, r.recv_ts_us, seq)
             if r.kind == "snapshot":
                 # A snapshot sets the baseline, even to none.
-                rows.append((key[0], r.line_no, r.kind, seq, None, "accept"))
+                rows.append((*one, None, "accept"))
                 last = seq
                 continue
             verdict = "accept" if seq is None or last is None or seq == last + 1 else "duplicate" if seq == last else "gap"
-            rows.append((key[0], r.line_no, r.kind, seq, last, verdict))
+            rows.append((*one, last, verdict))
             last = last if seq is None else seq
         state.update((last,))
-        yield pd.DataFrame(rows, columns=["sid", "line_no", "kind", "seq", "last_seq", "verdict"]).astype({"seq": "Int64", "last_seq": "Int64"})
+        yield pd.DataFrame(rows, columns=names).astype({"recv_ts_us": "Int64", "seq": "Int64", "last_seq": "Int64"})
 
     return frames.groupBy("sid").applyInPandasWithState(step, _VERDICT, "last_seq bigint", "append", GroupStateTimeout.NoTimeout)
 
 
+def gap_marker_stream(frames: DataFrame, reconnects: DataFrame, tickers: DataFrame) -> DataFrame:
+    """Gap markers as they happen: seq jumps of a stream of frames and reconnects (sid, recv_ts_us) of
+    another, fanned out to the tickers of the connection (a static table)."""
+    jumps = seq_verdict_stream(frames).where("verdict = 'gap'").select("sid", F.lit("seq_jump").alias("kind"), "channel", "recv_ts_us")
+    again = reconnects.select("sid", F.lit("reconnect").alias("kind"), F.lit(None).cast("string").alias("channel"), "recv_ts_us")
+    return sequence.fan_out(jumps.unionByName(again), tickers)
+
+
+_CHECK = "ticker string, event_idx bigint, recv_ts_us bigint, outcome string, match_lag_us bigint"
+
+
+class CheckState:
+    """A book, its states of the last window, and the observation that waits for a verdict."""
+
+    def __init__(self, window_us: int, text: str | None = None):
+        self.window_us = window_us
+        d = json.loads(text) if text else {}
+        self.book = BookState({(s, p): q for s, p, q in d.get("levels", [])})
+        self.idx, self.t, self.snap_t, self.gap_t, self.past, self.wait = (d.get(k) for k in ("idx", "t", "snap_t", "gap_t", "past", "wait"))
+        self.past = self.past or []
+
+    def text(self) -> str:
+        levels = [(s, p, q) for (s, p), q in self.book.levels.items()]
+        return json.dumps({"levels": levels, "idx": self.idx, "t": self.t, "snap_t": self.snap_t, "gap_t": self.gap_t, "past": self.past, "wait": self.wait})
+
+    def ladders(self) -> list:
+        return [sorted([p, q] for (s, p), q in self.book.levels.items() if s == which) for which in (0, 1)]
+
+    def settle(self, outcome: str, lag: int | None = None) -> Iterator[tuple]:
+        if self.wait:
+            yield (self.wait[0], self.wait[1], outcome, lag)
+        self.wait = None
+
+    def event(self, r) -> Iterator[tuple]:
+        """A snapshot or delta."""
+        t = int(r.recv_ts_us)
+        if self.idx is not None:
+            # States that ended before the window of any later observation go.
+            self.past = [x for x in [*self.past, [self.t, t, self.ladders()]] if x[1] >= t - self.window_us]
+        self.idx, self.t = (0 if self.idx is None else self.idx + 1), t
+        if r.kind == "snapshot":
+            self.book.snapshot(r.yes, r.no)
+            self.snap_t = t
+        else:
+            self.book.delta(r.side, int(r.price_micro), int(r.delta_centi))
+        if self.wait:
+            at, now = self.wait[1], self.ladders()
+            if t <= at + self.window_us:
+                if now == self.wait[2]:
+                    yield from self.settle("matched", t - at)
+            else:
+                yield from self.settle("mismatch")
+
+    def gap(self, r) -> Iterator[tuple]:
+        self.gap_t = int(r.recv_ts_us)
+        yield from self.settle("skipped_gap")
+
+    def observed(self, r) -> Iterator[tuple]:
+        """An observation: settles the one before, and is settled at once where the past allows it."""
+        yield from self.settle("mismatch")
+        if self.idx is None:
+            return
+        at, low = int(r.recv_ts_us), int(r.recv_ts_us) - self.window_us
+        rest = [[[int(x["price"]), int(x["quantity"])] for x in (side if side is not None else [])] for side in (r.yes, r.no)]
+        self.wait = [self.idx, at, rest]
+        back = [x[0] for x in self.past if x[2] == rest and x[1] > self.t - self.window_us and x[1] >= low]
+        if self.gap_t is not None and (self.snap_t is None or self.gap_t > self.snap_t):
+            yield from self.settle("skipped_gap")
+        elif self.ladders() == rest:
+            yield from self.settle("matched", 0)
+        elif back:
+            yield from self.settle("matched", max(*back, low) - at)
+
+
+def verify_stream(records: DataFrame, window_us: int = WINDOW_US) -> DataFrame:
+    """Verdicts on observations as soon as they are certain: by a state up to a window before or after,
+    by a gap, by the next observation or by the first book message beyond the window.
+
+    records: the columns of ``book_top_stream``'s input, kinds verify (yes, no) and gap too. State
+    per ticker is its ladder, the states of one window and one observation. An observation without
+    any book message before it gives no row; one that still waits when the input ends is what the
+    batch form calls truncated.
+    """
+    names = [f.split()[0] for f in _CHECK.split(", ")]
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        c = CheckState(window_us, state.get[0] if state.exists else None)
+        rows = []
+        for r in pd.concat(list(batches)).sort_values(["file", "line_no"]).itertuples():
+            take = {"gap": c.gap, "verify": c.observed}.get(r.kind, c.event)
+            rows += [(key[0], *x) for x in take(r)]
+        state.update((c.text(),))
+        yield pd.DataFrame(rows, columns=names).astype({"event_idx": "Int64", "recv_ts_us": "Int64", "match_lag_us": "Int64"})
+
+    return records.groupBy("ticker").applyInPandasWithState(step, _CHECK, "state string", "append", GroupStateTimeout.NoTimeout)
+
+
 def landing_sink(decoded: DataFrame, out: str, checkpoint: str):
     """Append decoded records as JSON lines by ticker, channel and receive day; names that can't be
     path segments go to ``_unsafe``. Exactly once through the sink's own log."""
