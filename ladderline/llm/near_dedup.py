@@ -7,8 +7,8 @@ flips one bit. The population count of two sketches' XOR estimates how many samp
 most precisely where few do, so it rejects most candidates before sets are compared.
 
 Every link found is confirmed on full sets, and links only matter through the components
-they make. So pairs are tried in an order that finds components early: in two star rounds
-each representative meets one member of each of its buckets (another one each round), of
+they make. So pairs are tried in an order that finds components early: in a star round
+each representative meets one member of each of its buckets (in another round, another one), of
 which it verifies the most similar by sketch; pairs inside a component are skipped from then on.
 What is left (buckets that still touch several components) is compared exhaustively in blocks
 of bounded size, in two steps. Finer sketches are compared inside the buckets, and each block
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import MIX_C, WordHash, as_bytes, begin, cached_by, lower_words, pieces_of, saved, scramble, ship, shingle_hashes
+from .text import MIX_C, begin, pieces_of, saved, scramble, ship, shingle_hashes, word_hashes
 
 BANDS, ROWS, SKETCH_WORDS = 40, 5, 8
 #: Sketches of 512 bits that differ in more than this are not compared further. Samples that
 #: differ at similarity 0.8: 40 of 200 (80 flips, 69 bits expected); 6 standard deviations
 #: more are 74 (148 flips, 112 bits expected, standard deviation 9).
 MOST_BITS = 128
-STAR_ROUNDS, BLOCK, BLOCK_BYTES = 2, 2048, 16 << 20
+STAR_ROUNDS, BLOCK, BLOCK_BYTES = 1, 2048, 16 << 20
 #: 64-bit words of the bitmap that keeps other texts out of a shuffle (4 MB).
 FILTER_WORDS = 1 << 19
 
@@ -69,27 +70,34 @@ def min_samples(s: np.ndarray, xor: np.ndarray = _XOR, mul: np.ndarray = _MUL) -
 
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
-    m, acc = mins.reshape(BANDS, ROWS).astype(np.uint64), np.arange(1, BANDS + 1, dtype=np.uint64)
+    """Signed keys of the bands of a row of samples, or of each row of many."""
+    m, acc = mins.reshape(*mins.shape[:-1], BANDS, ROWS).astype(np.uint64), np.arange(1, BANDS + 1, dtype=np.uint64)
     for j in range(ROWS):
-        acc = scramble(acc * MIX_C + m[:, j])
+        acc = scramble(acc * MIX_C + m[..., j])
     return acc.view(np.int64)
 
 
 def odd_sketch(mins: np.ndarray, perm: np.ndarray = _PERM, bits: int = 64 * SKETCH_WORDS) -> np.ndarray:
-    """Parity bitmap of the samples (bits: a power of two), as signed 64-bit words."""
-    at = scramble(perm + mins.astype(np.uint64)) >> np.uint64(64 - (bits.bit_length() - 1))
-    flips = np.bincount(at.astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+    """Parity bitmap of a row of samples, or of each row of many (bits: a power of two), as signed 64-bit words."""
+    rows = mins.reshape(-1, mins.shape[-1])
+    at = (scramble(perm + rows.astype(np.uint64)) >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
+    at += bits * np.arange(len(rows))[:, None]
+    flips = np.bincount(at.ravel(), minlength=bits * len(rows)) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64).reshape(*mins.shape[:-1], bits // 64)
 
 
-_hashes = WordHash()
-cached_by("near_dedup", _hashes.clear)
+def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+    """Of each text the sorted distinct 64-bit hashes of k-word shingles; of the whole sequence if it is shorter."""
+    begin("near_dedup")
+    h, ends = word_hashes(texts)
+    runs = shingle_hashes(h, k)
+    cut = ends.tolist()
+    # Runs that begin in the last k - 1 words of a row reach into the next.
+    return [np.unique(runs[x : y - k + 1] if y - x >= k else shingle_hashes(h[x:y], k)) for x, y in pairwise(cut)]
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of k-word shingles; of the whole sequence if it is shorter."""
-    begin("near_dedup")
-    return np.unique(shingle_hashes(_hashes.of(lower_words(text)), k))
+    return shingle_sets(pa.array([text], pa.binary()), k)[0]
 
 
 def node_of(s: np.ndarray) -> int:
@@ -102,17 +110,16 @@ def signatures(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
         for b in pieces_of(batches, "_text"):
-            n, node, bands, sketch = [], [], [], []
-            for t in as_bytes(b.column(1)):
-                s = shingle_set(t, k)
-                n.append(len(s))
-                mins = min_samples(s) if len(s) else None
-                node.append(node_of(s) if len(s) else None)
-                bands.append(band_keys(mins) if len(s) else None)
-                sketch.append(odd_sketch(mins) if len(s) else None)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, longs), pa.array(sketch, longs)], names=["id", "n_shingles", "node", "bands", "sketch"])
+            sets = shingle_sets(b.column(1), k)
+            some = [i for i, s in enumerate(sets) if len(s)]
+            mins = np.array([min_samples(sets[i]) for i in some], np.uint32).reshape(-1, BANDS * ROWS)
+            # Row number in the lists for each text; none for empty sets.
+            at = pa.array(np.cumsum([len(s) > 0 for s in sets]) - 1, mask=np.array([not len(s) for s in sets]))
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())).cast(longs).take(at) for x in (band_keys(mins), odd_sketch(mins))]
+            node = [node_of(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), *lists], names=["id", "n_shingles", "node", "bands", "sketch"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(docs[key].alias("id"), docs[text].alias("_text")).mapInArrow(run, f"id {kind}, n_shingles bigint, node bigint, bands array<bigint>, sketch array<bigint>")
@@ -138,7 +145,7 @@ def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame, k: int, key: str, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
-            sets = [s for s in (shingle_set(t, k) for t in as_bytes(b.column(1))) if len(s)]
+            sets = [s for s in shingle_sets(b.column(1), k) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "set"])
 
     texts = _among(docs.select(docs[key].alias("id"), docs[text].alias("_text")), ids)
