@@ -21,16 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import MIX_B, MIX_C, WordHash, as_bytes, begin, cached_by, lower_words, saved, scramble, ship
+from .text import MIX_B, MIX_C, begin, saved, scramble, ship, word_hashes
 
 END = np.uint64(0x51ED270B9F0DA3A7)
 BLOCK_BYTES = 4 << 20
-OWNER_BLOCKS = 4
+OWNER_BLOCKS = 1
 #: EM sees log2 probabilities in steps of a quarter: a bounded grid, whatever the corpus.
 STEP, LOWEST, BUCKETS = 0.25, 64.0, 40
 
-_hashes = WordHash()
-cached_by("lm_score", _hashes.clear)
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -46,15 +44,11 @@ def unplanes(data: bytes, kind: str) -> np.ndarray:
 class Block:
     """Tokens of some documents and their distinct keys (words, bigrams) with training counts."""
 
-    def __init__(self, texts: list[bytes | None], training: np.ndarray):
+    def __init__(self, texts: pa.Array, training: np.ndarray):
         begin("lm_score")
-        parts, lens = [], np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            h = _hashes.of(lower_words(t))
-            parts += [h, np.array([END])]
-            lens[i] = len(h) + 1
-        self.lens = lens
-        tok = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        h, ends = word_hashes(texts)
+        self.lens = lens = np.diff(ends) + 1
+        tok = np.insert(h, ends[1:], END)
         first = np.cumsum(lens) - lens
         prev = np.roll(tok, 1)
         prev[first] = END
@@ -98,7 +92,7 @@ def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFr
     kind = docs.schema[key].dataType.simpleString()
 
     def block_of(t: pa.Table) -> Block:
-        return Block(as_bytes(t.column("text").combine_chunks()), t.column("train").to_numpy().astype(float))
+        return Block(t.column("text").combine_chunks(), t.column("train").to_numpy().astype(float))
 
     def ask(t: pa.Table) -> pa.Table:
         b, at = block_of(t), t.column("block")[0].as_py()

@@ -15,7 +15,6 @@ from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,24 +122,6 @@ def begin(user: str) -> None:
         pass
 
 
-class WordHash(dict):
-    """64-bit hashes of words, kept for the words met lately (bounded memory)."""
-
-    def __init__(self, most: int = 150_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = h
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def lower_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 text with A-Z lower-cased; none for null."""
     return text.lower().split() if text else []
