@@ -230,19 +230,20 @@ def _words_in(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts with A-Z lower-cased, row after
     row, and where each row's begin and the last's end. Null counts as empty."""
+    # Small steps: a hash takes some 24 bytes for each byte of a step while it runs.
     data, offs = _buffers(texts)
-    parts, ends, total, r = [], [np.zeros(1, np.int64)], 0, 0
+    step, parts, ends, total, r = _STEP // 4, [], [np.zeros(1, np.int64)], 0, 0
     while r < len(offs) - 1:
-        to = max(r + 1, int(np.searchsorted(offs, offs[r] + _STEP, side="right")) - 1)
+        to = max(r + 1, int(np.searchsorted(offs, offs[r] + step, side="right")) - 1)
         x, y = int(offs[r]), int(offs[to])
-        if y - x <= 2 * _STEP:
+        if y - x <= 2 * step:
             h, at = _words_in(data[x:y], offs[r : to + 1] - x)
             end = at[1:]
         else:  # one long text, cut at blanks
             each = []
             while x < y:
-                blank = np.flatnonzero(_BLANK[data[min(y, x + _STEP) : min(y, x + 2 * _STEP)]])
-                cut = min(y, x + _STEP) + int(blank[0]) if len(blank) else y
+                blank = np.flatnonzero(_BLANK[data[min(y, x + step) : min(y, x + 2 * step)]])
+                cut = min(y, x + step) + int(blank[0]) if len(blank) else y
                 each.append(_words_in(data[x:cut], np.array([0, cut - x]))[0])
                 x = cut
             h = np.concatenate(each)
