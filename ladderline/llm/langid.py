@@ -80,7 +80,9 @@ def fit(docs: DataFrame, label: str = "lang", p: LangParams = LangParams(), key:
     langs = sorted(r[0] for r in docs.where(F.col(label).isNotNull()).select(label).distinct().limit(201).collect())
     if len(langs) > 200:
         raise ValueError("more than 200 languages")
-    ids = docs.select(F.col(key).alias("_k"), F.col(label).alias("_l")).where("_k IS NOT NULL")
+    # Each key once, also where rows repeat it: the sample is bounded whatever the ids are.
+    ids = docs.select(F.col(key).alias("_k"), F.col(label).alias("_l")).where("_k IS NOT NULL AND _l IS NOT NULL")
+    ids = ids.groupBy("_k").agg(F.min("_l").alias("_l"))
     picks = None
     for lang in langs:
         one = ids.where(F.col("_l") == lang).orderBy(F.xxhash64("_k"), "_k").limit(p.sample)
@@ -93,16 +95,20 @@ def fit(docs: DataFrame, label: str = "lang", p: LangParams = LangParams(), key:
         sums: dict[str, np.ndarray] = {}
         for b in pieces_of(batches, "_text"):
             for lang, t in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), strict=True):
-                c = np.bincount(trigram_counts(t), minlength=BUCKETS)
-                sums[lang] = sums.get(lang, 0) + c
+                sums[lang] = sums.get(lang, 0) + np.bincount(trigram_counts(t), minlength=BUCKETS)
         for lang, c in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([c.astype("<i8").tobytes()], pa.binary())], names=["l", "c"])
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(c[at])], names=["l", "bucket", "n"])
 
     # The sample has at most p.sample rows a language: a proven bound.
-    got = docs.select(F.col(key).alias("_k"), F.col(text).alias("_text")).join(F.broadcast(picks), "_k").select("_l", "_text").mapInArrow(run, "l string, c binary")
+    own = docs.select(F.col(key).alias("_k"), F.col(label).alias("_l"), F.col(text).alias("_text")).join(F.broadcast(picks), ["_k", "_l"])
+    one = own.groupBy("_k", "_l").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_l", "_text")
+    got = one.mapInArrow(run, "l string, bucket bigint, n bigint").groupBy("l", "bucket").agg(F.sum("n").alias("n"))
+    # At most BUCKETS rows a language reach the driver.
+    t = got.toArrow()
     counts = np.zeros((len(langs), BUCKETS))
-    for r in got.toLocalIterator():
-        counts[langs.index(r["l"])] += np.frombuffer(r["c"], "<i8")
+    place = {x: i for i, x in enumerate(langs)}
+    counts[[place[x] for x in t.column("l").to_pylist()], t.column("bucket").to_numpy()] = t.column("n").to_numpy()
     counts += 0.5
     logp[:, :-1] = np.log(counts / counts.sum(axis=1, keepdims=True)).T
     return LangModel(langs, logp)
@@ -114,11 +120,12 @@ def host_of(url: Column) -> Column:
 
 def declared_of(html: Column) -> Column:
     """Primary language of the lang attribute of the html element, lower case; empty if none."""
-    return F.lower(F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", 1))
+    return F.lower(F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html(?=\s)[^>]*?\slang\s*=\s*[\"']?([a-zA-Z]{2,3})", 1))
 
 
 def visible_of(html: Column) -> Column:
-    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    # What is never closed lasts to the end, so every part of a page is looked at once.
+    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>", " ")
     return F.regexp_replace(bare, r"&[a-zA-Z#0-9]+;", " ")
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .text import as_bytes, lower_words, pieces_of, scramble, ship, shingle_hashes
+from .text import as_bytes, begin, cached_by, lower_words, pieces_of, scramble, ship, shingle_hashes
 
 BANDS, SHINGLE = 32, 5
 _OUTER = b".,;:!?\"'()[]{}<>*%&$#|-_"
@@ -57,13 +57,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 class _CoreHash(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word.strip(_OUTER))
-        if len(self) >= 150_000:
-            self.clear()
-        self[word] = h
+        if len(word) <= 64:  # so that entries bound bytes
+            if len(self) >= 150_000:
+                self.clear()
+            self[word] = h
         return h
 
 
 _core = _CoreHash()
+cached_by("license_scan", _core.clear)
 
 
 def word_hashes(text: bytes | None) -> np.ndarray:
@@ -164,6 +166,7 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, k
     made: list[Matcher] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("license_scan")
         if not made:
             made.append(Matcher(given, percent))
         for b in pieces_of(batches, "_text"):

@@ -6,7 +6,7 @@ b, the power of two that C(v) lies in. Weights are learned by expectation-maximi
 held-out counts: each training token is predicted from the counts without itself.
 
 Counts are exact and never gathered. Documents are dealt into blocks; each block sends its
-distinct words and bigrams, as sorted 64-bit hashes with training counts, to the owners of
+distinct words and bigrams, as sorted 64-bit hashes (under a random key of the run) with training counts, to the owners of
 hash ranges (one packed row for each block and range), and gets back the totals in the order
 in which it sent them. So no word, however common, is more than one number per block, and
 the totals need no keys on their way back.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import MIX_B, MIX_C, begin, saved, scramble, ship, word_hashes
+from .text import FIXED_KEY, MIX_B, MIX_C, begin, fresh_key, saved, scramble, ship, word_hashes
 
 END = np.uint64(0x51ED270B9F0DA3A7)
 BLOCK_BYTES = 4 << 20
@@ -30,7 +30,6 @@ OWNER_BLOCKS = 1
 STEP, LOWEST, BUCKETS = 0.25, 64.0, 40
 
 
-
 def planes(x: np.ndarray) -> bytes:
     """The bytes of an integer array, all first bytes first: high ones are mostly 0 and compress."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
@@ -44,9 +43,9 @@ def unplanes(data: bytes, kind: str) -> np.ndarray:
 class Block:
     """Tokens of some documents and their distinct keys (words, bigrams) with training counts."""
 
-    def __init__(self, texts: pa.Array, training: np.ndarray):
+    def __init__(self, texts: pa.Array, training: np.ndarray, words: int = FIXED_KEY):
         begin("lm_score")
-        h, ends = word_hashes(texts)
+        h, ends = word_hashes(texts, words)
         self.lens = lens = np.diff(ends) + 1
         tok = np.insert(h, ends[1:], END)
         first = np.cumsum(lens) - lens
@@ -88,11 +87,14 @@ def _annotated(docs: DataFrame, training: Column, key: str, text: str) -> DataFr
     size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-int(size) // BLOCK_BYTES))
     owners = 1 << max(0, (-(-blocks // OWNER_BLOCKS) - 1).bit_length())
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", F.length("text")), F.lit(blocks)).cast("int"))
+    # By text too, and by place in the input: neither rows without id nor repeated rows meet.
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(1024))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text", place), F.lit(blocks)).cast("int"))
+    words = fresh_key()
     kind = docs.schema[key].dataType.simpleString()
 
     def block_of(t: pa.Table) -> Block:
-        return Block(t.column("text").combine_chunks(), t.column("train").to_numpy().astype(float))
+        return Block(t.column("text").combine_chunks(), t.column("train").to_numpy().astype(float), words)
 
     def ask(t: pa.Table) -> pa.Table:
         b, at = block_of(t), t.column("block")[0].as_py()

@@ -17,8 +17,9 @@ forests connect, where close pairs are compared exactly; each block returns a fo
 confirmed links. So no step returns more edges than it got rows, however many pairs a group has.
 
 With 40 bands of 5, a pair at similarity 0.8 shares no band with probability
-(1 - 0.8^5)^40 < 2e-7; the sketch bounds lose it with less. Classes and shingles are 64-bit
-digests.
+(1 - 0.8^5)^40 < 2e-7; the sketch bounds lose it with less. Words are hashed under a random
+key of the run, so no text can be written to collide; classes and shingles are 64-bit digests
+of those.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import MIX_C, begin, pieces_of, saved, scramble, ship, shingle_hashes, word_hashes
+from .text import FIXED_KEY, MIX_C, begin, fresh_key, pieces_of, saved, scramble, ship, shingle_hashes, word_hashes
 
 BANDS, ROWS, SKETCH_WORDS = 40, 5, 8
 #: Sketches of 512 bits that differ in more than this are not compared further. Samples that
@@ -86,10 +87,11 @@ def odd_sketch(mins: np.ndarray, perm: np.ndarray = _PERM, bits: int = 64 * SKET
     return np.packbits(flips.astype(np.uint8)).view(np.int64).reshape(*mins.shape[:-1], bits // 64)
 
 
-def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
-    """Of each text the sorted distinct 64-bit hashes of k-word shingles; of the whole sequence if it is shorter."""
+def shingle_sets(texts: pa.Array, k: int, words: int = FIXED_KEY) -> list[np.ndarray]:
+    """Of each text the sorted distinct 64-bit hashes of k-word shingles; of the whole sequence if it is shorter.
+    ``words``: the key of the word hashes."""
     begin("near_dedup")
-    h, ends = word_hashes(texts)
+    h, ends = word_hashes(texts, words)
     runs = shingle_hashes(h, k)
     cut = ends.tolist()
     # Runs that begin in the last k - 1 words of a row reach into the next.
@@ -105,14 +107,14 @@ def node_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def signatures(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
+def signatures(docs: DataFrame, k: int, key: str, text: str, words: int = FIXED_KEY) -> DataFrame:
     """Key as ``id``, n_shingles, node (digest of the set, null for an empty one), bands, sketch."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for b in pieces_of(batches, "_text"):
-            sets = shingle_sets(b.column(1), k)
+            sets = shingle_sets(b.column(1), k, words)
             some = [i for i, s in enumerate(sets) if len(s)]
             mins = np.array([min_samples(sets[i]) for i in some], np.uint32).reshape(-1, BANDS * ROWS)
             # Row number in the lists for each text; none for empty sets.
@@ -140,12 +142,12 @@ def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return likely.select("id", "_text").join(ids.distinct(), "id")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame, k: int, key: str, text: str) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, nodes: DataFrame, k: int, key: str, text: str, words: int) -> DataFrame:
     """node and packed shingle set, once for each of ``nodes``, from documents with those ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
-            sets = [s for s in shingle_sets(b.column(1), k) if len(s)]
+            sets = [s for s in shingle_sets(b.column(1), k, words) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "set"])
 
     texts = _among(docs.select(docs[key].alias("id"), docs[text].alias("_text")), ids)
@@ -322,8 +324,13 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     fewer words than k count as one shingle; a null or empty text has none and is linked with
     nothing. Rows that repeat a key share its component. A null key is linked with nothing:
     its component_id is null and it is kept. Keys are whole numbers; other columns are left out.
+
+    ``percent`` is 80 or more: bands and sketch bounds are made for that.
     """
-    sig = saved(signatures(docs, k, key, text), "signatures")
+    if not 80 <= percent <= 100:
+        raise ValueError("percent must be 80 to 100")
+    words = fresh_key()
+    sig = saved(signatures(docs, k, key, text, words), "signatures")
     own = sig.where("node IS NOT NULL AND id IS NOT NULL")
     classes = saved(own.groupBy("node").agg(F.min("id").alias("rep")), "classes")
     reps = own.join(classes.select("node", F.col("rep").alias("id")), ["node", "id"], "left_semi").dropDuplicates(["node"])
@@ -334,7 +341,7 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     nodes = live.select("node").distinct()
     sketches = saved(reps.drop("bands").join(nodes, "node", "left_semi"), "sketches")
     sizes = sketches.select("node", "n")
-    sets = saved(_sets(docs, classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("id")), nodes, k, key, text), "sets")
+    sets = saved(_sets(docs, classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("id")), nodes, k, key, text, words), "sets")
 
     links = tested = classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     roots = links.toDF("node", "label")

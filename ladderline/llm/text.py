@@ -5,13 +5,16 @@ from __future__ import annotations
 import atexit
 import ctypes
 import gc
+import hashlib
 import os
 import re
+import secrets
 import shutil
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Collection, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -176,6 +179,7 @@ class _ByteHash:
     """64-bit hashes of substrings of a buffer, all from one running sum.
 
     sum of t[byte] * b^i over a substring, divided by b^start: b is odd, so it has an inverse.
+    Strings can be made to collide, so whoever looks something up by these compares bytes too.
     """
 
     _t = scramble(np.arange(1, 257, dtype=np.uint64) * MIX_A)
@@ -214,8 +218,30 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def _words_in(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of rows, and where each row's begin and the last's end."""
+#: Longest word, in bytes, that the multilinear hash takes; longer ones go through blake2b.
+_WORD = 4096
+_FACTOR = (_LOWER.astype(np.uint64) + np.uint64(1))
+#: Key of hashes that must mean the same in every run.
+FIXED_KEY = 20240607
+
+
+def fresh_key() -> int:
+    """A random key for the word hashes of one run, drawn on the driver and sent with its tasks:
+    nobody can write texts that collide under a key that isn't there yet."""
+    return secrets.randbits(63)
+
+
+@lru_cache(maxsize=4)
+def _multipliers(key: int) -> np.ndarray:
+    return np.random.Generator(np.random.Philox(key=key)).integers(0, 1 << 64, _WORD, dtype=np.uint64)
+
+
+def _words_in(data: np.ndarray, offs: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of rows, and where each row's begin and the last's end.
+
+    A word's hash is the sum of (byte + 1) * r[place] modulo 2^64 for random r: two words differ
+    in a coefficient below 256, so they collide with at most 2^-57 over the choice of r.
+    """
     full = ~_BLANK[data]
     begins, stops = full.copy(), full.copy()
     begins[1:] &= ~full[:-1]
@@ -224,27 +250,39 @@ def _words_in(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     head, tail = offs[:-1][np.diff(offs) > 0], offs[1:][np.diff(offs) > 0] - 1
     begins[head], stops[tail] = full[head], full[tail]
     start, end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    return _ByteHash(_LOWER[data]).of(start, end), np.searchsorted(start, offs)
-
-
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    at = np.searchsorted(start, offs)
+    size = (end - start).astype(np.int32)
+    if not len(size):
+        return np.zeros(0, np.uint64), at
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), size)
+    long = np.flatnonzero(size > _WORD)
+    r = _multipliers(key)
+    out = scramble(np.add.reduceat(_FACTOR[data[full]] * (r[place % _WORD] if len(long) else r[place]), first))
+    for i in long.tolist():
+        word = _LOWER[data[start[i] : end[i]]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=key.to_bytes(8, "little")).digest(), "little")
+    return out, at
+
+
+def word_hashes(texts: pa.Array, key: int = FIXED_KEY) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts with A-Z lower-cased, row after
     row, and where each row's begin and the last's end. Null counts as empty."""
-    # Small steps: a hash takes some 24 bytes for each byte of a step while it runs.
+    # Small steps: a hash takes some 40 bytes for each byte of a step while it runs.
     data, offs = _buffers(texts)
-    step, parts, ends, total, r = _STEP // 4, [], [np.zeros(1, np.int64)], 0, 0
+    step, parts, ends, total, r = _STEP // 8, [], [np.zeros(1, np.int64)], 0, 0
     while r < len(offs) - 1:
         to = max(r + 1, int(np.searchsorted(offs, offs[r] + step, side="right")) - 1)
         x, y = int(offs[r]), int(offs[to])
         if y - x <= 2 * step:
-            h, at = _words_in(data[x:y], offs[r : to + 1] - x)
+            h, at = _words_in(data[x:y], offs[r : to + 1] - x, key)
             end = at[1:]
         else:  # one long text, cut at blanks
             each = []
             while x < y:
                 blank = np.flatnonzero(_BLANK[data[min(y, x + step) : min(y, x + 2 * step)]])
                 cut = min(y, x + step) + int(blank[0]) if len(blank) else y
-                each.append(_words_in(data[x:cut], np.array([0, cut - x]))[0])
+                each.append(_words_in(data[x:cut], np.array([0, cut - x]), key)[0])
                 x = cut
             h = np.concatenate(each)
             end = np.array([len(h)])
@@ -263,13 +301,16 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Kept:
-    """Ids by hash: sorted hashes, and where in a pool their ids are. A length of -1 says that
-    the chunk can't stand by itself. Beyond ``most`` entries the half met longest ago goes."""
+    """Ids by hash: sorted hashes, where in a pool their ids are, and the bytes that they are for.
+    A length of -1 says that the chunk can't stand by itself. Beyond ``most`` entries the half
+    met longest ago goes."""
 
     def __init__(self, most: int):
         self.most, self.now = most, 0
         self.key, self.at, self.len, self.seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.text, self.text_used = np.zeros(1 << 16, np.uint8), 0
+        self.text_at, self.text_len = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes, and which of them are there."""
@@ -280,6 +321,20 @@ class _Kept:
         self.seen[i[hit]] = self.now
         return i, hit
 
+    def differ(self, i: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which substrings of data are not the bytes that entries i are for."""
+        size = (end - start).astype(np.int32)
+        bad = self.text_len[i] != size
+        # Where lengths differ no byte needs to be read.
+        size[bad] = 0
+        last = np.cumsum(size)
+        place = np.arange(last[-1] if len(last) else 0, dtype=np.int32)
+        ours = np.repeat((start - (last - size)).astype(np.int32), size) + place
+        theirs = np.repeat(self.text_at[i] - (last - size), size) + place
+        wrong = np.flatnonzero(data[ours] != self.text[theirs])
+        bad[np.searchsorted(last, wrong, side="right")] = True
+        return bad
+
     def append(self, ids: np.ndarray) -> int:
         """Put ids at the end of the pool; where they are."""
         if self.used + len(ids) > len(self.pool):
@@ -288,23 +343,34 @@ class _Kept:
         self.used += len(ids)
         return self.used - len(ids)
 
-    def add(self, key: np.ndarray, ids: list[bytes | None]) -> None:
-        """New hashes, each once, in any order."""
+    def add(self, key: np.ndarray, ids: list[bytes | None], text: list[bytes]) -> None:
+        """New hashes, in any order, with the ids of the bytes that they are for."""
         n = np.array([-1 if x is None else len(x) // 4 for x in ids], np.int32)
         at = self.append(np.frombuffer(b"".join([x for x in ids if x]), "<u4")) + np.cumsum(n.clip(0)) - n.clip(0)
+        flat, size = np.frombuffer(b"".join(text), np.uint8), np.array([len(x) for x in text], np.int32)
+        if self.text_used + len(flat) > len(self.text):
+            self.text = np.concatenate([self.text[: self.text_used], np.zeros(self.text_used + len(flat), np.uint8)])
+        self.text[self.text_used : self.text_used + len(flat)] = flat
+        text_at = self.text_used + np.cumsum(size) - size
+        self.text_used += len(flat)
         order = np.argsort(key)
         where = np.searchsorted(self.key, key[order])
-        self.key, self.at, self.len = (np.insert(x, where, y[order]) for x, y in ((self.key, key), (self.at, at), (self.len, n)))
+        self.key, self.at, self.len, self.text_at, self.text_len = (
+            np.insert(x, where, y[order]) for x, y in ((self.key, key), (self.at, at), (self.len, n), (self.text_at, text_at), (self.text_len, size))
+        )
         self.seen = np.insert(self.seen, where, self.now)
 
     def turn(self) -> None:
         self.now += 1
         if len(self.key) > self.most:
             stay = np.sort(np.argsort(-self.seen, kind="stable")[: self.most // 2])
-            self.key, self.at, self.len, self.seen = (x[stay] for x in (self.key, self.at, self.len, self.seen))
+            self.key, self.at, self.len, self.seen, self.text_at, self.text_len = (x[stay] for x in (self.key, self.at, self.len, self.seen, self.text_at, self.text_len))
             n = self.len.clip(0).astype(np.int64)
             self.pool = self.pool[_runs(self.at, n)]
             self.used, self.at = len(self.pool), np.cumsum(n) - n
+            m = self.text_len.astype(np.int64)
+            self.text = self.text[_runs(self.text_at, m)]
+            self.text_used, self.text_at = len(self.text), np.cumsum(m) - m
 
 
 class ChunkEncoder:
@@ -314,7 +380,8 @@ class ChunkEncoder:
     sides; it can only begin with it. So a text is the sequence of its chunks (each a space
     and what follows up to the next space), and ids of a chunk depend on it alone. Distinct
     chunks of a few MB of text are found by 64-bit hashes, and ids of those met lately are kept
-    (``most`` of them, some 40 bytes each). Texts where a space touches other white space, or
+    (``most`` of them, some 60 bytes each) with their bytes. Every chunk is compared with the
+    bytes that its hash stands for; one that differs is encoded by itself. Texts where a space touches other white space, or
     that hold one of ``apart`` (added tokens), go through ``whole`` instead.
 
     Where the pattern makes letters, a run of marks and a line feed pre-tokens of their own,
@@ -362,7 +429,8 @@ class ChunkEncoder:
         strings, keys = [" " + text[i] for i in todo], key[todo]
         if made:
             first = start[[x[0] for x in made]]
-            core = hashes.of(first, first + np.array([len(x[1]) if x[1].isascii() else len(x[1].encode()) for x in made]))
+            last = first + np.array([len(x[1]) if x[1].isascii() else len(x[1].encode()) for x in made])
+            core = hashes.of(first, last)
             distinct, one = np.unique(core, return_index=True)
             new = ~self.kept.find(distinct)[1] & ~np.isin(distinct, keys)
             strings += [" " + made[i][1] for i in one[new].tolist()]
@@ -370,13 +438,16 @@ class ChunkEncoder:
         ids: list[bytes | None] = []
         for i in range(0, len(strings), 4096):
             ids += self.encode(strings[i : i + 4096])
-        self.kept.add(np.concatenate([keys, key[blank]]), ids + [None] * len(blank))
+        self.kept.add(np.concatenate([keys, key[blank]]), ids + [None] * len(blank), [x[1:].encode() for x in strings] + [text[i].encode() for i in blank])
         if made:
             bare = self._bare({p for x in made for p in x[2:] if p}) | {"": b""}
             i, _ = self.kept.find(core)
             at, n = self.kept.at[i], self.kept.len[i]
             cores = [self.kept.pool[x:y].tobytes() for x, y in zip(at.tolist(), (at + n).tolist(), strict=True)]
-            self.kept.add(key[[x[0] for x in made]], [c + bare[m] + (self.line + bare[b] + bare[n] if b else b"") for c, (_, _, m, b, n) in zip(cores, made, strict=True)])
+            for j in np.flatnonzero(self.kept.differ(i, data, first, last)).tolist():
+                cores[j] = self.encode([" " + made[j][1]])[0]
+            whole = [c + bare[m] + (self.line + bare[b] + bare[n] if b else b"") for c, (_, _, m, b, n) in zip(cores, made, strict=True)]
+            self.kept.add(key[[x[0] for x in made]], whole, [text[x[0]].encode() for x in made])
 
     def _flat(self, data: np.ndarray, offs: np.ndarray, head: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rows, one after the other, and where each row's end. Without ``head`` the first
@@ -404,9 +475,12 @@ class ChunkEncoder:
         if not hit.all():
             new = common[one[~hit]]
             self._learn(key[~hit], start[new], end[new], data, hashes)
-        i, _ = kept.find(key)
+        i = kept.find(key)[0][inverse]
         at, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
-        at[common], size[common] = kept.at[i][inverse], kept.len[i][inverse]
+        at[common], size[common] = kept.at[i], kept.len[i]
+        other = common[kept.differ(i, data, start[common], end[common])]
+        alone[other] = long[other] = True
+        size[other] = 0
         raw = data.tobytes()
         text = lambda x, y: raw[x:y].decode()
         single = np.flatnonzero(alone)

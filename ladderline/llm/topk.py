@@ -14,8 +14,10 @@ are taken in blocks too, and only (query block, ring block) pairs are multiplied
 the queries of the block that visit the ring, in the narrowest integer type that holds them;
 a pair returns k rows for each query at most.
 
-Pivots are k-means centres of a bounded sample; every vector is indexed. Scores are inner
-products of integer vectors in 64-bit arithmetic.
+Pivots are k-means centres of a bounded sample; every vector is indexed. Scores are exact inner
+products of integer vectors: in doubles or 64 bits where the lengths of the vectors prove that
+these hold them, in Python's integers elsewhere. A score beyond 64 bits is given as the nearest
+64-bit number, and ranks as that.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import saved, ship
@@ -42,16 +44,25 @@ class IndexParams:
     query_block: int = 256
 
 
+def _floor(x: Column) -> Column:
+    """As a double: from 2^52 on every double is whole, and none need fit in 64 bits."""
+    return F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x)
+
+
+def _norm(vec: Column) -> Column:
+    return F.aggregate(vec, F.lit(0.0), lambda a, v: a + v * v)
+
+
 def quantise(rows: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """id and vec (array of bigint, floor(scale * x)) of rows whose vector is usable.
+    """id and vec (floor(scale * x), whole numbers as doubles) of rows whose vector is usable.
 
     Vectors that are null or hold null, NaN or infinite components, and rows without an id,
-    take no part.
+    take no part. (Nor do vectors whose squared length no double holds, beyond 1e150.)
     """
     x = F.col(vector)
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) | (_norm(F.transform(x, lambda v: v.cast("double") * scale)) == float("inf"))
     ok = rows.where(F.col(key).isNotNull() & x.isNotNull() & ~F.coalesce(bad, F.lit(False)))
-    return ok.select(F.col(key).cast("bigint").alias("id"), F.transform(x, lambda v: F.floor(v.cast("double") * scale)).alias("vec"))
+    return ok.select(F.col(key).cast("bigint").alias("id"), F.transform(x, lambda v: _floor(v.cast("double") * scale)).alias("vec"))
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -82,8 +93,26 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def narrowest(square: float) -> str:
-    """The integer type for components of vectors of at most that squared norm."""
-    return "<i2" if square < 2**30 else "<i4" if square < 2**62 else "<i8"
+    """The type for whole components of vectors of at most that squared norm."""
+    return "<i2" if square < 2**29 else "<i4" if square < 2**61 else "<f8"
+
+
+def products(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of y and x, whole numbers, exactly; cut off at 64 bits.
+
+    Sums below 2^53 are exact in doubles in any order, and those below 2^62 in 64-bit integers.
+    """
+    if not len(x) or not len(y):
+        return np.zeros((len(y), len(x)), np.int64)
+    a, b = y.astype(float), x.astype(float)
+    bound = np.sqrt((a * a).sum(1).max()) * np.sqrt((b * b).sum(1).max())
+    if bound < 2**52:
+        return (a @ b.T).astype(np.int64)
+    if bound < 2**61 and max(np.abs(a).max(), np.abs(b).max()) < 2**61:
+        return y.astype(np.int64) @ x.astype(np.int64).T
+    whole = lambda m: np.array([[int(v) for v in r] for r in m.tolist()], object).reshape(m.shape)
+    s, most = whole(a) @ whole(b).T, (1 << 63) - 1
+    return np.array([[max(-most, min(most, v)) for v in r] for r in s], np.int64)
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", scale: int = 1024, p: IndexParams = IndexParams()) -> DataFrame:
@@ -98,7 +127,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
     ship(spark)
     base = quantise(rows, key, vector, scale).where(F.size("vec") > 0)
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    norm = F.aggregate("vec", F.lit(0).cast("bigint"), lambda a, v: a + v * v)
+    norm = _norm(F.col("vec"))
     stats = base.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m2")).orderBy(F.desc("n"), "dim").first()
     if not stats:
         return spark.createDataFrame([], schema)
@@ -117,7 +146,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
             near = d.argmin(axis=1)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near])], names=["id", "vec", "pivot", "dist"])
 
-    keyed = saved(base.mapInArrow(key_of, "id bigint, vec array<bigint>, pivot int, dist double"), "keyed")
+    keyed = saved(base.mapInArrow(key_of, "id bigint, vec array<double>, pivot int, dist double"), "keyed")
     # Ring edges: approximate quantiles of each pivot's distances; at most pivots * rings values.
     cuts = {r["pivot"]: r["q"] for r in keyed.groupBy("pivot").agg(F.percentile_approx("dist", [i / p.rings for i in range(1, p.rings)], 1000).alias("q")).collect()}
     edges = spark.createDataFrame([(i, sorted(set(q))) for i, q in cuts.items()], "pivot int, edges array<double>")
@@ -153,8 +182,11 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
         """Largest score that each query can have in each ring, rounded up generously."""
         lifted = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
         d = _distances(lifted, pivots)[:, r_pivot]
-        low = np.maximum(0, np.maximum(d - r_hi, r_lo - d) * (1 - 1e-9) - 1e-3)
-        return (m2 + (x * x).sum(1)[:, None] - low * low) / 2 * (1 + 1e-9) + 1
+        n2 = (x * x).sum(1)[:, None]
+        # Rounding of squared distances is relative to the longest vectors.
+        low = np.maximum(0, np.maximum(d - r_hi, r_lo - d) * (1 - 1e-9) - 1e-3 - 1e-6 * np.sqrt(np.maximum(m2, n2)))
+        up = (m2 + n2 - low * low) / 2
+        return np.maximum(up + 1e-9 * np.maximum(m2, n2) + 1, -(2.0**63))
 
     def visits(floor: bool):
         """A row for each block of a ring and block of queries that visit it: the rings that hold k
@@ -188,14 +220,11 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
         for b in batches:
             for r in b.to_pylist():
                 ids, qids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["qids"], "<i8")
-                x, y = (np.frombuffer(r[m], t).reshape(-1, dim).astype(np.int64) for m, t in (("m", kind), ("qm", q_kind)))
-                # Products of components below 2^26 are exact in doubles for up to 2 dimensions
-                # only; sums below 2^53 are exact in any order, which the norms decide.
-                exact = float(np.sqrt(m2)) * float(np.sqrt((y.astype(float) ** 2).sum(1).max())) < 2**52 and np.abs(x).max(initial=0) < 2**26 and np.abs(y).max(initial=0) < 2**26
-                s = (y.astype(float) @ x.T.astype(float)).astype(np.int64) if exact else y @ x.T
+                x, y = (np.frombuffer(r[m], t).reshape(-1, dim) for m, t in (("m", kind), ("qm", q_kind)))
+                s = products(y, x)
                 own = qids[:, None] == ids[None, :]
                 s[own] = np.iinfo(np.int64).min
-                order = np.lexsort((np.broadcast_to(ids, s.shape), -s.astype(float) if exact else ~s), axis=1)[:, :k]
+                order = np.lexsort((np.broadcast_to(ids, s.shape), ~s), axis=1)[:, :k]
                 i = np.repeat(np.arange(len(qids)), order.shape[1])
                 j = order.ravel()
                 ok = ~own[i, j]
@@ -208,7 +237,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
         hits = v.join(index, ["cell", "blk"]).select("ids", "m", "qids", "qm").mapInArrow(multiply, "query_id bigint, vec_id bigint, score bigint")
         return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    q2 = q.agg(F.coalesce(F.max(norm), F.lit(0))).first()[0]
+    q2 = q.agg(F.coalesce(F.max(norm), F.lit(0.0))).first()[0]
     q_kind = narrowest(q2)
     first = search(q, False).groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("least"))
     second = q.join(first.select(F.col("query_id").alias("id"), "least"), "id", "left")

@@ -45,9 +45,10 @@ class _TermHash(dict):
     def __missing__(self, word: bytes) -> int:
         core = word.strip(_OUTER)
         h = xxhash.xxh64_intdigest(core) if core else 0
-        if len(self) >= 150_000:
-            self.clear()
-        self[word] = h
+        if len(word) <= 64:  # so that entries bound bytes
+            if len(self) >= 150_000:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -153,17 +154,19 @@ def fit(docs: DataFrame, labels: DataFrame, p: FmParams = FmParams(), key: str =
 
     Where that leaves out rows of a label, the bias is corrected by the rates at which the two
     labels were sampled, so that a score means the same at every size of the input.
-    Rows without key or label, or whose document is missing, are not used. Without any row of
+    Rows without key or label, or whose document is missing, are not used; of rows that repeat a
+    key one is. Without any row of
     a label the model knows no difference and scores every text as clean (0).
 
     Terms are counted and chosen by grouped aggregation. The driver gets ``p.terms`` terms, and of
     each sampled row a bitmap of those: some kB, however long its text.
     """
     ship(docs.sparkSession)
-    known = labels.where(f"`{key}` IS NOT NULL AND `{label}` IN (0, 1)").select(key, F.col(label).cast("int").alias("y"))
+    known = labels.where(f"`{key}` IS NOT NULL AND `{label}` IN (0, 1)").select(key, F.col(label).cast("int").alias("y")).distinct()
     picks = [known.where(F.col("y") == v).orderBy(F.xxhash64(key), key).limit(p.sample) for v in (0, 1)]
-    # At most 2 * p.sample rows: a proven bound.
+    # At most 2 * p.sample rows: a proven bound, which holds for documents too where ids repeat.
     sample = docs.select(key, docs[text].alias("_text")).join(F.broadcast(picks[0].unionAll(picks[1])), key)
+    sample = sample.groupBy(key, "y").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, "_text"):
