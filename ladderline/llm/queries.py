@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, license_scan, lm_score, near_dedup, packing, quality, token_output, topk, toxicity
+from . import bpe, langid, license_scan, lm_score, near_dedup, packing, prefix_trie, quality, token_output, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +156,37 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, turn, role, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w, sha256(concat(strlen(role), ':', role, text))[:32] AS digest
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT c, list({'role': role, 'text': text, 'w': w} ORDER BY turn NULLS FIRST, digest) AS l FROM t GROUP BY c),
+h AS (
+  SELECT c, l, c - c % 20 AS f,
+         xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda a, b: list_reduce(range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, b)),
+             CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM own),
+whole AS (SELECT h.c, list_concat(list_slice(coalesce(own.l, []), 1, h.h), list_slice(h.l, h.h + 1, len(h.l))) AS l FROM h LEFT JOIN own ON own.c = h.f),
+p AS (SELECT c, d, len(l) = d AS last, list_slice(l, 1, d) AS path, CASE WHEN d > 0 THEN l[d].w ELSE 0 END AS w FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM whole)),
+n AS (SELECT d, path, min(c) AS node, count(*) AS n_convs, min(w) AS w, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '') AS ends FROM p GROUP BY d, path),
+m AS (SELECT p.c, n.node, n.d, n.n_convs, n.w, n.ends FROM p JOIN n ON p.d = n.d AND p.path = n.path),
+up AS (SELECT a.node, a.d, a.n_convs, a.w, a.ends, b.node AS parent FROM m a LEFT JOIN m b ON b.c = a.node AND b.d = a.d - 1 WHERE a.c = a.node),
+kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS k FROM up WHERE d > 0 GROUP BY ALL),
+x AS (SELECT up.*, coalesce(k, 0) AS k FROM up LEFT JOIN kids ON up.node = kids.node AND up.d = kids.d),
+sums AS (
+  SELECT a.node, a.d, sum(CASE WHEN x.k = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((x.n_convs - 1) * x.w) AS saved
+  FROM x JOIN m a ON a.c = x.node AND a.d <= x.d GROUP BY ALL)
+SELECT x.node AS conv_id, CAST(x.d AS BIGINT) AS depth, x.parent AS parent_conv_id, CAST(x.n_convs AS BIGINT) AS n_convs, CAST(x.k AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM x JOIN sums ON x.node = sums.node AND x.d = sums.d
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -169,8 +200,9 @@ def queries() -> dict[str, Query]:
         "op8_language_id_pages": op8_language_id_pages,
         "op9_toxicity": op9_toxicity,
         "op10_top_k": op10_top_k,
+        "op11_prefix_trie": op11_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL, "op6_near_dedup": OP6_SQL, "op10_top_k": OP10_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op6_near_dedup": OP6_SQL, "op10_top_k": OP10_SQL, "op11_prefix_trie": OP11_SQL}
