@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, license_scan, lm_score, near_dedup, packing, prefix_trie, quality, token_output, topk, toxicity
+from . import alignment, bpe, fingerprint, langid, license_scan, lm_score, near_dedup, packing, prefix_trie, quality, token_output, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,6 +187,17 @@ FROM x JOIN sums ON x.node = sums.node AND x.d = sums.d
 """
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -201,6 +212,8 @@ def queries() -> dict[str, Query]:
         "op9_toxicity": op9_toxicity,
         "op10_top_k": op10_top_k,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_alignment": op12_alignment,
+        "op13_fingerprint": op13_fingerprint,
     }
 
 
