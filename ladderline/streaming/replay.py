@@ -6,7 +6,6 @@ that no snapshot closes, an observation without later state) is left to the batc
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators import book, sequence
 from ..operators.verify import WINDOW_US
 from ..sources import capture
+from .state import BookTop, Checks, use_rocksdb
 
 
 def capture_stream(spark: SparkSession, base: str, files_per_trigger: int = 100) -> DataFrame:
@@ -37,63 +37,17 @@ def capture_stream(spark: SparkSession, base: str, files_per_trigger: int = 100)
 
 
 _TOP = "ticker string, event_idx bigint, line_no bigint, recv_ts_us bigint, event_ts_us bigint, seq bigint, event string, yb bigint, ybs bigint, nb bigint, nbs bigint, yt bigint, nt bigint, yl bigint, nl bigint, underflows bigint"
-_BOOK = "event_idx bigint, side array<int>, price array<bigint>, qty array<bigint>, underflows bigint"
-
-
-class BookState:
-    """A two-sided book that snapshots replace and deltas change."""
-
-    def __init__(self, levels: dict[tuple[int, int], int] | None = None, underflows: int = 0):
-        self.levels, self.underflows = levels or {}, underflows
-
-    def snapshot(self, yes, no) -> None:
-        self.levels = {(s, int(lv["price"])): int(lv["quantity"]) for s, side in ((0, yes), (1, no)) for lv in (side if side is not None else [])}
-
-    def delta(self, side: str, price: int, change: int) -> None:
-        key = (0 if side == "yes" else 1, price)
-        left = self.levels.get(key, 0) + change
-        self.underflows += left < 0
-        if left > 0:
-            self.levels[key] = left
-        else:
-            self.levels.pop(key, None)
-
-    def side(self, which: int) -> tuple[int | None, int | None, int, int]:
-        """Best price, its quantity, total quantity and number of levels of a side."""
-        own = {p: q for (s, p), q in self.levels.items() if s == which}
-        best = max(own, default=None)
-        return best, own.get(best), sum(own.values()), len(own)
 
 
 def book_top_stream(messages: DataFrame) -> DataFrame:
     """The rows of ``book_top``, with line_no and underflows so far, as messages arrive.
 
     Messages of a ticker are taken in line order inside a micro-batch; files must land in capture
-    order. State per ticker: its ladder, the number of messages and of underflows so far.
+    order. State per ticker: its ladder, one entry a level, of which a batch writes those that
+    changed, and the number of messages and of underflows so far.
     """
-    names = [f.split()[0] for f in _TOP.split(", ")]
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            at, sides, prices, qtys, under = state.get
-            b = BookState({(s, p): q for s, p, q in zip(sides, prices, qtys, strict=True)}, under)
-        else:
-            at, b = 0, BookState()
-        rows = []
-        for r in pd.concat(list(batches)).sort_values(["file", "line_no"]).itertuples():
-            if r.kind == "snapshot":
-                b.snapshot(r.yes, r.no)
-            else:
-                b.delta(r.side, int(r.price_micro), int(r.delta_centi))
-            (yb, ybs, yt, yl), (nb, nbs, nt, nl) = b.side(0), b.side(1)
-            rows.append((key[0], at, r.line_no, r.recv_ts_us, r.event_ts_us, r.seq, r.kind, yb, ybs, nb, nbs, yt, nt, yl, nl, b.underflows))
-            at += 1
-        sides, prices = [s for s, _ in b.levels], [p for _, p in b.levels]
-        state.update((at, sides, prices, list(b.levels.values()), b.underflows))
-        out = pd.DataFrame(rows, columns=names)
-        yield out.astype({c: "Int64" for c in names if c not in ("ticker", "event")})
-
-    got = messages.groupBy("ticker").applyInPandasWithState(step, _TOP, _BOOK, "append", GroupStateTimeout.NoTimeout)
+    use_rocksdb(messages.sparkSession)
+    got = messages.groupBy("ticker").transformWithState(BookTop(), _TOP, "Append", "None")
     return book.top_rows(got, "line_no", "underflows")
 
 
@@ -135,93 +89,25 @@ def gap_marker_stream(frames: DataFrame, reconnects: DataFrame, tickers: DataFra
     return sequence.fan_out(jumps.unionByName(again), tickers)
 
 
-_CHECK = "ticker string, event_idx bigint, recv_ts_us bigint, outcome string, match_lag_us bigint"
-
-
-class CheckState:
-    """A book, its states of the last window, and the observation that waits for a verdict."""
-
-    def __init__(self, window_us: int, text: str | None = None):
-        self.window_us = window_us
-        d = json.loads(text) if text else {}
-        self.book = BookState({(s, p): q for s, p, q in d.get("levels", [])})
-        self.idx, self.t, self.snap_t, self.gap_t, self.past, self.wait = (d.get(k) for k in ("idx", "t", "snap_t", "gap_t", "past", "wait"))
-        self.past = self.past or []
-
-    def text(self) -> str:
-        levels = [(s, p, q) for (s, p), q in self.book.levels.items()]
-        return json.dumps({"levels": levels, "idx": self.idx, "t": self.t, "snap_t": self.snap_t, "gap_t": self.gap_t, "past": self.past, "wait": self.wait})
-
-    def ladders(self) -> list:
-        return [sorted([p, q] for (s, p), q in self.book.levels.items() if s == which) for which in (0, 1)]
-
-    def settle(self, outcome: str, lag: int | None = None) -> Iterator[tuple]:
-        if self.wait:
-            yield (self.wait[0], self.wait[1], outcome, lag)
-        self.wait = None
-
-    def event(self, r) -> Iterator[tuple]:
-        """A snapshot or delta."""
-        t = int(r.recv_ts_us)
-        if self.idx is not None:
-            # States that ended before the window of any later observation go.
-            self.past = [x for x in [*self.past, [self.t, t, self.ladders()]] if x[1] >= t - self.window_us]
-        self.idx, self.t = (0 if self.idx is None else self.idx + 1), t
-        if r.kind == "snapshot":
-            self.book.snapshot(r.yes, r.no)
-            self.snap_t = t
-        else:
-            self.book.delta(r.side, int(r.price_micro), int(r.delta_centi))
-        if self.wait:
-            at, now = self.wait[1], self.ladders()
-            if t <= at + self.window_us:
-                if now == self.wait[2]:
-                    yield from self.settle("matched", t - at)
-            else:
-                yield from self.settle("mismatch")
-
-    def gap(self, r) -> Iterator[tuple]:
-        self.gap_t = int(r.recv_ts_us)
-        yield from self.settle("skipped_gap")
-
-    def observed(self, r) -> Iterator[tuple]:
-        """An observation: settles the one before, and is settled at once where the past allows it."""
-        yield from self.settle("mismatch")
-        if self.idx is None:
-            return
-        at, low = int(r.recv_ts_us), int(r.recv_ts_us) - self.window_us
-        rest = [[[int(x["price"]), int(x["quantity"])] for x in (side if side is not None else [])] for side in (r.yes, r.no)]
-        self.wait = [self.idx, at, rest]
-        back = [x[0] for x in self.past if x[2] == rest and x[1] > self.t - self.window_us and x[1] >= low]
-        if self.gap_t is not None and (self.snap_t is None or self.gap_t > self.snap_t):
-            yield from self.settle("skipped_gap")
-        elif self.ladders() == rest:
-            yield from self.settle("matched", 0)
-        elif back:
-            yield from self.settle("matched", max(*back, low) - at)
-
-
-def verify_stream(records: DataFrame, window_us: int = WINDOW_US) -> DataFrame:
-    """Verdicts on observations as soon as they are certain: by a state up to a window before or after,
-    by a gap, by the next observation or by the first book message beyond the window.
-
-    records: the columns of ``book_top_stream``'s input, kinds verify (yes, no) and gap too. State
-    per ticker is its ladder, the states of one window and one observation. An observation without
-    any book message before it gives no row; one that still waits when the input ends is what the
-    batch form calls truncated.
-    """
-    names = [f.split()[0] for f in _CHECK.split(", ")]
+_CHECK = "ticker string, event_idx bigint, recv_ts_us bigint, outcome string, match_lag_us bigint, settled_by string"
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        c = CheckState(window_us, state.get[0] if state.exists else None)
-        rows = []
-        for r in pd.concat(list(batches)).sort_values(["file", "line_no"]).itertuples():
-            take = {"gap": c.gap, "verify": c.observed}.get(r.kind, c.event)
-            rows += [(key[0], *x) for x in take(r)]
-        state.update((c.text(),))
-        yield pd.DataFrame(rows, columns=names).astype({"event_idx": "Int64", "recv_ts_us": "Int64", "match_lag_us": "Int64"})
 
-    return records.groupBy("ticker").applyInPandasWithState(step, _CHECK, "state string", "append", GroupStateTimeout.NoTimeout)
+def verify_stream(records: DataFrame, window_us: int = WINDOW_US, delay: str = "1 minute", idle_us: int = 86_400_000_000) -> DataFrame:
+    """Verdicts on observations as soon as they are certain: by a state up to a window before or after,
+    by a gap, by the next observation, by the first book message beyond the window or, where a
+    ticker falls silent, by a timer at the end of the window (``settled_by`` record or timer).
+
+    records: the columns of ``book_top_stream``'s input, kinds verify (yes, no) and gap too. Time is
+    receive time, and its watermark runs ``delay`` behind: records later than that are dropped by
+    Spark, so it must exceed what tickers' files lag behind each other. State per ticker is its
+    ladder, a log of the changes of one window, and one observation; it goes when the ticker has
+    been silent for ``idle_us``, and one that speaks again begins anew. An observation without any
+    book message before it gives no row. What the batch form calls truncated is settled here as
+    soon as other tickers' records have moved time beyond the window, and waits until then.
+    """
+    use_rocksdb(records.sparkSession)
+    timed = records.withColumn("_at", F.timestamp_micros("recv_ts_us")).withWatermark("_at", delay)
+    return timed.groupBy("ticker").transformWithState(Checks(window_us, idle_us), _CHECK, "Append", "EventTime")
 
 
 def landing_sink(decoded: DataFrame, out: str, checkpoint: str):

@@ -115,73 +115,3 @@ def test_incomplete_is_refused(spark, tmp_path):
         dataset.MarketDataset(spark, str(tmp_path / "out")).events()
     ok = dataset.MarketDataset(spark, str(tmp_path / "out"), allow_incomplete=True)
     assert ok.events().count() == 4 and ok.catalog().first().reasons == ["1 unreadable lines"]
-
-
-def test_streams_agree_with_batch(spark, sf_dir, tmp_path):
-    from ladderline.operators import book, sequence
-    from ladderline.plans import queries
-    from ladderline.sources import adapter
-    from ladderline.streaming import replay
-
-    m = adapter.book_messages(spark, sf_dir).selectExpr("*", "'f' AS file")
-    m.write.parquet(str(tmp_path / "m"))
-    s = replay.book_top_stream(spark.readStream.schema(m.schema).parquet(str(tmp_path / "m")))
-    q = s.writeStream.format("memory").queryName("tops").option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    batch = book.book_top(book.flatten(book.number_events(adapter.book_messages(spark, sf_dir))))
-    assert sorted(map(str, spark.table("tops").select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
-
-    f = queries._frames(spark, sf_dir)
-    f.write.parquet(str(tmp_path / "f"))
-    s = replay.seq_verdict_stream(spark.readStream.schema(f.schema).parquet(str(tmp_path / "f")))
-    q = s.writeStream.format("memory").queryName("seqs").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    cols = ["sid", "line_no", "verdict"]
-    assert sorted(map(str, spark.table("seqs").select(*cols).collect())) == sorted(map(str, sequence.verdicts(f).select(*cols).collect()))
-
-
-def _run(df, name, tmp_path):
-    q = df.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / f"c_{name}")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    return df.sparkSession.table(name)
-
-
-def test_streamed_checks_agree_with_batch(spark, sf_dir, tmp_path):
-    from ladderline.operators import book, verify
-    from ladderline.plans import queries
-    from ladderline.sources import adapter
-    from ladderline.streaming import replay
-
-    m = adapter.book_messages(spark, sf_dir)
-    states = book.book_states(book.flatten(book.number_events(m)))
-    observed, gaps = adapter.verify_rows(spark, sf_dir, states), queries._gaps(spark, sf_dir)
-    want = verify.verify_outcomes(states, observed, gaps).where("outcome <> 'truncated'")
-    place = book.number_events(m).select("ticker", "event_idx", "line_no")
-    cols = ["ticker", "line_no", "recv_ts_us", "kind", "yes", "no", "side", "price_micro", "delta_centi"]
-    some = m.selectExpr("ticker", "2 * line_no AS line_no", *cols[2:])
-    seen = observed.join(place, ["ticker", "event_idx"]).selectExpr("ticker", "2 * line_no + 1 AS line_no", "recv_ts_us", "'verify' AS kind", "yes", "no")
-    holes = gaps.selectExpr("ticker", "2 * seq AS line_no", "recv_ts_us", "'gap' AS kind")
-    for i, part in enumerate((F.col("line_no") < 100, F.col("line_no") >= 100)):  # the state crosses micro-batches
-        rows = some.unionByName(seen, allowMissingColumns=True).unionByName(holes, allowMissingColumns=True).where(part)
-        rows.withColumn("file", F.lit("f")).coalesce(1).write.mode("append").parquet(str(tmp_path / "r"))
-    source = spark.readStream.schema(spark.read.parquet(str(tmp_path / "r")).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "r"))
-    got = _run(replay.verify_stream(source), "checks", tmp_path)
-    names = ["ticker", "event_idx", "recv_ts_us", "outcome", "match_lag_us"]
-    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, want.select(names).collect()))
-    assert got.count() > 5
-
-
-def test_streamed_gap_markers(spark, tmp_path):
-    from ladderline.streaming import replay
-
-    f = spark.createDataFrame([("c", 1, "snapshot", 10, "orderbook", 5), ("c", 2, "delta", 12, "orderbook", 6), ("d", 1, "delta", 3, "trade", 7), ("d", 2, "delta", 9, "trade", 8)], "sid string, line_no bigint, kind string, seq bigint, channel string, recv_ts_us bigint")
-    f.write.parquet(str(tmp_path / "f"))
-    r = spark.createDataFrame([("c", 20)], "sid string, recv_ts_us bigint")
-    r.write.parquet(str(tmp_path / "r"))
-    tickers = spark.createDataFrame([("c", "A"), ("c", "B"), ("d", "C")], "sid string, ticker string")
-    read = lambda name, df: spark.readStream.schema(df.schema).parquet(str(tmp_path / name))
-    got = _run(replay.gap_marker_stream(read("f", f), read("r", r), tickers), "marks", tmp_path)
-    assert sorted((x.ticker, x.kind, x.channel, x.recv_ts_us) for x in got.collect()) == [
-        ("A", "reconnect", "orderbook", 20), ("A", "reconnect", "trade", 20), ("A", "seq_jump", "orderbook", 6),
-        ("B", "reconnect", "orderbook", 20), ("B", "reconnect", "trade", 20), ("B", "seq_jump", "orderbook", 6), ("C", "seq_jump", "trade", 8),
-    ]
