@@ -2,11 +2,10 @@
 
 Between two snapshots (an epoch) the quantity of a price level is a walk reflected at zero:
 q_n = max(0, q_{n-1} + d_n). With S the running sum of its changes and M the running minimum
-of S, q = S - least(0, M). So a replay needs no loop: the epoch of each row is one running
-maximum per ticker, and everything after it is windows and aggregates by (ticker, epoch, ...),
-which the exchange by ticker that numbering needs already satisfies. ``split_epochs`` deals
-rows out by (ticker, epoch) instead, one exchange more, for captures where few tickers hold
-most events.
+of S, q = S - least(0, M). So the history of levels needs no loop: it is windows by (ticker,
+epoch, side, price). What all levels together make of a book at a moment, its best prices or its
+whole ladder, comes from one fold over the changes (``fold``). Numbers and epochs run across
+segments of a ticker (``scan``), so that one ticker may hold most events.
 """
 
 from __future__ import annotations
@@ -15,12 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import complement, dollars, imbalance, mid, spread
+from . import fold, scan
 
 
 def number_events(messages: DataFrame, order: tuple[str, ...] = ("line_no",)) -> DataFrame:
     """event_idx: 0-based position among the snapshot and delta messages of a ticker."""
-    w = Window.partitionBy("ticker").orderBy(*order)
-    return messages.where("kind IN ('snapshot', 'delta')").withColumn("event_idx", (F.row_number().over(w) - 1).cast("bigint"))
+    m = messages.where("kind IN ('snapshot', 'delta')")
+    return scan.numbered(m, "ticker", [F.col(c) for c in order], scan.by_position(order[0]), "event_idx")
 
 
 _EVENT = ("ticker", "event_idx", "recv_ts_us", "event_ts_us", "seq", "sid")
@@ -32,17 +32,18 @@ def flatten(numbered: DataFrame) -> DataFrame:
     side = lambda s: f"transform(coalesce({s}, array()), l -> named_struct('side', '{s}', 'price_micro', l.price, 'qty_centi', l.quantity))"
     levels = F.expr(f"CASE WHEN kind = 'snapshot' THEN concat({side('yes')}, {side('no')}) ELSE array(named_struct('side', side, 'price_micro', price_micro, 'qty_centi', delta_centi)) END")
     rows = numbered.select(*_EVENT, (F.col("kind") == "snapshot").alias("is_snapshot"), F.posexplode_outer(levels).alias("pos", "level"))
-    w = Window.partitionBy("ticker").orderBy("event_idx", "pos")
-    return rows.select(*_EVENT, "is_snapshot", "level.side", "level.price_micro", "level.qty_centi", (F.row_number().over(w) - 1).cast("bigint").alias("file_row"))
+    rows = scan.numbered(rows, "ticker", [F.col("event_idx"), F.col("pos")], scan.by_position("event_idx"), "file_row")
+    return rows.select(*_EVENT, "is_snapshot", "level.side", "level.price_micro", "level.qty_centi", "file_row")
 
 
 def with_epoch(book_events: DataFrame) -> DataFrame:
     """epoch: event_idx of the last snapshot at or before the row, -1 before any."""
-    w = Window.partitionBy("ticker").orderBy("event_idx").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return book_events.withColumn("epoch", F.coalesce(F.max(F.when(F.col("is_snapshot"), F.col("event_idx"))).over(w), F.lit(-1)))
+    at = F.when(F.col("is_snapshot"), F.col("event_idx"))
+    e = scan.running_max(book_events, "ticker", "event_idx", scan.by_position("event_idx"), at, "epoch")
+    return e.withColumn("epoch", F.coalesce("epoch", F.lit(-1)))
 
 
-def replay_levels(book_events: DataFrame, split_epochs: bool = False) -> DataFrame:
+def replay_levels(book_events: DataFrame) -> DataFrame:
     """One row per change of a level: its quantity after it (``qty_after``), before it, and the
     event_idx at which the level next changes in the epoch (null: it doesn't). ``last_idx`` is
     the last message of the epoch.
@@ -51,8 +52,6 @@ def replay_levels(book_events: DataFrame, split_epochs: bool = False) -> DataFra
     qty_after > 0, or from a snapshot, until the next change.
     """
     e = with_epoch(book_events)
-    if split_epochs:
-        e = e.repartition("ticker", "epoch")
     # Before rows without side go: an empty message still belongs to its epoch.
     e = e.withColumn("last_idx", F.max("event_idx").over(Window.partitionBy("ticker", "epoch"))).where("side IS NOT NULL")
     level = Window.partitionBy("ticker", "epoch", "side", "price_micro")
@@ -77,41 +76,9 @@ def underflows(levels: DataFrame) -> DataFrame:
     return bad.select("ticker", "event_idx", "side", "price_micro", "qty_before", "qty_centi", F.count(F.lit(1)).over(w).alias("underflows"))
 
 
-def _events(book_events: DataFrame) -> DataFrame:
-    """One row per message, with its epoch and the end of the epoch (exclusive)."""
-    e = with_epoch(book_events).groupBy("ticker", "epoch", "event_idx").agg(
-        *[F.first(c).alias(c) for c in ("recv_ts_us", "event_ts_us", "seq", "is_snapshot")]
-    )
-    return e
-
-
-def live_levels(levels: DataFrame) -> DataFrame:
-    """(ticker, epoch, at, side, price_micro, qty): each level at each event while it is live.
-
-    Validity intervals are expanded rather than joined: the output is events times depth,
-    where a range join inside an epoch would be events squared.
-    """
-    return (
-        levels.withColumn("_end", F.coalesce(F.col("next_idx"), F.col("last_idx") + 1))
-        .where("qty_after > 0 OR is_snapshot")
-        .select("ticker", "epoch", F.explode(F.expr("sequence(event_idx, _end - 1)")).alias("event_idx"), "side", "price_micro", F.col("qty_after").alias("qty"))
-    )
-
-
-def book_top(book_events: DataFrame, split_epochs: bool = False) -> DataFrame:
+def book_top(book_events: DataFrame) -> DataFrame:
     """Best prices, sizes, totals and level counts after every message; sizes are 0 on an empty side."""
-    events = _events(book_events)
-    live = live_levels(replay_levels(book_events, split_epochs))
-    yes, no = F.col("side") == "yes", F.col("side") == "no"
-    p, q = F.col("price_micro"), F.col("qty")
-    best = live.groupBy("ticker", "epoch", "event_idx").agg(
-        F.max(F.when(yes, p)).alias("yb"), F.max_by(q, F.when(yes, p)).alias("ybs"),
-        F.max(F.when(no, p)).alias("nb"), F.max_by(q, F.when(no, p)).alias("nbs"),
-        F.sum(F.when(yes, q)).alias("yt"), F.sum(F.when(no, q)).alias("nt"),
-        F.count(F.when(yes, p)).alias("yl"), F.count(F.when(no, p)).alias("nl"),
-    )
-    t = events.join(best, ["ticker", "epoch", "event_idx"], "left")
-    return top_rows(t.withColumn("event", F.when(F.col("is_snapshot"), "snapshot").otherwise("delta")))
+    return top_rows(fold.best_levels(book_events))
 
 
 def top_rows(t: DataFrame, *more: str) -> DataFrame:
@@ -140,17 +107,14 @@ def with_dollars(top: DataFrame) -> DataFrame:
     return top.select("*", *[dollars(F.col(f"{c}_micro")).alias(c) for c in ("yes_bid", "yes_ask", "mid")])
 
 
-def book_states(book_events: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """Full ladders (arrays of price and quantity, ascending) after each message, or after those
-    (ticker, event_idx) in ``only``."""
-    events = _events(book_events)
-    live = live_levels(replay_levels(book_events))
-    if only is not None:
-        live, events = (x.join(only.select("ticker", "event_idx").distinct(), ["ticker", "event_idx"], "left_semi") for x in (live, events))
-    pair = F.struct(F.col("price_micro").alias("price"), F.col("qty").alias("quantity"))
-    side = lambda s: F.array_sort(F.collect_list(F.when(F.col("side") == s, pair))).alias(s)
-    s = events.join(live.select("ticker", "event_idx", "side", "price_micro", "qty"), ["ticker", "event_idx"], "left")
-    return s.groupBy("ticker", "event_idx", "epoch", "recv_ts_us").agg(side("yes"), side("no"))
+def book_states(book_events: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Per message ticker, event_idx, epoch, recv_ts_us, and its full ladders yes and no (arrays of
+    price and quantity, ascending): null where (ticker, event_idx) is not in ``wanted``, if given."""
+    all_ = book_events.select("ticker", "event_idx") if wanted is None else wanted
+    states = fold.ladders(book_events, all_)
+    at = F.when(F.col("event") == "snapshot", F.col("event_idx"))
+    s = scan.running_max(states, "ticker", "event_idx", scan.by_position("event_idx"), at, "epoch")
+    return s.select("ticker", "event_idx", F.coalesce("epoch", F.lit(-1)).alias("epoch"), "recv_ts_us", "yes", "no")
 
 
 def book_at(book_events: DataFrame, t_us: int) -> DataFrame:

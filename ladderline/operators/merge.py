@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scan
 from .book import book_at
 from .trades import dedup
 
@@ -70,8 +71,7 @@ def merged(book_events: DataFrame, trades: DataFrame, gaps: DataFrame) -> DataFr
 
 
 def _placed(lanes: DataFrame) -> DataFrame:
-    w = Window.partitionBy("ticker").orderBy(*_order())
-    return lanes.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
+    return scan.numbered(lanes, "ticker", _order(), scan.by_time("ts"), "pos")
 
 
 def order_violations(book_events: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -11,12 +11,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import PRICE_SCALE, QTY_SCALE, format_scaled
+from .asof import asof_backward
 
 WINDOW_US = 5_000_000
 
 
+def near(book_events: DataFrame, observed: DataFrame, window_us: int = WINDOW_US) -> DataFrame:
+    """(ticker, event_idx) of the messages whose ladders a check can need: those received within a
+    window of an observation, and the ones in force at its ends."""
+    e = book_events.select("ticker", "event_idx", "recv_ts_us").distinct()
+    o = observed.select("ticker", F.col("recv_ts_us").alias("ts"))
+    bucket = lambda c: F.floor(c / window_us)
+    around = o.select("ticker", F.explode(F.array(*[bucket(F.col("ts") + k * window_us) for k in (-1, 0, 1)])).alias("_b")).distinct()
+    inside = e.withColumn("_b", bucket(F.col("recv_ts_us"))).join(around, ["ticker", "_b"], "left_semi").select("ticker", "event_idx")
+    ends = o.select("ticker", F.explode(F.array(F.col("ts") - window_us, F.col("ts"))).alias("at")).distinct()
+    held = asof_backward(ends, e, "ticker", "at", "recv_ts_us", "event_idx", ["event_idx"])
+    return inside.unionByName(held.select("ticker", "event_idx").where("event_idx IS NOT NULL")).unionByName(observed.select("ticker", "event_idx")).distinct()
+
+
 def verify_outcomes(states: DataFrame, observed: DataFrame, gaps: DataFrame, window_us: int = WINDOW_US) -> DataFrame:
-    """states: (ticker, event_idx, epoch, recv_ts_us, yes, no); observed: (ticker, event_idx of the
+    """states: (ticker, event_idx, epoch, recv_ts_us, yes, no) of all messages, ladders of those that
+    ``near`` names at least (null in others); observed: (ticker, event_idx of the
     last book event before it, recv_ts_us, yes, no); gaps: (ticker, recv_ts_us) of the book channel.
 
     Receive times don't decrease inside a ticker. Candidate states are found by equality on

@@ -7,7 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import book, coverage, verify
+from ..operators import book, coverage, scan, verify
+from ..operators.asof import asof_backward
 from ..operators.trades import tape
 from . import capture
 from .scratch import saved
@@ -64,12 +65,10 @@ def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: lis
     t = capture.tables(decoded)
     events = saved(book.flatten(book.number_events(t["messages"])), "book_events")
     top = saved(book.book_top(events), "book_top")
-    states = saved(book.book_states(events), "states")
     # The last book message before an observation is the state it is compared with.
-    from ..operators.asof import asof_backward
-
     numbered = book.number_events(t["messages"]).select("ticker", "line_no", "event_idx")
-    observed = asof_backward(t["verify"], numbered, "ticker", "line_no", "line_no", "event_idx", ["event_idx"])
+    observed = saved(asof_backward(t["verify"], numbered, "ticker", "line_no", "line_no", "event_idx", ["event_idx"], scan.by_position("_ts")), "observed")
+    states = saved(book.book_states(events, verify.near(events, observed)), "states")
     outcomes = saved(verify.verify_outcomes(states, observed, t["gaps"].where("channel = 'orderbook'")), "outcomes")
     outcomes = saved(verify.with_detail(outcomes), "details")
     gaps = coverage.with_mismatch_gaps(t["gaps"], outcomes)
