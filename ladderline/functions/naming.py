@@ -103,12 +103,23 @@ def is_hourly(minutes: Column) -> Column:
     return F.coalesce(cadence(minutes) == "Hourly", F.lit(False))
 
 
+#: Fixed pattern: an RFC 3339 time, with its zone.
+RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
+
+
+def rfc3339_us(text: Column) -> Column:
+    """Microseconds of an RFC 3339 time, digits beyond them cut off; null for anything else, so that
+    no time depends on the session's zone."""
+    plain = F.regexp_replace(F.upper(text), r"(\.\d{6})\d+", "$1")
+    return F.when(text.rlike(RFC3339), F.unix_micros(F.try_to_timestamp(plain)))
+
+
 def instant_s(text: Column) -> Column:
     """Unix seconds of a number, an RFC 3339 time or a date (its midnight, UTC); null for others."""
     t = F.trim(text)
     number = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("bigint"))
     date = F.unix_date(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t.try_cast("date"))).cast("bigint") * 86_400
-    time = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"), F.floor(F.unix_micros(F.try_to_timestamp(F.upper(t))) / 1_000_000))
+    time = F.floor(rfc3339_us(t) / 1_000_000)
     return F.coalesce(number, date, time)
 
 

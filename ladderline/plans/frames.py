@@ -109,7 +109,7 @@ def rest_trade_outcomes(spark: SparkSession, d: str) -> DataFrame:
         "CASE l_orderkey % 13 WHEN 1 THEN NULL WHEN 2 THEN '-3.00' ELSE concat(CAST(l_quantity AS BIGINT), '.50') END AS count_fp",
         "CASE l_orderkey % 17 WHEN 1 THEN NULL WHEN 2 THEN 'up' WHEN 3 THEN 'no' ELSE 'yes' END AS taker_outcome_side",
         "CASE l_orderkey % 19 WHEN 1 THEN 'left' WHEN 2 THEN 'bid' WHEN 3 THEN 'ask' END AS taker_book_side",
-        "CASE l_orderkey % 23 WHEN 1 THEN NULL WHEN 2 THEN 'noon' ELSE concat('2024-01-01T00:', lpad(CAST(l_orderkey % 60 AS STRING), 2, '0'), ':07.25Z') END AS created_time",
+        "CASE l_orderkey % 23 WHEN 1 THEN NULL WHEN 2 THEN 'noon' WHEN 3 THEN '2024-01-01' WHEN 4 THEN '2024-01-01T00:00:07' ELSE concat('2024-01-01T00:', lpad(CAST(l_orderkey % 60 AS STRING), 2, '0'), ':07.25Z') END AS created_time",
     )
     out = wire.rest_trades(rows)
     good = F.col("error").isNull()
@@ -236,7 +236,7 @@ SQL: dict[str, str] = {
     "rest_trade_outcomes": """WITH t AS (
         SELECT concat('T', l_orderkey % 9) AS ticker, l_orderkey % 60 AS mi, l_partkey % 100 * 10000 AS price, CAST(l_quantity AS BIGINT) * 100 + 50 AS cnt, l_orderkey % 19 AS b,
           CASE WHEN l_orderkey % 11 IN (1, 2) THEN 'missing or bad yes_price_dollars' WHEN l_orderkey % 13 IN (1, 2) THEN 'missing or bad count_fp' WHEN l_orderkey % 17 IN (1, 2) THEN 'missing or bad taker_outcome_side'
-            WHEN l_orderkey % 19 = 1 THEN 'missing or bad taker_book_side' WHEN l_orderkey % 23 IN (1, 2) THEN 'missing or bad created_time' END AS error FROM lineitem)
+            WHEN l_orderkey % 19 = 1 THEN 'missing or bad taker_book_side' WHEN l_orderkey % 23 IN (1, 2, 3, 4) THEN 'missing or bad created_time' END AS error FROM lineitem)
       SELECT ticker, error, count(*) AS n, CAST(sum(CASE WHEN error IS NULL THEN price END) AS BIGINT) AS price_micro_sum, CAST(sum(CASE WHEN error IS NULL THEN cnt END) AS BIGINT) AS count_centi_sum,
         CAST(sum(CASE WHEN error IS NULL THEN 1704067207250000 + mi * 60000000 END) AS BIGINT) AS event_ts_us_sum, count(*) FILTER (b IN (1, 2, 3)) AS n_book_side FROM t GROUP BY ALL""",
     "unfinished_tickers": f"WITH {oracle.MARKETS} SELECT DISTINCT ticker, series FROM mk WHERE ticker NOT IN (SELECT ticker FROM mk WHERE {oracle._TERMINAL.format(s='status')})",

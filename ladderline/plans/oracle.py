@@ -334,19 +334,20 @@ ORACLE: dict[str, str] = {
     "time_windows": f"WITH {MSG} SELECT ticker, (recv_ts_us - 1704067200000000) // 300000000 * 300000000 + 1704067200000000 AS lo_us, count(*) AS n FROM msg GROUP BY ALL",
     "json_decode_outcomes": f"""WITH {MSG},
       k AS (SELECT *, CASE WHEN kind = 'snapshot' AND event_id % 3 = 0 THEN 'verify' ELSE kind END AS kind0, event_id % 31 AS e FROM msg),
-      c AS (SELECT kind0, qty_centi, price_micro, event_id, e, CASE WHEN e = 5 THEN 'json parse' WHEN e = 6 THEN 'schema' WHEN kind IN ('delta', 'snapshot') AND e IN (1, 2) THEN 'json parse'
+      c AS (SELECT kind0, qty_centi, price_micro, event_id, e, CASE WHEN e IN (5, 7, 8, 10, 12, 13) THEN 'json parse' WHEN e = 6 THEN 'schema' WHEN e = 11 AND kind <> 'gap' THEN 'json parse' WHEN kind IN ('delta', 'snapshot') AND e IN (1, 2) THEN 'json parse'
         WHEN kind = 'trade' AND (e = 3 OR qty_centi < 0) THEN 'json parse' WHEN kind = 'gap' AND e = 4 THEN 'json parse' END AS error_class FROM k)
       SELECT kind0, error_class, count(*) AS n, CAST(sum(CASE WHEN kind0 = 'delta' AND e <> 5 THEN qty_centi END) AS BIGINT) AS delta_sum,
         CAST(sum(CASE WHEN kind0 = 'trade' AND e <> 5 THEN CASE WHEN e = 3 THEN -1 ELSE price_micro END END) AS BIGINT) AS price_sum,
         CAST(sum(CASE WHEN kind0 IN ('snapshot', 'verify') AND error_class IS NULL THEN CASE WHEN event_id % 2 = 0 THEN 3 ELSE 6 END END) AS BIGINT) AS n_levels,
-        CAST(sum(CASE WHEN kind0 IN ('snapshot', 'verify') AND error_class IS NULL THEN 3 * (1000 + event_id % 50 * 100) + 30 END) AS BIGINT) AS yes_quantity FROM c GROUP BY ALL""",
+        CAST(sum(CASE WHEN kind0 IN ('snapshot', 'verify') AND error_class IS NULL THEN 3 * (1000 + event_id % 50 * 100) + 30 END) AS BIGINT) AS yes_quantity,
+        count(*) FILTER (error_class IS NULL AND e = 9) AS n_wrapped FROM c GROUP BY ALL""",
     "frame_decode_outcomes": f"""WITH {MSG},
       c AS (SELECT *, CASE WHEN event_id % 29 = 3 THEN 'raw' WHEN kind = 'snapshot' THEN 'snapshot' WHEN kind = 'gap' THEN CASE WHEN event_id % 2 = 0 THEN 'control' ELSE 'raw' END
         WHEN kind = 'trade' THEN CASE WHEN event_id % 29 = 1 OR qty_centi < 0 THEN 'raw' ELSE 'trade' END WHEN event_id % 29 = 2 THEN 'raw' ELSE 'delta' END AS outcome,
         CASE WHEN event_id % 29 = 3 OR kind = 'gap' THEN NULL WHEN kind = 'trade' THEN 'trade' ELSE 'orderbook' END AS channel FROM msg)
       SELECT outcome, channel, count(*) AS n, CAST(sum(CASE WHEN outcome = 'delta' THEN qty_centi END) AS BIGINT) AS delta_sum, CAST(sum(CASE WHEN outcome IN ('delta', 'trade') THEN price_micro END) AS BIGINT) AS price_sum,
         CAST(sum(CASE WHEN outcome = 'snapshot' THEN CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END END) AS BIGINT) AS n_yes,
-        CAST(sum(CASE WHEN outcome = 'delta' THEN recv_ts_us // 1000 * 1000 - recv_ts_us WHEN outcome IN ('snapshot', 'trade') THEN 0 END) AS BIGINT) AS lag_us FROM c GROUP BY ALL""",
+        CAST(sum(CASE WHEN outcome = 'delta' AND event_id % 29 <> 4 THEN recv_ts_us // 1000 * 1000 - recv_ts_us WHEN outcome IN ('snapshot', 'trade', 'delta') THEN 0 END) AS BIGINT) AS lag_us FROM c GROUP BY ALL""",
 }
 
 

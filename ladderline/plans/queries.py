@@ -306,18 +306,22 @@ def pending_gaps(spark, d):
 
 def json_decode_outcomes(spark, d):
     """Envelopes rendered from messages, some of them spoiled, and what decoding makes of them.
-    Every third snapshot is rendered as an observation of the book."""
+    Every third snapshot is rendered as an observation of the book. Bad times, and numbers beyond
+    their type, are among what is spoiled; a seq beyond 2^63 is not."""
     m = adapter.messages(spark, d).withColumn("kind", F.expr("IF(kind = 'snapshot' AND event_id % 3 = 0, 'verify', kind)"))
     ts = "date_format(timestamp_micros(recv_ts_us), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
     level = """concat('{"price":', (1 + (event_id * 7 + k * 2) % 9) * 50000, ',"quantity":', CASE WHEN event_id % 31 = 1 THEN -1 ELSE 1000 + (event_id % 50) * 100 + k * 10 END, '}')"""
     levels = f"concat('[', array_join(transform(array(0, 1, 2), k -> {level}), ','), ']')"
+    at = f"CASE WHEN event_id % 31 = 11 THEN 'noon' ELSE {ts} END"
     data = f"""CASE kind
-      WHEN 'delta' THEN concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","side":"', CASE WHEN event_id % 31 = 1 THEN 'up' ELSE side END, '","price":', price_micro, ',"delta":', qty_centi, CASE WHEN event_id % 31 = 2 THEN ',"x":1' ELSE '' END, '}}')
-      WHEN 'trade' THEN concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","price":', CASE WHEN event_id % 31 = 3 THEN '-1' ELSE price_micro END, ',"count":', qty_centi, ',"taker_side":"', side, '","taker_book_side":null}}')
+      WHEN 'delta' THEN concat('{{"ticker":"', ticker, '","ts":"', {at}, '","side":"', CASE WHEN event_id % 31 = 1 THEN 'up' ELSE side END, '","price":', price_micro, ',"delta":', qty_centi, CASE WHEN event_id % 31 = 2 THEN ',"x":1' ELSE '' END, '}}')
+      WHEN 'trade' THEN concat('{{"ticker":"', ticker, '","ts":"', {at}, '","price":', CASE WHEN event_id % 31 = 3 THEN '-1' ELSE price_micro END, ',"count":', qty_centi, ',"taker_side":"', side, '","taker_book_side":null}}')
       WHEN 'gap' THEN concat('{{"reason":"', CASE WHEN event_id % 31 = 4 THEN 'why' ELSE 'seq_jump' END, '","ticker":"', ticker, '","channel":"orderbook","detail":"d"}}')
-      ELSE concat('{{"ticker":"', ticker, '","ts":"', {ts}, '","yes":', {levels}, ',"no":', CASE WHEN event_id % 31 = 2 THEN '7' WHEN event_id % 2 = 0 THEN '[]' ELSE {levels} END, '}}') END"""
+      ELSE concat('{{"ticker":"', ticker, '","ts":"', {at}, '","yes":', {levels}, ',"no":', CASE WHEN event_id % 31 = 2 THEN '7' WHEN event_id % 2 = 0 THEN '[]' ELSE {levels} END, '}}') END"""
     text = f"""CASE WHEN event_id % 31 = 5 THEN 'not json' ELSE
-      concat('{{"v":', CASE WHEN event_id % 31 = 6 THEN 3 ELSE 2 END, ',"recv_ts":"', {ts}, '","seq":', line_no, ',"kind":"', kind, '","extra":0,"data":', {data}, '}}') END"""
+      concat('{{"v":', CASE WHEN event_id % 31 = 6 THEN 3 ELSE 2 END, ',"recv_ts":"', CASE event_id % 31 WHEN 7 THEN '2026' WHEN 12 THEN replace({ts}, 'Z', '') ELSE {ts} END,
+        '","seq":', CASE event_id % 31 WHEN 8 THEN '18446744073709551616' WHEN 9 THEN '18446744073709551615' WHEN 10 THEN '-1' ELSE CAST(line_no AS STRING) END,
+        CASE WHEN event_id % 31 = 13 THEN ',"sid":"x"' ELSE '' END, ',"kind":"', kind, '","extra":0,"data":', {data}, '}}') END"""
     lines = m.selectExpr("ticker", "'orderbook' AS channel", "'f' AS file", "line_no", f"{text} AS text", "kind AS kind0")
     from ..sources import capture
 
@@ -327,7 +331,8 @@ def json_decode_outcomes(spark, d):
     n_levels = F.sum(F.when(good & F.col("kind0").isin("snapshot", "verify"), size("snapshot") + size("verify")))
     quantity = F.sum(F.when(good, F.aggregate(F.coalesce("snapshot.yes", "verify.yes"), F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"].cast("bigint"))))
     return out.groupBy("kind0", F.substring_index("error", ":", 1).alias("error_class")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("delta.delta").alias("delta_sum"), F.sum("trade.price").alias("price_sum"), n_levels.alias("n_levels"), quantity.alias("yes_quantity")
+        F.count(F.lit(1)).alias("n"), F.sum("delta.delta").alias("delta_sum"), F.sum("trade.price").alias("price_sum"), n_levels.alias("n_levels"), quantity.alias("yes_quantity"),
+        F.count_if(good & (F.col("seq") == -1)).alias("n_wrapped"),
     )
 
 
@@ -339,7 +344,7 @@ def frame_decode_outcomes(spark, d):
     body = f"""CASE kind
       WHEN 'snapshot' THEN concat('{{"market_ticker":"', ticker, '"', CASE WHEN event_id % 3 = 0 THEN '' ELSE concat(',"yes_dollars_fp":[["', {dollars}, '","1.00"]]') END, '}}')
       WHEN 'trade' THEN concat('{{"market_ticker":"', ticker, '","yes_price_dollars":"', {dollars}, '","count_fp":"', {qty}, '","taker_outcome_side":"', side, '","taker_book_side":', CASE WHEN event_id % 29 = 1 THEN '"left"' ELSE 'null' END, '}}')
-      ELSE concat('{{"market_ticker":"', ticker, '","price_dollars":', CASE WHEN event_id % 29 = 2 THEN '0.5' ELSE concat('"', {dollars}, '"') END, ',"delta_fp":"', {qty}, '","side":"', side, '","ts_ms":', recv_ts_us div 1000, '}}') END"""
+      ELSE concat('{{"market_ticker":"', ticker, '","price_dollars":', CASE WHEN event_id % 29 = 2 THEN '0.5' ELSE concat('"', {dollars}, '"') END, ',"delta_fp":"', {qty}, '","side":"', side, '","ts_ms":', CASE WHEN event_id % 29 = 4 THEN 9223372036854775807 ELSE recv_ts_us div 1000 END, '}}') END"""
     kind = "CASE kind WHEN 'snapshot' THEN 'orderbook_snapshot' WHEN 'trade' THEN 'trade' WHEN 'gap' THEN CASE WHEN event_id % 2 = 0 THEN 'ok' ELSE 'mystery' END ELSE 'orderbook_delta' END"
     text = f"CASE WHEN event_id % 29 = 3 THEN '{{broken' ELSE concat('{{\"type\":\"', {kind}, '\",\"seq\":', line_no, ',\"msg\":', {body}, '}}') END"
     from ..sources import wire

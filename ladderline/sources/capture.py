@@ -8,13 +8,17 @@ unknown keys inside ``data`` are errors.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.naming import rfc3339_us
 from ..functions.units import I64_MAX, U32_MAX
 
-#: The newest envelope version, the words of its vocabularies.
+#: The newest envelope version, the largest number of its fields, the words of its vocabularies.
 ENVELOPE_VERSION = 2
+U16_MAX, U64_MAX = (1 << 16) - 1, (1 << 64) - 1
 SIDES, BOOK_SIDES = ("yes", "no"), ("bid", "ask")
 GAP_REASONS = ("seq_jump", "reconnect", "verify_mismatch")
 CHANNELS = ("orderbook", "trade")
@@ -30,7 +34,7 @@ KINDS: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
         ("ticker", "ts", "price", "count", "taker_side"), ("taker_book_side", "trade_id"),
     ),
     "gap": (
-        "reason STRING, ticker STRING, channel STRING, last_seq BIGINT, observed_seq BIGINT, detail STRING",
+        "reason STRING, ticker STRING, channel STRING, last_seq DECIMAL(38,0), observed_seq DECIMAL(38,0), detail STRING",
         ("reason", "ticker", "channel", "detail"), ("last_seq", "observed_seq"),
     ),
     "raw": ("raw_type STRING, ticker STRING, error STRING, payload STRING", ("error", "payload"), ("raw_type", "ticker")),
@@ -62,6 +66,18 @@ def _levels_bad(c: Column) -> Column:
     return F.coalesce(F.exists(c, lambda l: l.isNull() | l["price"].isNull() | l["quantity"].isNull() | ~l["price"].between(0, U32_MAX) | ~l["quantity"].between(0, I64_MAX)), F.lit(False))
 
 
+def _u64(c: Column) -> Column:
+    """An unsigned 64-bit number as the signed one of the same bits, which tables hold; null if it is no such number."""
+    most = Decimal(U64_MAX)
+    signed = F.when(c > I64_MAX, c - F.lit(most) - 1).otherwise(c)
+    return F.when(c.between(0, F.lit(most)), signed.try_cast("bigint"))
+
+
+def _unusable(keys: Column, text: Column, name: str, value: Column) -> Column:
+    """Whether an optional field is there, isn't null, and its value (null: none) can't be used."""
+    return F.array_contains(keys, name) & F.get_json_object(text, f"$.{name}").isNotNull() & value.isNull()
+
+
 def _data_error(kind: str, data: Column, text: Column) -> Column:
     """Null where data of that kind is well formed, else what is wrong with it."""
     _, need, may = KINDS[kind]
@@ -72,6 +88,10 @@ def _data_error(kind: str, data: Column, text: Column) -> Column:
     e = F.when(keys.isNull(), F.lit("schema: data is not an object")).when(F.size(F.array_except(keys, known)) > 0, F.concat(F.lit("schema: unknown field "), F.element_at(F.array_except(keys, known), 1)))
     for k in lost:
         e = e.when(data[k].isNull(), F.lit(f"schema: missing or bad field {k}"))
+    if "payload" in need:  # which may be null, but not absent
+        e = e.when(~F.array_contains(keys, "payload"), F.lit("schema: missing or bad field payload"))
+    if "ts" in need:
+        e = e.when(rfc3339_us(data["ts"]).isNull(), F.lit("schema: bad field ts"))
     if kind in ("snapshot", "verify"):
         e = e.when(_levels_bad(data["yes"]) | _levels_bad(data["no"]), F.lit("schema: bad level"))
     if kind in ("delta", "trade"):
@@ -82,29 +102,35 @@ def _data_error(kind: str, data: Column, text: Column) -> Column:
         e = e.when(~data["taker_side"].isin(*SIDES), F.lit("schema: bad field taker_side")).when(~F.coalesce(data["taker_book_side"], F.lit("bid")).isin(*BOOK_SIDES), F.lit("schema: bad field taker_book_side"))
         e = e.when(~data["count"].between(0, I64_MAX), F.lit("schema: bad field count"))
     if kind == "gap":
+        for k in ("last_seq", "observed_seq"):
+            e = e.when(_unusable(keys, text, k, _u64(data[k])), F.lit(f"schema: bad field {k}"))
         e = e.when(~data["reason"].isin(*GAP_REASONS), F.lit("schema: bad field reason")).when(~data["channel"].isin(*CHANNELS), F.lit("schema: bad field channel"))
     return e
 
 
 def decode(lines: DataFrame) -> DataFrame:
-    """Lines with ``error`` (null: fine), the envelope's fields, and one struct per kind."""
+    """Lines with ``error`` (null: fine), the envelope's fields, and one struct per kind.
+
+    Times are RFC 3339 with a zone; seq is unsigned, and kept as the signed number of the same bits.
+    """
     top = F.from_json("text", "v BIGINT, recv_ts STRING, seq DECIMAL(38,0), sid BIGINT, kind STRING, data STRING")
     d = lines.withColumn("_keys", F.json_object_keys(F.col("text"))).withColumn("_e", top)
     # from_json gives strings for objects, re-rendered; the payload of raw data stays JSON text.
     d = d.withColumns({k: F.when(F.col("_e.kind") == k, F.from_json(F.col("_e.data"), s)) for k, (s, _, _) in KINDS.items()})
-    recv = F.try_to_timestamp(F.col("_e.recv_ts"))
+    recv, seq = rfc3339_us(F.col("_e.recv_ts")), _u64(F.col("_e.seq"))
     error = (
         F.when(F.col("_keys").isNull(), F.lit("json parse: not a JSON object"))
-        .when(F.col("_e.v").isNull() | (F.col("_e.v") < 0), F.lit("json parse: missing or bad field v"))
+        .when(F.col("_e.v").isNull() | ~F.col("_e.v").between(0, U16_MAX), F.lit("json parse: missing or bad field v"))
         .when(F.col("_e.v") > ENVELOPE_VERSION, F.concat(F.lit("schema: envelope version "), F.col("_e.v")))
         .when(recv.isNull(), F.lit("json parse: missing or bad field recv_ts"))
         .when(~F.coalesce(F.col("_e.kind").isin(*KINDS), F.lit(False)), F.lit("json parse: unknown kind"))
-        .when(F.array_contains("_keys", "seq") & F.col("_e.seq").isNull() & (F.get_json_object("text", "$.seq").isNotNull()), F.lit("json parse: bad field seq"))
+        .when(_unusable(F.col("_keys"), F.col("text"), "seq", seq), F.lit("json parse: bad field seq"))
+        .when(_unusable(F.col("_keys"), F.col("text"), "sid", F.col("_e.sid")), F.lit("json parse: bad field sid"))
     )
     for k in KINDS:
         error = error.when(F.col("_e.kind") == k, F.regexp_replace(_data_error(k, F.col(k), F.col("_e.data")), "^schema", "json parse"))
     return d.select(
-        *lines.columns, error.alias("error"), F.col("_e.v").alias("v"), F.unix_micros(recv).alias("recv_ts_us"), F.col("_e.seq").cast("bigint").alias("seq"),
+        *lines.columns, error.alias("error"), F.col("_e.v").alias("v"), recv.alias("recv_ts_us"), seq.alias("seq"),
         F.col("_e.sid").alias("sid"), F.col("_e.kind").alias("kind"), *KINDS,
     )
 
@@ -116,7 +142,7 @@ def _in_order(rows: DataFrame) -> DataFrame:
 
 
 def _us(c: str) -> Column:
-    return F.unix_micros(F.try_to_timestamp(F.col(c)))
+    return rfc3339_us(F.col(c))
 
 
 def tables(decoded: DataFrame) -> dict[str, DataFrame]:
@@ -128,16 +154,16 @@ def tables(decoded: DataFrame) -> dict[str, DataFrame]:
     errors = decoded.where("error IS NOT NULL").select("ticker", "channel", "file", "line_no", "error", F.col("text").alias("raw"))
     ok = _in_order(decoded.where("error IS NULL"))
     base = ["ticker", F.col("pos").alias("line_no"), "recv_ts_us"]
-    lv = lambda c: F.transform(F.col(c), lambda l: F.struct(l["price"].alias("price"), l["quantity"].cast("bigint").alias("quantity")))
+    lv = lambda c: F.transform(F.col(c), lambda l: F.struct(l["price"].alias("price"), l["quantity"].try_cast("bigint").alias("quantity")))
     messages = ok.where("kind IN ('snapshot', 'delta')").select(
         *base, F.coalesce(_us("snapshot.ts"), _us("delta.ts"), F.col("recv_ts_us")).alias("event_ts_us"), "seq", "sid", "kind",
         lv("snapshot.yes").alias("yes"), lv("snapshot.no").alias("no"), "delta.side", F.col("delta.price").alias("price_micro"), F.col("delta.delta").alias("delta_centi"),
     )
     trades = ok.where("kind = 'trade'").select(
         "ticker", "recv_ts_us", F.coalesce(_us("trade.ts"), F.col("recv_ts_us")).alias("event_ts_us"), "seq", F.col("trade.price").alias("price_micro"),
-        F.col("trade.count").cast("bigint").alias("count_centi"), "trade.taker_side", "trade.taker_book_side", "trade.trade_id", F.col("pos").alias("file_row"),
+        F.col("trade.count").try_cast("bigint").alias("count_centi"), "trade.taker_side", "trade.taker_book_side", "trade.trade_id", F.col("pos").alias("file_row"),
     )
-    gaps = ok.where("kind = 'gap'").select("ticker", "recv_ts_us", "seq", "gap.reason", "gap.channel", "gap.last_seq", "gap.observed_seq", "gap.detail", F.col("pos").alias("file_row"))
+    gaps = ok.where("kind = 'gap'").select("ticker", "recv_ts_us", "seq", "gap.reason", "gap.channel", _u64(F.col("gap.last_seq")).alias("last_seq"), _u64(F.col("gap.observed_seq")).alias("observed_seq"), "gap.detail", F.col("pos").alias("file_row"))
     raw = ok.where("kind = 'raw'").select("ticker", "recv_ts_us", "seq", "channel", "raw.raw_type", F.col("raw.ticker").alias("raw_ticker"), "raw.error", F.col("raw.payload").alias("payload_json"))
     obs = ok.where("kind = 'verify'").select(*base, lv("verify.yes").alias("yes"), lv("verify.no").alias("no"))
     return {"messages": messages, "trades": trades, "gaps": gaps, "raw": raw, "verify": obs, "read_errors": errors, "records": ok.select("ticker", "channel", "file", "kind", "recv_ts_us")}

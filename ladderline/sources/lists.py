@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.naming import rfc3339_us
+
 #: Keys of a schedule entry (the first three are required), seconds of a unit.
 SCHEDULE = "id STRING, label STRING, series STRING, event_ticker STRING, teams ARRAY<STRING>, start_utc STRING, arm_lead_min BIGINT, max_hours BIGINT, remote_prefix STRING"
 UNITS = {"": 1, "s": 1, "m": 60, "h": 3600, "d": 86400}
@@ -25,10 +27,10 @@ def schedule(spark: SparkSession, path: str) -> DataFrame:
     """
     e = _lines(spark, path).withColumn("_e", F.from_json("text", SCHEDULE)).withColumn("_k", F.json_object_keys(F.col("text")))
     known = F.array(*[F.lit(x.split()[0]) for x in SCHEDULE.split(", ")])
-    start = F.try_to_timestamp(F.col("_e.start_utc"))
+    start = rfc3339_us(F.col("_e.start_utc"))
     bad = F.col("_k").isNull() | (F.size(F.array_except("_k", known)) > 0) | F.col("_e.id").isNull() | F.col("_e.series").isNull() | start.isNull()
     lost = F.col("_e.event_ticker").isNull() & (F.coalesce(F.size("_e.teams"), F.lit(0)) <= 0)
-    return e.select("_e.*", F.unix_micros(start).alias("start_us"), F.when(bad, "malformed").when(lost, "unresolvable").alias("reject"))
+    return e.select("_e.*", start.alias("start_us"), F.when(bad, "malformed").when(lost, "unresolvable").alias("reject"))
 
 
 def arm_order(entries: DataFrame, now_us: int, default_lead_min: int) -> DataFrame:
@@ -43,7 +45,7 @@ def markets(spark: SparkSession, path: str, since_us: int | None = None, until_u
     from ..operators.catalog import close_window
 
     m = spark.read.option("mode", "FAILFAST").schema("ticker STRING, event_ticker STRING, status STRING, open_time STRING, close_time STRING, volume_fp STRING").json(path)
-    us = lambda c: F.unix_micros(F.try_to_timestamp(F.col(c)))
+    us = lambda c: rfc3339_us(F.col(c))
     return close_window(m.withColumns({"open_us": us("open_time"), "close_us": us("close_time")}), since_us, until_us)
 
 

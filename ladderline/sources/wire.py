@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.naming import rfc3339_us
 from ..functions.units import parse_delta, parse_price, parse_qty
 
 #: Frame types of the feed, by outcome and channel.
 DATA = {"orderbook_snapshot": "orderbook", "orderbook_delta": "orderbook", "trade": "trade"}
 CONTROL = ("subscribed", "ok")
+#: The last millisecond that counts as a time (year 262142); the first lies as far before 1970.
+LAST_MS = 8_210_266_876_799_999
 
 
 def _get(v: Column, path: str, kind: str) -> Column:
@@ -74,12 +77,14 @@ def decode_frames(frames: DataFrame) -> DataFrame:
     )
     f = f.withColumn("error", error)
     outcome = F.when(F.col("error").isNotNull(), "raw").when(kind.isin(*CONTROL), "control").when(kind == "error", "error").when(kind == "orderbook_snapshot", "snapshot").when(kind == "orderbook_delta", "delta").otherwise("trade")
-    ts = F.coalesce(F.when(_is(m, "$.ts_ms", "BIGINT"), _get(m, "$.ts_ms", "bigint")) * 1000, F.col("recv_ts_us"))
+    ms = F.when(_is(m, "$.ts_ms", "BIGINT"), _get(m, "$.ts_ms", "bigint"))
+    ts = F.coalesce(F.when(ms.between(-LAST_MS, LAST_MS), F.try_multiply(ms, F.lit(1000))), F.col("recv_ts_us"))
+    number = lambda k: F.when(_is(v, f"$.{k}", "BIGINT"), _get(v, f"$.{k}", "bigint"))
     is_ = lambda k, c: F.when(F.col("outcome") == k, c)
     channel = F.coalesce(*[F.when(kind == k, F.lit(c)) for k, c in DATA.items()])
     return f.withColumn("outcome", outcome).select(
         *frames.columns, "type", "outcome", channel.alias("channel"), ticker.alias("ticker"), "error",
-        F.when(_is(v, "$.sid", "BIGINT"), _get(v, "$.sid", "bigint")).alias("sid"), F.when(_is(v, "$.seq", "BIGINT"), _get(v, "$.seq", "bigint")).alias("seq"),
+        number("sid").alias("sid"), F.when(number("seq") >= 0, number("seq")).alias("seq"),
         F.when(F.col("outcome") == "snapshot", F.col("recv_ts_us")).when(F.col("outcome").isin("delta", "trade"), ts).alias("event_ts_us"),
         is_("snapshot", yes).alias("yes"), is_("snapshot", no).alias("no"),
         F.coalesce(is_("delta", side), is_("trade", taker)).alias("side"), F.coalesce(is_("delta", dp), is_("trade", tp)).alias("price_micro"),
@@ -91,7 +96,7 @@ def decode_frames(frames: DataFrame) -> DataFrame:
 def rest_trades(rows: DataFrame) -> DataFrame:
     """Fetched trades (all string columns) to trade rows; ``error`` says why a row is raw."""
     price, count = parse_price(F.col("yes_price_dollars")), parse_qty(F.col("count_fp"))
-    ts = F.unix_micros(F.try_to_timestamp("created_time"))
+    ts = rfc3339_us(F.col("created_time"))
     need = lambda ok, name: F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"missing or bad {name}"))
     side, book = F.col("taker_outcome_side"), F.col("taker_book_side")
     error = F.coalesce(need(price.isNotNull(), "yes_price_dollars"), need(count.isNotNull(), "count_fp"), need(side.isin("yes", "no"), "taker_outcome_side"), need(book.isNull() | book.isin("bid", "ask"), "taker_book_side"), need(ts.isNotNull(), "created_time"))
