@@ -11,10 +11,10 @@ from ..functions.naming import ticker_date
 def with_mismatch_gaps(gaps: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Stream gaps and one `verify_mismatch` gap for each mismatch; ``gap_no`` orders them by
     receive time, stream rows first on ties, then file order."""
-    cols = ["ticker", "recv_ts_us", "seq", "reason", "channel", "detail", "file_row"]
+    cols = ["ticker", "recv_ts_us", "seq", "last_seq", "observed_seq", "reason", "channel", "detail", "file_row"]
     own = gaps.select(*cols, F.lit(0).alias("_synth"))
     bad = outcomes.where("outcome = 'mismatch'").select(
-        "ticker", "recv_ts_us", F.lit(None).cast("bigint").alias("seq"), F.lit("verify_mismatch").alias("reason"), F.lit("orderbook").alias("channel"), "detail",
+        "ticker", "recv_ts_us", *[F.lit(None).cast("bigint").alias(c) for c in ("seq", "last_seq", "observed_seq")], F.lit("verify_mismatch").alias("reason"), F.lit("orderbook").alias("channel"), "detail",
         F.col("event_idx").alias("file_row"), F.lit(1).alias("_synth"),
     )
     w = Window.partitionBy("ticker").orderBy("recv_ts_us", "_synth", "file_row")

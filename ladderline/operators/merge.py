@@ -16,9 +16,9 @@ KEY = ("ts", "seq_class", "seq", "lane", "event_idx", "file_row")
 LEVELS = "array<struct<side:string,price_micro:bigint,qty_centi:bigint>>"
 _NULL = {
     "kind": "string", "source": "string", "side": "string", "price_micro": "bigint", "qty_centi": "bigint",
-    "n_levels": "bigint", "levels": LEVELS, "trade_id": "string", "reason": "string", "event_idx": "bigint",
+    "n_levels": "bigint", "levels": LEVELS, "trade_id": "string", "taker_book_side": "string", "reason": "string", "detail": "string", "event_idx": "bigint",
 }
-_COLS = ("ticker", *KEY, "kind", "source", "side", "price_micro", "qty_centi", "n_levels", "levels", "trade_id", "reason")
+_COLS = ("ticker", *KEY, "kind", "source", "side", "price_micro", "qty_centi", "n_levels", "levels", "trade_id", "taker_book_side", "reason", "detail")
 
 
 def _lane(df: DataFrame, lane: int, **cols: Column) -> DataFrame:
@@ -53,11 +53,11 @@ def book_lane(book_events: DataFrame) -> DataFrame:
 
 
 def gap_lane(gaps: DataFrame) -> DataFrame:
-    return _lane(gaps.select("ticker", F.col("recv_ts_us").alias("ts"), "seq", "file_row", "reason"), 0, kind=F.lit("gap"), event_idx=F.lit(0).cast("bigint"))
+    return _lane(gaps.select("ticker", F.col("recv_ts_us").alias("ts"), "seq", "file_row", "reason", "detail"), 0, kind=F.lit("gap"), event_idx=F.lit(0).cast("bigint"))
 
 
 def trade_lane(trades: DataFrame) -> DataFrame:
-    t = dedup(trades).select("ticker", F.col("eff_ts_us").alias("ts"), "seq", "file_row", "source", F.col("taker_side").alias("side"), "price_micro", F.col("count_centi").alias("qty_centi"), "trade_id")
+    t = dedup(trades).select("ticker", F.col("eff_ts_us").alias("ts"), "seq", "file_row", "source", F.col("taker_side").alias("side"), "price_micro", F.col("count_centi").alias("qty_centi"), "trade_id", "taker_book_side")
     return _lane(t, 2, kind=F.lit("trade"), event_idx=F.lit(0).cast("bigint"))
 
 
@@ -92,7 +92,7 @@ def pending_gaps(stream: DataFrame, t0_us: int) -> DataFrame:
 
 def between(book_events: DataFrame, trades: DataFrame, gaps: DataFrame, t0_us: int, t1_us: int) -> DataFrame:
     """Replay of [t0, t1): pending gaps (lead 0), the book at t0 as a snapshot with event_idx -1
-    (lead 1), then the events (lead 2), in the order (lead, pos).
+    (lead 1, the only row that is ``synthetic``), then the events (lead 2), in the order (lead, pos).
 
     Of the time before t0 only what follows a ticker's last snapshot is put in order, and pos
     counts from there.
@@ -116,5 +116,6 @@ def between(book_events: DataFrame, trades: DataFrame, gaps: DataFrame, t0_us: i
     ).withColumn("n_levels", F.size("levels").cast("bigint"))
     rows = pending_gaps(stream, t0_us).withColumn("lead", F.lit(0)).unionByName(stream.where(F.col("ts") >= t0_us).withColumn("lead", F.lit(2)))
     return rows.unionByName(snap, allowMissingColumns=True).select(
-        "ticker", "lead", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", "levels", "trade_id"
-    )
+        "ticker", "lead", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", "levels", "trade_id",
+        "taker_book_side", "reason", "detail", (F.col("lead") == 1).alias("synthetic"),
+    )

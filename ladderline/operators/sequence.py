@@ -30,6 +30,9 @@ def verdicts(frames: DataFrame, by: tuple[str, ...] = ("sid",), order: tuple[str
 
 def fan_out(marks: DataFrame, tickers: DataFrame) -> DataFrame:
     """Gap markers: a seq jump marks every ticker of its connection on the frame's channel, a
-    reconnect every ticker on both channels. ``marks`` has (sid, kind, channel, recv_ts_us)."""
+    reconnect every ticker on both channels, and says nothing about numbers. ``marks`` has (sid, kind,
+    channel, recv_ts_us), and last_seq and observed_seq of jumps where they are known."""
+    jump = F.col("kind") != "reconnect"
+    marks = marks.withColumns({c: F.when(jump, F.col(c)) for c in ("last_seq", "observed_seq") if c in marks.columns})
     chan = F.when(F.col("kind") == "reconnect", F.array(F.lit("orderbook"), F.lit("trade"))).otherwise(F.array(F.col("channel")))
     return marks.withColumn("channel", F.explode(chan)).join(tickers.select("sid", "ticker").distinct(), "sid")

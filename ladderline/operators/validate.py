@@ -60,3 +60,9 @@ def malformed(book_events: DataFrame, trades: DataFrame, gaps: DataFrame) -> Dat
         for name, df, fault in (("book_events", book_events, book_fault()), ("trades", trades, trade_fault()), ("gaps", gaps, gap_fault()))
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def checked(df: DataFrame, table: str, fault: Column) -> DataFrame:
+    """The same rows, of which a faulty one ends the query where it is read (see ``sources.dataset.typed``)."""
+    said = F.concat(F.lit(f"MalformedRow: {table}, "), F.coalesce("ticker", F.lit("null")), F.lit(", row "), F.coalesce(F.col("file_row").cast("string"), F.lit("null")), F.lit(": "), fault)
+    return df.withColumn("ticker", F.when(fault.isNull(), F.col("ticker")).otherwise(F.raise_error(said).cast("string")))

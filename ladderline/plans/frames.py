@@ -227,8 +227,8 @@ SQL: dict[str, str] = {
       FROM nu JOIN fl ON fl.ticker = nu.ticker""",
     "discover_order": f"WITH {_QUOTES} SELECT pos, row_number() OVER (ORDER BY volume DESC, pos // 100, pos) AS position FROM pr",
     "mismatch_gaps": f"""WITH {_V}{_SIDES},
-      al AS (SELECT ticker, recv_ts_us, seq, reason, channel, detail, 0 AS s, file_row FROM gp UNION ALL SELECT ticker, ts, NULL, 'verify_mismatch', 'orderbook', detail, 1, i FROM mm)
-      SELECT ticker, recv_ts_us, seq, reason, channel, detail, row_number() OVER (PARTITION BY ticker ORDER BY recv_ts_us, s, file_row) - 1 AS gap_no FROM al""",
+      al AS (SELECT ticker, recv_ts_us, seq, last_seq, observed_seq, reason, channel, detail, 0 AS s, file_row FROM gp UNION ALL SELECT ticker, ts, NULL, NULL, NULL, 'verify_mismatch', 'orderbook', detail, 1, i FROM mm)
+      SELECT ticker, recv_ts_us, seq, last_seq, observed_seq, reason, channel, detail, row_number() OVER (PARTITION BY ticker ORDER BY recv_ts_us, s, file_row) - 1 AS gap_no FROM al""",
     "market_numbers": f"WITH {_QUOTES} SELECT pos, volume, price, abs(price - 0.5) AS distance, minutes BETWEEN 50 AND 70 AS hourly FROM pr",
     "min_volume": f"WITH {_QUOTES} SELECT pos, ticker FROM pr WHERE volume >= 700",
     "spot_anchor": f"WITH {_QUOTES} SELECT series, arg_min(strike, {{'a': abs(price - 0.5), 'b': pos}}) AS strike FROM pr WHERE status = 'open' AND minutes BETWEEN 50 AND 70 AND strike IS NOT NULL AND price IS NOT NULL GROUP BY series",

@@ -87,7 +87,7 @@ dd AS (
 
 _GAP_BODY = """,
 gp AS (
-  SELECT ticker, recv_ts_us, line_no AS seq, 'seq_jump' AS reason, 'orderbook' AS channel, concat('seq jumped ', line_no - 1, ' -> ', line_no + 1) AS detail,
+  SELECT ticker, recv_ts_us, line_no AS seq, line_no - 1 AS last_seq, line_no + 1 AS observed_seq, 'seq_jump' AS reason, 'orderbook' AS channel, concat('seq jumped ', line_no - 1, ' -> ', line_no + 1) AS detail,
     row_number() OVER (PARTITION BY ticker ORDER BY line_no) - 1 AS file_row
   FROM msg WHERE kind = 'gap')"""
 
@@ -118,15 +118,15 @@ COVER = BOOK + _TRADE_BODY + _GAP_BODY + _COVER_BODY
 
 _STREAM_BODY = """,
 lanes AS (
-  SELECT ticker, recv_ts_us AS ts, 0 AS sc, seq, 0 AS lane, 0 AS ei, file_row, 'gap' AS kind, NULL AS source, NULL AS event_idx, NULL AS side, NULL AS price_micro, NULL AS qty_centi, NULL AS n_levels, CAST(NULL AS VARCHAR) AS levels, NULL AS trade_id, reason FROM gp
+  SELECT ticker, recv_ts_us AS ts, 0 AS sc, seq, 0 AS lane, 0 AS ei, file_row, 'gap' AS kind, NULL AS source, NULL AS event_idx, NULL AS side, NULL AS price_micro, NULL AS qty_centi, NULL AS n_levels, CAST(NULL AS VARCHAR) AS levels, NULL AS trade_id, NULL AS taker_book_side, reason, detail FROM gp
   UNION ALL
   SELECT ticker, min(recv_ts_us), 0, min(seq), 1, event_idx, min(file_row), CASE WHEN bool_or(is_snapshot) THEN 'snapshot' ELSE 'delta' END, NULL, event_idx,
     CASE WHEN bool_or(is_snapshot) THEN NULL ELSE min(side) END, CASE WHEN bool_or(is_snapshot) THEN NULL ELSE min(price_micro) END,
     CASE WHEN bool_or(is_snapshot) THEN NULL ELSE min(qty_centi) END, CASE WHEN bool_or(is_snapshot) THEN count(*) END,
-    CASE WHEN bool_or(is_snapshot) THEN string_agg(concat(side, ':', price_micro, ':', qty_centi), ',' ORDER BY file_row) END, NULL, NULL
+    CASE WHEN bool_or(is_snapshot) THEN string_agg(concat(side, ':', price_micro, ':', qty_centi), ',' ORDER BY file_row) END, NULL, NULL, NULL, NULL
   FROM be GROUP BY ticker, event_idx
   UNION ALL
-  SELECT ticker, eff_ts_us, CASE WHEN seq IS NULL THEN 1 ELSE 0 END, seq, 2, 0, file_row, 'trade', source, NULL, taker_side, price_micro, count_centi, NULL, NULL, trade_id, NULL FROM dd),
+  SELECT ticker, eff_ts_us, CASE WHEN seq IS NULL THEN 1 ELSE 0 END, seq, 2, 0, file_row, 'trade', source, NULL, taker_side, price_micro, count_centi, NULL, NULL, trade_id, taker_book_side, NULL, NULL FROM dd),
 stream AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY ts, sc, seq, lane, ei, file_row) - 1 AS pos FROM lanes)"""
 
 STREAM = BOOK + _TRADE_BODY + _GAP_BODY + _STREAM_BODY
@@ -244,10 +244,10 @@ ORACLE: dict[str, str] = {
     "trades_top10": f"WITH {TRADES} SELECT ticker, file_row, price_micro, count_centi, trade_id FROM tr ORDER BY count_centi DESC, ticker, file_row LIMIT 10",
     "taker_pressure": f"WITH {TRADES} SELECT ticker, taker_side, CAST(sum(count_centi) AS BIGINT) AS count_centi, count(*) AS n FROM tr GROUP BY ALL",
     "gap_markers": f"""WITH {GAPS},
-      mk AS (SELECT CAST(right(ticker, 1) AS BIGINT) % 2 AS sid, CASE WHEN seq % 5 = 0 THEN 'reconnect' ELSE 'seq_jump' END AS kind, recv_ts_us FROM gp),
+      mk AS (SELECT CAST(right(ticker, 1) AS BIGINT) % 2 AS sid, CASE WHEN seq % 5 = 0 THEN 'reconnect' ELSE 'seq_jump' END AS kind, recv_ts_us, last_seq, observed_seq FROM gp),
       tk AS (SELECT DISTINCT ticker, CAST(right(ticker, 1) AS BIGINT) % 2 AS sid FROM gp),
-      ch AS (SELECT sid, kind, recv_ts_us, unnest(CASE WHEN kind = 'reconnect' THEN ['orderbook', 'trade'] ELSE ['orderbook'] END) AS channel FROM mk)
-      SELECT ticker, channel, kind, count(*) AS n, min(recv_ts_us) AS first_us, max(recv_ts_us) AS last_us FROM ch JOIN tk USING (sid) GROUP BY ALL""",
+      ch AS (SELECT sid, kind, recv_ts_us, CASE WHEN kind = 'seq_jump' THEN last_seq END AS last_seq, CASE WHEN kind = 'seq_jump' THEN observed_seq END AS observed_seq, unnest(CASE WHEN kind = 'reconnect' THEN ['orderbook', 'trade'] ELSE ['orderbook'] END) AS channel FROM mk)
+      SELECT ticker, channel, kind, count(*) AS n, min(recv_ts_us) AS first_us, max(recv_ts_us) AS last_us, min(last_seq) AS least_last_seq, max(observed_seq) AS most_observed_seq FROM ch JOIN tk USING (sid) GROUP BY ALL""",
     "seq_gap_detect": f"""WITH {MSG},
       fr AS (SELECT ticker AS sid, line_no, kind, CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN line_no - 1 WHEN event_id % 17 = 3 THEN line_no + 2 ELSE line_no END AS seq FROM msg WHERE kind <> 'gap'),
       er AS (SELECT *, sum(CASE WHEN kind = 'snapshot' THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY line_no) AS era FROM fr),
@@ -256,14 +256,14 @@ ORACLE: dict[str, str] = {
     "gap_holes": f"WITH {BOOK}{_GAP_BODY}{_SPAN_BODY} {_OHOLE}",
     "coverage_by_ticker": f"WITH {COVER} SELECT * FROM cov",
     "coverage_rollup_by_date": f"WITH {COVER} SELECT CAST({_date('ticker')} AS VARCHAR) AS date, round(avg(uptime), 6) AS mean_uptime, CAST(sum(hole_us) AS BIGINT) AS hole_us, count(*) AS n FROM cov GROUP BY 1",
-    "merged_stream": f"WITH {STREAM} SELECT ticker, pos, ts, kind, source, CASE WHEN kind IN ('gap', 'trade') THEN 0 ELSE event_idx END AS event_idx, side, price_micro, qty_centi, n_levels, levels, trade_id FROM stream",
+    "merged_stream": f"WITH {STREAM} SELECT ticker, pos, ts, kind, source, CASE WHEN kind IN ('gap', 'trade') THEN 0 ELSE event_idx END AS event_idx, side, price_micro, qty_centi, n_levels, levels, trade_id, taker_book_side, reason, detail FROM stream",
     "order_violations": f"WITH {BOOK}{_GAP_BODY}{_SUSPECT_LANE}",
     "range_replay": f"""WITH {LEVELS}{_TRADE_BODY}{_GAP_BODY}{_STREAM_BODY},
       pend AS ({_PENDING.format(t=T0)}),
       ope AS (SELECT ticker, count(*) AS n, string_agg(concat(side, ':', price_micro, ':', qty_after), ',' ORDER BY side DESC, price_micro) AS l FROM (SELECT *, max(epoch) OVER (PARTITION BY ticker) AS le, row_number() OVER (PARTITION BY ticker, epoch, side, price_micro ORDER BY event_idx DESC) AS rn FROM lv WHERE recv_ts_us < {T0}) WHERE epoch = le AND rn = 1 AND qty_after > 0 GROUP BY ticker)
-      SELECT ticker, 0 AS lead, ts, kind, source, 0 AS event_idx, side, price_micro, qty_centi, n_levels, levels, trade_id FROM pend
-      UNION ALL SELECT t.ticker, 1, {T0}, 'snapshot', NULL, -1, NULL, NULL, NULL, coalesce(n, 0), coalesce(l, ''), NULL FROM (SELECT DISTINCT ticker FROM stream WHERE ts < {T1}) t LEFT JOIN ope USING (ticker)
-      UNION ALL SELECT ticker, 2, ts, kind, source, CASE WHEN kind IN ('gap', 'trade') THEN 0 ELSE event_idx END, side, price_micro, qty_centi, n_levels, levels, trade_id FROM stream WHERE ts >= {T0} AND ts < {T1}""",
+      SELECT ticker, 0 AS lead, ts, kind, source, 0 AS event_idx, side, price_micro, qty_centi, n_levels, levels, trade_id, taker_book_side, reason, detail, false AS synthetic FROM pend
+      UNION ALL SELECT t.ticker, 1, {T0}, 'snapshot', NULL, -1, NULL, NULL, NULL, coalesce(n, 0), coalesce(l, ''), NULL, NULL, NULL, NULL, true FROM (SELECT DISTINCT ticker FROM stream WHERE ts < {T1}) t LEFT JOIN ope USING (ticker)
+      UNION ALL SELECT ticker, 2, ts, kind, source, CASE WHEN kind IN ('gap', 'trade') THEN 0 ELSE event_idx END, side, price_micro, qty_centi, n_levels, levels, trade_id, taker_book_side, reason, detail, false FROM stream WHERE ts >= {T0} AND ts < {T1}""",
     "book_at_instant": f"""WITH {LEVELS}
       SELECT ticker, side, price_micro, qty_after AS qty_centi FROM (SELECT *, max(epoch) OVER (PARTITION BY ticker) AS le, row_number() OVER (PARTITION BY ticker, epoch, side, price_micro ORDER BY event_idx DESC) AS rn FROM lv WHERE recv_ts_us < {T0})
       WHERE epoch = le AND rn = 1 AND qty_after > 0""",

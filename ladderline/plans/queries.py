@@ -73,8 +73,11 @@ def taker_pressure(spark, d):
 def gap_markers(spark, d):
     g = _gaps(spark, d)
     tickers = g.select("ticker").distinct().withColumn("sid", F.expr("CAST(substring(ticker, -1, 1) AS BIGINT) % 2"))
-    marks = g.select(F.expr("CAST(substring(ticker, -1, 1) AS BIGINT) % 2").alias("sid"), F.when(F.col("seq") % 5 == 0, "reconnect").otherwise("seq_jump").alias("kind"), "channel", "recv_ts_us")
-    return sequence.fan_out(marks, tickers).groupBy("ticker", "channel", "kind").agg(F.count(F.lit(1)).alias("n"), F.min("recv_ts_us").alias("first_us"), F.max("recv_ts_us").alias("last_us"))
+    marks = g.select(F.expr("CAST(substring(ticker, -1, 1) AS BIGINT) % 2").alias("sid"), F.when(F.col("seq") % 5 == 0, "reconnect").otherwise("seq_jump").alias("kind"), "channel", "recv_ts_us", "last_seq", "observed_seq")
+    return sequence.fan_out(marks, tickers).groupBy("ticker", "channel", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.min("recv_ts_us").alias("first_us"), F.max("recv_ts_us").alias("last_us"),
+        F.min("last_seq").alias("least_last_seq"), F.max("observed_seq").alias("most_observed_seq"),
+    )
 
 
 def _frames(spark, d):
@@ -106,7 +109,7 @@ def coverage_rollup_by_date(spark, d):
 
 def merged_stream(spark, d):
     s = merge.merged(_book(spark, d), _trades(spark, d), _gaps(spark, d))
-    return s.select("ticker", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", merge.levels_text(F.col("levels")).alias("levels"), "trade_id")
+    return s.select("ticker", "pos", "ts", "kind", "source", "event_idx", "side", "price_micro", "qty_centi", "n_levels", merge.levels_text(F.col("levels")).alias("levels"), "trade_id", "taker_book_side", "reason", "detail")
 
 
 def order_violations(spark, d):

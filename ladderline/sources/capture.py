@@ -23,18 +23,19 @@ SIDES, BOOK_SIDES = ("yes", "no"), ("bid", "ask")
 GAP_REASONS = ("seq_jump", "reconnect", "verify_mismatch")
 CHANNELS = ("orderbook", "trade")
 
-_LEVELS = "ARRAY<STRUCT<price: BIGINT, quantity: DECIMAL(38,0)>>"
+#: Numbers beyond 64 bits, or with a fraction, must be told from good ones: hence decimals.
+_LEVELS = "ARRAY<STRUCT<price: BIGINT, quantity: DECIMAL(38,9)>>"
 #: Per kind: schema of data, required keys, optional keys.
 KINDS: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     "snapshot": (f"ticker STRING, ts STRING, yes {_LEVELS}, no {_LEVELS}", ("ticker", "ts", "yes", "no"), ()),
     "verify": (f"ticker STRING, ts STRING, yes {_LEVELS}, no {_LEVELS}", ("ticker", "ts", "yes", "no"), ()),
     "delta": ("ticker STRING, ts STRING, side STRING, price BIGINT, delta BIGINT", ("ticker", "ts", "side", "price", "delta"), ()),
     "trade": (
-        "ticker STRING, ts STRING, price BIGINT, count DECIMAL(38,0), taker_side STRING, taker_book_side STRING, trade_id STRING",
+        "ticker STRING, ts STRING, price BIGINT, count DECIMAL(38,9), taker_side STRING, taker_book_side STRING, trade_id STRING",
         ("ticker", "ts", "price", "count", "taker_side"), ("taker_book_side", "trade_id"),
     ),
     "gap": (
-        "reason STRING, ticker STRING, channel STRING, last_seq DECIMAL(38,0), observed_seq DECIMAL(38,0), detail STRING",
+        "reason STRING, ticker STRING, channel STRING, last_seq DECIMAL(38,9), observed_seq DECIMAL(38,9), detail STRING",
         ("reason", "ticker", "channel", "detail"), ("last_seq", "observed_seq"),
     ),
     "raw": ("raw_type STRING, ticker STRING, error STRING, payload STRING", ("error", "payload"), ("raw_type", "ticker")),
@@ -63,14 +64,18 @@ def capture_lines(spark: SparkSession, base: str, tickers: list[str] | None = No
 
 
 def _levels_bad(c: Column) -> Column:
-    return F.coalesce(F.exists(c, lambda l: l.isNull() | l["price"].isNull() | l["quantity"].isNull() | ~l["price"].between(0, U32_MAX) | ~l["quantity"].between(0, I64_MAX)), F.lit(False))
+    return F.coalesce(F.exists(c, lambda l: l.isNull() | l["price"].isNull() | l["quantity"].isNull() | ~l["price"].between(0, U32_MAX) | ~_whole(l["quantity"], I64_MAX)), F.lit(False))
+
+
+def _whole(c: Column, most: int | Decimal) -> Column:
+    return c.between(0, F.lit(most)) & (c == F.floor(c))
 
 
 def _u64(c: Column) -> Column:
     """An unsigned 64-bit number as the signed one of the same bits, which tables hold; null if it is no such number."""
     most = Decimal(U64_MAX)
     signed = F.when(c > I64_MAX, c - F.lit(most) - 1).otherwise(c)
-    return F.when(c.between(0, F.lit(most)), signed.try_cast("bigint"))
+    return F.when(_whole(c, most), signed.try_cast("bigint"))
 
 
 def _unusable(keys: Column, text: Column, name: str, value: Column) -> Column:
@@ -100,7 +105,7 @@ def _data_error(kind: str, data: Column, text: Column) -> Column:
         e = e.when(~data["side"].isin(*SIDES), F.lit("schema: bad field side"))
     if kind == "trade":
         e = e.when(~data["taker_side"].isin(*SIDES), F.lit("schema: bad field taker_side")).when(~F.coalesce(data["taker_book_side"], F.lit("bid")).isin(*BOOK_SIDES), F.lit("schema: bad field taker_book_side"))
-        e = e.when(~data["count"].between(0, I64_MAX), F.lit("schema: bad field count"))
+        e = e.when(~_whole(data["count"], I64_MAX), F.lit("schema: bad field count"))
     if kind == "gap":
         for k in ("last_seq", "observed_seq"):
             e = e.when(_unusable(keys, text, k, _u64(data[k])), F.lit(f"schema: bad field {k}"))
@@ -113,7 +118,7 @@ def decode(lines: DataFrame) -> DataFrame:
 
     Times are RFC 3339 with a zone; seq is unsigned, and kept as the signed number of the same bits.
     """
-    top = F.from_json("text", "v BIGINT, recv_ts STRING, seq DECIMAL(38,0), sid BIGINT, kind STRING, data STRING")
+    top = F.from_json("text", "v BIGINT, recv_ts STRING, seq DECIMAL(38,9), sid BIGINT, kind STRING, data STRING")
     d = lines.withColumn("_keys", F.json_object_keys(F.col("text"))).withColumn("_e", top)
     # from_json gives strings for objects, re-rendered; the payload of raw data stays JSON text.
     d = d.withColumns({k: F.when(F.col("_e.kind") == k, F.from_json(F.col("_e.data"), s)) for k, (s, _, _) in KINDS.items()})

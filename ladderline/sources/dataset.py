@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +18,9 @@ from .process import SCHEMA_VERSION
 TABLES = {
     "book_events": "ticker string, event_idx bigint, recv_ts_us bigint, event_ts_us bigint, seq bigint, sid bigint, is_snapshot boolean, side string, price_micro bigint, qty_centi bigint, file_row bigint",
     "book_top": "ticker string, event_idx bigint, recv_ts_us bigint, event_ts_us bigint, seq bigint, event string, yes_bid_micro bigint, yes_bid_sz_centi bigint, yes_ask_micro bigint, yes_ask_sz_centi bigint, mid_micro bigint, spread_micro bigint, yes_total_centi bigint, no_total_centi bigint, yes_levels bigint, no_levels bigint, imbalance double, yes_bid double, yes_ask double, mid double",
+    "keyframes": "ticker string, event_idx bigint, recv_ts_us bigint",
     "trades": "ticker string, file_row bigint, recv_ts_us bigint, event_ts_us bigint, seq bigint, price_micro bigint, count_centi bigint, taker_side string, taker_book_side string, trade_id string",
-    "gaps": "ticker string, recv_ts_us bigint, seq bigint, reason string, channel string, detail string, gap_no bigint",
+    "gaps": "ticker string, recv_ts_us bigint, seq bigint, last_seq bigint, observed_seq bigint, reason string, channel string, detail string, gap_no bigint",
 }
 
 
@@ -47,28 +52,57 @@ class MalformedRow(DatasetError):
     """A row can't be what its table says."""
 
 
+class UnknownTicker(DatasetError, ValueError):
+    """A ticker that was asked for is not in the dataset."""
+
+
+@contextmanager
+def typed() -> Iterator[None]:
+    """Errors that rows of a dataset raise where they are read, as ``MalformedRow`` or ``OrderViolation``.
+
+    Frames are lazy: what ``events``, ``between`` and ``book_at`` return is checked by the query
+    that reads it, in the same pass. Put that query below ``with typed():``.
+    """
+    try:
+        yield
+    except Exception as e:
+        if found := re.search(r"(MalformedRow|OrderViolation): ([^\n]*)", str(e)):
+            raise {"MalformedRow": MalformedRow, "OrderViolation": OrderViolation}[found[1]](found[2].split(" SQLSTATE")[0]) from e
+        raise
+
+
 class MarketDataset:
-    """A folder written by ``process_capture``.
+    """A folder written by ``process_capture``, or some of its ``tickers``.
 
     ``allow_incomplete`` accepts sessions with unreadable or undecoded records; otherwise
-    loading them raises. The gate runs when data are asked for, not when the dataset is opened.
+    loading them raises. The gate runs when data are asked for, not when the dataset is opened,
+    and looks at the chosen tickers alone.
     """
 
-    def __init__(self, spark: SparkSession, root: str, allow_incomplete: bool = False):
-        self.spark, self.root, self.allow_incomplete = spark, root.rstrip("/"), allow_incomplete
+    def __init__(self, spark: SparkSession, root: str, allow_incomplete: bool = False, tickers: list[str] | None = None):
+        self.spark, self.root, self.allow_incomplete, self.tickers = spark, root.rstrip("/"), allow_incomplete, tickers
         manifest = self._read("manifest", "json")
         newest = manifest.agg(F.max("schema_version")).first()[0]
         if newest is not None and newest > SCHEMA_VERSION:
             raise UnsupportedSchema(f"schema version {newest} is newer than {SCHEMA_VERSION}")
         self._manifest = manifest
+        if tickers is not None and (lost := sorted(set(tickers) - {r[0] for r in manifest.select("ticker").collect()})):
+            raise UnknownTicker(f"no such ticker: {', '.join(lost)}")
+
+    def _has(self, table: str) -> bool:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-    def _read(self, table: str, kind: str = "parquet") -> DataFrame:
+    def _read(self, table: str, kind: str = "parquet", optional: bool = False) -> DataFrame:
         path = f"{self.root}/{table}"
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        if not self._has(table):
+            if optional:
+                return self.spark.createDataFrame([], TABLES[table])
             raise MissingTable(path)
         reader = self.spark.read.format(kind)
-        return (reader.schema(TABLES[table]) if table in TABLES else reader).load(path)
+        df = (reader.schema(TABLES[table]) if table in TABLES else reader).load(path)
+        # Tables lie in a folder a ticker: others aren't listed.
+        return df if self.tickers is None else df.where(F.col("ticker").isin(*self.tickers))
 
     def catalog(self, tickers: list[str] | None = None, complete: bool | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
         """Manifest rows with the ticker's date and the reasons why a session is incomplete.
@@ -92,14 +126,29 @@ class MarketDataset:
         return self._read(name)
 
     def events(self, strict: bool = True) -> DataFrame:
-        """The merged stream; with ``strict`` a malformed row or an order violation is an error."""
+        """The merged stream; with ``strict`` a malformed row or an order violation ends the query
+        that reads it (``typed`` gives it its type)."""
         self._gate()
+        b, t, g = self._tables(strict)
+        return self._in_order(merge.merged(b, t, g), b, g, strict)
+
+    def _tables(self, strict: bool, since_us: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """book_events (from an instant on), trades and gaps; with ``strict`` each row is checked as it is read."""
         b, t, g = self._read("book_events"), self._trades(), self._gaps()
-        if strict and (bad := validate.malformed(b, t, g).orderBy("table", "ticker", "file_row").limit(1).collect()):
-            raise MalformedRow("{table}, {ticker}, row {file_row}: {detail}".format(**bad[0].asDict()))
-        if strict and (bad := merge.order_violations(b, g).limit(1).collect()):
-            raise OrderViolation(f"{bad[0]['ticker']}: row {bad[0]['file_row']} steps back")
-        return merge.merged(b, t, g)
+        if since_us is not None:
+            b = b.where(F.col("recv_ts_us") >= since_us)
+        if strict:
+            b, t, g = validate.checked(b, "book_events", validate.book_fault()), validate.checked(t, "trades", validate.trade_fault()), validate.checked(g, "gaps", validate.gap_fault())
+        return b, t, g
+
+    def _in_order(self, stream: DataFrame, b: DataFrame, g: DataFrame, strict: bool) -> DataFrame:
+        """The stream and, as rows of it, what steps back in file order: the first one is an error."""
+        if not strict:
+            return stream
+        said = F.concat(F.lit("OrderViolation: "), F.col("ticker"), F.lit(": row "), F.col("file_row").cast("string"), F.lit(" steps back"))
+        # A filter, which is evaluated whatever columns a query takes.
+        bad = merge.order_violations(b, g).where(F.raise_error(said).cast("string").isNotNull()).select("ticker")
+        return stream.unionByName(bad, allowMissingColumns=True)
 
     def _trades(self) -> DataFrame:
         return self._read("trades")
@@ -107,24 +156,46 @@ class MarketDataset:
     def _gaps(self) -> DataFrame:
         return self._read("gaps").withColumnRenamed("gap_no", "file_row")
 
-    def between(self, t0_us: int, t1_us: int) -> DataFrame:
+    def _opens_us(self, t_us: int) -> int | None:
+        """The receive time from which rows can matter to the books at t: that of the earliest last
+        snapshot before it. None, for all of history, if some ticker has rows but no snapshot yet.
+
+        Read from the keyframes, a row a snapshot; files of book_events are in the order of time, so
+        the bound keeps what lies before from being read.
+        """
+        if not self._has("keyframes"):
+            return None
+        k = self._read("keyframes").where(F.col("recv_ts_us") < t_us)
+        last = k.groupBy("ticker").agg(F.max("recv_ts_us").alias("t"), F.max_by("event_idx", "recv_ts_us").alias("idx"))
+        least, n = last.agg(F.min(F.when(F.col("idx").isNotNull(), F.col("t"))), F.count_if(F.col("idx").isNull())).first()
+        return None if n else least
+
+    def between(self, t0_us: int, t1_us: int, strict: bool = True) -> DataFrame:
+        """Replay of [t0, t1), as ``merge.between`` gives it; checked like ``events``, also what lies
+        before t0 as far as it is needed for the opening book."""
         if t0_us >= t1_us:
             raise InvalidRange(f"[{t0_us}, {t1_us})")
         self._gate()
-        return merge.between(self._read("book_events"), self._trades(), self._gaps(), t0_us, t1_us)
+        b, t, g = self._tables(strict, self._opens_us(t0_us))
+        soon = F.col("recv_ts_us") < t1_us
+        return self._in_order(merge.between(b, t, g, t0_us, t1_us), b.where(soon), g.where(soon), strict)
 
-    def book_at(self, t_us: int) -> DataFrame:
+    def book_at(self, t_us: int, strict: bool = True) -> DataFrame:
+        """The ladder just before an instant; with ``strict`` the rows that make it are checked."""
         self._gate()
-        return book.book_at(self._read("book_events"), t_us)
+        return book.book_at(self._tables(strict, self._opens_us(t_us))[0], t_us)
 
     def coverage(self) -> DataFrame:
-        """Works for incomplete sessions too: it is there to judge them."""
-        b = self._read("book_events")
-        cover = coverage.coverage(self._manifest.select("ticker"), b, self._trades(), self._gaps())
+        """Works for incomplete sessions too: it is there to judge them. Without a gaps table nobody
+        knows of holes: the figures that need it are null."""
+        b, known = self._read("book_events", optional=True), self._has("gaps")
+        cover = coverage.coverage(self._manifest.select("ticker"), b, self._trades(), self._read("gaps", optional=True).withColumnRenamed("gap_no", "file_row"))
+        if not known:
+            cover = cover.withColumns({c: F.lit(None).cast(cover.schema[c].dataType) for c in ("n_gaps", "n_unresolved", "hole_us", "uptime")})
         return coverage.accounting(cover, self._manifest, self.root)
 
     def holes(self) -> DataFrame:
-        b = self._read("book_events")
+        b = self._read("book_events", optional=True)
         span = coverage.spans(self._manifest.select("ticker"), b, self._trades())
         return coverage.holes(self._gaps(), b, span)
 

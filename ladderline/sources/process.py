@@ -17,9 +17,20 @@ from .scratch import saved
 SCHEMA_VERSION = 1
 
 
-def write_table(df: DataFrame, path: str, level: int = 3) -> None:
-    """Parquet, ZSTD, partitioned by ticker, in file order inside a ticker."""
-    df.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).partitionBy("ticker").parquet(path)
+def write_table(df: DataFrame, path: str, order: str, level: int = 3) -> None:
+    """Parquet, ZSTD, in a folder a ticker, in the order of that column inside it: over files, whose
+    names go by it, and in each file. So row groups are intervals, and ranges of time skip most."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = df.repartitionByRange(n, "ticker", order).sortWithinPartitions("ticker", order)
+    sorted_.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).partitionBy("ticker").parquet(path)
+
+
+def keyframes(book_events: DataFrame) -> DataFrame:
+    """(ticker, event_idx, recv_ts_us) of every snapshot, and of each ticker that begins with a change
+    its first row, without event_idx: up to the first snapshot all of its history counts."""
+    snap = book_events.where("is_snapshot").select("ticker", "event_idx", "recv_ts_us").distinct()
+    first = book_events.groupBy("ticker").agg(F.min_by(F.struct("is_snapshot", "recv_ts_us"), "file_row").alias("f")).where("NOT f.is_snapshot")
+    return snap.unionByName(first.select("ticker", F.lit(None).cast("bigint").alias("event_idx"), "f.recv_ts_us"))
 
 
 def _notes() -> Column:
@@ -73,13 +84,14 @@ def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: lis
     outcomes = saved(verify.with_detail(outcomes), "details")
     gaps = coverage.with_mismatch_gaps(t["gaps"], outcomes)
     cover = coverage.coverage(t["records"].select("ticker").distinct(), events, t["trades"], gaps)
-    write_table(events, f"{out_dir}/book_events")
-    write_table(book.with_dollars(top), f"{out_dir}/book_top")
-    write_table(tape(t["trades"]), f"{out_dir}/trades")
-    write_table(gaps, f"{out_dir}/gaps")
+    write_table(events, f"{out_dir}/book_events", "file_row")
+    write_table(keyframes(events), f"{out_dir}/keyframes", "recv_ts_us")
+    write_table(book.with_dollars(top), f"{out_dir}/book_top", "event_idx")
+    write_table(tape(t["trades"]), f"{out_dir}/trades", "file_row")
+    write_table(gaps, f"{out_dir}/gaps", "gap_no")
     for name, df in (("raw", t["raw"]), ("verify", outcomes)):
         if not df.isEmpty():
-            write_table(df, f"{out_dir}/{name}")
+            write_table(df, f"{out_dir}/{name}", "recv_ts_us")
     if not t["read_errors"].isEmpty():
         t["read_errors"].write.mode("overwrite").partitionBy("ticker").json(f"{out_dir}/read_errors")
     rows = saved(manifest_rows(t, events, top, outcomes, cover), "manifest")

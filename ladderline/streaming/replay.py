@@ -84,8 +84,9 @@ def seq_verdict_stream(frames: DataFrame) -> DataFrame:
 def gap_marker_stream(frames: DataFrame, reconnects: DataFrame, tickers: DataFrame) -> DataFrame:
     """Gap markers as they happen: seq jumps of a stream of frames and reconnects (sid, recv_ts_us) of
     another, fanned out to the tickers of the connection (a static table)."""
-    jumps = seq_verdict_stream(frames).where("verdict = 'gap'").select("sid", F.lit("seq_jump").alias("kind"), "channel", "recv_ts_us")
-    again = reconnects.select("sid", F.lit("reconnect").alias("kind"), F.lit(None).cast("string").alias("channel"), "recv_ts_us")
+    jumps = seq_verdict_stream(frames).where("verdict = 'gap'").select("sid", F.lit("seq_jump").alias("kind"), "channel", "recv_ts_us", "last_seq", F.col("seq").alias("observed_seq"))
+    none = F.lit(None).cast("bigint")
+    again = reconnects.select("sid", F.lit("reconnect").alias("kind"), F.lit(None).cast("string").alias("channel"), "recv_ts_us", none.alias("last_seq"), none.alias("observed_seq"))
     return sequence.fan_out(jumps.unionByName(again), tickers)
 
 

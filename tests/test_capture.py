@@ -1,4 +1,4 @@
-"""A capture tree from JSON lines to processed tables, and streams over the same files."""
+"""A capture tree from JSON lines to processed tables, and what datasets make of them."""
 
 import json
 import os
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ladderline.sources import capture, dataset
 from ladderline.sources.process import process_capture
+from ladderline.sources.scratch import saved
 
 TS = "2026-07-03T10:00:{:02d}.000000Z"
 
@@ -75,8 +76,9 @@ def test_accounting_and_malformed_rows(spark, tmp_path):
     bad.write.partitionBy("ticker").parquet(str(tmp_path / "bad"))
     os.rename(tmp_path / "out" / "trades", tmp_path / "trades")
     os.rename(tmp_path / "bad", tmp_path / "out" / "trades")
-    with pytest.raises(dataset.MalformedRow, match="trades, KX-26JUL03-T1, row 3: taker_side is up"):
-        ds.events()
+    for read in (ds.events, lambda **k: ds.between(0, 1 << 60, **k)):
+        with pytest.raises(dataset.MalformedRow, match="trades, KX-26JUL03-T1, row 3: taker_side is up$"), dataset.typed():
+            read().collect()
     assert ds.events(strict=False).count() == 4
 
 
@@ -115,3 +117,130 @@ def test_incomplete_is_refused(spark, tmp_path):
         dataset.MarketDataset(spark, str(tmp_path / "out")).events()
     ok = dataset.MarketDataset(spark, str(tmp_path / "out"), allow_incomplete=True)
     assert ok.events().count() == 4 and ok.catalog().first().reasons == ["1 unreadable lines"]
+
+
+def _spoil(spark, out, table, change):
+    """Replace a table of a dataset with a changed copy."""
+    rows = change(spark.read.schema(dataset.TABLES[table]).parquet(f"{out}/{table}"))
+    rows.write.partitionBy("ticker").parquet(f"{out}-{table}")
+    os.rename(f"{out}/{table}", f"{out}-{table}-old")
+    os.rename(f"{out}-{table}", f"{out}/{table}")
+
+
+def _session(spark, tmp_path, sf_dir):
+    """Tables of the adapter's tickers, as process_capture lays them out, with a manifest."""
+    from ladderline.operators import coverage, trades
+    from ladderline.plans import queries
+    from ladderline.sources import process
+
+    out = str(tmp_path / "d")
+    b, t, g = (saved(x, "x") for x in (queries._book(spark, sf_dir), queries._trades(spark, sf_dir), queries._gaps(spark, sf_dir)))
+    none = spark.createDataFrame([], "ticker string, recv_ts_us bigint, outcome string, detail string, event_idx bigint")
+    process.write_table(b, f"{out}/book_events", "file_row")
+    process.write_table(process.keyframes(b), f"{out}/keyframes", "recv_ts_us")
+    process.write_table(trades.tape(t), f"{out}/trades", "file_row")
+    process.write_table(coverage.with_mismatch_gaps(g, none), f"{out}/gaps", "gap_no")
+    b.select("ticker").distinct().selectExpr("ticker", "1 AS schema_version", "ticker NOT LIKE '%-T3' AS complete", "0 AS read_errors", "0 AS raw").write.json(f"{out}/manifest")
+    return out, b, t, g
+
+
+def _same(a, b):
+    return sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(a.columns)).collect()))
+
+
+def test_ranges_read_from_the_last_snapshots_on(spark, tmp_path, sf_dir):
+    from ladderline.operators import book, merge
+    from ladderline.plans.queries import T0, T1
+
+    out, b, t, g = _session(spark, tmp_path, sf_dir)
+    ds = dataset.MarketDataset(spark, out, allow_incomplete=True)
+    for at in (T0, T1, T1 + 10**9, 0):
+        assert _same(ds.book_at(at), book.book_at(b, at))
+    assert _same(ds.between(T0, T1), merge.between(b, t, g, T0, T1))
+    # The bound, for one ticker, is its last snapshot before the instant; before any, all counts.
+    one = dataset.MarketDataset(spark, out, tickers=[b.where("ticker NOT LIKE '%-T3'").first().ticker])
+    mine = b.where(F.col("ticker") == one.tickers[0])
+    want = mine.where(f"is_snapshot AND recv_ts_us < {T1}").agg(F.max("recv_ts_us")).first()[0]
+    assert one._opens_us(T1) == want and one._opens_us(0) is None
+    plan = one.book_at(T1)._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual(recv_ts_us,{want})" in plan and "PartitionFilters: [isnotnull(ticker" in plan
+    assert _same(one.book_at(T1), book.book_at(mine, T1))
+    # Without the index everything is read, with the same result.
+    os.rename(f"{out}/keyframes", f"{out}-keyframes")
+    assert ds._opens_us(T1) is None and _same(ds.book_at(T1), book.book_at(b, T1))
+
+
+def test_files_and_row_groups_are_in_order(spark, tmp_path, sf_dir):
+    import pyarrow.parquet as pq
+
+    out, b, _, _ = _session(spark, tmp_path, sf_dir)
+    for d in sorted((tmp_path / "d" / "book_events").glob("ticker=*")):
+        rows = [pq.read_table(str(f), columns=["file_row"]).column("file_row").to_pylist() for f in sorted(d.glob("*.parquet"))]
+        assert sum(rows, []) == sorted(sum(rows, []))
+
+
+def test_one_ticker_loads_beside_an_incomplete_one(spark, tmp_path, sf_dir):
+    out, b, _, _ = _session(spark, tmp_path, sf_dir)
+    bad = b.where("ticker LIKE '%-T3'").first().ticker
+    good = b.where("ticker NOT LIKE '%-T3'").first().ticker
+    with pytest.raises(dataset.IncompleteData, match=bad):
+        dataset.MarketDataset(spark, out).events()
+    with pytest.raises(dataset.IncompleteData):
+        dataset.MarketDataset(spark, out, tickers=[good, bad]).events()
+    with pytest.raises(dataset.UnknownTicker, match="KX-NONE"):
+        dataset.MarketDataset(spark, out, tickers=[good, "KX-NONE"])
+    ds = dataset.MarketDataset(spark, out, tickers=[good])
+    assert {r.ticker for r in ds.events().select("ticker").distinct().collect()} == {good}
+    # Faults of tickers that aren't asked for are nobody's business.
+    _spoil(spark, out, "book_events", lambda df: df.withColumn("side", F.when(F.col("ticker") == bad, "left").otherwise(F.col("side"))))
+    assert ds.events().count() > 0
+    ds = dataset.MarketDataset(spark, out, allow_incomplete=True)
+    for read in (ds.events, lambda: ds.book_at(1 << 60), lambda: ds.between(0, 1 << 60)):
+        with pytest.raises(dataset.MalformedRow, match=f"book_events, {bad}, row .*: side is left"), dataset.typed():
+            read().count()
+
+
+def test_a_step_back_ends_the_query_that_reads_it(spark, tmp_path, sf_dir):
+    out, _, _, _ = _session(spark, tmp_path, sf_dir)
+    _spoil(spark, out, "book_events", lambda df: df.withColumn("recv_ts_us", F.expr("recv_ts_us - IF(event_idx % 29 = 7, 60000000, 0)")))
+    ds = dataset.MarketDataset(spark, out, allow_incomplete=True)
+    for read in (ds.events, lambda: ds.between(0, 1 << 60)):
+        with pytest.raises(dataset.OrderViolation, match="steps back"), dataset.typed():
+            read().count()
+    assert ds.events(strict=False).count() > 0
+    with pytest.raises(ZeroDivisionError), dataset.typed():
+        1 / 0
+
+
+def test_coverage_without_a_gaps_table_is_unknown(spark, tmp_path, sf_dir):
+    out, _, _, _ = _session(spark, tmp_path, sf_dir)
+    cols = {c: F.lit(0) for c in ("verify_matched", "verify_mismatch", "verify_skipped", "underflows", "book_events")}
+    m = spark.read.json(f"{out}/manifest").withColumns(cols)
+    m.write.json(f"{out}-m")
+    os.rename(f"{out}/manifest", f"{out}-m-old")
+    os.rename(f"{out}-m", f"{out}/manifest")
+    os.rename(f"{out}/gaps", f"{out}-gaps")
+    rows = dataset.MarketDataset(spark, out).coverage().collect()
+    assert rows and all((r.n_gaps, r.hole_us, r.uptime) == (None, None, None) and r.n_trades > 0 and r.span_us > 0 for r in rows)
+
+
+def test_lines_that_would_end_a_job_are_read_errors(spark):
+    """Times without zone or of another form, numbers beyond their type: rows of errors, one by one."""
+    line = lambda **k: json.dumps({"v": 2, "recv_ts": "2026-07-03T00:00:00.1234567Z", "kind": "delta", "data": {"ticker": "K", "ts": "2026-07-03T01:00:00+01:00", "side": "yes", "price": 5, "delta": 1}} | k)
+    data = lambda **k: {"data": {"ticker": "K", "ts": "2026-07-03T00:00:00Z", "side": "yes", "price": 5, "delta": 1} | k}
+    gap = lambda **k: {"kind": "gap", "data": {"reason": "seq_jump", "ticker": "K", "channel": "trade", "detail": ""} | k}
+    cases = [
+        (line(), None), (line(seq=(1 << 64) - 1), None), (line(seq=1 << 64), "seq"), (line(seq=-1), "seq"), (line(seq=1.5), "seq"), (line(seq=10**60), "seq"), (line(seq=None), None),
+        (line(sid="x"), "sid"), (line(sid=1 << 63), "sid"), (line(v=70000), "field v"), (line(recv_ts="2026"), "recv_ts"), (line(recv_ts="2026-07-03T00:00:00"), "recv_ts"),
+        (line(recv_ts="2026-13-03T00:00:00Z"), "recv_ts"), (line(recv_ts=5), "recv_ts"), (line(**data(ts="noon")), "ts"), (line(**data(ts="2026-07-03")), "ts"), (line(**data(delta=1 << 63)), "delta"), (line(**data(price=5.5)), "price"),
+        (line(kind="snapshot", data={"ticker": "K", "ts": "2026-07-03T00:00:00Z", "yes": [{"price": 5, "quantity": 1.5}], "no": []}), "level"),
+        (line(**gap(last_seq=5, observed_seq=(1 << 63) + 1)), None), (line(**gap(last_seq=-5)), "last_seq"), (line(kind="raw", data={"error": "e"}), "payload"), (line(kind="raw", data={"error": "e", "payload": None}), None),
+    ]
+    rows = spark.createDataFrame([("K", "c", "f", i, t) for i, (t, _) in enumerate(cases)], "ticker string, channel string, file string, line_no bigint, text string")
+    got = {r.line_no: r for r in capture.decode(rows).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert (got[i].error is None) if want is None else (got[i].error is not None and want in got[i].error), (text, got[i].error)
+    assert (got[0].recv_ts_us, got[1].seq) == (1783036800123456, -1)
+    t = capture.tables(capture.decode(rows))
+    assert [(r.last_seq, r.observed_seq) for r in t["gaps"].collect()] == [(5, -(2**63) + 1)]
+    assert t["messages"].where("line_no = 0").first().event_ts_us == 1783036800000000 and t["read_errors"].count() == sum(w is not None for _, w in cases)
