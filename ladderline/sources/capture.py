@@ -45,22 +45,30 @@ KINDS: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
 def capture_lines(spark: SparkSession, base: str, tickers: list[str] | None = None) -> DataFrame:
     """ticker, channel, file, line_no (from 1) and text of every line that is not blank.
 
-    Files are read whole (one is one ticker-day) because only that keeps line numbers; blank
-    lines count in them. Tickers asked for but absent are an error.
+    Files are read in splits. A line's place in its split comes from the order in which the scan
+    gives rows, and the lines of the splits before it, counted by a scan of their own, are added: a
+    row a split, so a ticker-day of any size is many tasks. Blank lines count in the numbers.
+    Tickers asked for but absent are an error.
     """
-    files = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(base)
+    files = spark.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(base)
     path = F.col("_metadata.file_path")
     at = files.select(
         F.regexp_extract(path, r"([^/]+)/([^/]+)/([^/]+)\.jsonl$", 1).alias("ticker"), F.regexp_extract(path, r"([^/]+)/([^/]+)\.jsonl$", 1).alias("channel"),
-        F.regexp_extract(path, r"([^/]+\.jsonl)$", 1).alias("file"), F.col("value"),
+        F.regexp_extract(path, r"([^/]+\.jsonl)$", 1).alias("file"), path.alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.col("value"),
     )
     if tickers:
         found = {r[0] for r in at.select("ticker").where(F.col("ticker").isin(*tickers)).distinct().collect()}
         if missing := sorted(set(tickers) - found):
             raise ValueError(f"no capture of {', '.join(missing)}")
         at = at.where(F.col("ticker").isin(*tickers))
-    lines = at.select("ticker", "channel", "file", F.posexplode(F.split("value", "\n")).alias("p", "text"))
-    return lines.select("ticker", "channel", "file", (F.col("p") + 1).cast("bigint").alias("line_no"), F.regexp_replace("text", "\r$", "").alias("text")).where(F.trim("text", F.lit(" \t\r")) != "")
+    at = at.withColumn("_place", F.monotonically_increasing_id())
+    splits = at.groupBy("_path", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select(F.col("_path").alias("_of"), F.col("_block").alias("_start"), (before - F.col("_first") + 1).alias("_shift"))
+    # A row for each split of the input: some 100 bytes for each 128 MB.
+    lines = at.join(F.broadcast(splits), (F.col("_path") == F.col("_of")) & (F.col("_block") == F.col("_start")))
+    text = F.regexp_replace("value", "\r$", "")
+    return lines.select("ticker", "channel", "file", (F.col("_place") + F.col("_shift")).cast("bigint").alias("line_no"), text.alias("text")).where(F.trim("text", F.lit(" \t\r")) != "")
 
 
 def _levels_bad(c: Column) -> Column:

@@ -244,3 +244,28 @@ def test_lines_that_would_end_a_job_are_read_errors(spark):
     t = capture.tables(capture.decode(rows))
     assert [(r.last_seq, r.observed_seq) for r in t["gaps"].collect()] == [(5, -(2**63) + 1)]
     assert t["messages"].where("line_no = 0").first().event_ts_us == 1783036800000000 and t["read_errors"].count() == sum(w is not None for _, w in cases)
+
+
+def test_line_numbers_across_splits(spark, tmp_path):
+    """A file in many splits keeps its numbers: long, short and blank lines, with and without a last line feed."""
+    want = set()
+    for ticker, end in (("KX-A", "\n"), ("KX-B", ""), ("KX-C", "\r\n")):
+        lines = [("x" * (i * 37 % 90) if i % 5 else "  " if i % 2 else "") + (f" {i}" if i % 5 else "") for i in range(400)]
+        d = tmp_path / "in" / ticker / "orderbook"
+        d.mkdir(parents=True)
+        (d / "2026-07-01.jsonl").write_text(("\r\n" if end == "\r\n" else "\n").join(lines) + end, newline="")
+        want |= {(ticker, n + 1, t) for n, t in enumerate(lines) if t.strip()}
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("777b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "10b")
+            df = capture.capture_lines(spark, str(tmp_path / "in"))
+            assert size != "777b" or spark.read.text(str(tmp_path / "in" / "*" / "*")).rdd.getNumPartitions() > 8
+            got = [(r.ticker, r.line_no, r.text) for r in df.collect()]
+            assert len(got) == len(want) and set(got) == want
+            one = capture.capture_lines(spark, str(tmp_path / "in"), ["KX-B"]).collect()
+            assert {(r.ticker, r.line_no, r.text) for r in one} == {w for w in want if w[0] == "KX-B"}
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
