@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from .text import begin, cached_by, pieces_of, saved, ship
 
-#: Bytes of text in a block; characters of chunks that a worker keeps from one block to the next.
-BLOCK, KEPT = 8 << 20, 4 << 20
+#: Bytes of text in a block; characters of chunks, with 64 for each, that a worker keeps from one
+#: block to the next (some 250 MB with all that belongs to them).
+BLOCK, KEPT = 8 << 20, 64 << 20
 #: A space between two characters that are no white space.
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" \s|\s ")
@@ -79,20 +80,21 @@ def piece_tokens(path: str) -> tuple[object, list[bytes]]:
     return sp, [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
 
-def groups_of(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Ids of both sides, cut where tokens of both end."""
+def cuts(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> list[tuple[int, int, int, int]]:
+    """Where the groups of both sides begin and end, in a and in b: cut where tokens of both end."""
     out, i, j, n = [], 0, 0, len(a)
-    x = y = at_i = at_j = 0
     while i < n:
-        if x <= y:
-            x += a_size[a[i]]
-            i += 1
-        while y < x:
-            y += b_size[b[j]]
-            j += 1
-        if x == y:
-            out.append((a[at_i:i], b[at_j:j]))
-            at_i, at_j = i, j
+        i0, j0 = i, j
+        x, y = a_size[a[i]], b_size[b[j]]
+        i, j = i + 1, j + 1
+        while x != y:
+            if x < y:
+                x += a_size[a[i]]
+                i += 1
+            else:
+                y += b_size[b[j]]
+                j += 1
+        out.append((i0, i, j0, j))
     return out
 
 
@@ -133,19 +135,28 @@ class Aligner:
         self.text: list[str | None] = []
         self.n_a, self.n_b = array("i"), array("i")
         self.group_off, self.group_at = array("q", [0]), array("i")
-        #: Group key to number; by number: its pairs. Pair to number.
-        self.key: dict[str, int] = {}
+        #: Group (its pair, or the ids of both sides) to number; by number: its key and its pairs.
+        #: Pair to number.
+        self.group: dict[int | tuple[int, ...], int] = {}
+        self.key: list[str] = []
         self.pair_off, self.pair_at = array("q", [0]), array("i")
         self.pair: dict[int, int] = {}
         self.chars = 0
 
-    def _group(self, a: list[int], b: list[int]) -> tuple[int, str]:
-        key = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
-        g = self.key.setdefault(key, len(self.key))
-        if g == len(self.pair_off) - 1:
-            self.pair_at.extend(self.pair.setdefault(p, len(self.pair)) for p in dict.fromkeys(links_of(a, b, self.a_size, self.b_size)))
-            self.pair_off.append(len(self.pair_at))
-        return g, key
+    def _groups(self, a: list[int], b: list[int]) -> list[int]:
+        """Numbers of the groups of a chunk; new ones are written out and expanded to pairs."""
+        out, known = [], self.group
+        for i0, i, j0, j in cuts(a, b, self.a_size, self.b_size):
+            k = a[i0] << 32 | b[j0] if i - i0 == 1 == j - j0 else (*a[i0:i], -1, *b[j0:j])
+            g = known.get(k)
+            if g is None:
+                g = known[k] = len(known)
+                x, y = a[i0:i], b[j0:j]
+                self.key.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
+                self.pair_at.extend(self.pair.setdefault(p, len(self.pair)) for p in dict.fromkeys(links_of(x, y, self.a_size, self.b_size)))
+                self.pair_off.append(len(self.pair_at))
+            out.append(g)
+        return out
 
     def learn(self, chunks: list[str]) -> None:
         """Number new chunks: each, after a space, is tokenised, compared with its bytes and cut."""
@@ -155,9 +166,9 @@ class Aligner:
             self.number[c] = len(self.text)
             self.chars += len(c) + 64
             if b"".join([self.a_bytes[i] for i in a]) == want == b"".join([self.b_bytes[i] for i in b]):
-                found = [self._group(*g) for g in groups_of(a, b, self.a_size, self.b_size)]
-                self.text.append(";".join([k for _, k in found]))
-                self.group_at.extend([g for g, _ in found])
+                found = self._groups(a, b)
+                self.text.append(";".join([self.key[g] for g in found]))
+                self.group_at.extend(found)
                 self.n_a.append(len(a))
                 self.n_b.append(len(b))
             else:
@@ -236,7 +247,7 @@ class Block:
         lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (local, np.concatenate(self.times))]
         ids = pa.chunked_array(self.ids).combine_chunks()
         yield _rows(id_type, len(n_a), 0, self.number, {"id": ids, "n_a": pa.array(n_a, pa.int64()), "n_b": pa.array(n_b, pa.int64()), "n_groups": pa.array(n_g, pa.int64()), "digest": pa.array(digest), "groups": lists[0], "times": lists[1]})
-        names = list(self.al.key)
+        names = self.al.key
         for i in range(0, len(used), 1 << 15):
             part = used[i : i + (1 << 15)]
             yield _rows(id_type, len(part), 1, self.number, {"no": pa.array(np.arange(i, i + len(part), dtype=np.int32)), "key": pa.array([names[g] for g in part.tolist()])})

@@ -77,7 +77,7 @@ def test_no_rows(spark):
 
 def test_links_of_a_group():
     size = {1: 1, 2: 2, 3: 3}
-    assert alignment.groups_of([2, 1, 3], [3, 1, 2], size, size) == [([2, 1], [3]), ([3], [1, 2])]
+    assert alignment.cuts([2, 1, 3], [3, 1, 2], size, size) == [(0, 2, 0, 1), (2, 3, 1, 3)]
     assert alignment.links_of([2, 1], [3], size, size) == [2 << 32 | 3, 1 << 32 | 3]
     assert alignment.links_of([2, 2], [1, 3], size, size) == [2 << 32 | 1, 2 << 32 | 3, 2 << 32 | 3]
 
