@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     what.add_argument("--head", help="table to look into: schema, number of rows, first rows as JSON")
     p.add_argument("--tickers", help="comma-separated; all that the capture has, if absent")
     p.add_argument("--out", help="folder of the tables; <in>_processed if absent")
-    p.add_argument("--format", choices=("parquet", "feather"), default="parquet", help="feather writes one file a table beside the Parquet tables")
+    p.add_argument("--format", choices=("parquet", "feather"), default="parquet", help="feather writes a folder of Arrow files for each table beside the Parquet tables")
     p.add_argument("--rows", type=int, default=5)
     a = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()

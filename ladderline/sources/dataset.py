@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import ticker_date
 from ..operators import book, coverage, merge, validate
+from .arrow_files import read_arrow
 from .process import SCHEMA_VERSION
 
 
@@ -267,11 +268,6 @@ def _dated(rows: DataFrame, since: str | None, until: str | None) -> DataFrame:
 
 
 def peek(spark: SparkSession, path: str, rows: int = 5) -> tuple[str, int, list[str]]:
-    """Schema, row count and the first rows as JSON of a Parquet path or a Feather file."""
-    if path.endswith((".feather", ".arrow")):
-        import pyarrow.feather
-
-        df = spark.createDataFrame(pyarrow.feather.read_table(path))
-    else:
-        df = spark.read.parquet(path)
+    """Schema, row count and the first rows as JSON of a Parquet path, an Arrow file or a folder of those."""
+    df = read_arrow(spark, path) if path.rstrip("/").endswith((".feather", ".arrow")) else spark.read.parquet(path)
     return df.schema.simpleString(), df.count(), [r["j"] for r in df.limit(rows).select(F.to_json(F.struct("*")).alias("j")).collect()]

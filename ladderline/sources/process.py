@@ -11,6 +11,7 @@ from ..operators import book, coverage, scan, verify
 from ..operators.asof import asof_backward
 from ..operators.trades import tape
 from . import capture
+from .arrow_files import write_arrow
 from .scratch import saved
 
 #: Fixed value: version of the processed tables, which readers compare.
@@ -110,10 +111,8 @@ def curated(manifest: DataFrame) -> DataFrame:
 
 
 def write_feather(df: DataFrame, path: str) -> None:
-    """One Arrow IPC file on the driver, for tables small enough to hand around."""
-    import pyarrow.feather
-
-    pyarrow.feather.write_feather(df.toArrow(), path)
+    """A folder of Arrow files, written by the tasks."""
+    write_arrow(df, path)
 
 
 def verify_records(books: DataFrame, recv_ts_us: int) -> DataFrame:

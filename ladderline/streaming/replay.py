@@ -11,12 +11,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import book, sequence
+from ..operators import book, sequence, trades
 from ..operators.verify import WINDOW_US
 from ..sources import capture
-from .state import BookTop, Checks, use_rocksdb
+from .state import AsOf, BookTop, Checks, use_rocksdb
 
 
 def capture_stream(spark: SparkSession, base: str, files_per_trigger: int = 100) -> DataFrame:
@@ -111,6 +112,46 @@ def verify_stream(records: DataFrame, window_us: int = WINDOW_US, delay: str = "
     return timed.groupBy("ticker").transformWithState(Checks(window_us, idle_us), _CHECK, "Append", "EventTime")
 
 
+def trade_book_stream(trades_: DataFrame, tops: DataFrame, take: tuple[str, ...] = ("event_idx", "yes_bid_micro", "yes_ask_micro"), delay: str = "1 minute") -> DataFrame:
+    """Trades (ticker, eff_ts_us and more) with ``take`` (whole numbers) of the last row of ``tops``
+    (ticker, recv_ts_us, event_idx, ...) at or before them: the batch form is ``asof_backward``.
+
+    Both are streams, of any order up to ``delay``: a trade waits until the watermark has passed its
+    time, by when all books it could need have come. Its columns are in ``row``, as JSON. State per
+    ticker: trades that wait, books since the watermark, and the one before it.
+    """
+    use_rocksdb(trades_.sparkSession)
+    none = F.lit(None).cast("bigint")
+    left = trades_.select("ticker", F.col("eff_ts_us").alias("ts"), none.alias("o"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"), *[none.alias(c) for c in take])
+    right = tops.select("ticker", F.col("recv_ts_us").alias("ts"), F.col("event_idx").alias("o"), F.lit(None).cast("string").alias("row"), *[F.col(c).cast("bigint").alias(c) for c in take])
+    both = left.unionByName(right).withColumn("_at", F.timestamp_micros("ts")).withWatermark("_at", delay)
+    schema = "ticker string, ts bigint, row string, " + ", ".join(f"{c} bigint" for c in take)
+    return both.groupBy("ticker").transformWithState(AsOf(take), schema, "Append", "EventTime")
+
+
+def merged_trades_stream(trades_: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """Merge stream and fetched copies as they come, hours apart or in any order.
+
+    The merge is ``trades.dedup`` itself: an aggregation whose state is a row a trade, in update
+    mode. Each batch appends the trades that it changed, under its number, so a batch that runs
+    again replaces its own rows; ``compacted_trades`` reads the newest of each.
+    """
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    merged = trades.dedup(trades_)
+    return merged.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
+def compacted_trades(spark: SparkSession, out: str) -> DataFrame:
+    """The merged trades: of a trade_id the version with most copies, of rows without one all."""
+    rows = spark.read.parquet(out).drop("batch")
+    cols = [c for c in rows.columns if c not in ("ticker", "trade_id")]
+    newest = rows.where("trade_id IS NOT NULL").groupBy("ticker", "trade_id").agg(F.max_by(F.struct(*cols), "copies").alias("r"))
+    return newest.select("ticker", "trade_id", "r.*").select(rows.columns).unionByName(rows.where("trade_id IS NULL"))
+
+
 def landing_sink(decoded: DataFrame, out: str, checkpoint: str):
     """Append decoded records as JSON lines by ticker, channel and receive day; names that can't be
     path segments go to ``_unsafe``. Exactly once through the sink's own log."""

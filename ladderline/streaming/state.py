@@ -303,3 +303,68 @@ class Checks(StatefulProcessor):
                 s.clear()
             return
         self._save()
+
+
+class AsOf(StatefulProcessor):
+    """Trades with the book in force at their time (see ``replay.trade_book_stream``).
+
+    State: books that a waiting trade may still need, trades that wait, and a count that names them.
+    """
+
+    def __init__(self, take: tuple[str, ...]):
+        self.take = take
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.books = handle.getMapState("books", "ts bigint, o bigint", ", ".join(f"{c} bigint" for c in self.take))
+        self.trades = handle.getMapState("trades", "ts bigint, n bigint", "row string")
+        self.head = handle.getValueState("head", "n bigint, timer bigint")
+
+    def _wake(self, n: int, timer: int | None, ts: int) -> None:
+        """A timer after the earliest instant that trades wait for."""
+        at = ts // 1000 + 1
+        if timer is None or at < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(at)
+            timer = at
+        self.head.update((n, timer))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n, timer = self.head.get() if self.head.exists() else (0, None)
+        least = None
+        for r in rows:
+            if r["row"] is None:
+                self.books.updateValue((r["ts"], r["o"]), tuple(r[c] for c in self.take))
+            else:
+                self.trades.updateValue((r["ts"], n), (r["row"],))
+                n += 1
+            least = r["ts"] if least is None else min(least, r["ts"])
+        self._wake(n, timer, least)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Time has passed the expiry: every record up to it is here."""
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        books = sorted((tuple(k), tuple(v)) for k, v in self.books.iterator())
+        waiting = sorted((tuple(k), v[0]) for k, v in self.trades.iterator())
+        i, later = 0, None
+        for (ts, m), row in waiting:
+            if ts >= now:
+                later = ts
+                break
+            while i < len(books) and books[i][0][0] <= ts:
+                i += 1
+            found = books[i - 1] if i else ((None, None), (None,) * len(self.take))
+            yield Row(ticker=key[0], ts=ts, row=row, **dict(zip(self.take, found[1], strict=True)))
+            self.trades.removeKey((ts, m))
+        # Of the books before now the last one is still in force.
+        past = [k for k, _ in books if k[0] < now]
+        for k in past[:-1]:
+            self.books.removeKey(k)
+        n, _ = self.head.get()
+        self.head.update((n, None))
+        if later is not None:
+            self._wake(n, None, later)
+        elif len(past) < len(books):
+            self._wake(n, None, books[len(past)][0][0])

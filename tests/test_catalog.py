@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from ladderline.operators import catalog
 from ladderline.plans import queries
 from ladderline.sources import process
+from ladderline.sources.arrow_files import read_arrow
 
 
 def test_reports(spark, tmp_path):
@@ -12,9 +13,7 @@ def test_reports(spark, tmp_path):
     t = spark.createDataFrame([("x", None), ("x", None), ("y", None), ("z", "bad")], "trade_id string, error string")
     assert catalog.backfill_report(spark.range(3), t).first().asDict() == {"fetched": 4, "written": 2, "raw": 1, "duplicates": 1, "pages": 3}
     process.write_feather(m, str(tmp_path / "m.feather"))
-    import pyarrow.feather
-
-    assert pyarrow.feather.read_table(str(tmp_path / "m.feather")).num_rows == 3
+    assert read_arrow(spark, str(tmp_path / "m.feather")).count() == 3
 
 
 def test_times(spark):

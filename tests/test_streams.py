@@ -168,6 +168,39 @@ def test_landed_records_lie_by_ticker_channel_and_day(spark, tmp_path):
     ]
 
 
+def test_streamed_lookups_agree_with_batch(spark, sf_dir, tmp_path):
+    """Trades and books in shuffled micro-batches, trades often before the book they need."""
+    from ladderline.operators import asof
+
+    t, top = queries._trades(spark, sf_dir).where("seq IS NOT NULL").withColumn("eff_ts_us", F.col("recv_ts_us")), queries.book_top(spark, sf_dir)
+    for i in range(3):
+        t.where(F.pmod(F.hash("file_row"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+        top.where(F.pmod(F.hash("event_idx"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "b"))
+    # A later record of each ticker moves time on, so that every trade is settled.
+    end = top.groupBy("ticker").agg(F.lit(adapter.EPOCH_US + 10**11).alias("recv_ts_us")).withColumn("event_idx", F.lit(10**9).cast("bigint"))
+    for n in (1, 2):
+        time.sleep(1.1)
+        end.withColumn("recv_ts_us", F.col("recv_ts_us") + n).coalesce(1).write.mode("append").parquet(str(tmp_path / "b"))
+    tops = spark.readStream.schema(top.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "b"))
+    got = _run(replay.trade_book_stream(_read(spark, tmp_path / "t"), tops, delay="1 day"), "asof", tmp_path)
+    got = got.select("ticker", F.get_json_object("row", "$.file_row").cast("bigint").alias("file_row"), "event_idx", "yes_bid_micro", "yes_ask_micro")
+    want = asof.asof_backward(t, top, "ticker", "eff_ts_us", "recv_ts_us", "event_idx", ["event_idx", "yes_bid_micro", "yes_ask_micro"]).select(got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 100
+
+
+def test_streamed_trades_merge_in_any_order(spark, sf_dir, tmp_path):
+    from ladderline.operators import trades
+
+    t = queries._trades(spark, sf_dir)
+    for i in (2, 0, 1):  # fetched copies before, with and after those of the stream
+        t.where(F.pmod(F.hash("file_row", "ticker"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+    for _ in range(2):  # nothing new the second time
+        replay.merged_trades_stream(_read(spark, tmp_path / "t"), str(tmp_path / "out"), str(tmp_path / "c")).start().awaitTermination(240)
+    got = replay.compacted_trades(spark, str(tmp_path / "out"))
+    want = trades.dedup(t).select(got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_streamed_gap_markers(spark, tmp_path):
     f = spark.createDataFrame([("c", 1, "snapshot", 10, "orderbook", 5), ("c", 2, "delta", 12, "orderbook", 6), ("d", 1, "delta", 3, "trade", 7), ("d", 2, "delta", 9, "trade", 8)], "sid string, line_no bigint, kind string, seq bigint, channel string, recv_ts_us bigint")
     f.write.parquet(str(tmp_path / "f"))
