@@ -58,14 +58,16 @@ def in_segments(book_events: DataFrame, wanted: DataFrame | None = None) -> Data
     wanted: (ticker, event_idx) of messages whose ladders are asked for.
     """
     rows = book_events.withColumn("_seg", scan.by_position("event_idx"))
-    open_ = opening_levels(rows).withColumns({"_lane": F.lit(0), "is_snapshot": F.lit(False)})
+    # One number, by a scan of one column: where no ticker has a second segment, none has an opening ladder.
+    most = rows.agg(F.max("_seg")).first()[0]
+    open_ = opening_levels(rows).withColumns({"_lane": F.lit(0), "is_snapshot": F.lit(False)}) if most else None
     rows = rows.withColumn("_lane", F.lit(1))
     if wanted is None:
         rows = rows.withColumn("_want", F.lit(False))
     else:
         mark = wanted.select("ticker", "event_idx").distinct().withColumn("_want", F.lit(True))
         rows = rows.join(mark, ["ticker", "event_idx"], "left").withColumn("_want", F.coalesce("_want", F.lit(False)))
-    both = rows.unionByName(open_, allowMissingColumns=True)
+    both = rows if open_ is None else rows.unionByName(open_, allowMissingColumns=True)
     n = int(book_events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return both.repartition(n, "ticker", "_seg").sortWithinPartitions("ticker", "_seg", "_lane", "event_idx", "file_row").select(*_ROW)
 

@@ -57,9 +57,7 @@ def last_value(df: DataFrame, by: str, order: tuple[str, ...], segment: Column,
     nulls, or whose nulls come first."""
     rows = df.withColumn("_seg", segment)
     own = F.last(value, ignorenulls=True).over(Window.partitionBy(by, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    some = rows.where(F.col(value).isNotNull()).groupBy(by, "_seg").agg(F.max_by(value, F.struct(*order)).alias("_m"))
-    # Segments that hold no value carry on what came before.
-    all_ = rows.select(by, "_seg").distinct().withColumnsRenamed({by: "_key", "_seg": "_at"})
-    some = all_.join(some, all_["_key"].eqNullSafe(some[by]) & all_["_at"].eqNullSafe(some["_seg"]), "left").select(F.col("_key").alias(by), F.col("_at").alias("_seg"), "_m")
-    carry = some.select(F.col(by).alias("_by"), F.col("_seg").alias("_in"), F.last("_m", ignorenulls=True).over(_before(by)).alias("_past"))
+    # Only rows with a value are ordered; a segment without any carries on what came before.
+    last = rows.groupBy(by, "_seg").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_m"))
+    carry = last.select(F.col(by).alias("_by"), F.col("_seg").alias("_in"), F.last("_m", ignorenulls=True).over(_before(by)).alias("_past"))
     return _with_carry(rows.withColumn("_own", own), by, carry).withColumn(out, F.coalesce("_own", "_past")).drop("_seg", "_own", "_past")

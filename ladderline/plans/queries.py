@@ -19,7 +19,8 @@ T0, T1 = adapter.EPOCH_US + 600_000_000, adapter.EPOCH_US + 1_200_000_000
 
 
 def _book(spark: SparkSession, d: str) -> DataFrame:
-    return book.flatten(book.number_events(adapter.book_messages(spark, d)))
+    # Written, like the tables of a processed capture: scans across segments read their input twice.
+    return saved(book.flatten(saved(book.number_events(adapter.book_messages(spark, d)), "messages")), "book_events")
 
 
 def _trades(spark: SparkSession, d: str) -> DataFrame:
@@ -132,7 +133,7 @@ def event_kind_counts(spark, d):
 
 def trade_book_asof(spark, d):
     t = trades.with_effective(_trades(spark, d)).select("ticker", "file_row", "eff_ts_us", "price_micro", "count_centi")
-    return asof.asof_backward(t, book_top(spark, d), "ticker", "eff_ts_us", "recv_ts_us", "event_idx", ["event_idx", "yes_bid_micro", "yes_ask_micro"])
+    return asof.asof_backward(t, saved(book_top(spark, d), "book_top"), "ticker", "eff_ts_us", "recv_ts_us", "event_idx", ["event_idx", "yes_bid_micro", "yes_ask_micro"])
 
 
 def events_book_join(spark, d):
@@ -141,7 +142,7 @@ def events_book_join(spark, d):
 
 
 def _outcomes(spark, d):
-    events = saved(_book(spark, d), "book_events")
+    events = _book(spark, d)
     # Observations describe some of these messages, so their ladders are wanted beside those near in time.
     at = events.where("event_idx % 50 = 0 AND event_idx > 0").select("ticker", "event_idx", (F.col("recv_ts_us") + 1).alias("recv_ts_us"))
     told = events.select("ticker", "event_idx").where("event_idx % 50 IN (0, 47, 48, 49)")
