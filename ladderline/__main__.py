@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     what.add_argument("--head", help="table to look into: schema, number of rows, first rows as JSON")
     p.add_argument("--tickers", help="comma-separated; all that the capture has, if absent")
     p.add_argument("--out", help="folder of the tables; <in>_processed if absent")
+    p.add_argument("--new", action="store_true", help="process only tickers whose files changed since the last run, and keep the tables of the others")
     p.add_argument("--format", choices=("parquet", "feather"), default="parquet", help="feather writes a folder of Arrow files for each table beside the Parquet tables")
     p.add_argument("--rows", type=int, default=5)
     a = p.parse_args(argv)
@@ -28,7 +29,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     source = a.source.rstrip("/")
     out = a.out or f"{source}_processed"
-    manifest = process.process_capture(spark, source, out, a.tickers.split(",") if a.tickers else None)
+    if a.new and a.tickers:
+        p.error("--new finds the tickers itself")
+    manifest = process.process_new(spark, source, out) if a.new else process.process_capture(spark, source, out, a.tickers.split(",") if a.tickers else None)
     for r in manifest.orderBy("ticker").toLocalIterator():
         print(process.pretty(r))
     if a.format == "feather":

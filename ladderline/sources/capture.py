@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import rfc3339_us
 from ..functions.units import I64_MAX, U32_MAX
+from ..operators import scan
 
 #: The newest envelope version, the largest number of its fields, the words of its vocabularies.
 ENVELOPE_VERSION = 2
@@ -42,9 +43,18 @@ KINDS: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
 }
 
 
-def capture_lines(spark: SparkSession, base: str, tickers: list[str] | None = None) -> DataFrame:
+def capture_files(spark: SparkSession, base: str) -> DataFrame:
+    """ticker, channel, file, folder (the ticker's), bytes and modified (time) of each file, from listings alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(base)
+    part = lambda i: F.regexp_extract("path", r"^(.*/([^/]+))/([^/]+)/([^/]+\.jsonl)$", i)
+    return files.select(part(2).alias("ticker"), part(3).alias("channel"), part(4).alias("file"), part(1).alias("folder"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def capture_lines(spark: SparkSession, base: str | list[str], tickers: list[str] | None = None) -> DataFrame:
     """ticker, channel, file, line_no (from 1) and text of every line that is not blank.
 
+    base: the capture's folder, or those of some tickers, which alone are listed then.
+
     Files are read in splits. A line's place in its split comes from the order in which the scan
     gives rows, and the lines of the splits before it, counted by a scan of their own, are added: a
     row a split, so a ticker-day of any size is many tasks. Blank lines count in the numbers.
@@ -149,9 +159,12 @@ def decode(lines: DataFrame) -> DataFrame:
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
-    """pos: place of a record in the ticker's capture (order book files, then trade files, by day)."""
-    w = Window.partitionBy("ticker").orderBy(F.when(F.col("channel") == "orderbook", 0).otherwise(1), "channel", "file", "line_no")
-    return rows.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
+    """pos: place of a record in the ticker's capture (order book files, then trade files, by day).
+
+    A million lines of a file are a segment, so a ticker's capture is many tasks.
+    """
+    segment = F.struct(F.when(F.col("channel") == "orderbook", 0).otherwise(1).alias("lane"), "channel", "file", scan.by_position("line_no").alias("part"))
+    return scan.numbered(rows, "ticker", [F.col("line_no")], segment, "pos")
 
 
 def _us(c: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import book, coverage, scan, verify
@@ -18,12 +18,19 @@ from .scratch import saved
 SCHEMA_VERSION = 1
 
 
-def write_table(df: DataFrame, path: str, order: str, level: int = 3) -> None:
+def write_table(df: DataFrame, path: str, order: str, level: int = 3, replace: bool = True) -> None:
     """Parquet, ZSTD, in a folder a ticker, in the order of that column inside it: over files, whose
-    names go by it, and in each file. So row groups are intervals, and ranges of time skip most."""
+    names go by it, and in each file. So row groups are intervals, and ranges of time skip most.
+
+    replace: whether the table becomes these rows; else only the tickers that have some are replaced.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = df.repartitionByRange(n, "ticker", order).sortWithinPartitions("ticker", order)
-    sorted_.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).partitionBy("ticker").parquet(path)
+    _over(sorted_, replace).option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
+
+
+def _over(df: DataFrame, replace: bool) -> DataFrameWriter:
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic").partitionBy("ticker")
 
 
 def keyframes(book_events: DataFrame) -> DataFrame:
@@ -70,34 +77,131 @@ def manifest_rows(t: dict[str, DataFrame], events: DataFrame, top: DataFrame, ou
     return m.withColumn("notes", _notes()).join(files, "ticker", "left")
 
 
+#: Columns of the manifest.
+MANIFEST = (
+    "ticker string, records bigint, first_recv_ts_us bigint, last_recv_ts_us bigint, read_errors bigint, trades bigint, gaps bigint, raw bigint, book_top bigint, two_sided boolean,"
+    " book_events bigint, underflows bigint, verify_matched bigint, verify_mismatch bigint, verify_skipped bigint, span_us bigint, hole_us bigint, uptime double, complete boolean,"
+    " schema_version int, notes array<string>, files array<struct<channel:string,file:string,records:bigint>>"
+)
+#: Folders of a dataset that hold a folder a ticker, and the column that orders each.
+ORDER = {
+    "book_events": "file_row", "keyframes": "recv_ts_us", "book_top": "event_idx", "trades": "file_row", "gaps": "gap_no",
+    "raw": "recv_ts_us", "verify": "recv_ts_us",
+}
+_MAY_LACK = ("raw", "verify")
+
+
 def process_capture(spark: SparkSession, in_dir: str, out_dir: str, tickers: list[str] | None = None) -> DataFrame:
     """Write book_events, book_top, trades, gaps (and raw, verify, read_errors where there are
-    any) and the manifest below ``out_dir``; return the manifest."""
-    decoded = saved(capture.decode(capture.capture_lines(spark, in_dir, tickers)), "decoded")
+    any) and the manifest below ``out_dir``; return the manifest. What was there goes."""
+    files = saved(capture.capture_files(spark, in_dir), "files")
+    if tickers:
+        files = files.where(F.col("ticker").isin(*tickers))
+    _forget(spark, out_dir)
+    rows = _process(capture.capture_lines(spark, in_dir, tickers), out_dir, True)
+    return _conclude(out_dir, rows, files)
+
+
+def process_new(spark: SparkSession, in_dir: str, out_dir: str) -> DataFrame:
+    """Bring the tables below ``out_dir`` up to a capture that has grown; return the whole manifest.
+
+    The result is that of ``process_capture``. Only tickers with a file that is new, or of another
+    size or time than at the last run, are read, and only their folders written, wholly: records of
+    a later day change numbers and verdicts of earlier ones, in that ticker and in no other. Files
+    are listed before they are read, and their sizes noted after everything else is written; so
+    what grows meanwhile, or a run that is killed, makes the next run do those tickers again. A
+    rerun over the same files writes nothing.
+
+    A ticker of which no file changed keeps its tables, also when files of it are gone (they may be
+    in an archive). With changed files beside ones that are gone or shorter than before its tables
+    can't be made again: that is an error, and nothing is written.
+    """
+    files = saved(capture.capture_files(spark, in_dir), "files")
+    if not (_exists(spark, f"{out_dir}/sources") and _exists(spark, f"{out_dir}/manifest")):
+        _forget(spark, out_dir)
+        return _conclude(out_dir, _process(capture.capture_lines(spark, in_dir), out_dir, True), files)
+    known, before = spark.read.schema(files.schema).parquet(f"{out_dir}/sources"), spark.read.schema(MANIFEST).json(f"{out_dir}/manifest")
+    at = ["ticker", "channel", "file"]
+    redone = saved(files.join(known, [*at, "bytes", "modified"], "left_anti").select("ticker").distinct(), "redone")
+    if redone.isEmpty():
+        return before
+    lost = known.join(files.select(*at, F.col("bytes").alias("_now")), at, "left").where("_now IS NULL OR _now < bytes").join(redone, "ticker", "left_semi")
+    if bad := [r[0] for r in lost.select("ticker").distinct().limit(5).collect()]:
+        raise ValueError(f"files are gone or shorter than before: {', '.join(bad)}; process_capture makes tables of what is left")
+    # Folders of tickers: fewer than the files that the driver lists to plan a scan.
+    folders = [r[0] for r in files.join(redone, "ticker", "left_semi").select("folder").distinct().collect()]
+    rows = _process(capture.capture_lines(spark, folders), out_dir, False)
+    _drop_emptied(out_dir, before, rows)
+    rows = saved(before.join(redone, "ticker", "left_anti").unionByName(rows), "manifest")
+    gone = known.join(files.select(*at), at, "left_anti")
+    return _conclude(out_dir, rows, files.unionByName(gone))
+
+
+def _drop_emptied(out_dir: str, before: DataFrame, rows: DataFrame) -> None:
+    """Delete folders of tickers that had rows of a table and have none now, which no write replaces.
+
+    Captures are appended to, so there are some only where a file was exchanged for another.
+    """
+    n = {"keyframes": "book_events", "verify": "verify_matched + verify_mismatch + verify_skipped"}
+    held = lambda m: m.select("ticker", F.array_compact(F.array(*[F.expr(f"CASE WHEN {n.get(x, x)} > 0 THEN '{x}' END") for x in (*ORDER, "read_errors")])).alias("t"))
+    both = held(before).join(held(rows).withColumnRenamed("t", "now"), "ticker")
+    for ticker, table in both.select("ticker", F.explode(F.array_except("t", "now"))).collect():
+        _delete(rows.sparkSession, f"{out_dir}/{table}/ticker={_folder_name(rows.sparkSession, ticker)}")
+
+
+def _process(lines: DataFrame, out_dir: str, replace: bool) -> DataFrame:
+    """Write the tables of those lines; return their manifest rows."""
+    decoded = saved(capture.decode(lines), "decoded")
     t = capture.tables(decoded)
-    events = saved(book.flatten(book.number_events(t["messages"])), "book_events")
+    numbered = saved(book.number_events(t["messages"]), "numbered")
+    events = saved(book.flatten(numbered), "book_events")
     top = saved(book.book_top(events), "book_top")
     # The last book message before an observation is the state it is compared with.
-    numbered = book.number_events(t["messages"]).select("ticker", "line_no", "event_idx")
-    observed = saved(asof_backward(t["verify"], numbered, "ticker", "line_no", "line_no", "event_idx", ["event_idx"], scan.by_position("_ts")), "observed")
+    observed = saved(asof_backward(t["verify"], numbered.select("ticker", "line_no", "event_idx"), "ticker", "line_no", "line_no", "event_idx", ["event_idx"], scan.by_position("_ts")), "observed")
     states = saved(book.book_states(events, verify.near(events, observed)), "states")
     outcomes = saved(verify.verify_outcomes(states, observed, t["gaps"].where("channel = 'orderbook'")), "outcomes")
     outcomes = saved(verify.with_detail(outcomes), "details")
-    gaps = coverage.with_mismatch_gaps(t["gaps"], outcomes)
+    gaps = saved(coverage.with_mismatch_gaps(t["gaps"], outcomes), "gaps")
     cover = coverage.coverage(t["records"].select("ticker").distinct(), events, t["trades"], gaps)
-    write_table(events, f"{out_dir}/book_events", "file_row")
-    write_table(keyframes(events), f"{out_dir}/keyframes", "recv_ts_us")
-    write_table(book.with_dollars(top), f"{out_dir}/book_top", "event_idx")
-    write_table(tape(t["trades"]), f"{out_dir}/trades", "file_row")
-    write_table(gaps, f"{out_dir}/gaps", "gap_no")
-    for name, df in (("raw", t["raw"]), ("verify", outcomes)):
-        if not df.isEmpty():
-            write_table(df, f"{out_dir}/{name}", "recv_ts_us")
+    out = {"book_events": events, "keyframes": keyframes(events), "book_top": book.with_dollars(top), "trades": tape(t["trades"]), "gaps": gaps, "raw": t["raw"], "verify": outcomes}
+    for name, df in out.items():
+        if name not in _MAY_LACK or not df.isEmpty():
+            write_table(df, f"{out_dir}/{name}", ORDER[name], replace=replace)
     if not t["read_errors"].isEmpty():
-        t["read_errors"].write.mode("overwrite").partitionBy("ticker").json(f"{out_dir}/read_errors")
-    rows = saved(manifest_rows(t, events, top, outcomes, cover), "manifest")
-    rows.write.mode("overwrite").json(f"{out_dir}/manifest")
-    return rows
+        _over(t["read_errors"], replace).json(f"{out_dir}/read_errors")
+    return saved(manifest_rows(t, events, top, outcomes, cover), "manifest")
+
+
+def _conclude(out_dir: str, manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """The manifest, then the files it stands for: a run that ends before has done nothing that counts."""
+    manifest.write.mode("overwrite").json(f"{out_dir}/manifest")
+    saved(files, "sources").write.mode("overwrite").parquet(f"{out_dir}/sources")
+    return manifest
+
+
+def _forget(spark: SparkSession, out_dir: str) -> None:
+    """Remove what says which files the tables stand for, and tables that a run may not write."""
+    for name in ("sources", "read_errors", *_MAY_LACK):
+        _delete(spark, f"{out_dir}/{name}")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _folder_name(spark: SparkSession, value: str) -> str:
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
 def pretty(manifest_row) -> str:
