@@ -234,7 +234,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
 
     def search(src: DataFrame, floor: bool) -> DataFrame:
         v = src.mapInArrow(visits(floor), "cell int, blk int, qids binary, qm binary")
-        hits = v.join(index, ["cell", "blk"]).select("ids", "m", "qids", "qm").mapInArrow(multiply, "query_id bigint, vec_id bigint, score bigint")
+        # Shuffled whatever Spark estimates: it knows of the visits only how large the queries are, and
+        # of the index its compressed files, and would broadcast either through the driver.
+        hits = v.hint("merge").join(index, ["cell", "blk"]).select("ids", "m", "qids", "qm").mapInArrow(multiply, "query_id bigint, vec_id bigint, score bigint")
         return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     q2 = q.agg(F.coalesce(F.max(norm), F.lit(0.0))).first()[0]
