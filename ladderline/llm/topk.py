@@ -3,8 +3,8 @@
 Largest inner product becomes nearest neighbour by one more coordinate: with M at least the
 largest norm, x' = (x, sqrt(M^2 - |x|^2)) and q' = (q, 0) give |x' - q'|^2 = M^2 + |q|^2 - 2 q.x.
 Each vector is keyed by its nearest pivot and its distance to it; the distances of a pivot
-are cut into rings (annuli). For a query at distance d from a pivot, the triangle inequality
-puts every vector of a ring [lo, hi] at least max(d - hi, lo - d, 0) away.
+are cut into rings (annuli), as few as fill blocks. For a query at distance d from a pivot, the
+triangle inequality puts every vector of a ring [lo, hi] at least max(d - hi, lo - d, 0) away.
 
 A search expands rings nearest first. Its first step visits, in order of their bounds, the
 rings that surely hold k candidates, which gives a k-th best score. The second visits only
@@ -35,7 +35,7 @@ from .text import saved, ship
 
 @dataclass(frozen=True)
 class IndexParams:
-    """pivots, rings: size of the ring table (fixed); block: vectors in a stored block."""
+    """pivots, rings: largest size of the ring table; block: vectors in a stored block."""
 
     pivots: int = 32
     rings: int = 32
@@ -148,8 +148,10 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
 
     keyed = saved(base.mapInArrow(key_of, "id bigint, vec array<double>, pivot int, dist double"), "keyed")
     # Ring edges: approximate quantiles of each pivot's distances; at most pivots * rings values.
-    cuts = {r["pivot"]: r["q"] for r in keyed.groupBy("pivot").agg(F.percentile_approx("dist", [i / p.rings for i in range(1, p.rings)], 1000).alias("q")).collect()}
-    edges = spark.createDataFrame([(i, sorted(set(q))) for i, q in cuts.items()], "pivot int, edges array<double>")
+    # Rings that a block holds together are one: each ring that a query visits costs a copy of its vector.
+    cuts = keyed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("dist", [i / p.rings for i in range(1, p.rings)], 1000).alias("q")).collect()
+    step = {r["pivot"]: min(p.rings, max(1, p.block * p.rings // r["n"])) for r in cuts}
+    edges = spark.createDataFrame([(i, sorted(set(q[step[i] - 1 :: step[i]]))) for i, _, q in cuts], "pivot int, edges array<double>")
     ringed = keyed.join(F.broadcast(edges), "pivot").withColumn("ring", F.size(F.filter("edges", lambda e: e < F.col("dist"))))
     size = ringed.groupBy("pivot", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi"))
     ring = sorted((r["pivot"], r["ring"], r["n"], r["lo"], r["hi"]) for r in size.collect())  # pivots * rings rows at most
